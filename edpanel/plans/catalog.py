@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edpanel.operators import kpi
+from edpanel.operators import analytics, kpi
 from edpanel.plans import analogue
 from edpanel.plans import oracle_sql
 
@@ -52,13 +52,22 @@ def _kpi_queries() -> dict[str, QueryFn]:
     }
 
 
+def _analytics_queries() -> dict[str, QueryFn]:
+    names = ["trajectory", "peer_volume", "peer_geo", "peer_mix", "peer_national", "outliers",
+             "winter_history", "winter_gap_topk", "winter_peer", "early_warning", "seasonal_forecast",
+             "winter_delta", "pressure_flags"]
+    return {n: _star_query(getattr(analytics, n)) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
     q.update(_kpi_queries())
+    q.update(_analytics_queries())
     return q
 
 
 def oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     o.update(oracle_sql.kpi_sql())
+    o.update(oracle_sql.analytics_sql())
     return {k: v for k, v in o.items() if k in queries()}

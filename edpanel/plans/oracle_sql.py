@@ -201,3 +201,128 @@ def kpi_sql() -> dict[str, str]:
           {P("total_attendances - prior_month_attendances", "prior_month_attendances")} AS mom_attendance_change_pct,
           CAST(dpp AS DOUBLE) / 10 AS mom_performance_change_pp FROM r""")
     return q
+
+
+PERF = P("attendances_total - breaches_total", "attendances_total")
+PERF_T = T("attendances_total - breaches_total", "attendances_total")
+ADM = ("COALESCE(emergency_admissions_via_ae, emergency_admissions_type1 + emergency_admissions_type2"
+       " + emergency_admissions_type3)")
+PERF_CTE = f"s AS (SELECT *, {PERF} AS performance_pct, {PERF_T} AS pt FROM star)"
+TRAJ_CTES = PERF_CTE + """,
+r AS (SELECT *, SUM(pt) OVER w3 AS rs, COUNT(pt) OVER w3 AS rn FROM s
+      WINDOW w3 AS (PARTITION BY provider_key ORDER BY period_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+tp AS (SELECT *, LAG(rs, 3) OVER w AS ps, LAG(rn, 3) OVER w AS pn FROM r
+       WINDOW w AS (PARTITION BY provider_key ORDER BY period_date)),
+traj AS (SELECT trust_code, provider_key, period_date, performance_pct,
+    CAST(rs AS DOUBLE) / (CAST(rn AS DOUBLE) * 10) AS rolling_3m_avg,
+    CAST(ps AS DOUBLE) / (CAST(pn AS DOUBLE) * 10) AS prior_3m_avg,
+    CASE WHEN pn IS NULL OR pn = 0 OR rn = 0 THEN NULL WHEN rs * pn > ps * rn THEN 'improving'
+         WHEN rs * pn < ps * rn THEN 'deteriorating' ELSE 'stable' END AS direction FROM tp)"""
+WINTER_CTES = """wr AS (SELECT *, year(period_date - INTERVAL 2 MONTH) AS winter_year FROM star
+       WHERE month(period_date) IN (11, 12, 1, 2)),
+wy AS (SELECT DISTINCT winter_year FROM wr ORDER BY winter_year DESC LIMIT 5),
+wh AS (SELECT trust_code, winter_year, CAST(SUM(attendances_total) AS BIGINT) AS winter_attendances,
+         CAST(SUM(attendances_total - breaches_total) AS BIGINT) AS winter_within_4hrs,
+         COUNT(*) AS months_reported
+       FROM wr JOIN wy USING (winter_year) GROUP BY trust_code, winter_year)"""
+
+
+def _mean_t(pt: str = "pt") -> str:
+    return f"CASE WHEN COUNT({pt}) > 0 THEN (2 * SUM({pt}) + COUNT({pt})) // (2 * COUNT({pt})) END"
+
+
+def analytics_sql() -> dict[str, str]:
+    q = {}
+    q["trajectory"] = with_star(TRAJ_CTES + """
+        SELECT trust_code, period_date, performance_pct, rolling_3m_avg, prior_3m_avg, direction FROM traj""")
+    band = ("CAST(floor(5 * (RANK() OVER (PARTITION BY {g} ORDER BY {v}) - 1) / "
+            "COUNT({v}) OVER (PARTITION BY {g})) + 1 AS INTEGER)")
+    q["peer_volume"] = with_star(PERF_CTE + f""",
+        b AS (SELECT *, {band.format(g='period_date', v='attendances_total')} AS volume_band FROM s),
+        m AS (SELECT period_date, volume_band, {_mean_t()} AS mt FROM b GROUP BY period_date, volume_band)
+        SELECT trust_code, period_date, attendances_total AS total_attendances, volume_band, performance_pct,
+          CAST(mt AS DOUBLE) / 10 AS peer_mean_performance_pct, CAST(pt - mt AS DOUBLE) / 10 AS gap_to_peer_pp
+        FROM b LEFT JOIN m USING (period_date, volume_band)""")
+    q["peer_geo"] = with_star(PERF_CTE + f""",
+        i AS (SELECT period_date, icb_code, {_mean_t()} AS it FROM s GROUP BY period_date, icb_code),
+        g AS (SELECT period_date, region_code, {_mean_t()} AS gt FROM s GROUP BY period_date, region_code)
+        SELECT trust_code, period_date, icb_name, region_name, performance_pct,
+          CAST(it AS DOUBLE) / 10 AS icb_mean_performance_pct, CAST(gt AS DOUBLE) / 10 AS region_mean_performance_pct,
+          CAST(pt - it AS DOUBLE) / 10 AS gap_to_icb_pp, CAST(pt - gt AS DOUBLE) / 10 AS gap_to_region_pp
+        FROM s LEFT JOIN i USING (period_date, icb_code) LEFT JOIN g USING (period_date, region_code)""")
+    q["peer_mix"] = with_star(PERF_CTE + f""",
+        b AS (SELECT *, {P("attendances_type1", "attendances_total")} AS type1_share_pct,
+                CAST(least({T("attendances_type1", "attendances_total")} // 200, 4) AS INTEGER) AS mix_band FROM s),
+        m AS (SELECT period_date, mix_band, {_mean_t()} AS mt FROM b GROUP BY period_date, mix_band)
+        SELECT trust_code, period_date, type1_share_pct, mix_band, performance_pct,
+          CAST(mt AS DOUBLE) / 10 AS mix_peer_mean_performance_pct, CAST(pt - mt AS DOUBLE) / 10 AS gap_to_mix_peer_pp
+        FROM b LEFT JOIN m USING (period_date, mix_band)""")
+    q["peer_national"] = with_star(PERF_CTE + f""",
+        n AS (SELECT period_date, CAST(floor(quantile_cont(pt, 0.5) + 0.5) AS BIGINT) AS med_t, {_mean_t()} AS mean_t
+              FROM s WHERE attendances_total > 100 GROUP BY period_date)
+        SELECT trust_code, period_date, performance_pct, CAST(med_t AS DOUBLE) / 10 AS national_median_pct,
+          CAST(mean_t AS DOUBLE) / 10 AS national_mean_pct, CAST(pt - med_t AS DOUBLE) / 10 AS gap_to_median_pp,
+          CAST(pt - mean_t AS DOUBLE) / 10 AS gap_to_mean_pp
+        FROM s LEFT JOIN n USING (period_date)""")
+    q["outliers"] = with_star(PERF_CTE + """,
+        f AS (SELECT period_date, quantile_cont(pt, 0.25) AS q1, quantile_cont(pt, 0.75) AS q3,
+                avg(pt / 10.0) AS mu, stddev_samp(pt / 10.0) AS sd FROM s WHERE pt IS NOT NULL GROUP BY period_date),
+        o AS (SELECT s.*, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi, mu, sd
+              FROM s JOIN f USING (period_date) WHERE pt IS NOT NULL)
+        SELECT trust_code, period_date, performance_pct, lo / 10.0 AS lower_fence_pct, hi / 10.0 AS upper_fence_pct,
+          (pt < lo OR pt > hi) AS iqr_outlier, COALESCE(abs((performance_pct - mu) / sd) > 2.0, false) AS z_outlier
+        FROM o""")
+    q["winter_history"] = with_star(WINTER_CTES + f"""
+        SELECT *, {P("winter_within_4hrs", "winter_attendances")} AS winter_performance_pct FROM wh""")
+    q["winter_gap_topk"] = with_star(WINTER_CTES + f""",
+        g AS (SELECT trust_code, SUM(winter_attendances) AS att, SUM(winter_within_4hrs) AS within FROM wh GROUP BY trust_code),
+        t AS (SELECT trust_code, {T("within", "att")} AS pt FROM g),
+        k AS (SELECT trust_code, pt, pt - 950 AS gt FROM t WHERE pt IS NOT NULL ORDER BY gt, trust_code LIMIT 10)
+        SELECT trust_code, CAST(pt AS DOUBLE) / 10 AS winter_performance_pct, CAST(gt AS DOUBLE) / 10 AS gap_to_target_pp,
+          CAST(ROW_NUMBER() OVER (ORDER BY gt, trust_code) AS INTEGER) AS gap_rank FROM k""")
+    q["winter_peer"] = with_star(WINTER_CTES + f""",
+        h AS (SELECT *, {P("winter_within_4hrs", "winter_attendances")} AS winter_performance_pct,
+                {T("winter_within_4hrs", "winter_attendances")} AS pt FROM wh),
+        b AS (SELECT *, {band.format(g='winter_year', v='winter_attendances')} AS volume_band FROM h),
+        m AS (SELECT winter_year, volume_band, {_mean_t()} AS mt FROM b GROUP BY winter_year, volume_band)
+        SELECT trust_code, winter_year, winter_attendances, volume_band, winter_performance_pct,
+          CAST(mt AS DOUBLE) / 10 AS peer_mean_performance_pct, CAST(pt - mt AS DOUBLE) / 10 AS gap_to_peer_pp
+        FROM b LEFT JOIN m USING (winter_year, volume_band)""")
+    q["early_warning"] = with_star(TRAJ_CTES + """
+        SELECT trust_code, period_date, rolling_3m_avg, prior_3m_avg,
+          COALESCE(direction = 'deteriorating', false) AS early_warning
+        FROM traj WHERE month(period_date) IN (9, 10)""")
+    q["seasonal_forecast"] = with_star("""
+        o AS (SELECT provider_key, SUM(attendances_total) AS s_all, COUNT(*) AS c_all FROM star GROUP BY provider_key),
+        m AS (SELECT provider_key, month_of_year, SUM(attendances_total) AS s_m, COUNT(*) AS c_m FROM star
+              GROUP BY provider_key, month_of_year),
+        l AS (SELECT provider_key, SUM(attendances_total) AS s12, COUNT(*) AS c12 FROM (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY provider_key ORDER BY period_date DESC) AS rn FROM star)
+              WHERE rn <= 12 GROUP BY provider_key)
+        SELECT p.trust_code, m.month_of_year,
+          CAST(s_m * c_all AS DOUBLE) / CAST(c_m * s_all AS DOUBLE) AS seasonal_index,
+          CAST(s12 AS DOUBLE) / c12 AS trailing_12m_mean,
+          CAST(s_m * c_all * s12 AS DOUBLE) / CAST(c_m * s_all * c12 AS DOUBLE) AS projected_attendances
+        FROM m JOIN o USING (provider_key) JOIN l USING (provider_key) JOIN prov p USING (provider_key)""")
+    q["winter_delta"] = with_star(f"""
+        w AS (SELECT trust_code, year(period_date - INTERVAL 2 MONTH) AS year, SUM(attendances_total) AS s_w,
+                COUNT(*) AS c_w, SUM({ADM}) AS adm_w, SUM(attendances_total - breaches_total) AS in_w
+              FROM star WHERE month(period_date) IN (11, 12, 1, 2) GROUP BY 1, 2),
+        u AS (SELECT trust_code, year(period_date) AS year, SUM(attendances_total) AS s_s, COUNT(*) AS c_s,
+                SUM({ADM}) AS adm_s, SUM(attendances_total - breaches_total) AS in_s
+              FROM star WHERE month(period_date) IN (6, 7, 8) GROUP BY 1, 2)
+        SELECT trust_code, year, {P("s_w * c_s - s_s * c_w", "s_s * c_w")} AS attendance_change_pct,
+          CAST({T("adm_w", "s_w")} - {T("adm_s", "s_s")} AS DOUBLE) / 10 AS conversion_change_pp,
+          CAST({T("in_w", "s_w")} - {T("in_s", "s_s")} AS DOUBLE) / 10 AS performance_change_pp
+        FROM w JOIN u USING (trust_code, year)""")
+    q["pressure_flags"] = with_star(PERF_CTE + """,
+        x AS (SELECT *, SUM(attendances_total) OVER w12 AS s12, COUNT(attendances_total) OVER w12 AS c12,
+                LAG(pt) OVER w AS prev_pt FROM s
+              WINDOW w12 AS (PARTITION BY provider_key ORDER BY period_date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING),
+                     w AS (PARTITION BY provider_key ORDER BY period_date)),
+        y AS (SELECT trust_code, period_date, COALESCE(attendances_total * c12 > s12, false) AS above_own_12m_mean,
+                COALESCE(pt < prev_pt, false) AS performance_falling, COALESCE(dta_breaches_12hr > 0, false) AS dta_12hr_breach
+              FROM x)
+        SELECT *, CAST(above_own_12m_mean AS INTEGER) + CAST(performance_falling AS INTEGER)
+          + CAST(dta_12hr_breach AS INTEGER) AS pressure_score FROM y""")
+    return q
