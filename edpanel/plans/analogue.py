@@ -59,10 +59,15 @@ MEASURES = (
 )
 
 
-def activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem reduced to the columns the fact needs, with the month and integral quantity."""
+def activity_lines(spark: SparkSession, sf_dir: str, max_line_number: int | None = None) -> DataFrame:
+    """lineitem reduced to the columns the fact needs, with the month and integral quantity.
+
+    ``max_line_number`` keeps only lines up to that number: the revision model treats the
+    last line of an order as arriving late (first release vs revised release)."""
     li = read_table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity", "l_discount", "l_tax",
-                    "l_returnflag", "l_shipdate")
+                    "l_returnflag", "l_shipdate", "l_linenumber")
+    if max_line_number is not None:
+        li = li.where(F.col("l_linenumber") <= max_line_number)
     return li.select(
         F.col("l_suppkey").alias("provider_key"),
         C.month_start("l_shipdate").alias("period_date"),
@@ -72,7 +77,11 @@ def activity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_ae_activity: one row per provider x month with all activity counts (E5)."""
-    lines = activity_lines(spark, sf_dir)
+    return fact_from_lines(activity_lines(spark, sf_dir))
+
+
+def fact_from_lines(lines: DataFrame) -> DataFrame:
+    """Aggregate activity lines to the provider x month grain."""
     q = F.col("q")
     breach = F.col("l_tax") >= BREACH_TAX
     admitted = F.col("l_discount") >= ADMISSION_DISCOUNT

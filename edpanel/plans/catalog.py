@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue
+from edpanel.plans import analogue, revisions
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -59,8 +59,15 @@ def _analytics_queries() -> dict[str, QueryFn]:
     return {n: _star_query(getattr(analytics, n)) for n in names}
 
 
+def _revision_queries() -> dict[str, QueryFn]:
+    names = ["row_diff", "scd2_merge", "changed_periods", "scd2_current", "scd2_asof", "revision_audit",
+             "scd2_rebuild", "source_precedence"]
+    return {n: getattr(revisions, n) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_revision_queries())
     q.update(_kpi_queries())
     q.update(_analytics_queries())
     return q
@@ -70,4 +77,5 @@ def oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     o.update(oracle_sql.kpi_sql())
     o.update(oracle_sql.analytics_sql())
+    o.update(oracle_sql.revisions_sql())
     return {k: v for k, v in o.items() if k in queries()}

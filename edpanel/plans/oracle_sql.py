@@ -326,3 +326,89 @@ def analytics_sql() -> dict[str, str]:
         SELECT *, CAST(above_own_12m_mean AS INTEGER) + CAST(performance_falling AS INTEGER)
           + CAST(dta_12hr_breach AS INTEGER) AS pressure_score FROM y""")
     return q
+
+
+_STAGED_MEASURES = ("attendances_type1", "attendances_type2", "attendances_type3", "attendances_total",
+                    "breaches_type1", "breaches_total", "emergency_admissions_type1", "emergency_admissions_via_ae",
+                    "emergency_admissions_other", "emergency_admissions_total", "dta_breaches_4hr", "dta_breaches_12hr")
+
+
+def _staged_cte(name: str, where: str) -> str:
+    hash_cols = ["period_date", "org_code", "org_name", *_STAGED_MEASURES]
+    h = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in hash_cols)
+    return f"""{name}_l AS (
+  SELECT l_suppkey AS provider_key, CAST(date_trunc('month', l_shipdate) AS DATE) AS period_date,
+         CAST(l_quantity AS BIGINT) AS q, l_returnflag AS rf, l_tax AS tax, l_discount AS disc
+  FROM lineitem {where}),
+{name}_a AS (
+  SELECT period_date, 'S' || CAST(provider_key AS VARCHAR) AS org_code, s_name AS org_name,
+    {_sum_if("rf = 'A'")} AS attendances_type1, {_sum_if("rf = 'N'")} AS attendances_type2,
+    {_sum_if("rf = 'R'")} AS attendances_type3, CAST(SUM(q) AS BIGINT) AS attendances_total,
+    {_sum_if("rf = 'A' AND tax >= 0.06")} AS breaches_type1, {_sum_if("tax >= 0.06")} AS breaches_total,
+    {_sum_if("rf = 'A' AND disc >= 0.08")} AS emergency_admissions_type1,
+    {_sum_if("disc >= 0.08")} AS emergency_admissions_via_ae, {_sum_if("disc < 0.02")} AS emergency_admissions_other,
+    {_sum_if("disc >= 0.08 OR disc < 0.02")} AS emergency_admissions_total,
+    {_sum_if("disc >= 0.08 AND tax >= 0.06")} AS dta_breaches_4hr,
+    {_sum_if("disc >= 0.08 AND tax >= 0.08")} AS dta_breaches_12hr
+  FROM {name}_l JOIN supplier ON s_suppkey = provider_key GROUP BY period_date, provider_key, s_name),
+{name} AS (SELECT *, sha256(concat_ws(chr(31), {h})) AS row_hash FROM {name}_a)"""
+
+
+T1_, T2_, T3_ = "TIMESTAMP '2001-12-10 08:00:00'", "TIMESTAMP '2002-01-08 08:00:00'", "TIMESTAMP '2002-02-12 08:00:00'"
+REV_CTES = (_staged_cte("first", "WHERE l_linenumber <= 6") + ",\n" + _staged_cte("revised", "") + f""",
+v1 AS (SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash,
+         'first' AS source_version, {T1_} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current FROM first),
+diff AS (SELECT r.*, CASE WHEN v.row_hash IS NULL THEN 'NEW' WHEN v.row_hash = r.row_hash THEN 'UNCHANGED'
+           ELSE 'REVISED' END AS change_status
+         FROM revised r LEFT JOIN v1 v USING (period_date, org_code)),
+rk AS (SELECT period_date, org_code FROM diff WHERE change_status = 'REVISED'),
+v2 AS (
+  SELECT * FROM v1 WHERE (period_date, org_code) NOT IN (SELECT (period_date, org_code) FROM rk)
+  UNION ALL
+  SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, source_version, valid_from,
+         {T2_}, false FROM v1 WHERE (period_date, org_code) IN (SELECT (period_date, org_code) FROM rk)
+  UNION ALL
+  SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'revised', {T2_},
+         CAST(NULL AS TIMESTAMP), true FROM diff WHERE change_status <> 'UNCHANGED')""")
+
+
+def revisions_sql() -> dict[str, str]:
+    def w(body: str) -> str:
+        body = body.strip()
+        return f"WITH {REV_CTES}{chr(10) if body.upper().startswith('SELECT') else ','}\n{body}"
+    q = {}
+    q["row_diff"] = w("SELECT period_date, org_code, attendances_total, row_hash, change_status FROM diff")
+    q["scd2_merge"] = w("SELECT * FROM v2")
+    q["changed_periods"] = w("SELECT DISTINCT period_date FROM diff WHERE change_status <> 'UNCHANGED'")
+    q["scd2_current"] = w("SELECT * FROM v2 WHERE is_current")
+    q["scd2_asof"] = w("""SELECT * FROM v2 WHERE valid_from <= TIMESTAMP '2001-12-31 00:00:00'
+        AND (valid_to IS NULL OR valid_to > TIMESTAMP '2001-12-31 00:00:00')""")
+    q["revision_audit"] = w("""SELECT o.period_date, o.org_code, o.valid_to AS revised_at, o.source_version AS old_version,
+          n.source_version AS new_version, o.attendances_total AS old_attendances_total,
+          n.attendances_total AS new_attendances_total, o.breaches_total AS old_breaches_total,
+          n.breaches_total AS new_breaches_total, n.attendances_total - o.attendances_total AS delta_attendances_total,
+          n.breaches_total - o.breaches_total AS delta_breaches_total
+        FROM v2 o JOIN v2 n ON o.period_date = n.period_date AND o.org_code = n.org_code AND n.valid_from = o.valid_to
+        WHERE o.valid_to IS NOT NULL""")
+    q["scd2_rebuild"] = w(f"""snap AS (
+          SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'first' AS source_version,
+                 {T1_} AS snapshot_ts FROM first
+          UNION ALL SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'revised', {T2_} FROM revised
+          UNION ALL SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'revert', {T3_} FROM first),
+        ch AS (SELECT *, LAG(row_hash) OVER (PARTITION BY period_date, org_code ORDER BY snapshot_ts) AS prev FROM snap),
+        kept AS (SELECT * FROM ch WHERE prev IS NULL OR prev <> row_hash)
+        SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, source_version,
+          snapshot_ts AS valid_from,
+          LEAD(snapshot_ts) OVER (PARTITION BY period_date, org_code ORDER BY snapshot_ts) AS valid_to,
+          LEAD(snapshot_ts) OVER (PARTITION BY period_date, org_code ORDER BY snapshot_ts) IS NULL AS is_current
+        FROM kept""")
+    q["source_precedence"] = w(f"""u AS (
+          SELECT period_date, org_code, attendances_total, 'history' AS source_kind, {T1_} AS published_at,
+                 2 AS source_priority FROM first
+          UNION ALL
+          SELECT period_date, org_code, attendances_total, 'monthly', {T2_}, 1 FROM revised
+          WHERE period_date = (SELECT max(period_date) FROM revised))
+        SELECT period_date, org_code, attendances_total, source_kind, published_at, source_priority FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY period_date, org_code ORDER BY published_at DESC, source_priority) AS rn
+          FROM u) WHERE rn = 1""")
+    return q
