@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue, revisions
+from edpanel.plans import analogue, ingest, revisions
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,16 @@ def _revision_queries() -> dict[str, QueryFn]:
     return {n: getattr(revisions, n) for n in names}
 
 
+def _ingest_queries() -> dict[str, QueryFn]:
+    names = ["grid_cells", "grid_profile", "pick_sheet", "header_row", "map_columns", "extract_period",
+             "cells_to_wide", "drift_missing", "drift_unexpected", "drift_rename", "drift_log", "dq_coerce_rejects",
+             "recompute_vs_source"]
+    return {n: getattr(ingest, f"q_{n}") for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_ingest_queries())
     q.update(_revision_queries())
     q.update(_kpi_queries())
     q.update(_analytics_queries())
@@ -78,4 +86,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.kpi_sql())
     o.update(oracle_sql.analytics_sql())
     o.update(oracle_sql.revisions_sql())
+    o.update(oracle_sql.ingest_sql())
     return {k: v for k, v in o.items() if k in queries()}

@@ -412,3 +412,28 @@ def revisions_sql() -> dict[str, str]:
           SELECT *, ROW_NUMBER() OVER (PARTITION BY period_date, org_code ORDER BY published_at DESC, source_priority) AS rn
           FROM u) WHERE rn = 1""")
     return q
+
+
+def ingest_sql() -> dict[str, str]:
+    """Grid block: the rendered workbooks must parse back to the published rows."""
+    staged_cols = ("attendances_type1, attendances_type2, attendances_type3, attendances_total, breaches_type1, "
+                   "breaches_total, emergency_admissions_type1, emergency_admissions_via_ae, emergency_admissions_other, "
+                   "emergency_admissions_total, dta_breaches_4hr, dta_breaches_12hr")
+    files = ("SELECT DISTINCT 'ae-activity-' || strftime(period_date, '%Y-%m') || '.xls' AS file, "
+             "'Provider Level Data' AS sheet, period_date FROM fact")
+    q = {}
+    q["cells_to_wide"] = with_star(f"""SELECT f.period_date, p.trust_code AS org_code, p.trust_name AS org_name, {staged_cols}
+        FROM fact f JOIN prov p USING (provider_key)""")
+    q["pick_sheet"] = with_star(f"SELECT file, sheet FROM ({files})")
+    q["header_row"] = with_star(f"""SELECT file, sheet, CAST((month(period_date) % 4) * 3 + 3 AS INTEGER) AS header_row
+        FROM ({files})""")
+    q["extract_period"] = with_star(f"SELECT file, sheet, period_date FROM ({files})")
+    within = "(attendances_total - breaches_total)"
+    milli = f"((2000 * {within} + attendances_total) // (2 * attendances_total))"
+    src = (f"CASE WHEN attendances_total = 0 THEN NULL WHEN year(period_date) % 2 = 0 "
+           f"THEN CAST({milli} AS DOUBLE) / 10 ELSE {P(within, 'attendances_total')} END")
+    q["recompute_vs_source"] = with_star(f"""x AS (SELECT f.period_date, p.trust_code AS org_code, {src} AS source_pct,
+          {P(within, 'attendances_total')} AS recomputed_pct FROM fact f JOIN prov p USING (provider_key))
+        SELECT period_date, org_code, source_pct, recomputed_pct,
+          COALESCE(abs(source_pct - recomputed_pct) <= 0.05, false) AS consistent FROM x""")
+    return q

@@ -62,3 +62,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/edpanel/{name}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    Used where a derived input feeds many branches (the rendered grid, per-sheet header
+    frames): downstream plans then start from the written data, which survives executor
+    loss and keeps the plans small.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
