@@ -170,17 +170,32 @@ def stop_at_blank_row(cells: DataFrame, headers: DataFrame) -> DataFrame:
             .where(F.col("_blank").isNull() | (F.col("row") < F.col("_blank"))).drop("_blank"))
 
 
-def drop_footnotes(wide: DataFrame) -> DataFrame:
+def drop_footnotes(wide: DataFrame, code_pattern: str = FOOTNOTE_CODE_PATTERN,
+                   name_pattern: str = FOOTNOTE_NAME_PATTERN) -> DataFrame:
     """Drop rows with no code, the '-' aggregate code, codes mentioning note / source /
     total / England, and names equal to England or starting with Total / Note (C7).
     A NULL name is kept."""
     code, name = F.col("org_code"), F.col("org_name")
-    return wide.where(code.isNotNull() & (F.trim(code) != "-") & ~code.rlike(FOOTNOTE_CODE_PATTERN)
-                      & F.coalesce(~name.rlike(FOOTNOTE_NAME_PATTERN), F.lit(True)))
+    return wide.where(code.isNotNull() & (F.trim(code) != "-") & ~code.rlike(code_pattern)
+                      & F.coalesce(~name.rlike(name_pattern), F.lit(True)))
+
+
+def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str]) -> DataFrame:
+    """Put percent columns on a 0–100 scale (C10): a column is multiplied by 100 within a
+    group (a workbook) when every value of it in that group lies within [-1, 1]. The
+    per-group maxima are one partial/final aggregate joined back on the group key."""
+    if not pct_cols:
+        return df
+    scale = df.groupBy(*group_cols).agg(*[F.max(F.abs(c)).alias(f"_max_{c}") for c in pct_cols])
+    out = df.join(scale, group_cols, "left")
+    for c in pct_cols:
+        factor = F.when(F.col(f"_max_{c}") <= 1, F.lit(100)).otherwise(F.lit(1))
+        out = out.withColumn(c, (F.col(c) * factor).cast("decimal(18,6)")).drop(f"_max_{c}")
+    return out
 
 
 # ----------------------------------------------------------------- C9–C11
-def coerce_types(wide: DataFrame, registry: Registry, normalise_percent: bool = True) -> DataFrame:
+def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True) -> DataFrame:
     """Registry dtypes (C9–C11). Percent columns are put on a 0–100 scale per workbook and
     column when every value of that column in the workbook lies within [-1, 1] (C10)."""
     out = wide
@@ -193,12 +208,8 @@ def coerce_types(wide: DataFrame, registry: Registry, normalise_percent: bool =
             out = out.withColumn(c, C.coerce_pct_raw(c))
         else:
             out = out.withColumn(c, C.coerce_text(c))
-    if normalise_percent and pct_cols:
-        scale = out.groupBy("file").agg(*[F.max(F.abs(c)).alias(f"_max_{c}") for c in pct_cols])
-        out = out.join(scale, "file", "left")
-        for c in pct_cols:
-            factor = F.when(F.col(f"_max_{c}") <= 1, F.lit(100)).otherwise(F.lit(1))
-            out = out.withColumn(c, (F.col(c) * factor).cast("decimal(18,6)")).drop(f"_max_{c}")
+    if normalise:
+        out = normalise_percent(out, ["file"], pct_cols)
     return out.where(F.col("org_code").isNotNull())
 
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue, ingest, revisions
+from edpanel.plans import analogue, ingest, revisions, scalars
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +72,16 @@ def _ingest_queries() -> dict[str, QueryFn]:
     return {n: getattr(ingest, f"q_{n}") for n in names}
 
 
+def _scalar_queries() -> dict[str, QueryFn]:
+    names = ["fin_year", "release_date", "month_trunc", "safe_pct", "row_hash", "url_filename", "coerce_int",
+             "coerce_pct", "coerce_text", "compound_label", "footnote_filter", "ffill", "raw_file_hash",
+             "link_extract"]
+    return {n: getattr(scalars, n) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_scalar_queries())
     q.update(_ingest_queries())
     q.update(_revision_queries())
     q.update(_kpi_queries())
@@ -87,4 +95,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.analytics_sql())
     o.update(oracle_sql.revisions_sql())
     o.update(oracle_sql.ingest_sql())
+    o.update(oracle_sql.scalars_sql())
     return {k: v for k, v in o.items() if k in queries()}

@@ -437,3 +437,87 @@ def ingest_sql() -> dict[str, str]:
         SELECT period_date, org_code, source_pct, recomputed_pct,
           COALESCE(abs(source_pct - recomputed_pct) <= 0.05, false) AS consistent FROM x""")
     return q
+
+
+def scalars_sql() -> dict[str, str]:
+    """Scalar functions applied to whole driver tables."""
+    d = "CAST(o_orderdate AS DATE)"
+    fy = f"CAST({d} - INTERVAL 3 MONTH AS DATE)"
+    q = {}
+    q["fin_year"] = f"""SELECT o_orderkey,
+        CAST(year({fy}) AS VARCHAR) || '/' || lpad(CAST((year({fy}) + 1) % 100 AS VARCHAR), 2, '0') AS financial_year,
+        'Q' || CAST(quarter({fy}) AS VARCHAR) AS financial_quarter,
+        CAST(month({fy}) AS INTEGER) AS financial_year_month_number,
+        month({d}) IN (11, 12, 1, 2) AS is_winter_month,
+        CASE WHEN month({d}) IN (12, 1, 2) THEN 'winter' WHEN month({d}) IN (3, 4, 5) THEN 'spring'
+             WHEN month({d}) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
+        CASE WHEN month({d}) IN (11, 12, 1, 2) THEN CAST(year({d} - INTERVAL 2 MONTH) AS INTEGER) END AS winter_year
+        FROM orders"""
+    nxt = "CAST(period_date + INTERVAL 1 MONTH AS DATE)"
+    q["release_date"] = f"""WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_date FROM orders)
+        SELECT period_date, CAST({nxt} + CAST((4 - dayofweek({nxt}) + 7) % 7 + 7 AS INTEGER) AS DATE) AS release_date FROM m"""
+    styles = ["strftime(d, '%b-%y')", "strftime(d, '%B %Y')", "strftime(d, '%Y-%m-%d')",
+              "CAST(date_diff('day', DATE '1899-12-30', d) AS VARCHAR)", "strftime(d, '%b %Y')",
+              "strftime(d, '%b. ''%y')"]
+    cases = " ".join(f"WHEN {i} THEN {s}" for i, s in enumerate(styles))
+    q["month_trunc"] = f"""WITH o AS (SELECT o_orderkey, {d} AS d FROM orders)
+        SELECT o_orderkey, CASE o_orderkey % {len(styles)} {cases} END AS period_text,
+               CAST(date_trunc('month', d) AS DATE) AS period_date FROM o"""
+    q["safe_pct"] = f"""SELECT l_orderkey, l_linenumber,
+        {P("CAST(l_quantity AS BIGINT) % 13", "(l_linenumber - 1) * 3")} AS pct FROM lineitem"""
+    q["row_hash"] = """SELECT c_custkey, sha256(concat_ws(chr(31), COALESCE(CAST(c_custkey AS VARCHAR), ''),
+        COALESCE(c_name, ''), COALESCE(CAST(c_nationkey AS VARCHAR), ''), COALESCE(c_mktsegment, ''))) AS row_hash
+        FROM customer"""
+    q["url_filename"] = r"""WITH p AS (SELECT page_id,
+          regexp_extract(COALESCE(regexp_extract(url, '^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ''),
+                         '([^/]*)$', 1) AS last FROM pages)
+        SELECT page_id, COALESCE(NULLIF(url_decode(last), ''), 'download.xls') AS file_name FROM p"""
+    q["coerce_int"] = """WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q FROM lineitem)
+        SELECT l_orderkey, l_linenumber,
+          CASE l_linenumber WHEN 1 THEN CAST(q AS VARCHAR) WHEN 2 THEN ' ' || CAST(q AS VARCHAR) || ' '
+            WHEN 3 THEN CAST(q AS VARCHAR) || '.0' WHEN 4 THEN format('{:,}', q * 1000) WHEN 5 THEN '-'
+            WHEN 6 THEN CAST(q AS VARCHAR) || '.5' ELSE '  ' END AS raw,
+          CASE WHEN l_linenumber IN (1, 2, 3) THEN q END AS value,
+          l_linenumber IN (4, 5, 6) AS rejected
+        FROM t"""
+    q["coerce_pct"] = """SELECT l_orderkey, l_linenumber, CAST(l_orderkey % 10 AS INTEGER) AS file,
+        CAST(round(l_discount * 100, 4) AS DOUBLE) AS value FROM lineitem"""
+    q["coerce_text"] = """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL
+        WHEN c_custkey % 7 = 0 THEN ' ' || c_name || ' ' ELSE c_name END AS value FROM customer"""
+    ws = lambda x: f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    q["compound_label"] = f"""WITH t AS (SELECT p_partkey,
+          CASE p_partkey % 6 WHEN 0 THEN 'Code' WHEN 1 THEN '' WHEN 2 THEN replace(p_type, ' ', '  ')
+            WHEN 3 THEN replace(p_type, ' ', chr(10)) WHEN 4 THEN 'name' ELSE p_type END AS label,
+          CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_brand END AS banner FROM part),
+        n AS (SELECT p_partkey, COALESCE({ws('banner')}, '') AS b, COALESCE({ws('label')}, '') AS l FROM t)
+        SELECT p_partkey, CASE WHEN l <> '' AND b <> '' AND lower(l) NOT IN ('code', 'region', 'name')
+          THEN b || ' :: ' || l WHEN l <> '' THEN l ELSE b END AS compound FROM n"""
+    q["footnote_filter"] = """WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN ' - ' ELSE p_brand END AS org_code,
+          CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_name END AS org_name FROM part)
+        SELECT * FROM t WHERE org_code IS NOT NULL AND trim(org_code) <> '-'
+          AND NOT regexp_matches(org_code, '(?i)#[0-9]1|#[0-9]5')
+          AND COALESCE(NOT regexp_matches(org_name, '(?i)^almond|^total$'), true)"""
+    q["ffill"] = """WITH t AS (SELECT event_id, user_id, ts, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS raw FROM events)
+        SELECT event_id, user_id, raw, last_value(raw IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM t"""
+    text = ("trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_extract(anchor, "
+            "'(?is)^<a\\b[^>]*>(.*)</a>$', 1), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&quot;', '\"'), '&amp;', '&'), "
+            "'\\s+', ' ', 'g'))")
+    href = "regexp_extract(anchor, '(?is)\\bhref\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
+    q["link_extract"] = f"""WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>') AS arr FROM pages),
+        e AS (SELECT page_id, url, unnest(generate_series(0, len(arr) - 1)) AS pos, unnest(arr) AS anchor FROM a),
+        c AS (SELECT page_id, url, pos, {text} AS link_text, {href} AS href FROM e),
+        m AS (SELECT * FROM c WHERE regexp_matches(link_text, '(?i)^(the|la|der)[.,;:!?]*$')
+                AND NOT contains(lower(link_text), 'time series')),
+        f AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM m) WHERE rn = 1),
+        r AS (SELECT page_id, CAST(pos AS INTEGER) AS anchor_pos, link_text,
+          CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href
+               WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*):', 1) || ':' || href
+               WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) || href
+               ELSE regexp_extract(url, '^([^?#]*/)', 1) || href END AS resolved_url FROM f)
+        SELECT page_id, anchor_pos, link_text, resolved_url,
+          CASE WHEN regexp_matches(resolved_url, '(?i)\\.xlsx?$') THEN 'file' ELSE 'category' END AS link_kind,
+          'found' AS status FROM r
+        UNION ALL
+        SELECT page_id, NULL, NULL, NULL, NULL, 'no_match' FROM pages WHERE page_id NOT IN (SELECT page_id FROM r)"""
+    return q
