@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue, ingest, revisions, scalars
+from edpanel.plans import analogue, dimensions, ingest, revisions, scalars
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -79,8 +79,15 @@ def _scalar_queries() -> dict[str, QueryFn]:
     return {n: getattr(scalars, n) for n in names}
 
 
+def _dimension_queries() -> dict[str, QueryFn]:
+    names = ["dim_provider_scd2", "org_bridge", "crs_exclusion", "partial_flag", "type_unpivot",
+             "missing_submissions", "actual_only"]
+    return {n: getattr(dimensions, n) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_dimension_queries())
     q.update(_scalar_queries())
     q.update(_ingest_queries())
     q.update(_revision_queries())
@@ -96,4 +103,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.revisions_sql())
     o.update(oracle_sql.ingest_sql())
     o.update(oracle_sql.scalars_sql())
+    o.update(oracle_sql.dimensions_sql())
     return {k: v for k, v in o.items() if k in queries()}

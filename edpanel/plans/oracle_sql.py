@@ -521,3 +521,61 @@ def scalars_sql() -> dict[str, str]:
         UNION ALL
         SELECT page_id, NULL, NULL, NULL, NULL, 'no_match' FROM pages WHERE page_id NOT IN (SELECT page_id FROM r)"""
     return q
+
+
+def dimensions_sql() -> dict[str, str]:
+    q = {}
+    q["dim_provider_scd2"] = with_star("""h AS (
+          SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS org_code, f.period_date,
+            CASE WHEN s_suppkey % 10 = 0 AND f.period_date >= DATE '1998-01-01' THEN s_name || ' (renamed)'
+                 ELSE s_name END AS org_name, n.n_name AS icb_name
+          FROM fact f JOIN supplier s ON f.provider_key = s.s_suppkey
+          LEFT JOIN nation n ON n.n_nationkey = CASE WHEN s_suppkey % 15 = 0 AND f.period_date >= DATE '1999-07-01'
+                                                     THEN (s_nationkey + 1) % 25 ELSE s_nationkey END),
+        c AS (SELECT *, CASE WHEN ROW_NUMBER() OVER w = 1 THEN 1
+                             WHEN LAG(org_name) OVER w IS NOT DISTINCT FROM org_name
+                              AND LAG(icb_name) OVER w IS NOT DISTINCT FROM icb_name THEN 0 ELSE 1 END AS chg
+              FROM h WINDOW w AS (PARTITION BY org_code ORDER BY period_date)),
+        v AS (SELECT *, CAST(SUM(chg) OVER (PARTITION BY org_code ORDER BY period_date
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS version_no FROM c),
+        g AS (SELECT org_code, version_no, min(period_date) AS valid_from, any_value(org_name) AS org_name,
+                     any_value(icb_name) AS icb_name FROM v GROUP BY org_code, version_no)
+        SELECT org_code, version_no, org_name, icb_name, valid_from,
+          LEAD(valid_from) OVER (PARTITION BY org_code ORDER BY version_no) AS valid_to,
+          LEAD(valid_from) OVER (PARTITION BY org_code ORDER BY version_no) IS NULL AS is_current FROM g""")
+    q["org_bridge"] = with_star("""b AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS old_code,
+          'S' || CAST(s_suppkey - 1 AS VARCHAR) AS new_code, DATE '1999-01-01' AS effective_from
+          FROM supplier WHERE s_suppkey % 25 = 0 AND s_suppkey > 1),
+        r AS (SELECT p.trust_code AS org_code, f.period_date, attendances_total, breaches_total
+              FROM fact f JOIN prov p USING (provider_key))
+        SELECT COALESCE(b.new_code, r.org_code) AS org_code, r.period_date,
+          CAST(SUM(attendances_total) AS BIGINT) AS attendances_total, CAST(SUM(breaches_total) AS BIGINT) AS breaches_total,
+          COUNT(DISTINCT r.org_code) AS n_source_codes
+        FROM r LEFT JOIN b ON r.org_code = b.old_code AND r.period_date >= b.effective_from
+        GROUP BY COALESCE(b.new_code, r.org_code), r.period_date""")
+    q["crs_exclusion"] = with_star(f"""x AS (SELECT f.period_date, attendances_total AS t,
+          attendances_total - breaches_total AS w,
+          (f.provider_key BETWEEN 1 AND 14 AND f.period_date BETWEEN DATE '1997-05-01' AND DATE '2001-05-01') AS ft
+          FROM fact f JOIN prov p USING (provider_key)),
+        g AS (SELECT period_date, CAST(SUM(t) AS BIGINT) AS total_all, CAST(SUM(w) AS BIGINT) AS within_all,
+          CAST(SUM(CASE WHEN NOT ft THEN t END) AS BIGINT) AS total_excl,
+          CAST(SUM(CASE WHEN NOT ft THEN w END) AS BIGINT) AS within_excl, count_if(ft) AS field_test_rows
+          FROM x GROUP BY period_date)
+        SELECT period_date, total_all, {P("within_all", "total_all")} AS performance_all_pct, total_excl,
+          {P("within_excl", "total_excl")} AS performance_excl_pct, field_test_rows FROM g""")
+    q["partial_flag"] = with_star("""SELECT p.trust_code, f.period_date,
+          CASE WHEN attendances_type1 = 0 THEN 3 ELSE 0 END AS n_missing_measures,
+          CASE WHEN attendances_type1 = 0 THEN 'partial' ELSE 'complete' END AS submission_status
+        FROM fact f JOIN prov p USING (provider_key)""")
+    parts = []
+    for t in ("1", "2", "3"):
+        parts.append(f"""SELECT p.trust_code, f.period_date, '{t}' AS department_type, attendances_type{t} AS attendances,
+          breaches_type{t} AS breaches, emergency_admissions_type{t} AS emergency_admissions
+          FROM fact f JOIN prov p USING (provider_key)""")
+    q["type_unpivot"] = with_star(" UNION ALL ".join(parts))
+    q["missing_submissions"] = with_star("""SELECT p.trust_code, m.period_date FROM prov p CROSS JOIN months m
+        EXCEPT SELECT p.trust_code, f.period_date FROM fact f JOIN prov p USING (provider_key)""")
+    q["actual_only"] = with_star(f"""SELECT trust_code, period_date, attendances_total,
+          {P("attendances_total - breaches_total", "attendances_total")} AS performance_pct, is_covid_period
+        FROM star WHERE data_basis = 'actual'""")
+    return q
