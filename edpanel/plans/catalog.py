@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue, dimensions, ingest, revisions, scalars
+from edpanel.plans import analogue, dimensions, ingest, quality, revisions, scalars
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,8 +85,16 @@ def _dimension_queries() -> dict[str, QueryFn]:
     return {n: getattr(dimensions, n) for n in names}
 
 
+def _quality_queries() -> dict[str, QueryFn]:
+    names = ["dq_not_null", "dq_unique", "dq_relationship", "reconcile_national", "reconcile_internal",
+             "reconcile_quarterly", "dq_range", "dq_volume", "dq_freshness", "dq_duplicates", "dq_gaps", "dq_low",
+             "dq_report"]
+    return {n: getattr(quality, n) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_quality_queries())
     q.update(_dimension_queries())
     q.update(_scalar_queries())
     q.update(_ingest_queries())
@@ -104,4 +112,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.ingest_sql())
     o.update(oracle_sql.scalars_sql())
     o.update(oracle_sql.dimensions_sql())
+    o.update(oracle_sql.quality_sql())
     return {k: v for k, v in o.items() if k in queries()}

@@ -579,3 +579,97 @@ def dimensions_sql() -> dict[str, str]:
           {P("attendances_total - breaches_total", "attendances_total")} AS performance_pct, is_covid_period
         FROM star WHERE data_basis = 'actual'""")
     return q
+
+
+def quality_sql() -> dict[str, str]:
+    q = {}
+    cols = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    q["dq_not_null"] = " UNION ALL ".join(
+        f"SELECT 'lineitem' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS null_count, "
+        f"count(*) AS row_count FROM lineitem" for c in cols)
+    q["dq_unique"] = """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+        GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+    rels = (("lineitem.l_suppkey -> supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("lineitem.l_partkey -> part", "lineitem", "l_partkey", "part", "p_partkey"),
+            ("lineitem.l_orderkey -> orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("orders.o_custkey -> customer", "orders", "o_custkey", "customer", "c_custkey"))
+    q["dq_relationship"] = " UNION ALL ".join(
+        f"SELECT '{n}' AS relationship, count(*) AS orphan_rows FROM {ct} c "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {pt} p WHERE p.{pc} = c.{cc})" for n, ct, cc, pt, pc in rels)
+    q["reconcile_national"] = with_star("""o AS (SELECT period_date, CAST(SUM(attendances_total) AS BIGINT) AS our_value
+          FROM fact GROUP BY period_date),
+        p AS (SELECT period_date, 'total_attendances' AS metric_name,
+          CAST(SUM(q) + 5 * (month(period_date) % 4) AS BIGINT) AS published_value FROM li GROUP BY period_date)
+        SELECT COALESCE(o.period_date, p.period_date) AS period_date, metric_name, our_value, published_value,
+          our_value - published_value AS variance,
+          CASE WHEN abs(our_value - published_value) <= 10 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM o FULL JOIN p ON o.period_date = p.period_date""")
+    q["reconcile_internal"] = with_star("""SELECT p.trust_code, f.period_date, attendances_total AS reported_total,
+          attendances_type1 + attendances_type2 + attendances_type3 AS type_sum,
+          attendances_type1 + attendances_type2 + attendances_type3 = attendances_total AS attendances_consistent,
+          emergency_admissions_type1 + emergency_admissions_type2 + emergency_admissions_type3
+            = emergency_admissions_via_ae AS admissions_consistent
+        FROM fact f JOIN prov p USING (provider_key)""")
+    fyq = lambda d: (f"CAST(year({d} - INTERVAL 3 MONTH) AS VARCHAR) || '/' || "
+                     f"lpad(CAST((year({d} - INTERVAL 3 MONTH) + 1) % 100 AS VARCHAR), 2, '0') AS financial_year, "
+                     f"'Q' || CAST(quarter({d} - INTERVAL 3 MONTH) AS VARCHAR) AS financial_quarter")
+    q["reconcile_quarterly"] = with_star(f"""o AS (SELECT {fyq('period_date')}, CAST(SUM(attendances_total) AS BIGINT) AS our_value
+          FROM fact GROUP BY ALL),
+        lq AS (SELECT {fyq('period_date')}, CAST(SUM(q) AS BIGINT) AS q FROM li GROUP BY ALL),
+        p AS (SELECT financial_year, financial_quarter,
+          CAST(q + 3 * CAST(substr(financial_quarter, 2, 1) AS INTEGER) AS BIGINT) AS published_value FROM lq)
+        SELECT COALESCE(o.financial_year, p.financial_year) AS financial_year,
+          COALESCE(o.financial_quarter, p.financial_quarter) AS financial_quarter, our_value, published_value,
+          our_value - published_value AS variance,
+          CASE WHEN abs(our_value - published_value) <= 10 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM o FULL JOIN p ON o.financial_year = p.financial_year AND o.financial_quarter = p.financial_quarter""")
+    measures = ("attendances_type1", "attendances_type2", "attendances_type3", "attendances_total", "breaches_type1",
+                "breaches_type2", "breaches_type3", "breaches_total", "emergency_admissions_type1",
+                "emergency_admissions_type2", "emergency_admissions_type3", "emergency_admissions_via_ae",
+                "emergency_admissions_other", "emergency_admissions_total", "dta_breaches_4hr", "dta_breaches_12hr")
+    neg = " OR ".join(f"{m} < 0" for m in measures)
+    perf = P("attendances_total - breaches_total", "attendances_total")
+    rules = (("performance_outside_0_100", f"{perf} < 0 OR {perf} > 100"), ("negative_count", neg),
+             ("breaches_exceed_attendances", "breaches_total > attendances_total"),
+             ("type_sum_exceeds_total", "attendances_type1 + attendances_type2 + attendances_type3 > attendances_total"),
+             ("dta_12hr_exceeds_4hr", "dta_breaches_12hr > dta_breaches_4hr"))
+    q["dq_range"] = with_star(" UNION ALL ".join(
+        f"SELECT '{n}' AS rule, count_if({c}) AS violations FROM fact" for n, c in rules))
+    q["dq_volume"] = with_star("""per AS (SELECT period_date, count(*) AS n_providers FROM fact GROUP BY period_date),
+        w AS (SELECT *, SUM(n_providers) OVER t AS s, COUNT(n_providers) OVER t AS n FROM per
+              WINDOW t AS (ORDER BY period_date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
+        SELECT period_date, n_providers, CASE WHEN n > 0 THEN CAST(s AS DOUBLE) / n END AS trailing_mean,
+          COALESCE(n_providers < 0.9 * (CAST(s AS DOUBLE) / NULLIF(n, 0)), false) AS volume_drop FROM w""")
+    prev = "CAST(date_trunc('month', DATE '2001-12-20') - INTERVAL 1 MONTH AS DATE)"
+    nxt = f"CAST({prev} + INTERVAL 1 MONTH AS DATE)"
+    rel = f"({nxt} + CAST((4 - dayofweek({nxt}) + 7) % 7 + 7 AS INTEGER))"
+    q["dq_freshness"] = with_star(f"""n AS (SELECT max(period_date) AS newest_period,
+          CASE WHEN {rel} <= DATE '2001-12-20' THEN {prev} ELSE CAST({prev} - INTERVAL 1 MONTH AS DATE) END AS expected_period
+          FROM fact)
+        SELECT newest_period, expected_period, CAST(date_diff('month', newest_period, expected_period) AS INTEGER) AS months_behind,
+          CASE WHEN date_diff('month', newest_period, expected_period) <= 0 THEN 'fresh' ELSE 'stale' END AS status FROM n""")
+    q["dq_duplicates"] = with_star("""SELECT f.period_date, p.trust_code, count(*) AS n_rows
+        FROM fact f JOIN prov p USING (provider_key) GROUP BY f.period_date, p.trust_code HAVING count(*) > 1""")
+    q["dq_gaps"] = with_star("""g AS (SELECT p.trust_code, f.period_date,
+          LEAD(f.period_date) OVER (PARTITION BY p.trust_code ORDER BY f.period_date) AS nxt
+          FROM fact f JOIN prov p USING (provider_key))
+        SELECT trust_code, CAST(period_date + INTERVAL 1 MONTH AS DATE) AS gap_start,
+          CAST(nxt - INTERVAL 1 MONTH AS DATE) AS gap_end, CAST(date_diff('month', period_date, nxt) - 1 AS INTEGER) AS missing_months
+        FROM g WHERE nxt > period_date + INTERVAL 1 MONTH""")
+    q["dq_low"] = with_star("""w AS (SELECT p.trust_code, f.period_date, attendances_total,
+          SUM(attendances_total) OVER t AS s, COUNT(attendances_total) OVER t AS n
+          FROM fact f JOIN prov p USING (provider_key)
+          WINDOW t AS (PARTITION BY f.provider_key ORDER BY f.period_date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
+        SELECT trust_code, period_date, attendances_total, CAST(s AS DOUBLE) / n AS trailing_mean FROM w
+        WHERE n > 0 AND 10 * attendances_total * n < s""")
+    checks = (("not_null", "fail", "sum(null_count)", "dq_not_null"), ("unique", "warn", "count(*)", "dq_unique"),
+              ("relationship", "fail", "sum(orphan_rows)", "dq_relationship"),
+              ("reconcile_national", "warn", "count_if(status = 'FAIL')", "reconcile_national"),
+              ("range", "fail", "sum(violations)", "dq_range"), ("duplicates", "fail", "count(*)", "dq_duplicates"),
+              ("gaps", "warn", "count(*)", "dq_gaps"), ("low_values", "warn", "count(*)", "dq_low"),
+              ("freshness", "warn", "sum(greatest(months_behind, 0))", "dq_freshness"))
+    parts = [f"SELECT '{n}' AS check_name, '{t}' AS tier, CAST(COALESCE((SELECT {agg} FROM ({q[src]})), 0) AS BIGINT) AS failures"
+             for n, t, agg, src in checks]
+    q["dq_report"] = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE tier END AS status FROM ("
+                      + " UNION ALL ".join(parts) + ")")
+    return q
