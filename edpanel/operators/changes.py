@@ -48,10 +48,12 @@ def file_skip(incoming: DataFrame, catalog: DataFrame, keys: Sequence[str] = ("s
 def catalog_insert_ignore(catalog: DataFrame, incoming: DataFrame,
                           keys: Sequence[str] = ("source_name", "sha256")) -> DataFrame:
     """Append only files whose key is not catalogued yet (INSERT … ON CONFLICT DO NOTHING).
-    Within one batch the first row per key (by file name) wins."""
-    w = Window.partitionBy(*keys).orderBy(F.col("original_filename").asc())
+    Within one batch the first row per key (by file name) wins: a ``min_by`` aggregate,
+    combined map-side, so a key repeated many times never lands in one task whole."""
+    rest = [c for c in catalog.columns if c not in keys]
     fresh = (incoming.join(catalog.select(*keys), list(keys), "left_anti")
-             .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
+             .groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col("original_filename")).alias("_r"))
+             .select(*keys, "_r.*"))
     return catalog.unionByName(fresh.select(*catalog.columns))
 
 

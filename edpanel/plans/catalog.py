@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi
-from edpanel.plans import analogue, dimensions, ingest, quality, revisions, scalars
+from edpanel.plans import analogue, dimensions, ingest, operations, quality, revisions, scalars
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +92,15 @@ def _quality_queries() -> dict[str, QueryFn]:
     return {n: getattr(quality, n) for n in names}
 
 
+def _operation_queries() -> dict[str, QueryFn]:
+    names = ["file_skip", "catalog_insert_ignore", "url_change", "manifest", "archive_roundtrip", "staging_replace",
+             "run_audit_latest", "retention_prune", "stream_ingest_once"]
+    return {n: getattr(operations, n) for n in names}
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_operation_queries())
     q.update(_quality_queries())
     q.update(_dimension_queries())
     q.update(_scalar_queries())
@@ -113,4 +120,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.scalars_sql())
     o.update(oracle_sql.dimensions_sql())
     o.update(oracle_sql.quality_sql())
+    o.update(oracle_sql.operations_sql())
     return {k: v for k, v in o.items() if k in queries()}

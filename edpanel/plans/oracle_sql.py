@@ -673,3 +673,34 @@ def quality_sql() -> dict[str, str]:
     q["dq_report"] = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE tier END AS status FROM ("
                       + " UNION ALL ".join(parts) + ")")
     return q
+
+
+def operations_sql() -> dict[str, str]:
+    files = r"""files AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]*)', 1) AS source_name,
+          sha256(html) AS sha256, url AS resolved_url,
+          COALESCE(NULLIF(url_decode(regexp_extract(COALESCE(regexp_extract(url,
+            '^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ''), '([^/]*)$', 1)), ''), 'download.xls')
+            AS original_filename FROM pages),
+        cat AS (SELECT source_name, sha256, original_filename, resolved_url FROM files WHERE page_id % 3 = 0)"""
+    q = {}
+    q["file_skip"] = f"""WITH {files}
+        SELECT page_id, source_name, sha256, CASE WHEN (source_name, sha256) IN (SELECT (source_name, sha256) FROM cat)
+          THEN 'skip' ELSE 'ingest' END AS action FROM files"""
+    q["catalog_insert_ignore"] = f"""WITH {files}
+        SELECT * FROM cat UNION ALL
+        SELECT source_name, sha256, arg_min(original_filename, original_filename), arg_min(resolved_url, original_filename)
+        FROM files WHERE (source_name, sha256) NOT IN (SELECT (source_name, sha256) FROM cat)
+        GROUP BY source_name, sha256"""
+    q["url_change"] = f"""WITH {files}, l AS (SELECT page_id, source_name, resolved_url,
+          LAG(resolved_url) OVER (PARTITION BY source_name ORDER BY page_id) AS previous_url FROM files)
+        SELECT *, previous_url IS NOT NULL AND previous_url IS DISTINCT FROM resolved_url AS url_changed FROM l"""
+    q["staging_replace"] = f"""WITH {REV_CTES}
+        SELECT period_date, org_code, org_name, {", ".join(_STAGED_MEASURES)} FROM revised"""
+    q["run_audit_latest"] = """SELECT user_id AS run_id, min(ts) AS started_at,
+          CASE WHEN arg_max(event_type, ts) <> 'running' THEN max(ts) END AS finished_at,
+          arg_max(event_type, ts) AS status, arg_max(CAST(floor(value) AS BIGINT), ts) AS rows_loaded,
+          arg_max(props, ts) AS notes
+        FROM events GROUP BY user_id"""
+    q["retention_prune"] = """SELECT event_id, ts FROM events
+        WHERE ts >= CAST(DATE '2024-01-31' - INTERVAL 14 DAY AS DATE)"""
+    return q
