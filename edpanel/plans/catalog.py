@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edpanel.operators import analytics, kpi
+from edpanel.operators import analytics, kpi, marts
 from edpanel.plans import analogue, dimensions, ingest, operations, quality, revisions, scalars
 from edpanel.plans import oracle_sql
 
@@ -98,8 +98,19 @@ def _operation_queries() -> dict[str, QueryFn]:
     return {n: getattr(operations, n) for n in names}
 
 
+def _mart_queries() -> dict[str, QueryFn]:
+    return {
+        "mart_national_trends": _star_query(marts.national_trends),
+        "mart_provider_rankings": _star_query(marts.provider_rankings),
+        "mart_emergency_admissions": _star_query(marts.emergency_admissions),
+        "mart_four_hour": lambda s, d: marts.four_hour(analogue.build_star(s, d), analogue.targets_seed(s)),
+        "mart_command_center": _star_query(marts.command_center),
+    }
+
+
 def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {}
+    q.update(_mart_queries())
     q.update(_operation_queries())
     q.update(_quality_queries())
     q.update(_dimension_queries())
@@ -121,4 +132,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.dimensions_sql())
     o.update(oracle_sql.quality_sql())
     o.update(oracle_sql.operations_sql())
+    o.update(oracle_sql.marts_sql())
     return {k: v for k, v in o.items() if k in queries()}

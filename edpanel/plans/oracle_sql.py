@@ -704,3 +704,63 @@ def operations_sql() -> dict[str, str]:
     q["retention_prune"] = """SELECT event_id, ts FROM events
         WHERE ts >= CAST(DATE '2024-01-31' - INTERVAL 14 DAY AS DATE)"""
     return q
+
+
+def marts_sql() -> dict[str, str]:
+    perf = P("attendances_total - breaches_total", "attendances_total")
+    perf_t = T("attendances_total - breaches_total", "attendances_total")
+    adm = "COALESCE(emergency_admissions_via_ae, emergency_admissions_type1 + emergency_admissions_type2 + emergency_admissions_type3)"
+    rag = lambda x: (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} < 70 THEN 'red' "
+                     f"WHEN {x} < 90 THEN 'amber' ELSE 'green' END")
+    q = {}
+    q["mart_national_trends"] = with_star(f"""g AS (SELECT period_date, CAST(SUM(attendances_total) AS BIGINT) AS total_attendances,
+          CAST(SUM(attendances_type1) AS BIGINT) AS type1_attendances, CAST(SUM(breaches_total) AS BIGINT) AS total_breaches,
+          CAST(SUM({adm}) AS BIGINT) AS emergency_admissions FROM fact GROUP BY period_date)
+        SELECT g.period_date, g.total_attendances, g.type1_attendances, g.total_breaches,
+          {P("g.total_attendances - g.total_breaches", "g.total_attendances")} AS performance_pct, g.emergency_admissions,
+          {P("g.emergency_admissions", "g.total_attendances")} AS admission_conversion_pct,
+          p.total_attendances AS prior_year_attendances,
+          {P("g.total_attendances - p.total_attendances", "p.total_attendances")} AS yoy_change_pct
+        FROM g LEFT JOIN g p ON p.period_date = CAST(g.period_date - INTERVAL 12 MONTH AS DATE)""")
+    q["mart_provider_rankings"] = with_star(f"""r AS (SELECT trust_code, trust_name, period_date, provider_key,
+          {perf} AS performance_pct, {perf_t} AS pt FROM star WHERE attendances_total > 0)
+        SELECT trust_code, trust_name, period_date, performance_pct,
+          CAST(RANK() OVER (PARTITION BY period_date ORDER BY pt DESC) AS INTEGER) AS national_rank,
+          CAST(COUNT(*) OVER (PARTITION BY period_date) AS BIGINT) AS total_providers, {rag("performance_pct")} AS rag,
+          CAST(pt - LAG(pt) OVER (PARTITION BY provider_key ORDER BY period_date) AS DOUBLE) / 10 AS change_pp
+        FROM r""")
+    q["mart_emergency_admissions"] = with_star(f"""r AS (SELECT trust_code, period_date, {adm} AS emergency_admissions,
+          emergency_admissions_type1 AS type1_admissions, attendances_total, dta_breaches_4hr, dta_breaches_12hr FROM star)
+        SELECT trust_code, period_date, emergency_admissions, type1_admissions,
+          {P("emergency_admissions", "attendances_total")} AS admission_conversion_pct,
+          CASE WHEN {P("emergency_admissions", "attendances_total")} IS NULL THEN NULL
+               WHEN {P("emergency_admissions", "attendances_total")} < 20 THEN 'low'
+               WHEN {P("emergency_admissions", "attendances_total")} < 25 THEN 'below_normal'
+               WHEN {P("emergency_admissions", "attendances_total")} <= 35 THEN 'normal'
+               WHEN {P("emergency_admissions", "attendances_total")} <= 40 THEN 'high' ELSE 'very_high' END AS acuity_band,
+          dta_breaches_4hr, dta_breaches_12hr, {P("dta_breaches_12hr", "emergency_admissions")} AS dta_12hr_rate_pct FROM r""")
+    t1 = T("attendances_type1 - breaches_type1", "attendances_type1")
+    q["mart_four_hour"] = with_star(f"""b AS (SELECT trust_code, period_date, attendances_total AS total_attendances,
+          COALESCE(breaches_total, breaches_type1 + breaches_type2 + breaches_type3) AS breaches,
+          {perf} AS performance_pct, {P("attendances_type1 - breaches_type1", "attendances_type1")} AS type1_performance_pct,
+          {perf_t} AS all_t, {t1} AS t1_t FROM star),
+        t AS (SELECT * FROM (VALUES ('four_hour_all_types', DATE '1900-01-01', DATE '2000-01-01', 95.0),
+                                    ('four_hour_type1', DATE '2000-01-01', NULL, 76.0)) v(measure, valid_from, valid_to, target)),
+        j AS (SELECT b.*, t.measure, t.target, CASE WHEN t.measure = 'four_hour_type1' THEN t1_t ELSE all_t END AS a,
+                CAST(round(t.target * 10) AS BIGINT) AS tt
+              FROM b LEFT JOIN t ON b.period_date >= t.valid_from AND (t.valid_to IS NULL OR b.period_date < t.valid_to))
+        SELECT trust_code, period_date, total_attendances, breaches, performance_pct, type1_performance_pct,
+          measure AS target_measure, CAST(target AS DOUBLE) AS target_pct, CAST(a - tt AS DOUBLE) / 10 AS gap_pp,
+          a >= tt AS meets_target FROM j""")
+    pf = analytics_sql()["pressure_flags"]
+    k12 = kpi_sql()["kpi12"]
+    q["mart_command_center"] = with_star(f"""lt AS (SELECT max(period_date) AS period_date FROM fact),
+        p AS (SELECT trust_code, period_date, {perf} AS performance_pct FROM star WHERE period_date = (SELECT period_date FROM lt)),
+        pf AS (SELECT * FROM ({pf})), k AS (SELECT period_date, median_performance_pct FROM ({k12}))
+        SELECT p.trust_code, p.period_date, p.performance_pct, {rag("p.performance_pct")} AS rag,
+          pf.above_own_12m_mean, pf.performance_falling, pf.dta_12hr_breach, pf.pressure_score,
+          k.median_performance_pct AS national_median_pct,
+          round(p.performance_pct - k.median_performance_pct, 1) AS gap_to_median_pp
+        FROM p JOIN pf ON p.trust_code = pf.trust_code AND p.period_date = pf.period_date
+        LEFT JOIN k ON k.period_date = p.period_date""")
+    return q
