@@ -88,6 +88,25 @@ def compound_label(banner: Column, label: Column) -> Column:
             .when(lab != "", lab).otherwise(b))
 
 
+def forward_fill(df: DataFrame, key_cols: list[str], order_cols: list[str], value_col: str, out_col: str,
+                 bucket: Column) -> DataFrame:
+    """``last_value(value IGNORE NULLS)`` per key in ``order_cols`` order (C3), without
+    putting a whole key in one task: rows are filled within (key, bucket) windows, each
+    bucket's last non-NULL value is carried forward over the per-bucket aggregate (one
+    row per key and bucket), and the carry is joined back for rows that found nothing in
+    their own bucket. ``bucket`` must be monotone in ``order_cols`` (e.g. the hour)."""
+    order = F.struct(*order_cols)
+    b = df.withColumn("_bucket", bucket)
+    w_local = Window.partitionBy(*key_cols, "_bucket").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumn("_local", F.last(value_col, ignorenulls=True).over(w_local))
+    per_bucket = b.groupBy(*key_cols, "_bucket").agg(
+        F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), order)).alias("_bucket_last"))
+    w_carry = Window.partitionBy(*key_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*key_cols, "_bucket", F.last("_bucket_last", ignorenulls=True).over(w_carry).alias("_carry"))
+    out = local.join(carry, [*key_cols, "_bucket"], "left")
+    return out.withColumn(out_col, F.coalesce("_local", "_carry")).drop("_bucket", "_local", "_carry")
+
+
 # ----------------------------------------------------------------- C5 mapping
 def _spec_match(norm: Column, patterns: tuple[str, ...]) -> Column:
     m = F.lit(False)
