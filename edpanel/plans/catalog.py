@@ -133,4 +133,5 @@ def oracles() -> dict[str, str]:
     o.update(oracle_sql.quality_sql())
     o.update(oracle_sql.operations_sql())
     o.update(oracle_sql.marts_sql())
+    o.update(oracle_sql.drift_sql())
     return {k: v for k, v in o.items() if k in queries()}

@@ -764,3 +764,38 @@ def marts_sql() -> dict[str, str]:
         FROM p JOIN pf ON p.trust_code = pf.trust_code AND p.period_date = pf.period_date
         LEFT JOIN k ON k.period_date = p.period_date""")
     return q
+
+
+def drift_sql() -> dict[str, str]:
+    """Drift of the rendered workbooks: fixed by the render rules (renamed total label
+    before 1996, an extra column from 2001, five columns the registry does not map)."""
+    files = ("fl AS (SELECT DISTINCT 'ae-activity-' || strftime(period_date, '%Y-%m') || '.xls' AS file, "
+             "'Provider Level Data' AS sheet, period_date FROM fact)")
+    breach = "A&E attendances greater than 4 hours from arrival to admission, transfer or discharge"
+    unmapped = ["Region", f"{breach} :: Type 2 Departments - Single Specialty",
+                f"{breach} :: Type 3 Departments - Other A&E/Minor Injury Unit",
+                "Emergency Admissions :: Emergency Admissions via Type 2 A&E",
+                "Emergency Admissions :: Emergency Admissions via Type 3 and 4 A&E"]
+    vals = ", ".join(f"('{u}')" for u in unmapped)
+    unexpected = f"""SELECT file, sheet, 'new_column' AS drift_type, u.d AS column_detail, 'warned' AS action_taken
+          FROM fl CROSS JOIN (VALUES {vals}) u(d)
+        UNION ALL
+        SELECT file, sheet, 'new_column', 'Appointments :: Booked Type 1 appointments', 'warned' FROM fl
+          WHERE period_date >= DATE '2001-01-01'"""
+    renamed_label = "A&E attendances :: Total Attendance"
+    q = {}
+    q["drift_rename"] = with_star(f"""{files}
+        SELECT file, sheet, 'attendances_total' AS canonical, 6 AS col, '{renamed_label}' AS compound,
+          round(1 - levenshtein(lower('{renamed_label}'), 'a&e attendances :: total attendances')
+                / greatest(length('{renamed_label}'), length('a&e attendances :: total attendances')), 3) AS similarity
+        FROM fl WHERE period_date < DATE '1996-01-01'""")
+    q["drift_unexpected"] = with_star(f"{files}\n{unexpected}")
+    q["drift_missing"] = with_star(f"""{files}
+        SELECT file, sheet, 'missing_required' AS drift_type, 'x' AS column_detail, 'halted' AS action_taken
+        FROM fl WHERE false""")
+    q["drift_log"] = with_star(f"""{files}
+        {unexpected}
+        UNION ALL
+        SELECT file, sheet, 'renamed', '{renamed_label} -> attendances_total', 'fuzzy_mapped' FROM fl
+          WHERE period_date < DATE '1996-01-01'""")
+    return q
