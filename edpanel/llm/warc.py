@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edpanel.llm.common import fresh_folder, slices, write_blob
+from edpanel.llm.common import fresh_folder, slices, write_blob, written
 
 FILE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -79,14 +79,21 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha1", F.sha1(F.encode("html", "utf-8")))
-    first = rows.groupBy("sha1").agg(F.min(F.struct("page_id", "url")).alias("first"))
-    ordered = (rows.join(first, "sha1").select("page_id", "url", "html", "sha1", F.col("first.page_id").alias("first_page"),
-                                               F.col("first.url").alias("first_url"))
-               .repartitionByRange("page_id", "url", "sha1").sortWithinPartitions("page_id", "url", "sha1"))
+    # a small marker row goes before the rows of a page that revisits an earlier one: the texts
+    # are shuffled once, by the order of the archive, and are never part of a join
+    keys = rows.select("page_id", "url", "sha1")
+    first = keys.groupBy("sha1").agg(F.min(F.struct("page_id", "url")).alias("first"))
+    markers = (keys.join(first, "sha1").where(~F.col("page_id").eqNullSafe(F.col("first.page_id"))).distinct()
+               .select("page_id", "url", F.lit(None).cast("string").alias("html"), "sha1", F.lit(0).alias("place"),
+                       F.col("first.page_id").alias("first_page"), F.col("first.url").alias("first_url")))
+    whole = rows.select("page_id", "url", "html", "sha1", F.lit(1).alias("place"), F.lit(None).cast("long").alias("first_page"),
+                        F.lit(None).cast("string").alias("first_url"))
+    order = ["page_id", "url", "sha1", "place"]
+    ordered = whole.unionByName(markers).repartitionByRange(*order[:3]).sortWithinPartitions(*order)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, seq, parts, held = TaskContext.get(), 0, [], 0
-        before, repeat, n = None, 0, 0
+        before, repeat, n, marker = None, 0, 0, None
 
         def file():
             nonlocal seq, parts, held, n
@@ -100,9 +107,13 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
         for batch in slices(batches):
             for r in batch.to_pylist():
                 key = (r["page_id"], r["url"], r["sha1"])
+                if r["place"] == 0:
+                    marker = (key, r["first_page"], r["first_url"])
+                    continue
                 before, repeat = key, repeat + 1 if key == before else 0
+                _, first_page, first_url = marker if marker and marker[0] == key else (key, r["page_id"], r["url"])
                 payload = r["html"].encode()
-                parts.append(capture_records(r["page_id"], r["url"], payload, r["sha1"], repeat, r["first_page"], r["first_url"]))
+                parts.append(capture_records(r["page_id"], r["url"], payload, r["sha1"], repeat, first_page, first_url))
                 held, n = held + len(payload), n + 3
                 if held >= file_bytes:
                     yield file()
@@ -114,14 +125,16 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> D
     return pages.sparkSession.read.schema(manifest.schema).parquet(f"{folder}/_manifest")
 
 
-def _members(data: bytes) -> Iterator[bytes]:
-    while data:
-        opener = zlib.decompressobj(31)
-        record = opener.decompress(data) + opener.flush()
-        if not opener.eof:
-            raise ValueError("an archive is cut off")
-        data = opener.unused_data
-        yield record
+def _members(data: bytes, chunk: int = 1 << 14) -> Iterator[bytes]:
+    view, at = memoryview(data), 0
+    while at < len(view):
+        opener, parts = zlib.decompressobj(31), []
+        while not opener.eof:
+            if at >= len(view):
+                raise ValueError("an archive is cut off")
+            parts.append(opener.decompress(view[at:at + chunk]))
+            at = min(at + chunk, len(view)) - len(opener.unused_data)
+        yield b"".join(parts)
 
 
 _FIELD = re.compile(r"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -202,4 +215,4 @@ def archive_round_trip(pages: DataFrame, with_payload: bool = False, **options)
     folder = fresh_folder(spark, "warc")
     if write_warc(pages, folder, **options).isEmpty():
         return captures(spark.createDataFrame([], RECORDS))
-    return captures(read_records(spark, folder, with_payload))
+    return captures(written(read_records(spark, folder, with_payload), "records"))  # parsed once for three reads
