@@ -10,9 +10,10 @@ words). Two documents link when 100 * intersection >= SIMILARITY * union.
    Documents with equal sets form a class, represented by the smallest doc_id.
 2. Shingles are ordered globally by (bucket count, hash): rare ones first. Any common order
    keeps the join exact; the counts only make prefixes selective. A second pass emits each
-   document's prefix, n - ceil(0.8 n) + 1 shingles, and a histogram of its set over 64 hash
-   ranges. Documents can only link when their prefixes share a shingle, so only shingles with
-   two prefixes or more are kept (a group count, then a join), and only representatives.
+   document's prefix, n - ceil(0.8 n) + 1 shingles. Documents can only link when their prefixes
+   share a shingle, so only shingles with two prefixes or more are kept (one shuffle; postings
+   of frequent shingles are salted), and only representatives. A third pass gathers the sets of
+   the documents that are left, with a histogram over 64 hash ranges.
 3. Pairs of such a posting list pass the length filter, the positional filter (the rest after
    both positions must still reach the overlap that the sizes ask for) and the suffix filter
    (the sets' Hamming distance is at least the sum of differences over hash ranges, a fixed
@@ -40,10 +41,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edpanel.llm.common import drop_written, slices, tuned, written
+from edpanel.llm.common import slices, tuned, written
 from edpanel.llm.components import components
 from edpanel.llm.tokens import SpanHash
 from edpanel.llm.words import NOT_SPACE, Words
@@ -55,6 +56,8 @@ SLICES = 64
 RANGES = 64
 ROUNDS = 3
 SLOT_BITS = 22
+FREQUENT = 256  # postings above twice the mean bucket count from which a shingle is salted
+SALTS = 64
 
 
 def shingle_sets(texts: pa.Array, span_hash: SpanHash) -> list[np.ndarray]:
@@ -122,31 +125,32 @@ def _rarity(profile: DataFrame, sketch_bits: int) -> np.ndarray:
 
 
 def _prefixes(df: DataFrame, rarity: np.ndarray, sketch_bits: int) -> DataFrame:
-    """(doc, n, prefix, ranges) of every document with shingles; the prefix is rare-first."""
+    """(doc, n, prefix, cold) of every document with shingles: its prefix, rare first, and how
+    many of those shingles are not frequent."""
     shared = df.sparkSession.sparkContext.broadcast(rarity)
+    frequent = 2 * float(rarity.mean()) + FREQUENT
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_hash, counts = SpanHash(), shared.value
         for batch in slices(batches, 1 << 20):
-            docs, sizes, prefixes, ranges = [], [], [], []
+            docs, sizes, prefixes, cold = [], [], [], []
             for doc, own in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), span_hash)):
                 if doc is None or not len(own):
                     continue
                 often = np.minimum(counts[(own >> np.uint64(64 - sketch_bits)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
-                order = np.argsort((often << np.uint64(40)) | (own >> np.uint64(24)), kind="stable")
+                order = np.argsort((often << np.uint64(40)) | (own >> np.uint64(24)), kind="stable")[:prefix_length(len(own))]
                 docs.append(doc)
                 sizes.append(len(own))
-                prefixes.append(own[order[:prefix_length(len(own))]].view(np.int64))
-                ranges.append(np.bincount((own % np.uint64(RANGES)).astype(np.int64), minlength=RANGES))
+                prefixes.append(own[order].view(np.int64))
+                cold.append(int((often[order] <= frequent).sum()))
             if docs:
                 ends = np.cumsum([0, *map(len, prefixes)])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(docs, pa.int64()), pa.array(sizes, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes))),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(docs) + 1) * RANGES, pa.int32()), pa.array(np.concatenate(ranges).astype(np.int32)))],
-                    ["doc", "n", "prefix", "ranges"])
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes))), pa.array(cold, pa.int32())],
+                    ["doc", "n", "prefix", "cold"])
 
-    return _texts(df).mapInArrow(task, "doc long, n int, prefix array<bigint>, ranges array<int>")
+    return _texts(df).mapInArrow(task, "doc long, n int, prefix array<bigint>, cold int")
 
 
 def _slot(column: str) -> F.Column:
@@ -154,7 +158,8 @@ def _slot(column: str) -> F.Column:
 
 
 def _sets_of(df: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, shingles) of the documents in ``docs`` (doc). Their hashed slots go to the tasks as a
+    """(doc, n, ranges, shingles) of the documents in ``docs`` (doc); ranges is the histogram of
+    the set over RANGES hash ranges. Their hashed slots go to the tasks as a
     bitmap of fixed size, so other texts are dropped before anything is shuffled."""
     word = docs.select(_slot("doc").alias("s")).selectExpr("cast(s div 32 as int) as word", "shiftleft(1L, cast(s % 32 as int)) as bit")
     word = word.groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -172,10 +177,15 @@ def _sets_of(df: DataFrame, docs: DataFrame) -> DataFrame:
             for part in slices(iter([kept]), 1 << 20):
                 sets = shingle_sets(part.column("text"), span_hash)
                 ends = np.cumsum([0, *map(len, sets)])
-                flat = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["doc", "shingles"])
+                flat = np.concatenate(sets)
+                cell = np.repeat(np.arange(len(sets)), np.diff(ends)) * RANGES + (flat % np.uint64(RANGES)).astype(np.int64)
+                ranges = np.bincount(cell, minlength=len(sets) * RANGES).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id"), pa.array(np.diff(ends), pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * RANGES, pa.int32()), pa.array(ranges)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], ["doc", "n", "ranges", "shingles"])
 
-    rows = _texts(df).withColumn("slot", _slot("doc_id")).mapInArrow(task, "doc long, shingles array<bigint>")
+    rows = _texts(df).withColumn("slot", _slot("doc_id")).mapInArrow(task, "doc long, n int, ranges array<int>, shingles array<bigint>")
     return rows.join(docs, "doc", "left_semi")
 
 
@@ -227,17 +237,17 @@ def linked_components(df: DataFrame, sketch_bits: int = SKETCH_BITS, rounds: int
     profile = written(_profile(df, sketch_bits), "profile")
     rows = profile.where("slice is null").select("doc_id", "n", "s1", "s2")
     classes = rows.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("class_id"))
-    entries = written(_prefixes(df, _rarity(profile, sketch_bits), sketch_bits), "prefixes")
-
-    shingle = F.explode("prefix").alias("sh")
-    shared = entries.select(shingle).groupBy("sh").agg(F.count("*").alias("c")).where("c > 1").select("sh")
-    postings = (entries.select("doc", "n", F.posexplode("prefix").alias("pos", "sh")).join(shared, "sh")
+    # One shuffle decides which prefix shingles are shared: a frequent one is, so its postings are
+    # salted over tasks; a rare one has all its few postings in one window.
+    entries = _prefixes(df, _rarity(profile, sketch_bits), sketch_bits)
+    salt = F.when(F.col("pos") < F.col("cold"), 0).otherwise(1 + F.pmod(F.xxhash64("doc"), F.lit(SALTS))).cast("int")
+    postings = entries.select("doc", "n", "cold", F.posexplode("prefix").alias("pos", "sh")).select("sh", "doc", "n", "pos", salt.alias("salt"))
+    postings = (postings.withColumn("c", F.count("*").over(Window.partitionBy("sh", "salt"))).where("c > 1 or salt > 0")
                 .join(classes.select(F.col("class_id").alias("doc")), "doc", "left_semi"))
     postings = written(postings.select("sh", "doc", "n", "pos"), "postings")
     docs = written(postings.select("doc").distinct(), "candidates")
-    facts = written(entries.select("doc", "n", "ranges").join(docs, "doc", "left_semi"), "facts")
-    drop_written(entries)
     sets = written(_sets_of(df, docs), "sets")
+    facts = sets.select("doc", "n", "ranges")
 
     labels = None
     for turn in range(rounds + 1):
