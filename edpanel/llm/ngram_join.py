@@ -5,21 +5,21 @@ Words are runs of non-white-space (ASCII white space), A-Z lower-cased; a docume
 the 64-bit hashes of its distinct ``SHINGLE``-word shingles (the whole sequence if it has fewer
 words). Two documents link when 100 * intersection >= SIMILARITY * union.
 
-1. One pass over the texts profiles each document (set size, 128-bit set signature) and counts
+1. One pass over the texts profiles each document (set size, 128-bit set signature, histogram) and counts
    shingles into ``2 ** sketch_bits`` buckets (merged in two levels; a fixed size to broadcast).
    Documents with equal sets form a class, represented by the smallest doc_id.
 2. Shingles are ordered globally by (bucket count, hash): rare ones first. Any common order
    keeps the join exact; the counts only make prefixes selective. A second pass emits each
    document's prefix, n - ceil(0.8 n) + 1 shingles. Documents can only link when their prefixes
    share a shingle, so only shingles with two prefixes or more are kept (one shuffle; postings
-   of frequent shingles are salted), and only representatives. A third pass gathers the sets of
-   the documents that are left, with a histogram over 64 hash ranges.
+   of frequent shingles are salted), and only representatives.
 3. Pairs of such a posting list pass the length filter, the positional filter (the rest after
    both positions must still reach the overlap that the sizes ask for) and the suffix filter
    (the sets' Hamming distance is at least the sum of differences over hash ranges, a fixed
-   partition in place of recursive pivots); each pair is verified once, on whole sets.
+   partition in place of recursive pivots); each pair is verified once, on whole sets, which
+   a pass over the texts gathers for the documents of such pairs only.
 4. A posting list of n members is not expanded into n * n pairs. It is joined with one leader
-   per round (the same document for all lists that share it, as leaders follow one hash order);
+   per round (first the member with the fewest rarer shingles before it, later any by hash);
    linked members then carry one component, and a list whose members are in one component is
    done. After ``ROUNDS`` rounds the lists that still span components are joined in full, but
    only between different components: every link between different components is found, and
@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edpanel.llm.common import slices, tuned, written
+from edpanel.llm.common import drop_written, slices, tuned, written
 from edpanel.llm.components import components
 from edpanel.llm.tokens import SpanHash
 from edpanel.llm.words import NOT_SPACE, Words
@@ -54,7 +54,7 @@ SIMILARITY = 80  # percent
 SKETCH_BITS = 20
 SLICES = 64
 RANGES = 64
-ROUNDS = 3
+ROUNDS = 1
 SLOT_BITS = 22
 FREQUENT = 256  # postings above twice the mean bucket count from which a shingle is salted
 SALTS = 64
@@ -84,28 +84,31 @@ def _texts(df: DataFrame) -> DataFrame:
 
 
 def _profile(df: DataFrame, sketch_bits: int) -> DataFrame:
-    """Per document (doc_id, n, s1, s2); per task its shingle counts as SLICES compressed rows."""
+    """Per document (doc_id, n, s1, s2, ranges), ranges being the histogram of its set over RANGES
+    hash ranges; per task its shingle counts as SLICES compressed rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_hash, counts = SpanHash(), np.zeros(1 << sketch_bits, np.uint32)
+        names = ["doc_id", "n", "s1", "s2", "ranges", "slice", "salt", "counts"]
         for batch in slices(batches, 1 << 20):
             sets = shingle_sets(batch.column("text"), span_hash)
             flat = np.concatenate(sets)
             counts += np.bincount((flat >> np.uint64(64 - sketch_bits)).astype(np.int64), minlength=1 << sketch_bits).astype(np.uint32)
             signed = [[int(x.sum(dtype=np.uint64)), int((x * (x | np.uint64(1))).sum(dtype=np.uint64))] for x in sets]
             s = np.array(signed, np.uint64).view(np.int64)
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(s[:, 0]), pa.array(s[:, 1]),
-                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                                             ["doc_id", "n", "s1", "s2", "slice", "salt", "counts"])
+            n, sizes = batch.num_rows, np.array([len(x) for x in sets], np.int64)
+            cell = np.repeat(np.arange(n), sizes) * RANGES + (flat % np.uint64(RANGES)).astype(np.int64)
+            ranges = np.bincount(cell, minlength=n * RANGES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(s[:, 0]), pa.array(s[:, 1]),
+                                              pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * RANGES, pa.int32()), pa.array(ranges)),
+                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if counts.any():
             parts, empty = np.split(counts, SLICES), pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([empty, empty, empty, empty, pa.array(range(SLICES), pa.int32()),
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, empty, pa.nulls(SLICES, pa.list_(pa.int32())), pa.array(range(SLICES), pa.int32()),
                                               pa.array([TaskContext.get().partitionId() % 16] * SLICES, pa.int32()),
-                                              pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
-                                             ["doc_id", "n", "s1", "s2", "slice", "salt", "counts"])
+                                              pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names)
 
-    return _texts(df).mapInArrow(task, "doc_id long, n long, s1 long, s2 long, slice int, salt int, counts binary")
+    return _texts(df).mapInArrow(task, "doc_id long, n long, s1 long, s2 long, ranges array<int>, slice int, salt int, counts binary")
 
 
 def _rarity(profile: DataFrame, sketch_bits: int) -> np.ndarray:
@@ -158,9 +161,8 @@ def _slot(column: str) -> F.Column:
 
 
 def _sets_of(df: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, n, ranges, shingles) of the documents in ``docs`` (doc); ranges is the histogram of
-    the set over RANGES hash ranges. Their hashed slots go to the tasks as a
-    bitmap of fixed size, so other texts are dropped before anything is shuffled."""
+    """(doc, shingles) of the documents in ``docs`` (doc), and of some others. Hashed slots of the
+    ids go to the tasks as a bitmap of fixed size, so most other texts are dropped at once."""
     word = docs.select(_slot("doc").alias("s")).selectExpr("cast(s div 32 as int) as word", "shiftleft(1L, cast(s % 32 as int)) as bit")
     word = word.groupBy("word").agg(F.bit_or("bit").alias("bits"))
     bitmap = np.zeros(1 << (SLOT_BITS - 5), np.uint64)
@@ -177,16 +179,10 @@ def _sets_of(df: DataFrame, docs: DataFrame) -> DataFrame:
             for part in slices(iter([kept]), 1 << 20):
                 sets = shingle_sets(part.column("text"), span_hash)
                 ends = np.cumsum([0, *map(len, sets)])
-                flat = np.concatenate(sets)
-                cell = np.repeat(np.arange(len(sets)), np.diff(ends)) * RANGES + (flat % np.uint64(RANGES)).astype(np.int64)
-                ranges = np.bincount(cell, minlength=len(sets) * RANGES).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(np.diff(ends), pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * RANGES, pa.int32()), pa.array(ranges)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], ["doc", "n", "ranges", "shingles"])
+                flat = pa.array(np.concatenate(sets).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["doc", "shingles"])
 
-    rows = _texts(df).withColumn("slot", _slot("doc_id")).mapInArrow(task, "doc long, n int, ranges array<int>, shingles array<bigint>")
-    return rows.join(docs, "doc", "left_semi")
+    return _texts(df).withColumn("slot", _slot("doc_id")).mapInArrow(task, "doc long, shingles array<bigint>")
 
 
 def _can_link(a: str, b: str) -> F.Column:
@@ -196,17 +192,26 @@ def _can_link(a: str, b: str) -> F.Column:
     return (100 * small >= SIMILARITY * large) & ((100 + SIMILARITY) * F.least(n - i, m - j) >= SIMILARITY * (n + m))
 
 
-def _verified(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link; suffix filter first, then whole sets."""
+def _near(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter."""
     x = facts.select(F.col("doc").alias("a"), F.col("n").alias("n"), F.col("ranges").alias("ra"))
     y = facts.select(F.col("doc").alias("b"), F.col("n").alias("m"), F.col("ranges").alias("rb"))
     far = F.aggregate(F.zip_with("ra", "rb", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
-    near = pairs.join(x, "a").join(y, "b").where((100 + SIMILARITY) * (F.col("n") + F.col("m") - far) >= 2 * SIMILARITY * (F.col("n") + F.col("m")))
-    whole = (near.select("a", "b").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = F.col("n") + F.col("m")
+    return pairs.join(x, "a").join(y, "b").where((100 + SIMILARITY) * (both - far) >= 2 * SIMILARITY * both).select("a", "b")
+
+
+def _verified(near: DataFrame, df: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets."""
+    docs = near.select(F.col("a").alias("doc")).union(near.select("b")).distinct()
+    sets = written(_sets_of(df, docs), "sets")
+    whole = (near.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
              .join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a"))
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa").cast("long") + F.size("sb") - common
-    return whole.where(100 * common >= SIMILARITY * union).select("a", "b")
+    links = written(whole.where(100 * common >= SIMILARITY * union).select("a", "b"), "links")
+    drop_written(sets)
+    return links
 
 
 def _relabel(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -246,13 +251,14 @@ def linked_components(df: DataFrame, sketch_bits: int = SKETCH_BITS, rounds: int
                 .join(classes.select(F.col("class_id").alias("doc")), "doc", "left_semi"))
     postings = written(postings.select("sh", "doc", "n", "pos"), "postings")
     docs = written(postings.select("doc").distinct(), "candidates")
-    sets = written(_sets_of(df, docs), "sets")
-    facts = sets.select("doc", "n", "ranges")
+    facts = profile.where("n > 0").select(F.col("doc_id").alias("doc"), "n", "ranges").join(docs, "doc", "left_semi")
+    facts = written(facts, "facts")
 
     labels = None
     for turn in range(rounds + 1):
         live = _relabel(postings, labels)
-        one = F.struct(F.xxhash64("doc", F.lit(turn)).alias("rank"), "doc", "n", "pos", "comp")
+        first = F.col("pos") if turn == 0 else F.lit(0)  # the fewest rare shingles before it: the most like all others
+        one = F.struct(first.alias("first"), F.xxhash64("doc", F.lit(turn)).alias("rank"), "doc", "n", "pos", "comp")
         lists = live.groupBy("sh").agg(F.min(one).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sh", "lead")
         if turn < rounds:
             met = (live.select("sh", F.struct("doc", "n", "pos", "comp").alias("own")).join(lists, "sh")
@@ -264,10 +270,12 @@ def linked_components(df: DataFrame, sketch_bits: int = SKETCH_BITS, rounds: int
             other = rest.select("sh", F.struct("doc", "n", "pos", "comp").alias("lead"))
             met = (own.join(other, "sh").where((F.col("own.comp") < F.col("lead.comp")) & _can_link("own", "lead"))
                    .select(F.col("own.doc").alias("a"), F.col("lead.doc").alias("b")))
-        links = written(_verified(met.distinct(), facts, sets), "links")
-        if links.isEmpty():
+        near = written(_near(met.distinct(), facts), "near")
+        if near.isEmpty():
             continue
-        labels = _merged(labels, links)
+        links = _verified(near, df)
+        if not links.isEmpty():
+            labels = _merged(labels, links)
 
     out = rows.join(classes, ["n", "s1", "s2"], "left")
     if labels is not None:
