@@ -41,27 +41,32 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, order: np.ndarray, qu
                      first: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """The k best (scores, rows) of one block. ``order``: rows by rising component, per dimension."""
     n = len(vectors)
-    dims = np.flatnonzero(query)
-    q = query[dims]
-    lists = np.where(q > 0, order[::-1, dims], order[:, dims])  # depth x dimension, best first
+    rising, falling = np.flatnonzero(query < 0), np.flatnonzero(query > 0)
+    exact = query.astype(np.float64)  # components and sums stay far below 2 ** 53
     met = np.zeros(n, bool)
     best_score, best_row = np.zeros(0, np.int64), np.zeros(0, np.int64)
     depth, step = 0, first
     while depth < n:
         to = min(n, depth + step)
-        rows = np.unique(lists[depth:to]) if len(dims) else np.arange(n)
-        rows = rows[~met[rows]]
-        met[rows] = True
-        rows = rows[ids[rows] != own]
-        # exact: |component| and products stay far below 2 ** 53
-        score = (vectors[rows].astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-        best_score, best_row = np.concatenate([best_score, score]), np.concatenate([best_row, rows])
+        before = met.copy()
+        met[order[depth:to, rising].ravel()] = True
+        met[order[n - to:n - depth, falling].ravel()] = True
+        if not len(rising) and not len(falling):
+            met[:] = True
+        rows = np.flatnonzero(met & ~before)
+        score = (vectors[rows] @ exact).astype(np.int64)
+        likely = ids[rows] != own
+        if len(best_score) == k:
+            likely &= score >= best_score[-1]
+        elif len(rows) > 4 * k + 4:
+            likely &= score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]  # one may be the query's own
+        best_score, best_row = np.concatenate([best_score, score[likely]]), np.concatenate([best_row, rows[likely]])
         top = np.lexsort((ids[best_row], -best_score))[:k]
         best_score, best_row = best_score[top], best_row[top]
-        if not len(dims):
+        if met.all():
             break
-        bound = int((vectors[lists[to - 1], dims] * q).sum())  # no unmet vector scores more
-        if len(top) == k and best_score[-1] > bound:
+        bound = int(vectors[order[to - 1, rising], rising] @ exact[rising] + vectors[order[n - to, falling], falling] @ exact[falling])
+        if len(top) == k and best_score[-1] > bound:  # no unmet vector scores more than the bound
             break
         depth, step = to, step * 4
     return best_score, best_row
@@ -82,7 +87,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int, block_vectors: int = BLOCK_
         for size in sorted({len(v) for v in wanted["v"]} & {len(v) for v in vectors["v"]}):
             mine, ask = vectors[vectors["v"].map(len) == size], wanted[wanted["v"].map(len) == size]
             mine = mine.sort_values("vec_id", kind="stable")
-            block, ids = np.stack(mine["v"].to_list()).astype(np.int64), mine["vec_id"].to_numpy()
+            block, ids = np.stack(mine["v"].to_list()).astype(np.float64), mine["vec_id"].to_numpy()
             order = np.argsort(block, axis=0, kind="stable")
             for own, query in zip(ask["vec_id"], ask["v"]):
                 score, row = threshold_search(block, ids, order, np.asarray(query, np.int64), own, k)
