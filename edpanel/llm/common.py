@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.session import scratch_path
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
+BATCH_ROWS = 2000
 SLICE_BYTES = 4 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
     """Bound the bytes of every Arrow batch, so long texts never meet in one huge batch."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 

@@ -26,7 +26,7 @@ from edpanel.llm.common import slices
 from edpanel.llm.tokens import END_ID, encoder
 
 CAPACITY = 1024
-PACK_IDS = 8_000_000
+PACK_IDS = 4_000_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 

@@ -34,7 +34,7 @@ from edpanel.llm.common import fresh_folder, slices, write_blob
 from edpanel.llm.tokens import END_ID, encoder
 
 BLOCK = 16_384
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 # Fixed values of the coding: (ids per word, bits per id) of selectors 1 to 14.
 WIDTHS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
           (4, 15), (3, 20), (2, 30), (1, 60)]

@@ -17,8 +17,8 @@ import pyarrow as pa
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHE_WORDS = 1_500_000
-CACHE_IDS = 8_000_000
+CACHE_WORDS = 800_000
+CACHE_IDS = 5_000_000
 WORD_BYTES = 64
 PIECE_BYTES = 1 << 20
 
