@@ -26,12 +26,8 @@ def col(c: str | Column) -> Column:
 
 # ---------------------------------------------------------------- ratios
 def int_div(a: Column, b: Column) -> Column:
-    """``a div b`` for a >= 0, b > 0 as BIGINT.
-
-    ``a - pmod(a, b)`` is an exact multiple of ``b``, so the quotient is exact for
-    operands below 2**53 (counts far beyond any national monthly total).
-    """
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    """``a div b`` for a >= 0, b > 0 as BIGINT, exact for BIGINT and DECIMAL operands."""
+    return F.call_function("div", a, b)
 
 
 def pct_tenths(num: str | Column, den: str | Column) -> Column:
@@ -42,7 +38,8 @@ def pct_tenths(num: str | Column, den: str | Column) -> Column:
     """
     n, d = col(num).cast("bigint"), col(den).cast("bigint")
     safe_d = F.when(d == 0, F.lit(1)).otherwise(F.abs(d)).cast("bigint")
-    tenths = int_div(F.lit(2000) * F.abs(n) + safe_d, F.lit(2) * safe_d)
+    wide_n, wide_d = F.abs(n).cast("decimal(20,0)"), safe_d.cast("decimal(20,0)")  # 2000 * n may pass 2**63
+    tenths = int_div(F.lit(2000) * wide_n + wide_d, F.lit(2) * wide_d)
     return F.when(d.isNull() | (d == 0), F.lit(None).cast("bigint")).otherwise(
         (F.signum(n) * F.signum(d)).cast("bigint") * tenths)
 

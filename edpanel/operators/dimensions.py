@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
+from edpanel.session import materialize
 
 
 def scd2_from_history(history: DataFrame, key: str, order_col: str, attr_cols: Sequence[str]) -> DataFrame:
@@ -31,24 +32,37 @@ def scd2_from_history(history: DataFrame, key: str, order_col: str, attr_cols: S
                     F.xxhash64(key, "valid_from").alias("provider_version_key"))
 
 
-def resolve_bridge(bridge: DataFrame, hops: int = 4) -> DataFrame:
-    """Follow predecessor -> successor chains (E4) up to ``hops`` steps over the small
-    bridge table; the effective date of a chain is its latest link."""
-    b = bridge.select("old_code", "new_code", "effective_from")
-    for _ in range(hops):
-        nxt = b.alias("a").join(F.broadcast(bridge.alias("n")), F.col("a.new_code") == F.col("n.old_code"), "left")
-        b = nxt.select(F.col("a.old_code").alias("old_code"),
-                       F.coalesce(F.col("n.new_code"), F.col("a.new_code")).alias("new_code"),
-                       F.greatest(F.col("a.effective_from"), F.coalesce(F.col("n.effective_from"), F.col("a.effective_from")))
-                       .alias("effective_from"))
-    return b
+def resolve_bridge(bridge: DataFrame) -> DataFrame:
+    """Every predecessor with all its successors (E4): old_code, new_code, hop and the half-open
+    interval [effective_from, effective_to) in which that successor stands for it. A successor
+    takes over when the last link up to it is in force. Chains of any length are followed until
+    no link is left; a cycle raises."""
+    links = materialize(bridge.select("old_code", "new_code", "effective_from").distinct())
+    step = links.select(F.col("old_code").alias("_via"), F.col("new_code").alias("_next"), F.col("effective_from").alias("_from"))
+    found, front, hop = links.withColumn("hop", F.lit(1)), links, 1
+    while not front.isEmpty():
+        if not front.where("old_code = new_code").isEmpty():
+            raise ValueError("the organisation bridge has a cycle")
+        hop += 1
+        front = materialize(front.join(step, F.col("new_code") == F.col("_via")).select(
+            "old_code", F.col("_next").alias("new_code"), F.greatest("effective_from", "_from").alias("effective_from")))
+        found = found.union(front.withColumn("hop", F.lit(hop)))
+    order = Window.partitionBy("old_code").orderBy("effective_from", "hop")
+    return materialize(found.withColumn("effective_to", F.lead("effective_from").over(order)))
 
 
 def apply_bridge(rows: DataFrame, bridge: DataFrame, code_col: str, period_col: str,
-                 sum_cols: Sequence[str]) -> DataFrame:
-    """Re-key rows to successor codes from the effective date and re-aggregate."""
-    br = F.broadcast(resolve_bridge(bridge))
-    j = rows.join(br, (F.col(code_col) == br.old_code) & (F.col(period_col) >= br.effective_from), "left")
+                 sum_cols: Sequence[str], comparable: bool = False) -> DataFrame:
+    """Re-key rows to successor codes and re-aggregate (E4): to the code in force in the row's
+    period, or as a ``comparable`` series all periods to the last successor."""
+    br = resolve_bridge(bridge)
+    if comparable:
+        br = br.groupBy("old_code").agg(F.max_by("new_code", "hop").alias("new_code"))
+        hit = F.col(code_col) == br.old_code
+    else:
+        hit = ((F.col(code_col) == br.old_code) & (F.col(period_col) >= br.effective_from)
+               & (br.effective_to.isNull() | (F.col(period_col) < br.effective_to)))
+    j = rows.join(br, hit, "left")
     succ = F.coalesce(F.col("new_code"), F.col(code_col))
     return (j.groupBy(succ.alias(code_col), F.col(period_col))
             .agg(*[F.sum(c).cast("bigint").alias(c) for c in sum_cols],

@@ -252,7 +252,7 @@ def coerce_rejects(wide: DataFrame, registry: Registry) -> DataFrame:
 def parse_month_text(v: Column) -> Column:
     """Month text -> first of month (C12, C13): a month word with a 2- or 4-digit year
     ('May 26', 'June 2015', "Sept '24", 'Jun-15'), an ISO date, or a spreadsheet day
-    serial. Two-digit years below 70 are 20xx, others 19xx."""
+    serial of five digits (a bare year is no period). Two-digit years below 70 are 20xx, others 19xx."""
     s = F.trim(v)
     word = F.lower(F.regexp_extract(s, C.PERIOD_TEXT_PATTERN, 1))
     yy = F.regexp_extract(s, C.PERIOD_TEXT_PATTERN, 2)
@@ -261,7 +261,7 @@ def parse_month_text(v: Column) -> Column:
             .when(F.length(yy) == 2, F.when(yy.cast("int") < 70, 2000 + yy.cast("int")).otherwise(1900 + yy.cast("int"))))
     from_words = F.when((word != "") & (month > 0), F.make_date(year, month.cast("int"), F.lit(1)))
     iso = F.trunc(F.try_to_date(F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd"), "month")
-    serial_txt = F.regexp_extract(s, r"^(\d{4,6})(\.0+)?$", 1)
+    serial_txt = F.regexp_extract(s, r"^(\d{5})(\.0+)?$", 1)
     serial = F.when(serial_txt != "", F.trunc(F.date_add(F.lit("1899-12-30").cast("date"), serial_txt.cast("int")), "month"))
     return F.coalesce(from_words, iso, serial)
 

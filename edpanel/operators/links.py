@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Link-resolution fixed values.
 ANCHOR_PATTERN = r"(?is)<a\b[^>]*>.*?</a>"
-HREF_PATTERN = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
+HREF_PATTERN = r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 ANCHOR_TEXT_PATTERN = r"(?is)^<a\b[^>]*>(.*)</a>$"
 EXCLUDED_TEXT = "time series"
 FILE_SUFFIX_PATTERN = r"(?i)\.xlsx?$"
@@ -40,8 +40,19 @@ def anchor_text(anchor: F.Column) -> F.Column:
     whitespace collapsed."""
     inner = F.regexp_extract(anchor, ANCHOR_TEXT_PATTERN, 1)
     no_tags = F.regexp_replace(inner, r"<[^>]*>", " ")
-    decoded = F.regexp_replace(F.regexp_replace(F.regexp_replace(no_tags, "&nbsp;", " "), "&quot;", '"'), "&amp;", "&")
-    return F.trim(F.regexp_replace(decoded, r"\s+", " "))
+    return F.trim(F.regexp_replace(decode_entities(no_tags), r"\s+", " "))
+
+
+def decode_entities(text: F.Column) -> F.Column:
+    """The common named entities and decimal character references decoded."""
+    named = text
+    for name, char in (("nbsp", " "), ("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">")):
+        named = F.regexp_replace(named, f"&{name};", char)
+    parts = F.split(named, r"(?=&#\d{1,7};)")
+    decoded = F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^&#\d{1,7};"), F.concat(
+        F.decode(F.unhex(F.lpad(F.hex(F.regexp_extract(p, r"^&#(\d+);", 1).cast("int")), 8, "0")), "UTF-32"),
+        F.regexp_replace(p, r"^&#\d+;", ""))).otherwise(p)), "")
+    return F.regexp_replace(decoded, "&amp;", "&")
 
 
 def absolutise(href: F.Column, page_url: F.Column) -> F.Column:
@@ -64,7 +75,8 @@ def resolve_links(pages: DataFrame, text_pattern: str) -> DataFrame:
     anchors = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), 0))
                            .alias("pos", "anchor"))
     cand = anchors.select("page_id", "url", "pos", anchor_text(F.col("anchor")).alias("link_text"),
-                          F.regexp_extract("anchor", HREF_PATTERN, 1).alias("href"))
+                          F.regexp_extract("anchor", HREF_PATTERN, 1).alias("raw"))
+    cand = cand.where(F.col("raw") != "").withColumn("href", decode_entities(F.regexp_replace("raw", "^[\"']|[\"']$", "")))
     cand = cand.where(F.col("link_text").rlike(text_pattern)
                       & ~F.lower(F.col("link_text")).contains(EXCLUDED_TEXT))
     first = cand.groupBy("page_id", "url").agg(F.min(F.struct("pos", "link_text", "href")).alias("m"))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edpanel.session import materialize, path_exists
+
 STAGING_SCHEMA = T.StructType([
     T.StructField("period_date", T.DateType()),
     T.StructField("org_code", T.StringType()),
@@ -71,6 +73,19 @@ def append_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
     df.write.mode("append").partitionBy(partition_col).parquet(path)
 
 
+def archive_new(df: DataFrame, path: str, partition_col: str, keys: Sequence[str]) -> int:
+    """Archive the rows whose ``keys`` the archive does not hold yet, so a rerun adds nothing
+    (B1); returns how many were added."""
+    if path_exists(df.sparkSession, path):
+        held = df.sparkSession.read.parquet(path).select(*keys)
+        df = df.join(held, list(keys), "left_anti").select(*df.columns)
+    fresh = materialize(df.dropDuplicates(list(keys)))
+    added = fresh.count()
+    if added:
+        append_partitioned(fresh, path, partition_col)
+    return added
+
+
 def manifest_json(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One JSON manifest document per archived file (B2)."""
     return df.select("*", F.to_json(F.struct(*fields)).alias("manifest"))
@@ -108,14 +123,14 @@ class VersionedTable:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(conf), p, jvm
 
-    def versions(self) -> list[int]:
+    def versions(self, committed: bool = True) -> list[int]:
         fs, p, jvm = self._fs()
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if name.startswith("version=") and (not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
                 out.append(int(name.split("=", 1)[1]))
         return sorted(out)
 
@@ -128,7 +143,7 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(f"{self.path}/version={v}")
 
     def write_next(self, df: DataFrame) -> int:
-        nxt = (self.current_version() or 0) + 1
+        nxt = max(self.versions(committed=False), default=0) + 1  # past the folder of a crashed write
         df.write.mode("errorifexists").parquet(f"{self.path}/version={nxt}")
         return nxt
 

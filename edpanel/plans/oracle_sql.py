@@ -361,12 +361,12 @@ v1 AS (SELECT period_date, org_code, org_name, attendances_total, breaches_total
 diff AS (SELECT r.*, CASE WHEN v.row_hash IS NULL THEN 'NEW' WHEN v.row_hash = r.row_hash THEN 'UNCHANGED'
            ELSE 'REVISED' END AS change_status
          FROM revised r LEFT JOIN v1 v USING (period_date, org_code)),
-rk AS (SELECT period_date, org_code FROM diff WHERE change_status = 'REVISED'),
-v2 AS (
-  SELECT * FROM v1 WHERE (period_date, org_code) NOT IN (SELECT (period_date, org_code) FROM rk)
+rk AS MATERIALIZED (SELECT period_date, org_code FROM diff WHERE change_status = 'REVISED'),
+v2 AS MATERIALIZED (
+  SELECT v1.* FROM v1 ANTI JOIN rk USING (period_date, org_code)
   UNION ALL
   SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, source_version, valid_from,
-         {T2_}, false FROM v1 WHERE (period_date, org_code) IN (SELECT (period_date, org_code) FROM rk)
+         {T2_}, false FROM v1 SEMI JOIN rk USING (period_date, org_code)
   UNION ALL
   SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'revised', {T2_},
          CAST(NULL AS TIMESTAMP), true FROM diff WHERE change_status <> 'UNCHANGED')""")

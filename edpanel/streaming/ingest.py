@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edpanel.session import path_exists
+
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modificationTime", T.TimestampType()),
@@ -31,10 +33,9 @@ CATALOG_SCHEMA = T.StructType([
 
 
 def _read_catalog(spark: SparkSession, catalog_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(CATALOG_SCHEMA).parquet(catalog_path)
-    except Exception:  # no catalog written yet
+    if not path_exists(spark, catalog_path):  # no catalog written yet; any other failure raises
         return spark.createDataFrame([], CATALOG_SCHEMA)
+    return spark.read.schema(CATALOG_SCHEMA).parquet(catalog_path)
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, catalog_path: str, checkpoint_path: str,
