@@ -68,13 +68,19 @@ def _peer_mean(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
                     F.col("_n").alias(f"{prefix}_size"))
 
 
+def _volume_peers(df: DataFrame, group_col: str, volume_col: str) -> DataFrame:
+    """Volume band within the group and the mean performance of that band."""
+    perf = F.col("perf_tenths")
+    b = ranking.band_within(df, [group_col], volume_col, VOLUME_BANDS, "volume_band",
+                            {"_s": perf, "_n": perf.isNotNull().cast("bigint")})
+    return b.withColumn("peer_mean_tenths", _rounded_mean_tenths("_s", "_n"))
+
+
 def peer_volume(star: Star) -> DataFrame:
     """Volume peers: quintile of total attendances within the month, compared with the
     mean performance of the quintile (G2)."""
     s = _perf(star.joined())
-    s = ranking.band_within(s, ["period_date"], "attendances_total", VOLUME_BANDS, "volume_band")
-    peers = _peer_mean(s, ["period_date", "volume_band"], "peer")
-    j = s.join(peers, ["period_date", "volume_band"], "left")
+    j = _volume_peers(s, "period_date", "attendances_total")
     return j.select("trust_code", "period_date", F.col("attendances_total").alias("total_attendances"),
                     "volume_band", "performance_pct",
                     (F.col("peer_mean_tenths") / F.lit(10.0)).alias("peer_mean_performance_pct"),
@@ -84,9 +90,14 @@ def peer_volume(star: Star) -> DataFrame:
 def peer_geo(star: Star) -> DataFrame:
     """Geography peers: gap to the mean performance of the ICB and of the region."""
     s = _perf(star.joined())
-    icb = _peer_mean(s, ["period_date", "icb_code"], "icb")
-    reg = _peer_mean(s, ["period_date", "region_code"], "region")
-    j = s.join(icb, ["period_date", "icb_code"], "left").join(reg, ["period_date", "region_code"], "left")
+    g = s.groupBy("period_date", "icb_code", "region_code").agg(
+        F.sum("perf_tenths").alias("_s"), F.count("perf_tenths").alias("_n"))
+    reg = Window.partitionBy("period_date", "region_code")
+    g = g.withColumn("_rs", F.sum("_s").over(reg)).withColumn("_rn", F.sum("_n").over(reg))
+    # one row per month and ICB: both fixed by reference data, so broadcast
+    g = g.select("period_date", "icb_code", _rounded_mean_tenths("_s", "_n").alias("icb_mean_tenths"),
+                 F.when(F.col("region_code").isNotNull(), _rounded_mean_tenths("_rs", "_rn")).alias("region_mean_tenths"))
+    j = s.join(F.broadcast(g), ["period_date", "icb_code"], "left")
     return j.select("trust_code", "period_date", "icb_name", "region_name", "performance_pct",
                     (F.col("icb_mean_tenths") / F.lit(10.0)).alias("icb_mean_performance_pct"),
                     (F.col("region_mean_tenths") / F.lit(10.0)).alias("region_mean_performance_pct"),
@@ -101,7 +112,8 @@ def peer_mix(star: Star) -> DataFrame:
     s = s.withColumn("type1_share_pct", C.pct("attendances_type1", "attendances_total")).withColumn(
         "mix_band", F.least(C.int_div(share, F.lit(MIX_BAND_WIDTH_TENTHS)), F.lit(4)).cast("int"))
     peers = _peer_mean(s, ["period_date", "mix_band"], "mix")
-    j = s.join(peers, ["period_date", "mix_band"], "left")
+    # five bands a month: bounded by the calendar
+    j = s.join(F.broadcast(peers), ["period_date", "mix_band"], "left")
     return j.select("trust_code", "period_date", "type1_share_pct", "mix_band", "performance_pct",
                     (F.col("mix_mean_tenths") / F.lit(10.0)).alias("mix_peer_mean_performance_pct"),
                     _gap_pp(F.col("perf_tenths"), F.col("mix_mean_tenths")).alias("gap_to_mix_peer_pp"))
@@ -114,7 +126,7 @@ def peer_national(star: Star) -> DataFrame:
     bench = d.select("period_date",
                      F.floor(F.col("median") + 0.5).cast("bigint").alias("median_tenths"),
                      _rounded_mean_tenths("sum_tenths", "n_perf").alias("mean_tenths"))
-    j = s.join(bench, "period_date", "left")
+    j = s.join(F.broadcast(bench), "period_date", "left")
     return j.select("trust_code", "period_date", "performance_pct",
                     (F.col("median_tenths") / F.lit(10.0)).alias("national_median_pct"),
                     (F.col("mean_tenths") / F.lit(10.0)).alias("national_mean_pct"),
@@ -127,11 +139,12 @@ def outliers(star: Star) -> DataFrame:
     """Per-month outliers: outside the 1.5 x IQR fences, or |z| > 2."""
     s = _perf(star.joined()).where(F.col("perf_tenths").isNotNull())
     q = ranking.percentile_cont(s, ["period_date"], "perf_tenths", {"q1": (1, 4), "q3": (3, 4)})
-    q = q.select("period_date", (F.col("q1") - F.lit(IQR_FENCE) * (F.col("q3") - F.col("q1"))).alias("lo_t"),
+    n = F.col("n")
+    sd = F.when(n > 1, F.sqrt(F.col("ssd") / F.nullif(n - 1, F.lit(0))) / 10.0)
+    q = q.select("period_date", (F.col("total") / n / 10.0).alias("mu"), F.nullif(sd, F.lit(0.0)).alias("sd"),
+                 (F.col("q1") - F.lit(IQR_FENCE) * (F.col("q3") - F.col("q1"))).alias("lo_t"),
                  (F.col("q3") + F.lit(IQR_FENCE) * (F.col("q3") - F.col("q1"))).alias("hi_t"))
-    m = s.groupBy("period_date").agg(F.avg(F.col("perf_tenths") / 10.0).alias("mu"),
-                                     F.stddev_samp(F.col("perf_tenths") / 10.0).alias("sd"))
-    j = s.join(q, "period_date").join(m, "period_date")
+    j = s.join(F.broadcast(q), "period_date")
     z = (F.col("performance_pct") - F.col("mu")) / F.col("sd")
     return j.select("trust_code", "period_date", "performance_pct",
                     (F.col("lo_t") / 10.0).alias("lower_fence_pct"), (F.col("hi_t") / 10.0).alias("upper_fence_pct"),
@@ -178,9 +191,7 @@ def winter_gap_topk(star: Star, k: int = TOP_K_WINTER_GAP, target_pct: float = 9
 def winter_peer(star: Star) -> DataFrame:
     """Winter volume peers: quintile of winter attendances within each winter."""
     h = winter_history(star).withColumn("perf_tenths", C.pct_tenths("winter_within_4hrs", "winter_attendances"))
-    h = ranking.band_within(h, ["winter_year"], "winter_attendances", VOLUME_BANDS, "volume_band")
-    peers = _peer_mean(h, ["winter_year", "volume_band"], "peer")
-    j = h.join(peers, ["winter_year", "volume_band"], "left")
+    j = _volume_peers(h, "winter_year", "winter_attendances")
     return j.select("trust_code", "winter_year", "winter_attendances", "volume_band", "winter_performance_pct",
                     (F.col("peer_mean_tenths") / 10.0).alias("peer_mean_performance_pct"),
                     _gap_pp(F.col("perf_tenths"), F.col("peer_mean_tenths")).alias("gap_to_peer_pp"))
@@ -240,6 +251,14 @@ def winter_delta(star: Star) -> DataFrame:
 def pressure_flags(star: Star) -> DataFrame:
     """OPEL-aligned inputs per provider-month (G13): attendances above the provider's own
     prior-12-month mean, performance falling month on month, any 12-hour DTA wait."""
+    return with_pressure(star).select("trust_code", "period_date", *PRESSURE_COLS)
+
+
+PRESSURE_COLS = ("above_own_12m_mean", "performance_falling", "dta_12hr_breach", "pressure_score")
+
+
+def with_pressure(star: Star) -> DataFrame:
+    """The star with performance and the pressure flags of G13."""
     s = _perf(star.joined())
     w = Window.partitionBy("provider_key").orderBy("period_date")
     prior12 = w.rowsBetween(-12, -1)
@@ -249,6 +268,7 @@ def pressure_flags(star: Star) -> DataFrame:
     above = F.coalesce(F.col("attendances_total") * F.col("c12") > F.col("s12"), F.lit(False))
     falling = F.coalesce(F.col("perf_tenths") < F.col("prev_perf"), F.lit(False))
     dta12 = F.coalesce(F.col("dta_breaches_12hr") > 0, F.lit(False))
-    return s.select("trust_code", "period_date", above.alias("above_own_12m_mean"),
+    return s.select("trust_code", "period_date", "perf_tenths", "performance_pct",
+                    above.alias("above_own_12m_mean"),
                     falling.alias("performance_falling"), dta12.alias("dta_12hr_breach"),
                     (above.cast("int") + falling.cast("int") + dta12.cast("int")).alias("pressure_score"))

@@ -155,9 +155,20 @@ def source_precedence(rows: DataFrame, key_cols: Sequence[str], publication_col:
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def url_change(resolutions: DataFrame, source_col: str, order_col: str, url_col: str) -> DataFrame:
-    """Flag a resolution whose URL differs from the previous one of the same source."""
-    w = Window.partitionBy(source_col).orderBy(order_col)
-    prev = F.lag(url_col).over(w)
-    return resolutions.select("*", prev.alias("previous_url"),
-                              (prev.isNotNull() & ~prev.eqNullSafe(F.col(url_col))).alias("url_changed"))
+def url_change(resolutions: DataFrame, source_col: str, order_col: str, url_col: str,
+               bucket: F.Column) -> DataFrame:
+    """Flag a resolution whose URL differs from the previous one of the same source.
+
+    ``bucket`` must be monotone in ``order_col``. Rows look back inside their (source,
+    bucket); only a bucket's first row takes the last row of the bucket before it, carried
+    over one row per bucket, so a source with a third of all rows fills no task alone."""
+    key = [source_col, "_bucket"]
+    b = resolutions.withColumn("_bucket", bucket).withColumn("_link", F.struct(F.col(url_col).alias("u")))
+    last = b.groupBy(*key).agg(F.max_by("_link", order_col).alias("_last"))
+    carry = last.select(*key, F.lag("_last").over(Window.partitionBy(source_col).orderBy("_bucket")).alias("_carry"))
+    b = b.withColumn("_before", F.lag("_link").over(Window.partitionBy(*key).orderBy(order_col)))
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    j = b.alias("l").join(carry.alias("r"), on, "left")
+    prev = F.coalesce("_before", "_carry")["u"]
+    return j.select(*[F.col(f"l.{c}") for c in resolutions.columns], prev.alias("previous_url"),
+                    (prev.isNotNull() & ~prev.eqNullSafe(F.col(url_col))).alias("url_changed"))

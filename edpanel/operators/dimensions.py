@@ -100,7 +100,8 @@ def missing_periods(present: DataFrame, entities: DataFrame, key: str, period_co
     each key's gaps are generated from consecutive present months (``lead``), plus the
     leading and trailing edges to the span; keys with no row at all get the whole span.
     Output size equals the number of missing pairs."""
-    lo, hi = F.lit(first_period).cast("date"), F.lit(last_period).cast("date")
+    lo, hi = (C.col(p).cast("date") if isinstance(p, F.Column) else F.lit(p).cast("date")
+              for p in (first_period, last_period))
     w = Window.partitionBy(key).orderBy(period_col)
     p = present.select(key, period_col).distinct()
     nxt = F.coalesce(F.lead(period_col).over(w), F.add_months(hi, 1))

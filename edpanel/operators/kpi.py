@@ -40,16 +40,16 @@ def with_performance(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ K1–K7
+# The fact holds one row per provider and month already: no second grouping.
 def kpi01_total_attendances(star: Star) -> DataFrame:
     s = star.joined("period_label")
-    return (s.groupBy("trust_code", "trust_name", "period_label", "period_date")
-            .agg(F.sum(T1() + T2() + T3()).cast("bigint").alias("total_attendances")))
+    return s.select("trust_code", "trust_name", "period_label", "period_date",
+                    (T1() + T2() + T3()).alias("total_attendances"))
 
 
 def kpi02_type1_attendances(star: Star) -> DataFrame:
     s = star.joined("period_label")
-    return (s.groupBy("trust_code", "trust_name", "period_label", "period_date")
-            .agg(F.sum(T1()).cast("bigint").alias("type1_attendances")))
+    return s.select("trust_code", "trust_name", "period_label", "period_date", T1().alias("type1_attendances"))
 
 
 def admissions_via_ae(df_col_prefix: str = "") -> F.Column:
@@ -59,8 +59,8 @@ def admissions_via_ae(df_col_prefix: str = "") -> F.Column:
 
 def kpi03_emergency_admissions(star: Star) -> DataFrame:
     s = star.joined("period_label")
-    return (s.groupBy("trust_code", "trust_name", "period_label", "period_date")
-            .agg(F.sum(admissions_via_ae()).cast("bigint").alias("emergency_admissions")))
+    return s.select("trust_code", "trust_name", "period_label", "period_date",
+                    admissions_via_ae().alias("emergency_admissions"))
 
 
 def conversion_band(pct_col: F.Column) -> F.Column:
@@ -99,8 +99,7 @@ def breach_count() -> F.Column:
 
 def kpi07_breach_count(star: Star) -> DataFrame:
     s = star.joined("period_label")
-    return (s.groupBy("trust_code", "period_label", "period_date")
-            .agg(F.sum(breach_count()).cast("bigint").alias("attendances_gt_4hrs")))
+    return s.select("trust_code", "period_label", "period_date", breach_count().alias("attendances_gt_4hrs"))
 
 
 # ------------------------------------------------------------------ K8 YoY
@@ -115,15 +114,16 @@ def kpi08_yoy_lag(star: Star) -> DataFrame:
 
 
 def kpi08_yoy_calendar(star: Star) -> DataFrame:
-    """Same-month-last-year by calendar: self equi-join on the prior-year month."""
-    cur = star.joined("period_label", "prior_year_period_date")
-    prev = star.fact.select("provider_key", F.col("period_date").alias("prior_year_period_date"),
-                            F.col("attendances_total").alias("prior_year_attendances"))
-    j = cur.join(prev, ["provider_key", "prior_year_period_date"], "left")
+    """Same-month-last-year by calendar (K8b): a range frame over the provider's month
+    numbers that holds exactly the month twelve before, absent months giving NULL."""
+    month_no = F.year("period_date") * 12 + F.month("period_date")
+    s = star.joined("period_label").withColumn("_month_no", month_no)
+    w = Window.partitionBy("provider_key").orderBy("_month_no").rangeBetween(-12, -12)
     p = F.col("prior_year_attendances")
-    return j.select("trust_code", "period_label", "period_date",
-                    TOTAL().alias("current_period_attendances"), p,
-                    C.pct(TOTAL() - p, p).alias("yoy_change_pct"))
+    return s.withColumn("prior_year_attendances", F.sum(TOTAL()).over(w).cast("bigint")).select(
+        "trust_code", "period_label", "period_date",
+        TOTAL().alias("current_period_attendances"), p,
+        C.pct(TOTAL() - p, p).alias("yoy_change_pct"))
 
 
 # ------------------------------------------------------------------ K9 rank
@@ -154,20 +154,18 @@ QUARTILES = {"p25": (1, 4), "median": (1, 2), "p75": (3, 4)}
 
 
 def national_distribution(star: Star, threshold: int | None = None) -> DataFrame:
-    """Per period: exact P25 / median / P75 / mean of provider performance (tenths)."""
+    """Per period: exact P25 / median / P75 of provider performance (tenths), with the sum
+    and count behind the mean, all from one value histogram."""
     thr = star.params.small_provider_threshold if threshold is None else threshold
-    s = with_performance(star.fact).where(TOTAL() > thr)
+    s = with_performance(star.fact).where((TOTAL() > thr) & F.col("period_date").isNotNull())
     q = ranking.percentile_cont(s, ["period_date"], "perf_tenths", QUARTILES)
-    mean = s.groupBy("period_date").agg(F.sum("perf_tenths").alias("sum_tenths"),
-                                        F.count("perf_tenths").alias("n_perf"))
-    return q.join(mean, "period_date")
+    return q.withColumnsRenamed({"total": "sum_tenths", "n": "n_perf"})
 
 
 def kpi12_national_median(star: Star, threshold: int | None = None) -> DataFrame:
     d = national_distribution(star, threshold)
-    dm = star.dim_month.select("period_date", "period_label")
-    return d.join(F.broadcast(dm), "period_date").select(
-        "period_label", "period_date",
+    return d.select(
+        C.period_label("period_date").alias("period_label"), "period_date",
         C.round_half_up_tenths(F.col("median")).alias("median_performance_pct"),
         C.mean_tenths(F.col("sum_tenths"), F.col("n_perf")).alias("mean_performance_pct"),
         C.round_half_up_tenths(F.col("p25")).alias("p25_performance_pct"),

@@ -8,6 +8,8 @@ series, not an unpartitioned window.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,13 +79,13 @@ def four_hour(star: Star, targets: DataFrame) -> DataFrame:
 def command_center(star: Star) -> DataFrame:
     """Latest month per provider: performance, RAG, pressure flags and the gap to the
     national median of that month."""
-    latest = star.fact.agg(F.max("period_date").alias("period_date"))
-    flags = analytics.pressure_flags(star).join(F.broadcast(latest), "period_date", "left_semi")
-    perf = kpi.with_performance(star.joined()).join(F.broadcast(latest), "period_date", "left_semi").select(
-        "trust_code", "period_date", "performance_pct", "perf_tenths")
-    med = kpi.national_distribution(star).join(F.broadcast(latest), "period_date", "left_semi").select(
+    latest = F.broadcast(star.lines.agg(F.max("period_date").alias("period_date")))
+    flags = analytics.with_pressure(star).join(latest, "period_date", "left_semi")
+    # the median needs the newest month only: its lines are cut before they are aggregated
+    newest = replace(star, fact=star.fact.join(latest, "period_date", "left_semi"))
+    med = kpi.national_distribution(newest).select(
         "period_date", C.round_half_up_tenths(F.col("median")).alias("national_median_pct"))
-    j = perf.join(flags, ["trust_code", "period_date"]).join(F.broadcast(med), "period_date", "left")
+    j = flags.join(F.broadcast(med), "period_date", "left")
     return j.select("trust_code", "period_date", "performance_pct",
                     kpi.rag_status(F.col("performance_pct"), star.params.rag_red_below,
                                    star.params.rag_green_from).alias("rag"),

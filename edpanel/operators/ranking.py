@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_histogram(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    """(group..., value, cnt, cum_le, n): rows per value, running count, group size."""
+def value_histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, *aggs: Column) -> DataFrame:
+    """(group..., value, cnt, cum_le, n): rows per value, running count, group size, and any
+    further ``aggs`` per value."""
     h = (df.where(F.col(value_col).isNotNull())
-         .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt")))
+         .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt"), *aggs))
     w = Window.partitionBy(*group_cols).orderBy(F.col(value_col).asc())
     return (h.withColumn("cum_le", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("n", F.sum("cnt").over(Window.partitionBy(*group_cols))))
@@ -38,14 +39,20 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], value_col: str, *, des
 
 
 def band_within(df: DataFrame, group_cols: Sequence[str], value_col: str, bands: int,
-                band_col: str = "band") -> DataFrame:
+                band_col: str = "band", band_sums: dict[str, Column] | None = None) -> DataFrame:
     """Deterministic quantile band 1..bands: ``floor(bands * rows_below / n) + 1``.
 
-    Ties always share a band (unlike NTILE, which splits ties arbitrarily)."""
-    h = value_histogram(df, group_cols, value_col)
+    Ties always share a band (unlike NTILE, which splits ties arbitrarily). ``band_sums``
+    maps a column name to a per-row number to be totalled over the row's band: the totals
+    come from the same histogram, so ``df`` is read twice, not once more per total."""
+    sums = band_sums or {}
+    h = value_histogram(df, group_cols, value_col, *[F.sum(c).alias(n) for n, c in sums.items()])
     below = F.col("cum_le") - F.col("cnt")
     band = (F.floor(F.lit(bands) * below / F.col("n")) + 1).cast("int")
-    return df.join(h.select(*group_cols, value_col, band.alias(band_col)), [*group_cols, value_col], "left")
+    h = h.withColumn(band_col, band)
+    w = Window.partitionBy(*group_cols, band_col)
+    h = h.select(*group_cols, value_col, band_col, *[F.sum(n).over(w).alias(n) for n in sums])
+    return df.join(h, [*group_cols, value_col], "left")
 
 
 def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -54,11 +61,14 @@ def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
     For each group with n values, position h = (n-1) * num/den; the result is
     v[floor h] + frac(h) * (v[floor h + 1] - v[floor h]). Returns one row per group with
-    one DOUBLE column per quantile plus ``n``.
+    one DOUBLE column per quantile, ``n``, the ``total`` of the values and their sum of
+    squared deviations from the mean, ``ssd`` (DOUBLE).
     """
     h = value_histogram(df, group_cols, value_col)
-    v, cum, n = F.col(value_col), F.col("cum_le"), F.col("n")
-    aggs: list[Column] = [F.first("n").alias("n")]
+    v, cum, n, cnt = F.col(value_col), F.col("cum_le"), F.col("n"), F.col("cnt")
+    h = h.withColumn("_mean", F.sum(v * cnt).over(Window.partitionBy(*group_cols)) / n)
+    aggs: list[Column] = [F.first("n").alias("n"), F.sum(v * cnt).alias("total"),
+                          F.sum(cnt * (v - F.col("_mean")) * (v - F.col("_mean"))).cast("double").alias("ssd")]
     for name, (num, den) in quantiles.items():
         pos = (n - 1) * num
         lo_idx = F.floor(pos / den)
@@ -68,7 +78,7 @@ def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  F.min(F.when(cum > hi_idx, v)).alias(f"_{name}_hi"),
                  F.first(rem).alias(f"_{name}_rem")]
     agg = h.groupBy(*group_cols).agg(*aggs)
-    out = [*group_cols, "n"]
+    out = [*group_cols, "n", "total", "ssd"]
     for name, (num, den) in quantiles.items():
         lo, hi, rem = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_rem")
         out.append((lo + (hi - lo) * rem / F.lit(den)).cast("double").alias(name))

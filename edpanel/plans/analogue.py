@@ -127,48 +127,57 @@ def build_dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_regionkey").alias("region_code"), F.col("r_name").alias("region_name")))
 
 
-def month_span(fact: DataFrame) -> DataFrame:
-    """One row per month between the first and last period of the fact (E1 input)."""
-    bounds = fact.agg(F.min("period_date").alias("lo"), F.max("period_date").alias("hi"))
+def month_span(rows: DataFrame) -> DataFrame:
+    """One row per month between the first and last period of the rows (E1 input): one
+    min/max aggregate, so activity lines serve as well as the fact."""
+    bounds = rows.agg(F.min("period_date").alias("lo"), F.max("period_date").alias("hi"))
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("period_date"))
 
 
-def build_dim_month(fact: DataFrame, params: AnalogueParams = PARAMS) -> DataFrame:
-    """dim_month (E1, C16, C17): calendar, financial-year and pressure flags per month."""
-    m = month_span(fact)
+def month_columns(params: AnalogueParams = PARAMS) -> dict[str, F.Column]:
+    """Every dim_month attribute as an expression of ``period_date``."""
     d = F.col("period_date")
-    return m.select(
-        C.month_key(d).alias("month_key"), d.alias("period_date"),
-        C.period_label(d).alias("period_label"),
-        F.year(d).alias("calendar_year"), F.month(d).alias("month_of_year"),
-        C.financial_year(d).alias("financial_year"),
-        C.financial_quarter(d).alias("financial_quarter"),
-        C.financial_month_number(d).alias("financial_year_month_number"),
-        C.is_winter(d).alias("is_winter_month"), C.season(d).alias("season"),
-        C.is_covid(d, params.covid_from, params.covid_to).alias("is_covid_period"),
-        C.data_basis(d, params.actual_data_from).alias("data_basis"),
-        F.add_months(d, -12).alias("prior_year_period_date"))
+    return {
+        "month_key": C.month_key(d), "period_date": d, "period_label": C.period_label(d),
+        "calendar_year": F.year(d), "month_of_year": F.month(d),
+        "financial_year": C.financial_year(d), "financial_quarter": C.financial_quarter(d),
+        "financial_year_month_number": C.financial_month_number(d),
+        "is_winter_month": C.is_winter(d), "season": C.season(d),
+        "is_covid_period": C.is_covid(d, params.covid_from, params.covid_to),
+        "data_basis": C.data_basis(d, params.actual_data_from),
+        "prior_year_period_date": F.add_months(d, -12)}
+
+
+def build_dim_month(rows: DataFrame, params: AnalogueParams = PARAMS) -> DataFrame:
+    """dim_month (E1): calendar, financial-year and pressure flags per month."""
+    return month_span(rows).select(*[c.alias(n) for n, c in month_columns(params).items()])
 
 
 @dataclass
 class Star:
     fact: DataFrame
     dim_provider: DataFrame
-    dim_month: DataFrame
+    lines: DataFrame
     params: AnalogueParams = field(default=PARAMS)
 
+    @property
+    def dim_month(self) -> DataFrame:
+        return build_dim_month(self.lines, self.params)
+
     def joined(self, *month_cols: str) -> DataFrame:
-        """fact ⋈ dim_provider ⋈ dim_month (E6). dim_month is bounded by the calendar span
-        (12 rows a year) and always broadcast; the provider side is left to AQE's
-        measured-size broadcast decision."""
-        cols = ["month_key", *[c for c in month_cols if c not in ("month_key", "period_date")]]
-        dm = self.dim_month.select(*cols)
-        return self.fact.join(self.dim_provider, "provider_key").join(F.broadcast(dm), "month_key")
+        """fact ⋈ dim_provider with the month attributes asked for (E6). Those are functions
+        of the period, so they are computed in the projection: a join to dim_month would
+        scan the lines once more for its span. Rows without a period match no month and go.
+        The provider side is left to AQE's measured-size broadcast decision."""
+        cols = month_columns(self.params)
+        f = self.fact.where(F.col("period_date").isNotNull())
+        return f.join(self.dim_provider, "provider_key").withColumns(
+            {c: cols[c] for c in month_cols if c not in ("month_key", "period_date")})
 
 
 def build_star(spark: SparkSession, sf_dir: str, params: AnalogueParams = PARAMS) -> Star:
-    fact = build_fact(spark, sf_dir)
-    return Star(fact, build_dim_provider(spark, sf_dir), build_dim_month(fact, params), params)
+    lines = activity_lines(spark, sf_dir)
+    return Star(fact_from_lines(lines), build_dim_provider(spark, sf_dir), lines, params)
 
 
 # ------------------------------------------------------------------ seeds

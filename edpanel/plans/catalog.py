@@ -26,7 +26,7 @@ def _star_query(fn: Callable[[analogue.Star], DataFrame]) -> QueryFn:
 def _kpi_queries() -> dict[str, QueryFn]:
     return {
         "fact_build": lambda s, d: analogue.build_fact(s, d),
-        "dim_month": lambda s, d: analogue.build_dim_month(analogue.build_fact(s, d)),
+        "dim_month": lambda s, d: analogue.build_dim_month(analogue.activity_lines(s, d)),
         "provider_hierarchy": lambda s, d: analogue.build_dim_provider(s, d),
         "kpi01": _star_query(kpi.kpi01_total_attendances),
         "kpi02": _star_query(kpi.kpi02_type1_attendances),

@@ -55,9 +55,13 @@ def catalog_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.catalog_insert_ignore(_catalog(files), files.drop("page_id"))
 
 
+URL_BUCKET_PAGES = 10_000            # page ids per bucket: the most rows one window holds
+
+
 def url_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = resolved_files(spark, sf_dir)
-    return changes.url_change(files, "source_name", "page_id", "resolved_url").select(
+    return changes.url_change(files, "source_name", "page_id", "resolved_url",
+                              F.floor(F.col("page_id") / URL_BUCKET_PAGES)).select(
         "page_id", "source_name", "resolved_url", "previous_url", "url_changed")
 
 

@@ -45,14 +45,27 @@ RELATIONSHIPS = (  # (name, child table, child column, parent table, parent colu
 
 
 def dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = None
-    for name, ct, cc, pt, pc in RELATIONSHIPS:
-        child = read_table(spark, sf_dir, ct, cc)
-        parent = read_table(spark, sf_dir, pt, pc)
-        orphans = child.join(parent, child[cc] == parent[pc], "left_anti")
-        r = orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(F.lit(name).alias("relationship"), "orphan_rows")
-        out = r if out is None else out.unionByName(r)
-    return out
+    """Child rows without a parent, per relationship. Each child table is read once: its
+    foreign keys are unpivoted and counted per key before the shuffle, so a hot key
+    arrives as one row per task, and the anti-join runs on (relationship, key)."""
+    children = parents = None
+    for table in dict.fromkeys(r[1] for r in RELATIONSHIPS):
+        rels = [r for r in RELATIONSHIPS if r[1] == table]
+        child = read_table(spark, sf_dir, table, *[r[2] for r in rels])
+        pairs = F.array(*[F.struct(F.lit(r[0]).alias("relationship"), F.col(r[2]).cast("bigint").alias("key"))
+                          for r in rels])
+        c = (child.select(F.explode(pairs).alias("p")).groupBy("p.relationship", "p.key")
+             .agg(F.count(F.lit(1)).alias("n_rows")))
+        children = c if children is None else children.unionByName(c)
+    for name, _, _, table, column in RELATIONSHIPS:
+        k = read_table(spark, sf_dir, table, column).select(F.lit(name).alias("relationship"),
+                                                            F.col(column).cast("bigint").alias("key"))
+        parents = k if parents is None else parents.unionByName(k)
+    orphans = children.join(parents, ["relationship", "key"], "left_anti")
+    found = orphans.groupBy("relationship").agg(F.sum("n_rows").alias("orphan_rows"))
+    names = spark.createDataFrame([(r[0],) for r in RELATIONSHIPS], "relationship string")
+    return names.join(found, "relationship", "left").select(
+        "relationship", F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
 def _national(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,19 +119,24 @@ def reconcile_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _status(v).alias("status"))
 
 
-def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = kpi.with_performance(analogue.build_fact(spark, sf_dir))
+def range_rules() -> dict[str, F.Column]:
+    """Rule name -> condition that breaks it, for one fact row with its performance (H6)."""
     neg = F.lit(False)
     for c in analogue.MEASURES:
         neg = neg | (F.col(c) < 0)
     type_sum = F.col("attendances_type1") + F.col("attendances_type2") + F.col("attendances_type3")
-    rules = {
+    return {
         "performance_outside_0_100": (F.col("performance_pct") < 0) | (F.col("performance_pct") > 100),
         "negative_count": neg,
         "breaches_exceed_attendances": F.col("breaches_total") > F.col("attendances_total"),
         "type_sum_exceeds_total": type_sum > F.col("attendances_total"),
         "dta_12hr_exceeds_4hr": F.col("dta_breaches_12hr") > F.col("dta_breaches_4hr"),
     }
+
+
+def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = kpi.with_performance(analogue.build_fact(spark, sf_dir))
+    rules = range_rules()
     g = f.agg(*[F.count_if(cond).alias(name) for name, cond in rules.items()])
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])
     return g.select(F.explode(pairs).alias("r")).select("r.rule", "r.violations")
@@ -136,15 +154,18 @@ def dq_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.col("n_providers") < F.lit(VOLUME_DROP_RATIO) * mean, F.lit(False)).alias("volume_drop"))
 
 
+def _expected_period(as_of: F.Column) -> F.Column:
+    prev = F.add_months(F.trunc(as_of, "month"), -1)
+    return F.when(C.expected_release_date(prev) <= as_of, prev).otherwise(F.add_months(prev, -1))
+
+
 def dq_freshness(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """Newest loaded month against the newest month already released at ``as_of``."""
     as_of_d = F.lit(as_of or analogue.PARAMS.as_of_date).cast("date")
     fact = analogue.build_fact(spark, sf_dir)
     newest = fact.agg(F.max("period_date").alias("newest_period"))
-    prev = F.add_months(F.trunc(as_of_d, "month"), -1)
-    expected = F.when(C.expected_release_date(prev) <= as_of_d, prev).otherwise(F.add_months(prev, -1))
     behind = F.months_between(F.col("expected_period"), F.col("newest_period")).cast("int")
-    return newest.select("newest_period", expected.alias("expected_period")).select(
+    return newest.select("newest_period", _expected_period(as_of_d).alias("expected_period")).select(
         "newest_period", "expected_period", behind.alias("months_behind"),
         F.when(behind <= 0, "fresh").otherwise("stale").alias("status"))
 
@@ -185,24 +206,58 @@ CHECK_TIERS = (("not_null", "fail"), ("unique", "warn"), ("relationship", "fail"
                ("freshness", "warn"))
 
 
+def _fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row with the failures of every check on the fact, from one pass: per-provider
+    windows, then one aggregate per month, then the published months joined in."""
+    star = analogue.build_star(spark, sf_dir)
+    f = kpi.with_performance(star.fact).join(star.dim_provider.select("provider_key", "trust_code"),
+                                             "provider_key", "left")
+    known = F.col("trust_code").isNotNull()
+    w = Window.partitionBy("provider_key").orderBy("period_date")
+    p, trailing = F.col("period_date"), w.rowsBetween(-12, -1)
+    f = (f.withColumn("_next", F.lead("period_date").over(w)).withColumn("_prev", F.lag("period_date").over(w))
+         .withColumn("_prev2", F.lag("period_date", 2).over(w))
+         .withColumn("_s", F.sum("attendances_total").over(trailing))
+         .withColumn("_n", F.count("attendances_total").over(trailing)))
+    second = p.eqNullSafe(F.col("_prev")) & p.isNotNull() & ~p.eqNullSafe(F.col("_prev2"))
+    low = F.lit(LOW_VALUE_RATIO) * F.col("attendances_total") * F.col("_n") < F.col("_s")
+    broken = sum((F.coalesce(c, F.lit(False)).cast("bigint") for c in range_rules().values()), F.lit(0))
+    per_month = f.groupBy("period_date").agg(
+        F.sum("attendances_total").cast("bigint").alias("our_value"), F.sum(broken).alias("range"),
+        F.count_if(known & second).alias("duplicates"),
+        F.count_if(known & (F.col("_next") > F.add_months(p, 1))).alias("gaps"),
+        F.count_if(known & (F.col("_n") > 0) & low).alias("low_values"))
+    j = per_month.withColumn("newest", p).join(analogue.published_totals(spark, sf_dir), "period_date", "full")
+    expected = _expected_period(F.lit(analogue.PARAMS.as_of_date).cast("date"))
+    behind = F.months_between(F.first(expected), F.max("newest")).cast("int")
+    failed = _status(F.col("our_value") - F.col("published_value")) == "FAIL"
+    return j.agg(F.count_if(failed).alias("reconcile_national"),
+                 *[F.sum(c).alias(c) for c in ("range", "duplicates", "gaps", "low_values")],
+                 F.greatest(behind, F.lit(0)).alias("freshness"))
+
+
+def _line_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-null and uniqueness of the lines in one pass, grouped by the line key."""
+    key, rest = ["l_orderkey", "l_linenumber"], [c for c in NOT_NULL_COLUMNS if c != "l_orderkey"]
+    li = read_table(spark, sf_dir, "lineitem", *key, *rest)
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in NOT_NULL_COLUMNS), F.lit(0))
+    g = li.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(nulls).alias("n_null"))
+    return g.agg(F.sum("n_null").alias("not_null"), F.count_if(F.col("n_rows") > 1).alias("unique"))
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = {
-        "not_null": dq_not_null(spark, sf_dir).agg(F.sum("null_count")),
-        "unique": dq_unique(spark, sf_dir).agg(F.count(F.lit(1))),
-        "relationship": dq_relationship(spark, sf_dir).agg(F.sum("orphan_rows")),
-        "reconcile_national": reconcile_national(spark, sf_dir).agg(F.count_if(F.col("status") == "FAIL")),
-        "range": dq_range(spark, sf_dir).agg(F.sum("violations")),
-        "duplicates": dq_duplicates(spark, sf_dir).agg(F.count(F.lit(1))),
-        "gaps": dq_gaps(spark, sf_dir).agg(F.count(F.lit(1))),
-        "low_values": dq_low(spark, sf_dir).agg(F.count(F.lit(1))),
-        "freshness": dq_freshness(spark, sf_dir).agg(F.sum(F.greatest(F.col("months_behind"), F.lit(0)))),
-    }
+    """One row per check with its failures and status (H11). The lines are read four times:
+    for their own checks, their foreign keys, the fact, and the published totals."""
+    tiers = dict(CHECK_TIERS)
     out = None
-    for name, tier in CHECK_TIERS:
-        df = counts[name].toDF("failures").select(
-            F.lit(name).alias("check_name"), F.lit(tier).alias("tier"),
-            F.coalesce(F.col("failures").cast("bigint"), F.lit(0).cast("bigint")).alias("failures"))
-        out = df if out is None else out.unionByName(df)
+    for df in (_line_checks(spark, sf_dir),
+               dq_relationship(spark, sf_dir).agg(F.sum("orphan_rows").alias("relationship")),
+               _fact_checks(spark, sf_dir)):
+        rows = F.array(*[F.struct(F.lit(c).alias("check_name"), F.lit(tiers[c]).alias("tier"),
+                                  F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")).alias("failures"))
+                         for c in df.columns])
+        part = df.select(F.explode(rows).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(F.col("tier")))
 
 
