@@ -32,6 +32,19 @@ def scd2_from_history(history: DataFrame, key: str, order_col: str, attr_cols: S
                     F.xxhash64(key, "valid_from").alias("provider_version_key"))
 
 
+def with_version_in_force(rows: DataFrame, versions: DataFrame, key: str, period_col: str,
+                          version_cols: Sequence[str]) -> DataFrame:
+    """Each row with the version of its key in force in its period (E5): valid_from <= period
+    < valid_to, an open end being current. The join is on the key, with the interval as a
+    further condition, so it shuffles by key and a key meets only its own versions. Versions
+    of a key do not overlap, so rows keep their number; a row without a version keeps NULLs."""
+    v = versions.select(F.col(key).alias("_key"), "valid_from", "valid_to", *version_cols)
+    p = F.col(period_col)
+    j = rows.join(v, (F.col(key) == F.col("_key")) & (p >= F.col("valid_from"))
+                  & (F.col("valid_to").isNull() | (p < F.col("valid_to"))), "left")
+    return j.drop("_key", "valid_from", "valid_to")
+
+
 def resolve_bridge(bridge: DataFrame) -> DataFrame:
     """Every predecessor with all its successors (E4): old_code, new_code, hop and the half-open
     interval [effective_from, effective_to) in which that successor stands for it. A successor

@@ -80,7 +80,8 @@ def _scalar_queries() -> dict[str, QueryFn]:
 
 
 def _dimension_queries() -> dict[str, QueryFn]:
-    names = ["dim_provider_scd2", "org_bridge", "crs_exclusion", "partial_flag", "type_unpivot",
+    names = ["dim_provider_scd2", "org_bridge", "org_bridge_comparable", "fact_provider_version", "geo_rollup_asof",
+             "crs_exclusion", "partial_flag", "type_unpivot",
              "missing_submissions", "actual_only"]
     return {n: getattr(dimensions, n) for n in names}
 

@@ -5,8 +5,9 @@ Derived inputs, all computed from the driver tables:
 - provider attribute history: every reported (provider, month) with the provider's
   name and ICB as published that month; providers with key divisible by 10 are renamed
   from RENAME_FROM, those divisible by 15 move to the next nation's ICB from MOVE_FROM.
-- org bridge: providers with key divisible by 25 merge into the provider one below
-  from MERGE_FROM.
+- org bridge: of every 25 providers the last three merge into the one below, each from
+  its own date in MERGERS, so that chains of one, two and three links occur, the later
+  link of a chain being in force before or after the earlier one.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from edpanel.sources.tables import read_table
 RENAME_FROM = "1998-01-01"
 RENAME_SUFFIX = " (renamed)"
 MOVE_FROM = "1999-07-01"
-MERGE_FROM = "1999-01-01"
+MERGERS = ((0, "1999-01-01"), (24, "2000-07-01"), (23, "1997-01-01"))   # (key mod 25, from)
 
 
 def provider_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,20 +50,51 @@ def dim_provider_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def org_bridge_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", "s_suppkey")
-    return s.where((F.pmod(F.col("s_suppkey"), F.lit(25)) == 0) & (F.col("s_suppkey") > 1)).select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("old_code"),
-        F.concat(F.lit("S"), (F.col("s_suppkey") - 1).cast("string")).alias("new_code"),
-        F.lit(MERGE_FROM).cast("date").alias("effective_from"))
+    k = F.col("s_suppkey")
+    since = F.lit(None).cast("date")
+    for rest, day in MERGERS:
+        since = F.when(F.pmod(k, F.lit(25)) == rest, F.lit(day).cast("date")).otherwise(since)
+    return s.select(
+        F.concat(F.lit("S"), k.cast("string")).alias("old_code"),
+        F.concat(F.lit("S"), (k - 1).cast("string")).alias("new_code"),
+        since.alias("effective_from")).where(F.col("effective_from").isNotNull())
 
 
-def org_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+def org_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = analogue.build_star(spark, sf_dir)
-    rows = star.fact.join(star.dim_provider, "provider_key").select(
+    return star.fact.join(star.dim_provider, "provider_key").select(
         F.col("trust_code").alias("org_code"), "period_date", "attendances_total", "breaches_total")
-    return D.apply_bridge(rows, org_bridge_seed(spark, sf_dir), "org_code", "period_date",
+
+
+def org_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.apply_bridge(org_rows(spark, sf_dir), org_bridge_seed(spark, sf_dir), "org_code", "period_date",
                           ["attendances_total", "breaches_total"])
 
 
+def org_bridge_comparable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comparable series: every period under the last successor, across the merger."""
+    return D.apply_bridge(org_rows(spark, sf_dir), org_bridge_seed(spark, sf_dir), "org_code", "period_date",
+                          ["attendances_total", "breaches_total"], comparable=True)
+
+
+def fact_provider_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact under the provider version in force in each period (E5)."""
+    return D.with_version_in_force(org_rows(spark, sf_dir), dim_provider_scd2(spark, sf_dir), "org_code",
+                                   "period_date", ["version_no", "org_name", "icb_name"])
+
+
+def geo_rollup_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ICB and national totals per month, each provider under the ICB of the time."""
+    f = fact_provider_version(spark, sf_dir)
+    within = F.col("attendances_total") - F.col("breaches_total")
+    g = (f.groupingSets([["period_date", "icb_name"], ["period_date"]], "period_date", "icb_name")
+         .agg(F.sum("attendances_total").cast("bigint").alias("total_attendances"),
+              F.sum(within).cast("bigint").alias("within_4hrs"), F.grouping_id().alias("gid")))
+    return g.select("period_date", F.when(F.col("gid") == 0, "icb").otherwise("national").alias("geo_level"),
+                    "icb_name", "total_attendances", "within_4hrs",
+                    C.pct("within_4hrs", "total_attendances").alias("performance_pct"))
+
+
 def crs_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """National 4-hour performance per month with and without field-test providers."""
     star = analogue.build_star(spark, sf_dir)

@@ -543,16 +543,51 @@ def dimensions_sql() -> dict[str, str]:
         SELECT org_code, version_no, org_name, icb_name, valid_from,
           LEAD(valid_from) OVER (PARTITION BY org_code ORDER BY version_no) AS valid_to,
           LEAD(valid_from) OVER (PARTITION BY org_code ORDER BY version_no) IS NULL AS is_current FROM g""")
-    q["org_bridge"] = with_star("""b AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS old_code,
-          'S' || CAST(s_suppkey - 1 AS VARCHAR) AS new_code, DATE '1999-01-01' AS effective_from
-          FROM supplier WHERE s_suppkey % 25 = 0 AND s_suppkey > 1),
+    # The walk follows, per reported row, the links in force in its period (or all links)
+    # until none is left.
+    for name, in_force in (("org_bridge", "AND w.period_date >= b.effective_from"), ("org_bridge_comparable", "")):
+        q[name] = with_star(f"""b AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS old_code,
+          'S' || CAST(s_suppkey - 1 AS VARCHAR) AS new_code,
+          CASE s_suppkey % 25 WHEN 0 THEN DATE '1999-01-01' WHEN 24 THEN DATE '2000-07-01'
+                              ELSE DATE '1997-01-01' END AS effective_from
+          FROM supplier WHERE s_suppkey % 25 IN (0, 23, 24)),
         r AS (SELECT p.trust_code AS org_code, f.period_date, attendances_total, breaches_total
-              FROM fact f JOIN prov p USING (provider_key))
-        SELECT COALESCE(b.new_code, r.org_code) AS org_code, r.period_date,
+              FROM fact f JOIN prov p USING (provider_key)),
+        walk(org_code, period_date, cur, depth) AS (
+          SELECT org_code, period_date, org_code, 0 FROM r
+          UNION ALL
+          SELECT w.org_code, w.period_date, b.new_code, w.depth + 1
+          FROM walk w JOIN b ON w.cur = b.old_code {in_force}),
+        last AS (SELECT org_code, period_date, arg_max(cur, depth) AS cur FROM walk GROUP BY org_code, period_date)
+        SELECT last.cur AS org_code, r.period_date,
           CAST(SUM(attendances_total) AS BIGINT) AS attendances_total, CAST(SUM(breaches_total) AS BIGINT) AS breaches_total,
           COUNT(DISTINCT r.org_code) AS n_source_codes
-        FROM r LEFT JOIN b ON r.org_code = b.old_code AND r.period_date >= b.effective_from
-        GROUP BY COALESCE(b.new_code, r.org_code), r.period_date""")
+        FROM r JOIN last ON r.org_code = last.org_code AND r.period_date = last.period_date
+        GROUP BY last.cur, r.period_date""").replace("WITH ", "WITH RECURSIVE ", 1)
+    # What a provider was called in a month is what it published that month.
+    published = f"""h AS (
+          SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS org_code, f.period_date, f.attendances_total, f.breaches_total,
+            CASE WHEN s_suppkey % 10 = 0 AND f.period_date >= DATE '1998-01-01' THEN s_name || ' (renamed)'
+                 ELSE s_name END AS org_name, n.n_name AS icb_name
+          FROM fact f JOIN supplier s ON f.provider_key = s.s_suppkey
+          LEFT JOIN nation n ON n.n_nationkey = CASE WHEN s_suppkey % 15 = 0 AND f.period_date >= DATE '1999-07-01'
+                                                     THEN (s_nationkey + 1) % 25 ELSE s_nationkey END)"""
+    q["fact_provider_version"] = with_star(published + """,
+        c AS (SELECT *, CASE WHEN ROW_NUMBER() OVER w = 1
+                               OR LAG(org_name) OVER w IS DISTINCT FROM org_name
+                               OR LAG(icb_name) OVER w IS DISTINCT FROM icb_name THEN 1 ELSE 0 END AS chg
+              FROM h WINDOW w AS (PARTITION BY org_code ORDER BY period_date))
+        SELECT org_code, period_date, attendances_total, breaches_total,
+          CAST(SUM(chg) OVER (PARTITION BY org_code ORDER BY period_date
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS version_no,
+          org_name, icb_name FROM c""")
+    q["geo_rollup_asof"] = with_star(published + f""",
+        g AS (SELECT period_date, icb_name, GROUPING(icb_name) AS gid,
+          CAST(SUM(attendances_total) AS BIGINT) AS total_attendances,
+          CAST(SUM(attendances_total - breaches_total) AS BIGINT) AS within_4hrs
+          FROM h GROUP BY GROUPING SETS ((period_date, icb_name), (period_date)))
+        SELECT period_date, CASE gid WHEN 0 THEN 'icb' ELSE 'national' END AS geo_level, icb_name,
+          total_attendances, within_4hrs, {P("within_4hrs", "total_attendances")} AS performance_pct FROM g""")
     q["crs_exclusion"] = with_star(f"""x AS (SELECT f.period_date, attendances_total AS t,
           attendances_total - breaches_total AS w,
           (f.provider_key BETWEEN 1 AND 14 AND f.period_date BETWEEN DATE '1997-05-01' AND DATE '2001-05-01') AS ft
