@@ -162,8 +162,9 @@ def coerce_text(c: str | Column) -> Column:
 
 def coerce_int(c: str | Column) -> Column:
     """'-', '1,234', blank, 'NaN', '12.5' -> NULL; ' 7 ' -> 7; '5.0' -> 5 (BIGINT)."""
-    d = F.trim(col(c)).try_cast("decimal(38,9)")
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    v = F.trim(col(c))
+    d = v.try_cast("decimal(38,9)")  # only for what is no plain integer: wide decimals are slow
+    return F.coalesce(v.try_cast("bigint"), F.when(d == F.floor(d), d.try_cast("bigint")))
 
 
 def coerce_int_rejected(c: str | Column) -> Column:
