@@ -35,7 +35,8 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_VALUE = 6
 
 _PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# Tried at the start of a run of token characters only, so a long run is read once.
+_JWT = re.compile(rb"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+)")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_ANY = re.compile(rb"[0-9A-Fa-f]{64,}")
 _OPENSSH = b"openssh-key-v1\0"
@@ -150,7 +151,7 @@ def find(data: bytes) -> list[tuple[int, int, int]]:
         if kind:
             out.append((m.start(), KINDS.index(kind), m.end()))
     if b"eyJ" in data:
-        out += [(m.start(), 6, m.end()) for m in _JWT.finditer(data) if signed_token(m[0])]
+        out += [(m.start(1), 6, m.end()) for m in _JWT.finditer(data) if signed_token(m[1])]
     return sorted(set(out))
 
 
