@@ -70,27 +70,29 @@ def row_diff(incoming: DataFrame, versions: DataFrame, key_cols: Sequence[str])
 
 
 def scd2_merge(versions: DataFrame, incoming: DataFrame, key_cols: Sequence[str], batch_ts: str,
-               source_version: str, carry_cols: Sequence[str] = ()) -> DataFrame:
+               source_version: str, carry_cols: Sequence[str] = (), source_order: str = "row_hash") -> DataFrame:
     """Level 3: expire REVISED current rows at ``batch_ts``, insert NEW and REVISED rows.
 
-    Returns the complete next versions table (history + kept + expired + inserted),
-    which the caller writes as a new table version (no in-place MERGE on Parquet)."""
-    ts = ts_literal(batch_ts)
-    diff = row_diff(incoming, versions, key_cols)
-    changed = diff.where(F.col("change_status") != UNCHANGED)
-    revised_keys = changed.where(F.col("change_status") == REVISED).select(*key_cols)
-    cur = versions.where(F.col("is_current"))
-    hist = versions.where(~F.col("is_current"))
-    expired = (cur.join(revised_keys, list(key_cols), "left_semi")
-               .withColumn("valid_to", ts).withColumn("is_current", F.lit(False)))
-    kept = cur.join(revised_keys, list(key_cols), "left_anti")
-    inserted = changed.select(*key_cols, *carry_cols, "row_hash",
-                              F.lit(source_version).alias("source_version"), ts.alias("valid_from"),
-                              F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-                              F.lit(True).alias("is_current"))
+    One full outer join of the current versions with the incoming rows, each pair giving
+    its next versions; history passes by (a table partitioned by ``is_current`` reads it
+    apart). Of incoming rows that share a key the last by ``source_order`` wins, so a key
+    has one current version. Returns the complete next versions table, which the caller
+    writes as a new table version (no in-place MERGE on Parquet)."""
+    ts, fields = ts_literal(batch_ts), [*carry_cols, "row_hash"]
+    cur = versions.where(F.col("is_current")).select(*key_cols, F.struct(*carry_cols, *VERSION_COLS).alias("_cur"))
+    inc = _non_null_keys(incoming, key_cols).groupBy(*key_cols).agg(F.max_by(F.struct(*fields), source_order).alias("_inc"))
+    cur_row, inc_row = F.col("_cur"), F.col("_inc")
+    changed = inc_row.isNotNull() & (cur_row.isNull() | (cur_row["row_hash"] != inc_row["row_hash"]))
+    expired = cur_row.withField("valid_to", ts).withField("is_current", F.lit(False))
+    inserted = F.struct(*[inc_row[c].alias(c) for c in fields], F.lit(source_version).alias("source_version"),
+                        ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+                        F.lit(True).alias("is_current"))
+    next_versions = F.array(F.when(changed & cur_row.isNotNull(), expired).otherwise(cur_row), F.when(changed, inserted))
+    merged = (cur.join(inc, list(key_cols), "full")
+              .select(*key_cols, F.explode(F.filter(next_versions, lambda v: v.isNotNull())).alias("_v"))
+              .select(*key_cols, "_v.*"))
     cols = [*key_cols, *carry_cols, *VERSION_COLS]
-    return (hist.select(*cols).unionByName(expired.select(*cols)).unionByName(kept.select(*cols))
-            .unionByName(inserted.select(*cols)))
+    return versions.where(~F.col("is_current")).select(*cols).unionByName(merged.select(*cols))
 
 
 def empty_versions(incoming: DataFrame, key_cols: Sequence[str], carry_cols: Sequence[str] = ()) -> DataFrame:

@@ -67,6 +67,13 @@ def drift_no_header(missing_headers: DataFrame) -> DataFrame:
                                   F.lit("halted").alias("action_taken"))
 
 
+def drift_no_period(sheets: DataFrame, periods: DataFrame) -> DataFrame:
+    """Data sheets whose reporting month could not be read: the load stops."""
+    return sheets.select(*KEY).join(periods.where(F.col("period_date").isNotNull()), KEY, "left_anti").select(
+        *KEY, F.lit("no_period").alias("drift_type"), F.lit("no readable period in the metadata rows").alias("column_detail"),
+        F.lit("halted").alias("action_taken"))
+
+
 def drift_log(*parts: DataFrame) -> DataFrame:
     """Union of drift rows."""
     out = parts[0]

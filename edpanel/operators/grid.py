@@ -199,14 +199,20 @@ def drop_footnotes(wide: DataFrame, code_pattern: str = FOOTNOTE_CODE_PATTERN,
                       & F.coalesce(~name.rlike(name_pattern), F.lit(True)))
 
 
+PERCENT_SALTS = 64
+
+
 def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str]) -> DataFrame:
     """Put percent columns on a 0–100 scale (C10): a column is multiplied by 100 within a
     group (a workbook) when every value of it in that group lies within [-1, 1]. The
-    per-group maxima are one partial/final aggregate joined back on the group key."""
+    per-group maxima are one partial/final aggregate joined back on the group key and a
+    salt of the row, so a workbook with a third of all rows is spread over tasks."""
     if not pct_cols:
         return df
     scale = df.groupBy(*group_cols).agg(*[F.max(F.abs(c)).alias(f"_max_{c}") for c in pct_cols])
-    out = df.join(scale, group_cols, "left")
+    scale = scale.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PERCENT_SALTS - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(PERCENT_SALTS)).cast("int"))
+    out = salted.join(scale, [*group_cols, "_salt"], "left").drop("_salt")
     for c in pct_cols:
         factor = F.when(F.col(f"_max_{c}") <= 1, F.lit(100)).otherwise(F.lit(1))
         out = out.withColumn(c, (F.col(c) * factor).cast("decimal(18,6)")).drop(f"_max_{c}")

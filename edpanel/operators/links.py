@@ -3,13 +3,16 @@
 - :func:`file_hashes` reads files as bytes with the ``binaryFile`` source: one row per
   file, hashed in the executor that read it.
 - :func:`resolve_links` finds, per page, the first anchor (document order) whose text
-  matches a pattern, and absolutises its href against the page URL. Pages are
-  independent, so the work is a per-row ``posexplode`` plus one min-by aggregate keyed
-  by page.
+  matches a pattern, and absolutises its href against the page URL; :func:`resolve_files`
+  is the second step on a category page. Pages are independent: one projection, no shuffle.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,16 +22,23 @@ HREF_PATTERN = r"""(?is)^<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'
 ANCHOR_TEXT_PATTERN = r"(?is)^<a\b[^>]*>(.*)</a>$"
 EXCLUDED_TEXT = "time series"
 FILE_SUFFIX_PATTERN = r"(?i)\.xlsx?$"
+FILE_TEXTS = ("monthly a&e", "monthly ae")
 
 
 def file_hashes(spark: SparkSession, path_glob: str) -> DataFrame:
-    """name, size and SHA-256 of every file matching ``path_glob`` (A1)."""
+    """name, size and SHA-256 of every file matching ``path_glob`` (A1). The source holds a
+    file in one row and raises on files beyond 2 GiB."""
     raw = spark.read.format("binaryFile").load(path_glob)
     return raw.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                       F.col("length").alias("size_bytes"),
                       F.sha2(F.col("content"), 256).alias("sha256"))
 
 
+def content_hashes(rows: DataFrame, content_col: str) -> DataFrame:
+    """``rows`` with the size in bytes and the SHA-256 of a text or binary column (A1)."""
+    return rows.withColumns({"size_bytes": F.octet_length(content_col).cast("long"), "sha256": F.sha2(F.col(content_col), 256)})
+
+
 def read_archived(spark: SparkSession, archive_root: str, ingest_date: str) -> DataFrame:
     """Read back archived raw files of one ingest date (A5): the archive is partitioned
     by ``ingest_date``, so the filter prunes to that one folder."""
@@ -68,24 +78,35 @@ def absolutise(href: F.Column, page_url: F.Column) -> F.Column:
             .otherwise(F.concat(folder, href)))
 
 
+def first_anchor(html: F.Column, keep: Callable[[F.Column, F.Column], F.Column]) -> F.Column:
+    """The first anchor with a real href for which ``keep(text, href)`` holds, in document
+    order: struct(pos, text, href), or NULL. Array functions only, so no row leaves its page."""
+    anchors = F.transform(F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), F.lit(0)), lambda a, i: F.struct(
+        i.alias("pos"), anchor_text(a).alias("text"),
+        decode_entities(F.regexp_replace(F.regexp_extract(a, HREF_PATTERN, 1), "^[\"']|[\"']$", "")).alias("href")))
+    return F.get(F.filter(anchors, lambda a: (a["href"] != "") & keep(a["text"], a["href"])), F.lit(0))
+
+
+def _resolved(pages: DataFrame, keep: Callable[[F.Column, F.Column], F.Column]) -> DataFrame:
+    found = pages.select("page_id", "url", first_anchor(F.col("html"), keep).alias("m"))
+    return found.select("page_id", F.col("m.pos").alias("anchor_pos"), F.col("m.text").alias("link_text"),
+                        absolutise(F.col("m.href"), F.col("url")).alias("resolved_url"),
+                        F.when(F.col("m").isNull(), F.lit("no_match")).otherwise(F.lit("found")).alias("status"))
+
+
 def resolve_links(pages: DataFrame, text_pattern: str) -> DataFrame:
     """Per page (A3): the first anchor whose text matches ``text_pattern`` and does not
     mention a time series. ``link_kind`` is 'file' for a direct spreadsheet link and
     'category' otherwise; pages without a match get status 'no_match'."""
-    anchors = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR_PATTERN), 0))
-                           .alias("pos", "anchor"))
-    cand = anchors.select("page_id", "url", "pos", anchor_text(F.col("anchor")).alias("link_text"),
-                          F.regexp_extract("anchor", HREF_PATTERN, 1).alias("raw"))
-    cand = cand.where(F.col("raw") != "").withColumn("href", decode_entities(F.regexp_replace("raw", "^[\"']|[\"']$", "")))
-    cand = cand.where(F.col("link_text").rlike(text_pattern)
-                      & ~F.lower(F.col("link_text")).contains(EXCLUDED_TEXT))
-    first = cand.groupBy("page_id", "url").agg(F.min(F.struct("pos", "link_text", "href")).alias("m"))
-    found = first.select("page_id", F.col("m.pos").alias("anchor_pos"), F.col("m.link_text").alias("link_text"),
-                         absolutise(F.col("m.href"), F.col("url")).alias("resolved_url"))
-    found = found.select("*", F.when(F.col("resolved_url").rlike(FILE_SUFFIX_PATTERN), F.lit("file"))
-                         .otherwise(F.lit("category")).alias("link_kind"), F.lit("found").alias("status"))
-    missing = pages.select("page_id").join(found.select("page_id"), "page_id", "left_anti").select(
-        "page_id", F.lit(None).cast("int").alias("anchor_pos"), F.lit(None).cast("string").alias("link_text"),
-        F.lit(None).cast("string").alias("resolved_url"), F.lit(None).cast("string").alias("link_kind"),
-        F.lit("no_match").alias("status"))
-    return found.unionByName(missing)
+    found = _resolved(pages, lambda text, href: text.rlike(text_pattern) & ~F.lower(text).contains(EXCLUDED_TEXT))
+    kind = F.when(F.col("resolved_url").rlike(FILE_SUFFIX_PATTERN), F.lit("file")).when(F.col("status") == "found", F.lit("category"))
+    return found.select("page_id", "anchor_pos", "link_text", "resolved_url", kind.alias("link_kind"), "status")
+
+
+def resolve_files(pages: DataFrame, texts: Sequence[str] = FILE_TEXTS, href_pattern: str = FILE_SUFFIX_PATTERN) -> DataFrame:
+    """Second step (A3), over the category pages: the first anchor whose text contains one of
+    ``texts`` (lower case) and whose href matches ``href_pattern``."""
+    def keep(text, href):
+        low = F.lower(text)
+        return functools.reduce(operator.or_, [low.contains(t) for t in texts]) & href.rlike(href_pattern)
+    return _resolved(pages, keep)

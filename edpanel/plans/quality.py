@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edpanel.functions import columns as C
 from edpanel.operators import kpi
@@ -68,6 +69,37 @@ def dq_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
         "relationship", F.coalesce("orphan_rows", F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
+ACCEPTED_VALUES = (  # (table, column, accepted values); NULL is the business of the not-null check
+    ("lineitem", "l_returnflag", ("A", "N", "R")),
+    ("lineitem", "l_linestatus", ("F", "O")),
+    ("orders", "o_orderstatus", ("F", "O")),
+)
+
+
+def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: rows per value outside a column's accepted set; one pass per table, counted per value
+    before the shuffle."""
+    out = None
+    for table in dict.fromkeys(r[0] for r in ACCEPTED_VALUES):
+        rules = [r for r in ACCEPTED_VALUES if r[0] == table]
+        bad = F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(~F.col(c).isin(*ok), F.col(c)).alias("value"))
+                        for _, c, ok in rules])
+        rows = (read_table(spark, sf_dir, table, *[r[1] for r in rules]).select(F.explode(bad).alias("p")).select("p.*")
+                .where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+                .select(F.lit(table).alias("table_name"), "column_name", "value", "n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def shape_mismatches(df: DataFrame, expected: T.StructType) -> list[str]:
+    """How the layout of ``df`` differs from ``expected`` (names, order, types); the schema
+    is compared, no data is read."""
+    have, want = [(f.name, f.dataType) for f in df.schema], [(f.name, f.dataType) for f in expected]
+    out = [f"missing {n}" for n, _ in want if n not in dict(have)] + [f"unexpected {n}" for n, _ in have if n not in dict(want)]
+    out += [f"{n} is {t.simpleString()}, not {dict(want)[n].simpleString()}" for n, t in have if n in dict(want) and t != dict(want)[n]]
+    return out if out or have == want else ["column order"]
+
+
 def _national(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = analogue.build_fact(spark, sf_dir)
     return fact.groupBy("period_date").agg(F.sum("attendances_total").cast("bigint").alias("our_value"))

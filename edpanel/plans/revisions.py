@@ -10,11 +10,14 @@ Staged rows use the staging layout (period, org code/name, counts); the key is
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edpanel.operators import changes
+from edpanel.operators import changes, sinks
 from edpanel.plans import analogue
+from edpanel.session import scratch_path
 
 LATE_LINE = 7
 KEY = ("period_date", "org_code")
@@ -42,8 +45,12 @@ def staged(spark: SparkSession, sf_dir: str, release: str) -> DataFrame:
 
 
 def versions_after_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions table as the load of the first release leaves it: written to the shared
+    folder by ``is_current``, so later merges read current rows and history apart."""
     first = staged(spark, sf_dir, "first")
-    return changes.scd2_merge(changes.empty_versions(first, KEY, CARRY), first, KEY, T_FIRST, "first", CARRY)
+    merged = changes.scd2_merge(changes.empty_versions(first, KEY, CARRY), first, KEY, T_FIRST, "first", CARRY)
+    table = sinks.VersionedTable(spark, scratch_path(spark, f"versions/{uuid.uuid4().hex}"))
+    return table.read(table.write_next(merged, "is_current"), merged.schema)
 
 
 def versions_after_revised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,8 +163,9 @@ def ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ A1, A3
 def raw_file_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: every driver table file read as bytes; name, size and SHA-256 per file."""
-    return links.file_hashes(spark, f"{sf_dir}/*.parquet")
+    """A1: each document is a raw file; size and SHA-256 of its bytes."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return links.content_hashes(docs, "text").select("doc_id", "size_bytes", "sha256")
 
 
 # Analogue link-search pattern (the monthly-file pattern has no hits in the driver pages).
@@ -176,3 +177,14 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     are reported with status 'no_match'."""
     p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
     return links.resolve_links(p, ANALOGUE_LINK_PATTERN)
+
+
+# Analogue texts and href ending of the second step (fixed values).
+ANALOGUE_FILE_TEXTS = ("the", "la", "der")
+ANALOGUE_FILE_PATTERN = r"(?i)[aeiou][.,;:!?]*$"
+
+
+def link_file_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, second step, over all pages as category pages."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return links.resolve_files(p, ANALOGUE_FILE_TEXTS, ANALOGUE_FILE_PATTERN)
