@@ -856,8 +856,8 @@ def drift_sql() -> dict[str, str]:
         FROM fl WHERE period_date < DATE '1996-01-01'""")
     q["drift_unexpected"] = with_star(f"{files}\n{unexpected}")
     q["drift_missing"] = with_star(f"""{files}
-        SELECT file, sheet, 'missing_required' AS drift_type, 'x' AS column_detail, 'halted' AS action_taken
-        FROM fl WHERE false""")
+        SELECT file, sheet, 'missing_required' AS drift_type, 'attendances_type1' AS column_detail, 'halted' AS action_taken
+        FROM fl WHERE month(period_date) = 3""")
     q["drift_log"] = with_star(f"""{files}
         {unexpected}
         UNION ALL

@@ -3,8 +3,8 @@
 Two producers:
 
 - :func:`read_grid_csv` reads sheets exported as CSV text (one file per sheet, named
-  ``<workbook>__<sheet>.csv``). Each file is read whole by one task; the work scales
-  with the number of files.
+  ``<workbook>__<sheet>.csv``), :func:`read_sheets` those that :func:`write_sheets` wrote in
+  parts. Each file is read whole by one task; the work scales with the number of files.
 - :func:`render_activity_grid` lays the analogue's staged rows out as published monthly
   workbooks (branding rows, merged banner, two-row header, England total, footnotes,
   a notes sheet, column renames and additions over time), so the grid parser runs on
@@ -21,41 +21,58 @@ from pyspark.sql import functions as F
 from edpanel.functions import columns as C
 
 CELL_COLUMNS = ("file", "sheet", "row", "col", "value")
-CSV_FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# Separators put in place of line breaks and commas outside quotes; spreadsheet text cannot hold them.
+ROW_MARK, FIELD_MARK = "\x1e", "\x1f"
+PART_ROWS = 10_000                # rows of a sheet per written file
+
+
+def cells_of_text(sheets: DataFrame) -> DataFrame:
+    """CSV text of sheets (file, sheet, text, first_row) -> cells. Quotes may enclose commas,
+    doubled quotes and line breaks: the text is cut at its quotes, and only the pieces outside
+    them (the even ones) have their separators marked."""
+    pieces = F.transform(F.split(F.regexp_replace("text", "\r\n", "\n"), '"'), lambda x, i: F.when(
+        i % 2 == 0, F.translate(x, "\n,", ROW_MARK + FIELD_MARK)).otherwise(x))
+    rows = sheets.select("file", "sheet", "first_row", F.posexplode(F.split(F.array_join(pieces, '"'), ROW_MARK)).alias("row", "line"))
+    cells = rows.select("file", "sheet", (F.col("first_row") + F.col("row")).cast("int").alias("row"),
+                        F.posexplode(F.split("line", FIELD_MARK)).alias("col", "raw"))
+    value = F.regexp_replace(F.regexp_replace("raw", r'(?s)^"(.*)"$', "$1"), '""', '"')
+    return cells.select("file", "sheet", "row", F.col("col").cast("int").alias("col"), value.alias("value")).where(F.trim("value") != "")
 
 
 def read_grid_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV-exported sheets -> cells. ``path`` may be a folder or a glob."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("fname"), F.col("value").alias("text"))
-    base = F.regexp_replace("fname", r"\.csv$", "")
-    named = raw.select(
-        F.when(F.col("fname").contains("__"), F.split(base, "__").getItem(0)).otherwise(base).alias("file"),
-        F.when(F.col("fname").contains("__"), F.split(base, "__").getItem(1)).otherwise(F.lit("Sheet1")).alias("sheet"),
-        "text")
-    lines = named.select("file", "sheet", F.posexplode(F.split(F.regexp_replace("text", "\r\n", "\n"), "\n"))
-                         .alias("row", "line"))
-    cells = lines.select("file", "sheet", "row", F.posexplode(F.split("line", CSV_FIELD_SPLIT)).alias("col", "raw"))
-    unq = F.regexp_replace(F.regexp_replace("raw", r'^"(.*)"$', "$1"), '""', '"')
-    return (cells.select("file", "sheet", F.col("row").cast("int"), F.col("col").cast("int"), unq.alias("value"))
-            .where(F.trim("value") != ""))
-
-
-def write_grid_csv(cells: DataFrame, folder: str) -> None:
-    """Inverse of read_grid_csv for small fixtures: one CSV file per (file, sheet)."""
-    import csv
-    import os
-    rows = cells.collect()  # fixtures only
-    sheets: dict[tuple[str, str], dict[int, dict[int, str]]] = {}
-    for r in rows:
-        sheets.setdefault((r.file, r.sheet), {}).setdefault(r.row, {})[r.col] = r.value
-    os.makedirs(folder, exist_ok=True)
-    for (f, s), grid in sheets.items():
-        width = max(max(cols) for cols in grid.values()) + 1
-        with open(os.path.join(folder, f"{f}__{s}.csv"), "w", newline="", encoding="utf-8") as fh:
-            w = csv.writer(fh)
-            for r in range(max(grid) + 1):
-                w.writerow([grid.get(r, {}).get(c, "") for c in range(width)])
+    """CSV-exported sheets ``<workbook>__<sheet>.csv`` -> cells. ``path`` may be a folder or a glob."""
+    base = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
+    parts = F.split(base, "__", 2)
+    return cells_of_text(spark.read.text(path, wholetext=True).select(
+        parts[0].alias("file"), F.coalesce(F.get(parts, F.lit(1)), F.lit("Sheet1")).alias("sheet"),
+        F.col("value").alias("text"), F.lit(0).alias("first_row")))
+
+
+def _joined(items: F.Column, at: str, text: str, mark: str) -> F.Column:
+    """Texts of sorted structs joined by as many marks as their positions lie apart."""
+    def item(x, i):
+        before = F.when(i == 0, F.lit(0)).otherwise(F.get(items, i - 1)[at])
+        return F.concat(F.repeat(F.lit(mark), x[at] - before), x[text])
+    return F.array_join(F.transform(items, item), "")
+
+
+def write_sheets(cells: DataFrame, folder: str) -> None:
+    """Cells -> CSV text under ``file=/sheet=/first_row=`` folders. A file holds PART_ROWS rows of a
+    sheet at most, so no task gathers a whole long sheet."""
+    quoted = F.when(F.col("value").rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace("value", '"', '""'), F.lit('"'))).otherwise(F.col("value"))
+    first = (F.col("row") - F.col("row") % PART_ROWS).alias("first_row")
+    lines = cells.groupBy("file", "sheet", first, (F.col("row") % PART_ROWS).alias("at")).agg(
+        F.array_sort(F.collect_list(F.struct("col", quoted.alias("field")))).alias("cells"))
+    lines = lines.select("file", "sheet", "first_row", F.struct("at", _joined(F.col("cells"), "col", "field", ",").alias("line")).alias("row"))
+    texts = lines.groupBy("file", "sheet", "first_row").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    (texts.select("file", "sheet", "first_row", _joined(F.col("rows"), "at", "line", "\n").alias("text"))
+     .write.partitionBy("file", "sheet", "first_row").text(folder))
+
+
+def read_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of the sheets written by :func:`write_sheets`."""
+    schema = "value string, file string, sheet string, first_row int"
+    return cells_of_text(spark.read.schema(schema).text(folder, wholetext=True).withColumnRenamed("value", "text"))
 
 
 # ----------------------------------------------------------------- analogue render
@@ -172,7 +189,7 @@ def render_activity_grid(staged_rows: DataFrame, regions: DataFrame) -> DataFram
                                 F.explode(F.array(*meta_structs)).alias("m")).select(
         "file", "sheet", F.col("m.r").alias("row"), "m.col", "m.value")
     source_rows = periods.select(workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"),
-                                 F.explode(F.sequence(F.lit(2), b - 1)).alias("row")).select(
+                                 F.explode(F.when(b > 2, F.sequence(F.lit(2), b - 1))).alias("row")).select(
         "file", "sheet", "row", F.lit(0).alias("col"),
         F.concat(F.lit("Source: monthly situation report, release line "), F.col("row").cast("string")).alias("value"))
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import os
+
+import pytest
 
 from edpanel.operators import grid
+from edpanel.plans import ingest
 from edpanel.plans.ingest import parse_cells
 from edpanel.sources import grid as grid_src
 from edpanel.sources.registry import default_registry
@@ -110,14 +115,56 @@ def test_percent_columns_normalised_per_workbook(spark):
     assert got == {"frac.xls": 71.3, "pct.xls": 71.3}
 
 
+def write_grid_csv(cells: DataFrame, folder: str) -> None:
+    """One CSV file per (file, sheet), written by the csv module."""
+    rows = cells.collect()
+    sheets: dict[tuple[str, str], dict[int, dict[int, str]]] = {}
+    for r in rows:
+        sheets.setdefault((r.file, r.sheet), {}).setdefault(r.row, {})[r.col] = r.value
+    os.makedirs(folder, exist_ok=True)
+    for (f, s), grid in sheets.items():
+        width = max(max(cols) for cols in grid.values()) + 1
+        with open(os.path.join(folder, f"{f}__{s}.csv"), "w", newline="", encoding="utf-8") as fh:
+            w = csv.writer(fh)
+            for r in range(max(grid) + 1):
+                w.writerow([grid.get(r, {}).get(c, "") for c in range(width)])
+
+
+AWKWARD = [["Code", "Name, full", 'say "hi"', "Name\nof provider"], ["R1", "A", '"', ",\n,"], [], ["R2", "", "", 'x""y']]
+
+
 def test_csv_export_round_trip(spark, tmp_path):
-    rows = sheet("w.xls", "data", [["Code", "Name, full", 'say "hi"'], ["R1", "A", "1"]])
-    cells = cells_df(spark, rows)
-    grid_src.write_grid_csv(cells, str(tmp_path))
+    rows = sheet("w.xls", "data__2", AWKWARD)
+    write_grid_csv(cells_df(spark, rows), str(tmp_path))
     back = grid_src.read_grid_csv(spark, str(tmp_path))
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
 
 
+def test_written_sheets_round_trip(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(grid_src, "PART_ROWS", 2)
+    rows = sheet("w.xls", "data__2", AWKWARD) + sheet("v.xls", "Notes", [[], [], [], ["", "late"]])
+    grid_src.write_sheets(cells_df(spark, rows), str(tmp_path / "s"))
+    assert sorted(tuple(r) for r in grid_src.read_sheets(spark, str(tmp_path / "s")).collect()) == sorted(rows)
+
+
+def test_grid_scan_equals_render(spark, sf_dir):
+    want, got = (sorted(tuple(r) for r in df.collect()) for df in (ingest.analogue_cells(spark, sf_dir), ingest.q_grid_cells(spark, sf_dir)))
+    assert got == want and len(got) > 10_000
+
+
+def test_load_writes_only_when_no_gate_halts(spark, tmp_path):
+    def load(cells, name):
+        ingest.load_staging(parse_cells(cells_df(spark, cells), materialize=False), str(tmp_path / name), "hash", "http://h/f.xls", "2015-07-09 08:00:00")
+    load(sheet("f.xls", "data", activity_rows()), "good")
+    rows = {r.org_code: r for r in spark.read.parquet(str(tmp_path / "good")).collect()}
+    assert sorted(rows) == ["R1H", "RQM"]
+    assert (rows["R1H"].source_file_name, rows["R1H"].source_file_hash, rows["R1H"].attendances_total) == ("f.xls", "hash", 1241)
+    for name, cells in (("period", activity_rows(period="soon")), ("column", [["Code", "Name"], ["R1", "A"]]), ("header", [["Provider"], ["R1"]])):
+        with pytest.raises(ingest.LoadHaltedError):
+            load(sheet("f.xls", "data", cells), name)
+        assert not (tmp_path / name).exists()
+
+
 def test_footnote_filter_rules(spark):
     df = spark.createDataFrame([("R1", "A"), (None, "x"), (" - ", "x"), ("Total", "x"), ("R2", "England"),
                                 ("R3", "Total acute"), ("R4", None), ("R5", "Notes"), ("R6", "Eng")],

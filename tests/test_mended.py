@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
 from edpanel.operators import dimensions as D
-from edpanel.operators import grid, links, sinks
+from edpanel.operators import changes, grid, links, sinks
+from edpanel.plans import quality
 from edpanel.session import scratch_path
 
 
@@ -64,3 +65,27 @@ def test_links_need_a_real_href(spark):
 def test_bare_year_is_no_period(spark):
     df = spark.createDataFrame([("2015",), ("42156",), ("June 2015",)], "v string")
     assert [r.p for r in df.select(grid.parse_month_text(F.col("v")).alias("p")).collect()] == [None, dt.date(2015, 6, 1), dt.date(2015, 6, 1)]
+
+
+def test_second_link_step(spark):
+    html = ['<a href="/a.pdf">Monthly A&amp;E</a><a href="/b.XLS">the monthly A&amp;E file</a>', '<a href="/c.xls">quarterly</a>', None]
+    pages = spark.createDataFrame([(k, "http://h.org/p", h) for k, h in enumerate(html)], "page_id long, url string, html string")
+    got = {r.page_id: (r.anchor_pos, r.resolved_url, r.status) for r in links.resolve_files(pages).collect()}
+    assert got == {0: (1, "http://h.org/b.XLS", "found"), 1: (None, None, "no_match"), 2: (None, None, "no_match")}
+
+
+def test_merge_keeps_one_current_version_of_a_repeated_key(spark):
+    rows = spark.createDataFrame([("A", 1, 10), ("A", 2, 11), ("B", 1, 5), (None, 3, 1)], "org string, line int, v long")
+    rows = changes.with_row_hash(rows, ["org", "v"])
+    first = changes.scd2_merge(changes.empty_versions(rows, ["org"], ["v"]), rows, ["org"], "2024-01-01 00:00:00", "s1", ["v"], "line")
+    assert sorted((r.org, r.v, r.is_current) for r in first.collect()) == [("A", 11, True), ("B", 5, True)]
+    again = changes.scd2_merge(first, rows.where("v <= 10"), ["org"], "2024-02-01 00:00:00", "s2", ["v"], "line")
+    assert sorted((r.org, r.v, r.is_current) for r in again.collect()) == [("A", 10, True), ("A", 11, False), ("B", 5, True)]
+
+
+def test_layout_check(spark):
+    want = spark.range(1).selectExpr("id", "'x' as name").schema
+    assert quality.shape_mismatches(spark.range(1).selectExpr("id", "'y' as name"), want) == []
+    assert quality.shape_mismatches(spark.range(1).selectExpr("'y' as name", "id"), want) == ["column order"]
+    assert quality.shape_mismatches(spark.range(1).selectExpr("cast(id as int) as id", "1 as more"), want) == [
+        "missing name", "unexpected more", "id is int, not bigint"]
