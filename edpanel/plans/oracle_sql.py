@@ -416,6 +416,57 @@ def revisions_sql() -> dict[str, str]:
     return q
 
 
+def _workbook_cells(within: str, milli: str) -> str:
+    """CTE ``cells``: the published workbooks, cell by cell, as FIXTURES describes them."""
+    tenths = T(within, "attendances_total")
+    percent = (f"CASE WHEN attendances_total > 0 THEN CASE WHEN year(period_date) % 2 = 0 "
+               f"THEN CAST({milli} // 1000 AS VARCHAR) || '.' || lpad(CAST({milli} % 1000 AS VARCHAR), 3, '0') "
+               f"ELSE CAST({tenths} // 10 AS VARCHAR) || '.' || CAST({tenths} % 10 AS VARCHAR) END END")
+    late = "period_date >= DATE '2001-01-01'"
+    total_label = "CASE WHEN period_date < DATE '1996-01-01' THEN 'Total Attendance' ELSE 'Total attendances' END"
+    types = ("Type 1 Departments - Major A&E", "Type 2 Departments - Single Specialty",
+             "Type 3 Departments - Other A&E/Minor Injury Unit")
+    columns = [("'Code'", "trust_code"), ("'Region'", "icb_name"), ("'Name'", "trust_name")]
+    columns += [(f"'{t}'", f"attendances_type{k + 1}") for k, t in enumerate(types)] + [(total_label, "attendances_total")]
+    columns += [(f"'{t}'", f"breaches_type{k + 1}") for k, t in enumerate(types)]
+    columns += [("'Total Attendances > 4 hours'", "breaches_total"), ("'Percentage in 4 hours or less (all)'", percent)]
+    columns += [(f"'{label}'", f"emergency_admissions_{c}") for label, c in (
+        ("Emergency Admissions via Type 1 A&E", "type1"), ("Emergency Admissions via Type 2 A&E", "type2"),
+        ("Emergency Admissions via Type 3 and 4 A&E", "type3"), ("Total Emergency Admissions via A&E", "via_ae"),
+        ("Other Emergency admissions (i.e not via A&E)", "other"), ("Total Emergency Admissions", "total"))]
+    columns += [(f"'Number of patients spending >{h} hours from decision to admit to admission'", f"dta_breaches_{h}hr") for h in (4, 12)]
+    columns += [(f"CASE WHEN {late} THEN 'Booked Type 1 appointments' END", f"CASE WHEN {late} THEN attendances_type1 END")]
+    banners = {3: "'A&E attendances'", 12: "'Emergency Admissions'", 20: f"CASE WHEN {late} THEN 'Appointments' END",
+               7: "'A&E attendances greater than 4 hours from arrival to admission, transfer or discharge'"}
+
+    def unnested(pairs, row):
+        items = ", ".join(f"{{'c': {c}, 'value': CAST({v} AS VARCHAR)}}" for c, v in pairs)
+        return f"{row} AS r, unnest([{items}]) AS x"
+
+    name = "'ae-activity-' || strftime(period_date, '%Y-%m') || '.xls' AS file, b, period_date"
+    period = ("CASE month(period_date) % 3 WHEN 0 THEN strftime(period_date, '%B %Y') WHEN 1 THEN strftime(period_date, '%b %Y') "
+              "ELSE strftime(period_date, '%b-%Y') END")
+    parts = [
+        f"SELECT file, sheet, {unnested([(k, v) for k, (_, v) in enumerate(columns)], 'b + 3 + provider_key')} FROM body",
+        f"SELECT file, sheet, {unnested([(k, v) for k, (v, _) in enumerate(columns)], 'b + 1')} FROM wb",
+        f"SELECT file, sheet, {unnested(banners.items(), 'b')} FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'A&E Attendances and Emergency Admissions'")], "0") + " FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'Period:'"), (2, period)], "1") + " FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'-'"), (2, "'England'"), (6, "total"), (10, "breaches")], "b + 2") + " FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'Note: figures for the latest month are provisional'")], "b + 5 + last") + " FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'Total for England includes independent sector providers'")], "b + 6 + last") + " FROM wb",
+        "SELECT file, sheet, " + unnested([(0, "'Source: monthly situation report, release line ' || k")], "k") +
+        " FROM (SELECT file, sheet, unnest(generate_series(2, b - 1)) AS k FROM wb)"]
+    parts += [f"SELECT file, 'Notes', {unnested([(0, chr(39) + t + chr(39))], str(k))} FROM wb" for k, t in enumerate(
+        ("Notes", "Figures are provisional and subject to revision", "Type 1: consultant-led 24-hour service"))]
+    return f"""months_b AS (SELECT *, (month(period_date) % 4) * 3 + 2 AS b FROM fact),
+        body AS (SELECT {name}, 'Provider Level Data' AS sheet, f.* EXCLUDE (b, period_date), p.* EXCLUDE (provider_key)
+          FROM months_b f JOIN prov p USING (provider_key)),
+        wb AS (SELECT file, sheet, b, period_date, max(provider_key) AS last, CAST(SUM(attendances_total) AS BIGINT) AS total,
+          CAST(SUM(breaches_total) AS BIGINT) AS breaches FROM body GROUP BY ALL),
+        cells AS (SELECT file, sheet, r, x.c AS c, x.value AS value FROM ({" UNION ALL ".join(parts)}))"""
+
+
 def ingest_sql() -> dict[str, str]:
     """Grid block: the rendered workbooks must parse back to the published rows."""
     staged_cols = ("attendances_type1, attendances_type2, attendances_type3, attendances_total, breaches_type1, "
@@ -438,6 +489,10 @@ def ingest_sql() -> dict[str, str]:
           {P(within, 'attendances_total')} AS recomputed_pct FROM fact f JOIN prov p USING (provider_key))
         SELECT period_date, org_code, source_pct, recomputed_pct,
           COALESCE(abs(source_pct - recomputed_pct) <= 0.05, false) AS consistent FROM x""")
+    cells = _workbook_cells(within, milli)
+    q["grid_cells"] = with_star(f"{cells} SELECT file, sheet, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col, value FROM cells WHERE value IS NOT NULL")
+    q["grid_profile"] = with_star(f"""{cells} SELECT file, sheet, CAST(max(r) + 1 AS INTEGER) AS n_rows, CAST(max(c) + 1 AS INTEGER) AS n_cols,
+          COUNT(value) AS non_blank_cells FROM cells WHERE value IS NOT NULL GROUP BY file, sheet""")
     return q
 
 
