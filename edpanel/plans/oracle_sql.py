@@ -416,6 +416,10 @@ def revisions_sql() -> dict[str, str]:
     return q
 
 
+DEPARTMENTS = ("Type 1 Departments - Major A&E", "Type 2 Departments - Single Specialty",
+               "Type 3 Departments - Other A&E/Minor Injury Unit")
+
+
 def _workbook_cells(within: str, milli: str) -> str:
     """CTE ``cells``: the published workbooks, cell by cell, as FIXTURES describes them."""
     tenths = T(within, "attendances_total")
@@ -424,11 +428,9 @@ def _workbook_cells(within: str, milli: str) -> str:
                f"ELSE CAST({tenths} // 10 AS VARCHAR) || '.' || CAST({tenths} % 10 AS VARCHAR) END END")
     late = "period_date >= DATE '2001-01-01'"
     total_label = "CASE WHEN period_date < DATE '1996-01-01' THEN 'Total Attendance' ELSE 'Total attendances' END"
-    types = ("Type 1 Departments - Major A&E", "Type 2 Departments - Single Specialty",
-             "Type 3 Departments - Other A&E/Minor Injury Unit")
     columns = [("'Code'", "trust_code"), ("'Region'", "icb_name"), ("'Name'", "trust_name")]
-    columns += [(f"'{t}'", f"attendances_type{k + 1}") for k, t in enumerate(types)] + [(total_label, "attendances_total")]
-    columns += [(f"'{t}'", f"breaches_type{k + 1}") for k, t in enumerate(types)]
+    columns += [(f"'{t}'", f"attendances_type{k + 1}") for k, t in enumerate(DEPARTMENTS)] + [(total_label, "attendances_total")]
+    columns += [(f"'{t}'", f"breaches_type{k + 1}") for k, t in enumerate(DEPARTMENTS)]
     columns += [("'Total Attendances > 4 hours'", "breaches_total"), ("'Percentage in 4 hours or less (all)'", percent)]
     columns += [(f"'{label}'", f"emergency_admissions_{c}") for label, c in (
         ("Emergency Admissions via Type 1 A&E", "type1"), ("Emergency Admissions via Type 2 A&E", "type2"),
@@ -491,6 +493,27 @@ def ingest_sql() -> dict[str, str]:
           COALESCE(abs(source_pct - recomputed_pct) <= 0.05, false) AS consistent FROM x""")
     cells = _workbook_cells(within, milli)
     q["grid_cells"] = with_star(f"{cells} SELECT file, sheet, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col, value FROM cells WHERE value IS NOT NULL")
+    mapped = [("org_code", 0, "Code"), ("org_name", 2, "Name")]
+    mapped += [(f"attendances_type{k + 1}", 3 + k, f"A&E attendances :: {t}") for k, t in enumerate(DEPARTMENTS)]
+    mapped += [("attendances_total", 6, "A&E attendances :: Total attendances")]
+    over = "A&E attendances greater than 4 hours from arrival to admission, transfer or discharge :: "
+    mapped += [("breaches_type1", 7, over + DEPARTMENTS[0]), ("breaches_total", 10, over + "Total Attendances > 4 hours"),
+               ("performance_all_pct", 11, over + "Percentage in 4 hours or less (all)")]
+    mapped += [(f"emergency_admissions_{c}", k, f"Emergency Admissions :: {label}") for c, k, label in (
+        ("type1", 12, "Emergency Admissions via Type 1 A&E"), ("via_ae", 15, "Total Emergency Admissions via A&E"),
+        ("other", 16, "Other Emergency admissions (i.e not via A&E)"), ("total", 17, "Total Emergency Admissions"))]
+    mapped += [(f"dta_breaches_{h}hr", k, f"Emergency Admissions :: Number of patients spending >{h} hours from decision to admit to admission")
+               for h, k in ((4, 18), (12, 19))]
+    pairs = ", ".join(f"('{n}', {k}, '{label}')" for n, k, label in mapped)
+    q["map_columns"] = with_star(f"""fl AS ({files})
+        SELECT file, sheet, m.canonical, m.col, CASE WHEN m.col = 6 AND period_date < DATE '1996-01-01'
+          THEN 'A&E attendances :: Total Attendance' ELSE m.compound END AS compound
+        FROM fl CROSS JOIN (VALUES {pairs}) m(canonical, col, compound)""")
+    q["dq_coerce_rejects"] = with_star(f"""{cells},
+        m AS (SELECT file, b, last, canonical, col FROM wb CROSS JOIN (VALUES {pairs}) v(canonical, col, compound) WHERE col > 2)
+        SELECT m.file, m.canonical, COUNT(*) FILTER (WHERE col = 4 AND r % 7 = 0) AS rejected, COUNT(value) AS non_blank
+        FROM m LEFT JOIN cells c ON c.file = m.file AND c.sheet = 'Provider Level Data' AND c.c = m.col AND c.value IS NOT NULL
+          AND c.r BETWEEN m.b + 3 AND m.b + 3 + m.last GROUP BY m.file, m.canonical""")
     q["grid_profile"] = with_star(f"""{cells} SELECT file, sheet, CAST(max(r) + 1 AS INTEGER) AS n_rows, CAST(max(c) + 1 AS INTEGER) AS n_cols,
           COUNT(value) AS non_blank_cells FROM cells WHERE value IS NOT NULL GROUP BY file, sheet""")
     return q
