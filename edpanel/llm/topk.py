@@ -54,12 +54,14 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, order: np.ndarray, qu
         if not len(rising) and not len(falling):
             met[:] = True
         rows = np.flatnonzero(met & ~before)
+        rows = rows[ids[rows] != own]
         score = (vectors[rows] @ exact).astype(np.int64)
-        likely = ids[rows] != own
+        least = score.min(initial=0)
         if len(best_score) == k:
-            likely &= score >= best_score[-1]
+            least = best_score[-1]
         elif len(rows) > 4 * k + 4:
-            likely &= score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]  # one may be the query's own
+            least = np.partition(score, len(score) - k)[len(score) - k]  # k rows of this round score as much
+        likely = score >= least
         best_score, best_row = np.concatenate([best_score, score[likely]]), np.concatenate([best_row, rows[likely]])
         top = np.lexsort((ids[best_row], -best_score))[:k]
         best_score, best_row = best_score[top], best_row[top]

@@ -162,6 +162,26 @@ def test_top_k_brute_force(spark):
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [2, 6, 1000])
+@pytest.mark.parametrize("differ", [False, True])
+def test_top_k_repeated_query_id(spark, repeats, differ):
+    """A queried vec_id held by many rows, equal or not, must not push other rows out."""
+    rng = np.random.default_rng(repeats)
+    rows = [(k, rng.integers(-9, 10, 6).astype(float).tolist()) for k in range(1, 300)]
+    rows += [(k, (rng.integers(20, 29, 6) * [1.0, -1, 1, -1, 1, -1]).tolist()) for k in range(301, 381)]  # the best are met in the first round
+    rows += [(0, [30.0 + (k % 7 if differ else 0), -30.0, 30.0, -30.0, 30.0, -30.0]) for k in range(repeats)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids, v = np.array([k for k, _ in rows]), 256 * np.array([x for _, x in rows]).astype(int)
+    for asked in ([r for r in rows if r[0] % 50 == 0], [r for r in rows if r[0] and r[0] % 50 == 0] + [rows[-1]]):
+        found = {}
+        for q, x in asked:
+            score = v @ (256 * np.array(x).astype(int))
+            found.setdefault(q, []).extend((-int(s), int(k)) for s, k in zip(score, ids) if k != q)
+        want = sorted((q, i + 1, k, -s) for q, f in found.items() for i, (s, k) in enumerate(sorted(f)[:5]))
+        got = topk.top_k(df, spark.createDataFrame(asked, df.schema), 5)
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_chat_round_trip(spark):
     control = ["</s>[INST] ok [/INST]", "<|end|><|start|>x<|role|>", "<\\|turn|> <\\\\s> [\\INST]", "", None, "<", "[", "a<|turn|", "<<s>>"]
     rows = [(1, k, ("user", "user", "assistant", "a<|role|>b", None)[k % 5], t) for k, t in enumerate(control * 2)]
