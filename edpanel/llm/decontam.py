@@ -8,8 +8,8 @@ all windows of their texts and compare the words of every hit before it counts.
 benchmark takes the shuffle path: windows of both sides are joined on the hash.
 
 Defined results: null or wordless texts have no words and no hits; wordless items match
-nothing; repeated rows are scanned one by one; items with equal text are all reported; an
-empty table on either side gives no hits; columns that clash with result names are replaced.
+nothing; repeated rows are scanned one by one; items with equal text are all reported; a null
+``item_id`` is an item like others, reported as one null after the named ones; an empty table on either side gives no hits; columns that clash with result names are replaced.
 """
 
 from __future__ import annotations
@@ -33,9 +33,9 @@ CONTAMINATED_RATIO = 20  # contaminated when 20 * hit words >= words
 RESULT = [("n_words", "long"), ("n_hit", "long"), ("item_ids", "array<string>"), ("hit_spans", "array<array<long>>")]
 
 
-def item_windows(items: list[str], texts: pa.Array, window: int) -> dict[int, dict[int, dict[tuple, list[str]]]]:
+def item_windows(items: list[str | None], texts: pa.Array, window: int) -> dict[int, dict[int, dict[tuple, list[str | None]]]]:
     """By length and hash: the words of each window and the items that hold it."""
-    out: dict[int, dict[int, dict[tuple, list[str]]]] = {}
+    out: dict[int, dict[int, dict[tuple, list[str | None]]]] = {}
     found = Words(texts, SpanHash())
     sizes = np.diff(found.word_bounds)
     for length in sorted({min(window, int(n)) for n in sizes if n}):
@@ -49,7 +49,7 @@ def item_windows(items: list[str], texts: pa.Array, window: int) -> dict[int, di
     return out
 
 
-def _report(found: Words, k: int, hits: list[tuple[int, int, list[str]]]) -> tuple[int, list[str], list[list[int]]]:
+def _report(found: Words, k: int, hits: list[tuple[int, int, list[str | None]]]) -> tuple[int, list[str | None], list[list[int]]]:
     """Hit words, items and code point spans of text ``k`` from its (word, length, items)."""
     lo, hi = found.word_bounds[k], found.word_bounds[k + 1]
     mark = np.zeros(hi - lo + 1, np.int64)
@@ -62,11 +62,11 @@ def _report(found: Words, k: int, hits: list[tuple[int, int, list[str]]]) -> tup
     points = np.concatenate([[0], np.cumsum((found.data[begin:found.bounds[k + 1]] & 0xC0) != 0x80)])
     spans = [[int(points[found.starts[lo + a] - begin]), int(points[found.ends[lo + b - 1] - begin])]
              for a, b in zip(edges[::2], edges[1::2])]
-    return int(covered.sum()), sorted({i for _, _, items in hits for i in items}), spans
+    return int(covered.sum()), sorted({i for _, _, items in hits for i in items}, key=lambda i: (i is None, i or "")), spans
 
 
 def _scan_broadcast(docs: DataFrame, rows: list, window: int, fields: list) -> DataFrame:
-    windows = item_windows([str(r.item_id) for r in rows], pa.array([r.text for r in rows], pa.string()), window)
+    windows = item_windows([r.item_id for r in rows], pa.array([r.text for r in rows], pa.string()), window)
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     schema = docs.schema
     for name, kind in fields:
@@ -150,12 +150,12 @@ def _scan_joined(docs: DataFrame, bench: DataFrame, window: int, fields: list) -
 
 
 def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``docs`` with n_words, n_hit, item_ids (sorted) and hit_spans (code points of the runs of
-    hit words). ``bench`` has item_id and text."""
+    """``docs`` with n_words, n_hit, item_ids (sorted, a null last) and hit_spans (code points of
+    the runs of hit words). ``bench`` has item_id and text."""
     tuned(docs.sparkSession)
     docs = docs.drop(*(name for name, _ in RESULT))
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    bench = bench.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    bench = bench.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     # a window repeats each word up to ``window`` times
     measured = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n * window
     if measured <= broadcast_bytes:

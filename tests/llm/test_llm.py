@@ -229,6 +229,22 @@ def test_decontamination_both_paths(spark, docs):
     assert decontam.scan(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_null_item_ids(spark):
+    """A null item_id is one item, last in the list, on both paths."""
+    texts = ["x alpha beta gamma y", "delta only", "alpha beta gamma named one", "named one", "none"]
+    items = [(None, "alpha beta gamma"), (None, "alpha beta"), ("b", "alpha beta gamma"), (None, "delta"), ("a", "named one"), ("None", "delta only")]
+    want = {0: (3, ["b", None]), 1: (2, ["None", None]), 2: (5, ["a", "b", None]), 3: (2, ["a"]), 4: (0, [])}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for limit in (decontam.BROADCAST_BYTES, 0):
+        got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontam.scan(df, bench, broadcast_bytes=limit).collect()}
+        assert got == want
+    flags = spark.createDataFrame([(True, "named one"), (None, "delta")], "item_id boolean, text string")
+    for limit in (decontam.BROADCAST_BYTES, 0):
+        got = {r.doc_id: r.item_ids for r in decontam.scan(df, flags, broadcast_bytes=limit).collect()}
+        assert got == {0: [], 1: [None], 2: ["true"], 3: ["true"], 4: []}
+
+
 def der(tag, *parts):
     body = b"".join(parts)
     size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")
