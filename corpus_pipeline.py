@@ -12,20 +12,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edpanel.llm import decontam, ngram_join, packing, secret_scan
+from edpanel.llm import decontam, langid, ngram_join, packing, secret_scan
 from edpanel.llm.common import tuned, written
 from edpanel.llm.langid import UNKNOWN
-from edpanel.llm.queries import predicted
+from edpanel.llm.queries import learned
 from edpanel.sources.tables import read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-MIN_SCORE = 0.4  # mean probability below which no language is taken as found
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without letters or below MIN_SCORE go."""
-    found = predicted(docs)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    """Documents with a recognised language; those without letters go. The mean probability
+    rejects none: an even mix of languages comes near chance, as do short texts. Where no row
+    is labelled nothing is learned, and all documents with letters stay."""
+    model = learned(docs)
+    if model is None:
+        return docs.where(langid.has_letter())
+    return langid.predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

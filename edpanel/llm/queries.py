@@ -80,11 +80,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def _fold() -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+
+
+def learned(docs: DataFrame) -> langid.Model | None:
+    """The language model of the rows that are not held out; none without a labelled row."""
+    return langid.fit(docs.where(_fold() != 2))
+
+
 def predicted(docs: DataFrame) -> DataFrame:
     """``docs`` with held_out, lang_pred and score, learned from the rows that are not held out."""
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    model = langid.fit(docs.where(fold != 2))
-    return langid.predict(docs, model).withColumn("held_out", F.coalesce(fold == 2, F.lit(False)))
+    return langid.predict(docs, learned(docs)).withColumn("held_out", F.coalesce(_fold() == 2, F.lit(False)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (

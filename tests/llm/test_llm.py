@@ -348,6 +348,20 @@ def test_langid_gradient_and_accuracy(spark, docs, sf_dir):
     assert all(np.allclose(whole[p][:2], cut[p][:2]) for p in range(6)) and len(cut[3]) == 2
 
 
+def test_language_stage_keeps_clean_documents(spark, sf_dir):
+    """Short and mixed-language documents stay, and all with letters where no row is labelled."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rows = df.orderBy("doc_id").collect()
+    part = {g: [r.text[:300] for r in rows if r.lang == g][:3] for g in sorted({r.lang for r in rows})}
+    planted = ["Re.", "De.", "A.", "En de ja de y.", "+1 (209) 555-5975 De", *(" ".join(x) for x in zip(*part.values()))]
+    lost = [None, "", "12 34", "..."]
+    extra = spark.createDataFrame([(-1 - k, t, None, "s", 0) for k, t in enumerate(planted + lost)], df.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, df.unionByName(extra), sf_dir).collect()}
+    assert kept == {r.doc_id for r in rows} | {-1 - k for k in range(len(planted))}
+    bare = corpus_pipeline.language(spark, extra, sf_dir)
+    assert {r.doc_id for r in bare.collect()} == {-1 - k for k in range(len(planted))} and bare.columns == df.columns
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = df.collect()
