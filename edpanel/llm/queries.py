@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edpanel.llm import chat, decontam, hilbert, langid, ngram_join, packing, secret_scan, simple8b, topk, warc
+from edpanel.llm import (chat, decontam, hilbert, langid, merkle, ngram_join, packing, secret_scan, simple8b, spelling, topk,
+                         urls, warc)
 from edpanel.llm.common import tuned, written
 from edpanel.sources.tables import read_table
 
@@ -94,9 +95,31 @@ def predicted(docs: DataFrame) -> DataFrame:
     return langid.predict(docs, learned(docs)).withColumn("held_out", F.coalesce(_fold() == 2, F.lit(False)))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+MANIFEST = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", *MANIFEST)
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = merkle.record_hash([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in MANIFEST])
+    rows = docs.select("doc_id", "lang", merkle.record_hash([F.col(c) for c in MANIFEST]).alias("leaf"), F.when(tampers, changed).alias("tampered"))
+    proved = merkle.manifest(rows, F.col("leaf"), "doc_id", "lang").withColumn(
+        "folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_simple8b, op2_ngram_join, op3_threshold_topk, op4_chat_format, op5_decontaminate, op6_secret_scan, op7_bfd_packing,
-    op8_warc, op9_hilbert_shards, op10_langid)}
+    op8_warc, op9_hilbert_shards, op10_langid, op11_url_filter, op12_spelling_variants, op13_merkle_manifest)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -155,4 +178,61 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
 FROM p JOIN f USING (d)""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE k(i, c) AS (
+  SELECT range, range FROM range(256) UNION ALL
+  SELECT i + 256, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM k WHERE i < 2048),
+tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM k WHERE i >= 2048),
+r AS MATERIALIZED (SELECT doc_id, run, count(*) AS m FROM (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+x AS MATERIALIZED (SELECT run, m, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS b FROM r),
+h AS MATERIALIZED (SELECT run, m, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(b) // 2), lambda i: CAST('0x' || substr(b, 2 * i + 1, 2) AS BIGINT))),
+  lambda c, y: xor(c >> 8, t[1 + (xor(c, y) & 255)])), 4294967295) AS h FROM x, tab),
+w AS MATERIALIZED (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM (
+  SELECT m, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+c AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS MATERIALIZED (
+  SELECT x.word, y.word AS near, y.n AS m FROM c x JOIN c y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON w.word = c.a || c.z
+  UNION SELECT w.word, c.word, c.n FROM c JOIN w ON w.word = c.a || c.z),
+best AS (SELECT word, count(*) AS n_near, max(m) AS most, min(near) FILTER (WHERE m = top) AS form FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM near) GROUP BY word),
+f AS MATERIALIZED (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN form END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM w LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS tip, 0 AS d FROM f UNION ALL SELECT up.word, f.form, d + 1 FROM up JOIN f ON f.word = up.tip WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(tip, d) AS root FROM up GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE e AS (
+  SELECT doc_id, lang, n_chars, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+k(i, c) AS (SELECT range, range FROM range(256) UNION ALL
+  SELECT i + 256, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM k WHERE i < 2048),
+tab AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM k WHERE i >= 2048),
+leafs AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS g,
+  sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') || tail) AS leaf,
+  sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR), '-') || tail) AS changed,
+  xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, y: xor(c >> 8, t[1 + (xor(c, y) & 255)])), 4294967295) AS crc FROM e, tab),
+l0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot, count(*) OVER (PARTITION BY g) AS n FROM leafs),
+t1(g, lvl, slot, node, n) AS (SELECT g, 0, slot, leaf, n FROM l0 UNION ALL
+  SELECT g, any_value(lvl) + 1, slot // 2, sha256(string_agg(node, '' ORDER BY slot)), (any_value(n) + 1) // 2 FROM t1 WHERE n > 1 GROUP BY g, slot // 2),
+s1 AS MATERIALIZED (SELECT * FROM t1),
+sub AS MATERIALIZED (SELECT g, lvl, node, row_number() OVER (ORDER BY g) - 1 AS slot, count(*) OVER () AS n FROM s1 WHERE n = 1),
+t2(lvl, slot, node, n) AS (SELECT 0, slot, node, n FROM sub UNION ALL
+  SELECT any_value(lvl) + 1, slot // 2, sha256(string_agg(node, '' ORDER BY slot)), (any_value(n) + 1) // 2 FROM t2 WHERE n > 1 GROUP BY slot // 2),
+s2 AS MATERIALIZED (SELECT * FROM t2),
+f(id, g, lvl, top, slot, acc, proof, n) AS (
+  SELECT row_number() OVER (), g, 0, 0, slot, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END, '', n FROM l0 UNION ALL
+  SELECT f.id, f.g, CASE WHEN f.n > 1 THEN f.lvl + 1 ELSE f.lvl END, CASE WHEN f.n > 1 THEN f.top ELSE f.top + 1 END,
+    CASE WHEN f.n > 1 THEN f.slot // 2 ELSE coalesce(b.slot, 0) END,
+    CASE WHEN f.n = 1 THEN f.acc WHEN f.slot % 2 = 1 THEN sha256(a.node || f.acc) ELSE sha256(f.acc || coalesce(a.node, '')) END,
+    f.proof || coalesce(a.node, ''), CASE WHEN f.n > 1 THEN (f.n + 1) // 2 ELSE 0 END
+  FROM f LEFT JOIN s1 a ON f.n > 1 AND a.g = f.g AND a.lvl = f.lvl AND a.slot = xor(f.slot, 1) LEFT JOIN sub b ON f.n = 1 AND b.g = f.g
+  WHERE f.n >= 1),
+u(id, lvl, slot, acc, proof, n) AS (
+  SELECT f.id, 0, f.slot, f.acc, f.proof, (SELECT count(*) FROM sub) FROM f WHERE f.n = 0 UNION ALL
+  SELECT u.id, u.lvl + 1, u.slot // 2, CASE WHEN u.slot % 2 = 1 THEN sha256(a.node || u.acc) ELSE sha256(u.acc || coalesce(a.node, '')) END,
+    u.proof || coalesce(a.node, ''), (u.n + 1) // 2 FROM u LEFT JOIN s2 a ON a.lvl = u.lvl AND a.slot = xor(u.slot, 1) WHERE u.n > 1)
+SELECT l.doc_id, l.leaf, sub.node AS subroot, s2.node AS root, sha256(u.proof) AS proof_sha256, u.acc AS folded_root, u.acc = s2.node AS verified
+FROM (SELECT *, row_number() OVER () AS id FROM l0) l JOIN sub USING (g) JOIN s2 ON s2.n = 1 JOIN u ON u.id = l.id AND u.n = 1""",
 }
