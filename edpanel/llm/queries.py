@@ -62,7 +62,8 @@ def op7_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.archive_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
-    return back.select("metadata.page_id", "metadata.payload_bytes", "response.payload_digest",
+    counted = F.coalesce("response.payload_bytes", "metadata.payload_bytes")  # of a response: the bytes read back
+    return back.select("metadata.page_id", counted.alias("payload_bytes"), "response.payload_digest",
                        F.col("response.kind").alias("record_type"), F.col("metadata.refers_page").alias("refers_to"))
 
 

@@ -188,8 +188,10 @@ def write_ids(df: DataFrame, folder: str, tokenizer_path: str | None = None, end
             yield file()
 
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = ordered.mapInArrow(task, "part long, seq long, file string, n_docs long, n_ids long")
+    # a doc_id that many rows share is split by text digest and scan position
+    order = ["doc_id", "_digest", "_at"]
+    ordered = rows.withColumns({"_digest": F.md5("text"), "_at": F.monotonically_increasing_id()}).repartitionByRange(*order).sortWithinPartitions(*order)
+    manifest = ordered.select("doc_id", "text").mapInArrow(task, "part long, seq long, file string, n_docs long, n_ids long")
     path = f"{folder}/_manifest"
     manifest.write.parquet(path)
     return df.sparkSession.read.schema(manifest.schema).parquet(path)

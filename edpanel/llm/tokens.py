@@ -4,12 +4,13 @@ The UTF-8 bytes of a batch are cut into pre-tokens by the byte-level split rule
 operations; each distinct pre-token is known by a 64-bit hash and goes through the library's
 BPE model once per worker, and ids are gathered from a pool. Texts with characters whose class
 is not plain from the bytes (all but ASCII without the separators 1C-1F, and Latin letters
-C0-24F) go to the library whole, as do pre-tokens of over ``WORD_BYTES`` bytes. Strings of
-special tokens inside a text are ordinary text.
+C0-24F) go to the library whole, as do pre-tokens of over ``WORD_BYTES`` bytes and texts that
+hold the string of an added token, which the library turns into that token's id.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 import numpy as np
@@ -47,19 +48,29 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class SpanHash:
-    """64-bit hashes of byte spans of one array, by prefix sums of a polynomial."""
+    """64-bit hashes of byte spans of one array, by prefix sums of a polynomial; another ``base``
+    gives independent ones. Spans of over ``DIGEST_BYTES`` bytes get a cryptographic digest, as a
+    polynomial modulo 2 ** 64 collides on structured spans from 1,024 bytes on."""
 
-    def __init__(self):
-        self.table = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-        self.power, self.inverse = _powers(_BASE, 1 << 16), _powers(pow(_BASE, -1, 1 << 64), 1 << 16)
+    DIGEST_BYTES = 128
+
+    def __init__(self, base: int = _BASE):
+        self.base = base
+        self.table = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
+        self.power, self.inverse = _powers(base, 1 << 16), _powers(pow(base, -1, 1 << 64), 1 << 16)
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         while len(self.power) <= len(data):
             n = 2 * len(self.power)
-            self.power, self.inverse = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+            self.power, self.inverse = _powers(self.base, n), _powers(pow(self.base, -1, 1 << 64), n)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.table[data] * self.power[:len(data)], out=sums[1:])
-        return _mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        out = _mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        salt = self.base.to_bytes(8, "little")
+        for k in np.flatnonzero(ends - starts > self.DIGEST_BYTES).tolist():
+            digest = hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8, salt=salt).digest()
+            out[k] = np.uint64(int.from_bytes(digest, "little"))
+        return out
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +126,7 @@ class Encoder:
             import public_tokenizers
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.hash = SpanHash()
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = iter(range(256, 512))  # the byte-level alphabet: the other bytes are shown from 256 on
@@ -198,10 +209,16 @@ class Encoder:
         following = np.concatenate([data[1:], [0]]) if len(data) else data
         odd = np.flatnonzero(_UNPLAIN[data] | (data == 0xC3) & ((following == 0x97) | (following == 0xB7)) | (data == 0xC9) & (following >= 0x90))
         whole[np.searchsorted(bounds, odd, side="right") - 1] = True
+        raw = data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:  # on to the next text
+                k = int(np.searchsorted(bounds, at, side="right")) - 1
+                whole[k] = True
+                at = raw.find(token, int(bounds[k + 1]))
         starts = word_starts(data, bounds, whole) if len(data) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         text_of = np.searchsorted(bounds, starts, side="right") - 1
-        raw = data.tobytes()
         number = np.full(len(starts), -1, np.int64)
         direct = whole[text_of] | (ends - starts > WORD_BYTES)
         at = np.flatnonzero(direct)

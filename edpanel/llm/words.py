@@ -14,6 +14,7 @@ ALPHANUMERIC[48:58] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 NOT_SPACE = np.ones(256, bool)  # all but ASCII white space
 NOT_SPACE[9:14] = NOT_SPACE[32] = False
 _STEP = 0xD6E8FEB86659FD93 | 1
+_SECOND_STEP, SECOND_BASE = 0xA0761D6478BD642F | 1, 0xE7037ED1A0B428DB | 1
 
 
 class Words:
@@ -31,13 +32,17 @@ class Words:
         last = inside.copy()
         last[:-1] &= ~inside[1:] | first[1:]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        self.hashes = span_hash(self.data, self.starts, self.ends)
         self.word_bounds = np.searchsorted(self.starts, bounds)
+        self.rehash(span_hash, _STEP)
+
+    def rehash(self, span_hash: SpanHash, step: int = _SECOND_STEP) -> None:
+        """Hash the same words anew; window hashes follow."""
+        self.hashes = span_hash(self.data, self.starts, self.ends)
         n = len(self.starts) + 1
-        power = _powers(_STEP, n)
+        power = _powers(step, n)
         self.sums = np.zeros(n, np.uint64)
         np.cumsum(self.hashes * power[:-1], out=self.sums[1:])
-        self.inverse = _powers(pow(_STEP, -1, 1 << 64), n)
+        self.inverse = _powers(pow(step, -1, 1 << 64), n)
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of ``length`` words within one text, and their hashes."""

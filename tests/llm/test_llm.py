@@ -38,8 +38,10 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def reference_ids():
-    enc = Encoder()
-    return lambda t: enc.tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # loaded afresh, as the contract calls it
+    return lambda t: plain.encode(t or "", add_special_tokens=False).ids + [0]
 
 
 def key(x):
@@ -49,6 +51,7 @@ def key(x):
 def test_encoder_equals_library(reference_ids):
     rng = np.random.default_rng(3)
     texts = TEXTS + ["".join(rng.choice(list(" \n\t'sretvlmdA1é.-\r×ɐ中_"), int(rng.integers(0, 30)))) for _ in range(1500)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "<|endof", "text|> plain after", "<|endoftext|"]
     ids, sizes = Encoder().encode(texts)
     ends = np.cumsum(sizes)
     assert [ids[e - n:e].tolist() for e, n in zip(ends, sizes)] == [reference_ids(t) for t in texts]
@@ -63,7 +66,7 @@ def test_simple8b_round_trip(values):
 
 def test_token_files(spark, docs, reference_ids):
     got = [tuple(r) for r in simple8b.token_files(docs, file_ids=50).collect()]
-    rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (key(r[0]), r[1] or ""))
+    rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (key(r[0]), r[1] is not None, hashlib.md5((r[1] or "").encode()).hexdigest()))
     want, start = [], 0
     for doc, text in rows:
         ids = reference_ids(text)
@@ -146,6 +149,35 @@ def test_ngram_join_brute_force(spark, docs):
     assert ngram_join.linked_components(df.limit(0)).count() == 0
 
 
+def test_long_words_do_not_collide(spark):
+    """Structured words on which a polynomial modulo 2 ** 64 collides whatever its base."""
+    def thue_morse(n, letters):
+        return "".join(letters[bin(k).count("1") % 2] for k in range(n))
+    texts = [thue_morse(n, x) for n in (64, 128, 256, 1024, 2048, 4096) for x in ("ab", "ba", "xy", "yx")]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:1])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.linked_components(df).collect()}
+    assert got == {**{k: k for k in range(len(texts))}, len(texts): 0}
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_repeated_ids_with_other_texts(spark, rounds):
+    """Rows of one doc_id with unlike texts are documents of their own."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (4, c), (1, None), (1, a), (None, a), (5, "x y"), (5, "x  Y"), (5, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.linked_components(df, rounds=rounds).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == sorted(
+        [(1, 36, 1), (1, 36, 1), (1, 36, 1), (1, 0, 1), (2, 37, 1), (3, 37, 1), (4, 36, 4), (0, 36, 0), (5, 1, 5), (5, 1, 5), (5, 1, 5)])
+    group = {(r.doc_id, r.digest): r.group_id for r in got}
+    md5 = {t: hashlib.md5((t or "").encode()).hexdigest() for _, t in rows + [(0, a + " tail"), (0, b + " tail")]}
+    assert group[1, md5[a]] == group[2, md5[a + " tail"]] != group[1, md5[b]] == group[3, md5[b + " tail"]]
+    full = df.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "0L as n_chars")
+    kept = corpus_pipeline.near_duplicates(spark, full, "").collect()
+    left = sorted((r.doc_id or 0, r.text or "") for r in kept if r.doc_id != 5)
+    assert left == sorted([(1, a), (1, b), (4, c), (1, ""), (0, a)])
+    assert sorted(r.text.lower().split() for r in kept if r.doc_id == 5) == [["x", "y"], ["z"]]
+
+
 def test_top_k_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(k, [float(x) for x in rng.standard_normal(6).round(1)]) for k in range(150)]
@@ -356,8 +388,13 @@ def test_language_stage_keeps_clean_documents(spark, sf_dir):
     planted = ["Re.", "De.", "A.", "En de ja de y.", "+1 (209) 555-5975 De", *(" ".join(x) for x in zip(*part.values()))]
     lost = [None, "", "12 34", "..."]
     extra = spark.createDataFrame([(-1 - k, t, None, "s", 0) for k, t in enumerate(planted + lost)], df.schema)
-    kept = {r.doc_id for r in corpus_pipeline.language(spark, df.unionByName(extra), sf_dir).collect()}
-    assert kept == {r.doc_id for r in rows} | {-1 - k for k in range(len(planted))}
+    stage = corpus_pipeline.language(spark, df.unionByName(extra), sf_dir).collect()
+    assert {r.doc_id for r in stage} == {r.doc_id for r in rows} | {-1 - k for k in range(len(planted))}
+    assert all(r.lang in corpus_pipeline.WANTED for r in stage)  # a missing label is filled by the prediction
+    foreign = spark.createDataFrame([(10 ** 6 + k, "жизнь человека и дом у реки " * 5 + str(k), "ru", "s", 0) for k in range(300)], df.schema)
+    unlabelled = spark.createDataFrame([(10 ** 7, "дом у реки и жизнь " * 9, None, "s", 0)], df.schema)
+    left = corpus_pipeline.language(spark, df.unionByName(foreign).unionByName(unlabelled), sf_dir).select("doc_id").collect()
+    assert len({r.doc_id for r in left} & {r.doc_id for r in rows}) >= 0.98 * len(rows) and not [r for r in left if r.doc_id >= 10 ** 6]
     bare = corpus_pipeline.language(spark, extra, sf_dir)
     assert {r.doc_id for r in bare.collect()} == {-1 - k for k in range(len(planted))} and bare.columns == df.columns
 
