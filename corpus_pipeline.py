@@ -14,35 +14,43 @@ from pyspark.sql import functions as F
 
 from edpanel.llm import decontam, langid, ngram_join, packing, secret_scan
 from edpanel.llm.common import tuned, written
-from edpanel.llm.langid import UNKNOWN
 from edpanel.llm.queries import learned
 from edpanel.sources.tables import read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: Languages that the corpus is built from; a document in another language is rejected.
+WANTED = ("de", "en", "es", "fr")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; those without letters go. The mean probability
-    rejects none: an even mix of languages comes near chance, as do short texts. Where no row
-    is labelled nothing is learned, and all documents with letters stay."""
+    """Documents in a wanted language, by the network's label; those without letters go. The label
+    also fills a missing ``lang``. Where no row is labelled nothing is learned, and all documents with letters stay."""
     model = learned(docs)
     if model is None:
         return docs.where(langid.has_letter())
-    return langid.predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found = langid.predict(docs, model).where(F.col("lang_pred").isin(*WANTED))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group linked by n-gram Jaccard similarity.
-    Rows that repeat a doc_id are one document and stay once; null ids are never linked."""
+    """One document of each group linked by n-gram Jaccard similarity: the smallest doc_id, and of rows that share
+    it the one with the smallest text digest. Rows are told apart by (doc_id, text digest), so unlike texts under one
+    doc_id are documents of their own. Null ids and texts without words are never linked and stay."""
     links = ngram_join.linked_components(docs)
-    lost = written(links.where("component_id < doc_id").select("doc_id").distinct(), "lost")
-    kept = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
-    again = links.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    again = written(again, "repeated")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    key = ["doc_id", "digest"]
+    least = links.where("n_shingles > 0 and doc_id = component_id")
+    twins = written(least.groupBy("doc_id", "group_id").agg(F.count("*").alias("rows"), F.min("digest").alias("kept")).where("rows > 1"), "twins")
+    lost = written(links.where("doc_id > component_id").select(*key).union(
+        least.join(twins, ["doc_id", "group_id"]).where("digest > kept").select(*key)).distinct(), "lost")
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    kept = docs.withColumn("digest", digest).join(lost, key, "left_anti")
+    if twins.isEmpty():
+        return kept.select(*docs.columns)
+    again = twins.select("doc_id", F.col("kept").alias("digest"))
+    once = kept.join(again, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
