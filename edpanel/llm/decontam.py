@@ -4,8 +4,10 @@ Words are maximal runs of ``0-9``, ``a-z`` (after lower-casing A-Z) and characte
 on. A window is ``window`` consecutive words of a benchmark item; an item of fewer words, but
 not none, is one window. The windows' 64-bit hashes are broadcast as a sorted array where the
 measured size of the benchmark is within ``broadcast_bytes``; tasks roll the same hash over
-all windows of their texts and compare the words of every hit before it counts. A larger
-benchmark takes the shuffle path: windows of both sides are joined on the hash.
+all windows of their texts and compare the words of every hit before it counts: within
+``DICT_BYTES`` the words themselves go along. A larger benchmark sends its hashes only, 8 bytes a window, and the few windows
+whose hash is met are joined to the benchmark's on hash and words; past ``broadcast_bytes`` of
+hashes all windows of both sides are joined.
 
 Defined results: null or wordless texts have no words and no hits; wordless items match
 nothing; repeated rows are scanned one by one; items with equal text are all reported; a null
@@ -22,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edpanel.llm.common import slices, tuned
+from edpanel.llm.common import slices, tuned, written
 from edpanel.llm.tokens import SpanHash
 from edpanel.llm.words import Words
 
 WINDOW = 13
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
+DICT_BYTES, DICT_FACTOR = 64 << 20, 128  # the dictionary of windows takes about 112 bytes a byte of text
 CONTAMINATED_RATIO = 20  # contaminated when 20 * hit words >= words
 
 RESULT = [("n_words", "long"), ("n_hit", "long"), ("item_ids", "array<string>"), ("hit_spans", "array<array<long>>")]
@@ -44,7 +47,7 @@ def item_windows(items: list[str | None], texts: pa.Array, window: int) -> dict[
         for a, h, k in zip(at.tolist(), hashes.tolist(), owner.tolist()):
             if min(window, sizes[k]) == length:
                 held = out.setdefault(length, {}).setdefault(h, {}).setdefault(found.words(a, length), [])
-                if items[k] not in held:
+                if not held or held[-1] != items[k]:  # an item's windows come in a row
                     held.append(items[k])
     return out
 
@@ -99,9 +102,10 @@ def _scan_broadcast(docs: DataFrame, rows: list, window: int, fields: list) -> D
     return docs.mapInArrow(task, schema)
 
 
-def _windows_of(df: DataFrame, key: str, lengths: list[int] | None, window: int) -> DataFrame:
+def _windows_of(df: DataFrame, key: str, lengths: list[int] | None, window: int, only: dict[int, np.ndarray] | None = None) -> DataFrame:
     """(key, pos, length, hash, words) of all windows of the texts; with ``lengths`` of these
-    lengths, else of the item rule."""
+    lengths, else of the item rule. With ``only``, of the windows whose hash is listed."""
+    shared = df.sparkSession.sparkContext.broadcast(only)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_hash = SpanHash()
@@ -114,6 +118,10 @@ def _windows_of(df: DataFrame, key: str, lengths: list[int] | None, window: int)
                 if lengths is None:
                     mine = np.minimum(window, sizes[owner]) == length
                     at, hashes, owner = at[mine], hashes[mine], owner[mine]
+                if shared.value is not None:
+                    listed = shared.value[length]
+                    mine = listed[np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)] == hashes
+                    at, hashes, owner = at[mine], hashes[mine], owner[mine]
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array(keys[owner].tolist(), pa.string()), "pos": at - found.word_bounds[owner],
                     "length": np.full(len(at), length, np.int64), "hash": hashes.view(np.int64),
@@ -123,14 +131,21 @@ def _windows_of(df: DataFrame, key: str, lengths: list[int] | None, window: int)
         task, "key string, pos long, length long, hash long, words binary")
 
 
-def _scan_joined(docs: DataFrame, bench: DataFrame, window: int, fields: list) -> DataFrame:
+def _scan_joined(docs: DataFrame, bench: DataFrame, window: int, fields: list, broadcast_bytes: int) -> DataFrame:
     """The same result by a shuffle join on window hashes. Equal rows share one scan; a row's
     hits are bounded by its own words and items."""
     items = _windows_of(bench, "item_id", None, window).select("length", "hash", "words", F.col("key").alias("item"))
-    lengths = sorted(r.length for r in items.select("length").distinct().collect())  # at most ``window`` values
+    items = written(items, "windows")
+    counts = {r.length: r["count"] for r in items.groupBy("length").count().collect()}  # at most ``window`` rows
+    lengths, only = sorted(counts), None
+    if 8 * sum(counts.values()) <= broadcast_bytes:
+        listed = items.select("length", "hash").distinct().toArrow()
+        of, hashes = listed["length"].to_numpy(), listed["hash"].to_numpy().view(np.uint64)
+        only = {n: np.sort(hashes[of == n]) for n in lengths}
+        only = only or {window: np.zeros(1, np.uint64)}
     keyed = docs.withColumn("_row", F.sha2(F.coalesce("text", F.lit("")), 256))
     texts = keyed.select("_row", "text").dropDuplicates(["_row"])
-    hits = (_windows_of(texts, "_row", lengths or [window], window).join(items, ["length", "hash", "words"])
+    hits = (_windows_of(texts, "_row", lengths or [window], window, only).join(items, ["length", "hash", "words"])
             .groupBy("key").agg(F.collect_set(F.struct("pos", "length", "item")).alias("hits")))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,18 +164,17 @@ def _scan_joined(docs: DataFrame, bench: DataFrame, window: int, fields: list) -
     return keyed.join(result, "_row").drop("_row")
 
 
-def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES, dict_bytes: int = DICT_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, item_ids (sorted, a null last) and hit_spans (code points of
     the runs of hit words). ``bench`` has item_id and text."""
     tuned(docs.sparkSession)
     docs = docs.drop(*(name for name, _ in RESULT))
     docs = docs.withColumn("text", F.col("text").cast("string"))
     bench = bench.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    # a window repeats each word up to ``window`` times
-    measured = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n * window
-    if measured <= broadcast_bytes:
+    measured = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n * DICT_FACTOR
+    if measured <= min(dict_bytes, broadcast_bytes):
         return _scan_broadcast(docs, bench.collect(), window, RESULT)
-    return _scan_joined(docs, bench, window, RESULT)
+    return _scan_joined(docs, bench, window, RESULT, broadcast_bytes)
 
 
 def contaminated() -> F.Column:

@@ -2,9 +2,10 @@
 
 Base patterns report credentials by their shape. On top, candidates are decoded and only
 reported when their structure holds: base64 or hex text whose bytes are a DER private key with
-nested lengths that fill their parents exactly, an OpenSSH key with consistent length-prefixed
+nested lengths that fill their parents exactly (plain or encrypted under a password scheme), an OpenSSH key with consistent length-prefixed
 fields, a PEM block around either, and signed tokens whose header and payload parse as JSON
-objects and whose header names an algorithm. Base spans are never changed by the confirmed ones.
+objects and whose header names an algorithm. A key may be wrapped over lines, or begin inside a
+longer run of base64 characters, where its own outer length ends it. Base spans are never changed by the confirmed ones.
 
 Defined results: null and empty texts have no spans; spans are code points, end exclusive,
 ordered by start and then kind; repeated rows are scanned one by one; an empty table gives no
@@ -33,11 +34,16 @@ ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_VALUE = 6
+KEY_CHARS = 1 << 17  # the longest key looked for inside a run
 
 _PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 # Tried at the start of a run of token characters only, so a long run is read once.
 _JWT = re.compile(rb"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+)")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
+# Consecutive lines, from the start of a run only and without backtracking, so a long run is read once.
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}+(?:\r?\n[ \t]*[A-Za-z0-9+/]{4,}+)++={0,2}")
+_INSIDE = re.compile(rb"M(?=[A-P][A-Za-z0-9+/]{2})|b(?=3BlbnNzaC1rZXktdjEA)")  # encoded starts of a SEQUENCE, or of the OpenSSH magic
+_SCHEMES = (bytes.fromhex("06092a864886f70d0105"), bytes.fromhex("060a2a864886f70d010c01"))  # password-based encryption
 _HEX_ANY = re.compile(rb"[0-9A-Fa-f]{64,}")
 _OPENSSH = b"openssh-key-v1\0"
 SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -89,6 +95,8 @@ def der_private_key(data: bytes) -> bool:
         tags.append(child[0])
         at = child[2]
     if version is None or version > 3 or len(tags) < 3:
+        if tags == [0x30, 0x04]:
+            return any(data[_tlv(data, top[1], top[2])[1]:].startswith(x) for x in _SCHEMES)
         return len(tags) >= 2 and version == 1 and tags[1] == 0x04
     return tags[:9] == [0x02] * 9 or tags[:3] == [0x02, 0x30, 0x04] or tags[:2] == [0x02, 0x04] or tags == [0x02] * 6
 
@@ -133,6 +141,27 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der" if der_private_key(data) else "openssh" if openssh_key(data) else None
 
 
+def _embedded(run: bytes) -> Iterator[tuple[int, int, str]]:
+    """(start, end, kind) of keys that begin inside a run of base64 characters. A DER key ends
+    where its outer length says, so only as much is decoded."""
+    for m in _INSIDE.finditer(run, 1):
+        at = m.start()
+        head = _decode64(run[at:at + 8]) or b""
+        if head[:1] == b"o":
+            if len(run) - at <= KEY_CHARS and openssh_key(_decode64(run[at:]) or b""):
+                yield at, len(run), "openssh"
+            continue
+        wide = head[1] & 0x7F if len(head) > 1 and head[1] & 0x80 else 0
+        if head[:1] != b"0" or len(head) < 2 + wide or wide > 2:
+            continue
+        size = 2 + wide + (int.from_bytes(head[2:2 + wide], "big") if wide else head[1])
+        chars = -(-size * 4 // 3)
+        if size >= 30 and chars <= len(run) - at:
+            decoded = _decode64(run[at:at + chars + -chars % 4].rstrip(b"="))
+            if decoded and der_private_key(decoded[:size]):
+                yield at, at + chars, "der"
+
+
 def find(data: bytes) -> list[tuple[int, int, int]]:
     """(byte start, kind number, byte end) of all spans of one UTF-8 text, in order."""
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(data) if len(m[2]) >= ASSIGN_VALUE]
@@ -146,6 +175,12 @@ def find(data: bytes) -> list[tuple[int, int, int]]:
         kind = _key_kind(decoded) if decoded and decoded[:1] in (b"0", b"o") else None
         if kind:
             out.append((m.start(), KINDS.index(kind), m.end()))
+        else:
+            out += [(m.start() + a, KINDS.index(k), m.start() + b) for a, b, k in _embedded(m[0])]
+    for m in _WRAPPED.finditer(data):
+        kind = _key_kind(_decode64(m[0]))
+        if kind:
+            out.append((m.start(), KINDS.index(kind), m.end()))
     for m in _HEX_ANY.finditer(data):
         kind = _key_kind(binascii.unhexlify(m[0])) if len(m[0]) % 2 == 0 and m[0][:2].lower() in (b"30", b"6f") else None
         if kind:
@@ -192,17 +227,26 @@ def span_list(kinds: tuple[str, ...] = KINDS) -> F.Column:
     return F.array_join(F.transform(spans_of(*kinds), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def redacted_text(text: str, mark: str) -> str:
+    """``text`` with every run of overlapping or touching spans replaced by ``mark``."""
+    data = text.encode()
+    out, at = [], None
+    for start, _, end in find(data):
+        if at is None or start > at:
+            out += [data[at or 0:start], mark.encode()]
+        at = end if at is None else max(at, end)
+    return text if at is None else b"".join([*out, data[at:]]).decode()
+
+
 def redact(df: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every run of overlapping or touching spans in ``text`` replaced by ``mark``."""
-    found = scan(df)
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
-
-    def cut(acc, span):
-        gap = F.call_function("substring", F.col("text"), (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
-        new = (span["start"] > acc["at"]) | (acc["text"] == "")
-        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"),
-                        F.when(new, F.concat(acc["text"], gap, F.lit(mark))).otherwise(acc["text"]).alias("text"))
-
-    text = F.aggregate("spans", first, cut, lambda acc: F.concat(
-        acc["text"], F.call_function("substring", F.col("text"), (acc["at"] + 1).cast("int"))))
-    return found.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(text)).select(*df.columns)
+    tuned(df.sparkSession)
+    df = df.withColumn("text", F.col("text").cast("string"))
+    place = df.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = pa.array([t and redacted_text(t, mark) for t in batch.column("text").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if k == place else c for k, c in enumerate(batch.columns)], batch.schema.names)
+
+    return df.mapInArrow(task, df.schema)

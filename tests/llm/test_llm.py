@@ -251,8 +251,8 @@ def test_decontamination_both_paths(spark, docs):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = {k: brute_hits(t, items) for k, t in enumerate(texts)}
-    for limit in (decontam.BROADCAST_BYTES, 0):
-        got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontam.scan(df, bench, broadcast_bytes=limit).collect()}
+    for limit in ({}, {"dict_bytes": 0}, {"broadcast_bytes": 0}):
+        got = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontam.scan(df, bench, **limit).collect()}
         assert got == want
     kept = {r.doc_id: r.text for r in decontam.remove_spans(df, bench).collect()}
     assert kept[len(TEXTS)] == "x  y" and kept[0] is None and kept[5] == LONG
@@ -268,12 +268,12 @@ def test_decontamination_null_item_ids(spark):
     want = {0: (3, ["b", None]), 1: (2, ["None", None]), 2: (5, ["a", "b", None]), 3: (2, ["a"]), 4: (0, [])}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id string, text string")
-    for limit in (decontam.BROADCAST_BYTES, 0):
-        got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontam.scan(df, bench, broadcast_bytes=limit).collect()}
+    for limit in ({}, {"dict_bytes": 0}, {"broadcast_bytes": 0}):
+        got = {r.doc_id: (r.n_hit, r.item_ids) for r in decontam.scan(df, bench, **limit).collect()}
         assert got == want
     flags = spark.createDataFrame([(True, "named one"), (None, "delta")], "item_id boolean, text string")
-    for limit in (decontam.BROADCAST_BYTES, 0):
-        got = {r.doc_id: r.item_ids for r in decontam.scan(df, flags, broadcast_bytes=limit).collect()}
+    for limit in ({}, {"dict_bytes": 0}, {"broadcast_bytes": 0}):
+        got = {r.doc_id: r.item_ids for r in decontam.scan(df, flags, **limit).collect()}
         assert got == {0: [], 1: [None], 2: ["true"], 3: ["true"], 4: []}
 
 
@@ -297,6 +297,20 @@ def test_secret_scan(spark, docs):
     assert got[6] == [("access", "AKIA" + "B" * 16)] and got[7] == [("hex", "0" * 24)]
     clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert clean[0] == "é [SECRET] z" and clean[1] == "[SECRET]" and clean[3] == texts[3]
+    scheme = der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(4, b"salt")))
+    locked = base64.b64encode(der(0x30, scheme, der(4, bytes(range(80))))).decode()
+    rsa = der(0x30, der(2, b"\0"), *(der(2, bytes([1 + k]) * 40) for k in range(8)))
+    long = base64.b64encode(rsa).decode()
+    wrapped = "\n".join(long[k:k + 64] for k in range(0, len(long), 64))
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") + b"".join(
+        len(x).to_bytes(4, "big") + x for x in (b"public" * 5, b"private" * 9))
+    hidden = base64.b64encode(ssh).decode().rstrip("=")
+    odd = [f"key\n{wrapped}\nend", f"/etc/{long.rstrip('=')}", f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{locked}\n-----END ENCRYPTED PRIVATE KEY-----",
+           f"a/b/{hidden}", f"path/{long[:-9]}", base64.b64encode(der(0x30, der(0x30, der(6, b"\x2b\x0e")), der(4, b"x" * 60))).decode(), "MII" * 30000]
+    kinds = [[(k, t.encode()[a:b].decode()) for a, n, b in secret_scan.find(t.encode()) if (k := secret_scan.KINDS[n])] for t in odd]
+    assert ("der", wrapped) in kinds[0] and kinds[1] == [("der", long.rstrip("="))] and {"pem", "der"} == {k for k, _ in kinds[2]}
+    assert kinds[3] == [("openssh", hidden)] and kinds[4:] == [[], [], []]
+    assert secret_scan.redacted_text(odd[1], "*") == "/etc/*" and secret_scan.redacted_text("é", "*") == "é"
     assert all(not r.spans for r in secret_scan.scan(docs).collect()) and secret_scan.scan(docs.limit(0)).count() == 0
 
 
