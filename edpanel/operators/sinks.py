@@ -145,16 +145,3 @@ class VersionedTable:
         nxt = max(self.versions(committed=False), default=0) + 1  # past the folder of a crashed write
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.path}/version={nxt}")
         return nxt
-
-
-def register_layers(spark: SparkSession, staging: DataFrame, marts: dict[str, DataFrame],
-                    warehouse: str | None = None) -> None:
-    """Layered materialisation (B9): staging as a temp view, marts as tables in a
-    ``marts`` database (or temp views when no warehouse path is given)."""
-    staging.createOrReplaceTempView("staging_ae_activity")
-    for name, df in marts.items():
-        if warehouse:
-            df.write.mode("overwrite").parquet(f"{warehouse.rstrip('/')}/marts/{name}")
-            spark.read.parquet(f"{warehouse.rstrip('/')}/marts/{name}").createOrReplaceTempView(name)
-        else:
-            df.createOrReplaceTempView(name)

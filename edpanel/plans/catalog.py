@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from edpanel.operators import analytics, kpi, marts
-from edpanel.plans import analogue, dimensions, ingest, operations, quality, revisions, scalars
+from edpanel.plans import analogue, dimensions, ingest, layers, operations, quality, revisions, scalars
 from edpanel.plans import oracle_sql
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _star_query(fn: Callable[[analogue.Star], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(analogue.build_star(spark, sf_dir))
+        return fn(layers.star(spark, sf_dir))
     run.__name__ = fn.__name__
     return run
 
@@ -45,7 +45,7 @@ def _kpi_queries() -> dict[str, QueryFn]:
         "fq_rollup": _star_query(kpi.fq_rollup),
         "fy_ytd": _star_query(kpi.fy_ytd),
         "type_mix": _star_query(kpi.type_mix),
-        "target_gap": lambda s, d: kpi.target_gap(analogue.build_star(s, d), analogue.targets_seed(s)),
+        "target_gap": lambda s, d: kpi.target_gap(layers.star(s, d), analogue.targets_seed(s)),
         "rag": _star_query(kpi.rag),
         "dta_waits": _star_query(kpi.dta_waits),
         "mom": _star_query(kpi.mom),
@@ -99,14 +99,20 @@ def _operation_queries() -> dict[str, QueryFn]:
     return {n: getattr(operations, n) for n in names}
 
 
+def _mart_query(name: str, build: Callable[[SparkSession, analogue.Star], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return layers.mart(spark, sf_dir, name, lambda: build(spark, layers.star(spark, sf_dir)))
+    return run
+
+
 def _mart_queries() -> dict[str, QueryFn]:
-    return {
-        "mart_national_trends": _star_query(marts.national_trends),
-        "mart_provider_rankings": _star_query(marts.provider_rankings),
-        "mart_emergency_admissions": _star_query(marts.emergency_admissions),
-        "mart_four_hour": lambda s, d: marts.four_hour(analogue.build_star(s, d), analogue.targets_seed(s)),
-        "mart_command_center": _star_query(marts.command_center),
-    }
+    return {name: _mart_query(name, build) for name, build in {
+        "mart_national_trends": lambda s, star: marts.national_trends(star),
+        "mart_provider_rankings": lambda s, star: marts.provider_rankings(star),
+        "mart_emergency_admissions": lambda s, star: marts.emergency_admissions(star),
+        "mart_four_hour": lambda s, star: marts.four_hour(star, analogue.targets_seed(s)),
+        "mart_command_center": lambda s, star: marts.command_center(star),
+    }.items()}
 
 
 def queries() -> dict[str, QueryFn]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from edpanel.functions import columns as C
 from edpanel.operators import dimensions as D
 from edpanel.operators import kpi
-from edpanel.plans import analogue
+from edpanel.plans import analogue, layers
 from edpanel.sources.tables import read_table
 
 # Analogue change dates (fixed values).
@@ -29,7 +29,7 @@ MERGERS = ((0, "1999-01-01"), (24, "2000-07-01"), (23, "1997-01-01"))   # (key m
 
 
 def provider_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = analogue.build_fact(spark, sf_dir).select("provider_key", "period_date")
+    fact = layers.fact(spark, sf_dir).select("provider_key", "period_date")
     sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     j = fact.join(sup, fact.provider_key == sup.s_suppkey)
@@ -61,7 +61,7 @@ def org_bridge_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def org_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     return star.fact.join(star.dim_provider, "provider_key").select(
         F.col("trust_code").alias("org_code"), "period_date", "attendances_total", "breaches_total")
 
@@ -97,7 +97,7 @@ def geo_rollup_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crs_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """National 4-hour performance per month with and without field-test providers."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     rows = star.fact.join(star.dim_provider, "provider_key").select("trust_code", "period_date",
                                                                     "attendances_total", "breaches_total")
     flagged = D.flag_field_test(rows, analogue.crs_list(spark, sf_dir), "trust_code", "period_date")
@@ -118,7 +118,7 @@ TYPE1_MEASURES = ("attendances_type1", "breaches_type1", "emergency_admissions_t
 def partial_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with no type-1 activity are treated as not reporting their type-1 measures
     (NULL); submission status counts NULL measures over all activity columns."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key")
     f = f.withColumn("_no_t1", F.col("attendances_type1") == 0)
     for c in TYPE1_MEASURES:
@@ -128,7 +128,7 @@ def partial_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key")
     return D.unpivot_types(f, ["trust_code", "period_date"], {
         "attendances": ["attendances_type1", "attendances_type2", "attendances_type3"],
@@ -138,7 +138,7 @@ def type_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     present = star.fact.join(star.dim_provider, "provider_key").select("trust_code", "period_date")
     span = star.lines.agg(F.struct(F.min("period_date").alias("lo"), F.max("period_date").alias("hi"))).scalar()
     return D.missing_periods(present, star.dim_provider.select("trust_code"), "trust_code", "period_date",
@@ -147,7 +147,7 @@ def missing_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actual_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default analysis filter: actual-basis months only; COVID months kept and flagged."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     s = kpi.with_performance(star.joined("data_basis", "is_covid_period"))
     return s.where(F.col("data_basis") == "actual").select(
         "trust_code", "period_date", "attendances_total", "performance_pct", "is_covid_period")

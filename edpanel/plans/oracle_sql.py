@@ -358,9 +358,9 @@ def _staged_cte(name: str, where: str) -> str:
 
 T1_, T2_, T3_ = "TIMESTAMP '2001-12-10 08:00:00'", "TIMESTAMP '2002-01-08 08:00:00'", "TIMESTAMP '2002-02-12 08:00:00'"
 REV_CTES = (_staged_cte("first", "WHERE l_linenumber <= 6") + ",\n" + _staged_cte("revised", "") + f""",
-v1 AS (SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash,
+v1 AS MATERIALIZED (SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash,
          'first' AS source_version, {T1_} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current FROM first),
-diff AS (SELECT r.*, CASE WHEN v.row_hash IS NULL THEN 'NEW' WHEN v.row_hash = r.row_hash THEN 'UNCHANGED'
+diff AS MATERIALIZED (SELECT r.*, CASE WHEN v.row_hash IS NULL THEN 'NEW' WHEN v.row_hash = r.row_hash THEN 'UNCHANGED'
            ELSE 'REVISED' END AS change_status
          FROM revised r LEFT JOIN v1 v USING (period_date, org_code)),
 rk AS MATERIALIZED (SELECT period_date, org_code FROM diff WHERE change_status = 'REVISED'),
@@ -385,13 +385,15 @@ def revisions_sql() -> dict[str, str]:
     q["scd2_current"] = w("SELECT * FROM v2 WHERE is_current")
     q["scd2_asof"] = w("""SELECT * FROM v2 WHERE valid_from <= TIMESTAMP '2001-12-31 00:00:00'
         AND (valid_to IS NULL OR valid_to > TIMESTAMP '2001-12-31 00:00:00')""")
-    q["revision_audit"] = w("""SELECT o.period_date, o.org_code, o.valid_to AS revised_at, o.source_version AS old_version,
-          n.source_version AS new_version, o.attendances_total AS old_attendances_total,
-          n.attendances_total AS new_attendances_total, o.breaches_total AS old_breaches_total,
-          n.breaches_total AS new_breaches_total, n.attendances_total - o.attendances_total AS delta_attendances_total,
-          n.breaches_total - o.breaches_total AS delta_breaches_total
-        FROM v2 o JOIN v2 n ON o.period_date = n.period_date AND o.org_code = n.org_code AND n.valid_from = o.valid_to
-        WHERE o.valid_to IS NOT NULL""")
+    q["revision_audit"] = w("""succ AS (
+          SELECT *, LEAD(valid_from) OVER k AS next_from, LEAD(source_version) OVER k AS next_version,
+            LEAD(attendances_total) OVER k AS next_attendances, LEAD(breaches_total) OVER k AS next_breaches
+          FROM v2 WINDOW k AS (PARTITION BY period_date, org_code ORDER BY valid_from))
+        SELECT period_date, org_code, valid_to AS revised_at, source_version AS old_version, next_version AS new_version,
+          attendances_total AS old_attendances_total, next_attendances AS new_attendances_total,
+          breaches_total AS old_breaches_total, next_breaches AS new_breaches_total,
+          next_attendances - attendances_total AS delta_attendances_total, next_breaches - breaches_total AS delta_breaches_total
+        FROM succ WHERE valid_to IS NOT NULL AND next_from = valid_to""")
     q["scd2_rebuild"] = w(f"""snap AS (
           SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, 'first' AS source_version,
                  {T1_} AS snapshot_ts FROM first

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from edpanel.functions import columns as C
 from edpanel.operators import kpi
-from edpanel.plans import analogue
+from edpanel.plans import analogue, layers
 from edpanel.sources.tables import read_table
 
 RECONCILE_TOLERANCE = 10            # |ours - published| <= 10 passes (fixed value)
@@ -101,7 +101,7 @@ def shape_mismatches(df: DataFrame, expected: T.StructType) -> list[str]:
 
 
 def _national(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = analogue.build_fact(spark, sf_dir)
+    fact = layers.fact(spark, sf_dir)
     return fact.groupBy("period_date").agg(F.sum("attendances_total").cast("bigint").alias("our_value"))
 
 
@@ -118,7 +118,7 @@ def reconcile_national(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key")
     type_sum = F.col("attendances_type1") + F.col("attendances_type2") + F.col("attendances_type3")
     adm_sum = (F.col("emergency_admissions_type1") + F.col("emergency_admissions_type2")
@@ -141,7 +141,7 @@ def official_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = analogue.build_fact(spark, sf_dir)
+    fact = layers.fact(spark, sf_dir)
     ours = fact.groupBy(C.financial_year("period_date").alias("financial_year"),
                         C.financial_quarter("period_date").alias("financial_quarter")).agg(
         F.sum("attendances_total").cast("bigint").alias("our_value"))
@@ -167,7 +167,7 @@ def range_rules() -> dict[str, F.Column]:
 
 
 def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = kpi.with_performance(analogue.build_fact(spark, sf_dir))
+    f = kpi.with_performance(layers.fact(spark, sf_dir))
     rules = range_rules()
     g = f.agg(*[F.count_if(cond).alias(name) for name, cond in rules.items()])
     pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])
@@ -177,7 +177,7 @@ def dq_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Providers reporting per month against the trailing 12-month mean. The window runs
     over the per-month aggregate (one row per month)."""
-    fact = analogue.build_fact(spark, sf_dir)
+    fact = layers.fact(spark, sf_dir)
     per = fact.groupBy("period_date").agg(F.count(F.lit(1)).alias("n_providers"))
     w = Window.orderBy("period_date").rowsBetween(-12, -1)
     per = per.withColumn("_s", F.sum("n_providers").over(w)).withColumn("_n", F.count("n_providers").over(w))
@@ -194,7 +194,7 @@ def _expected_period(as_of: F.Column) -> F.Column:
 def dq_freshness(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
     """Newest loaded month against the newest month already released at ``as_of``."""
     as_of_d = F.lit(as_of or analogue.PARAMS.as_of_date).cast("date")
-    fact = analogue.build_fact(spark, sf_dir)
+    fact = layers.fact(spark, sf_dir)
     newest = fact.agg(F.max("period_date").alias("newest_period"))
     behind = F.months_between(F.col("expected_period"), F.col("newest_period")).cast("int")
     return newest.select("newest_period", _expected_period(as_of_d).alias("expected_period")).select(
@@ -203,7 +203,7 @@ def dq_freshness(spark: SparkSession, sf_dir: str, as_of: str | None = None) ->
 
 
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key")
     return (f.groupBy("period_date", "trust_code").agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
@@ -211,7 +211,7 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing months inside each provider's own series (consecutive-month gaps)."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key").select("trust_code", "period_date")
     w = Window.partitionBy("trust_code").orderBy("period_date")
     g = f.withColumn("_next", F.lead("period_date").over(w)).where(
@@ -223,7 +223,7 @@ def dq_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_low(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attendances below a tenth of the provider's trailing 12-month mean."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = star.fact.join(star.dim_provider, "provider_key")
     w = Window.partitionBy("provider_key").orderBy("period_date").rowsBetween(-12, -1)
     f = f.withColumn("_s", F.sum("attendances_total").over(w)).withColumn("_n", F.count("attendances_total").over(w))
@@ -241,7 +241,7 @@ CHECK_TIERS = (("not_null", "fail"), ("unique", "warn"), ("relationship", "fail"
 def _fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row with the failures of every check on the fact, from one pass: per-provider
     windows, then one aggregate per month, then the published months joined in."""
-    star = analogue.build_star(spark, sf_dir)
+    star = layers.star(spark, sf_dir)
     f = kpi.with_performance(star.fact).join(star.dim_provider.select("provider_key", "trust_code"),
                                              "provider_key", "left")
     known = F.col("trust_code").isNotNull()
