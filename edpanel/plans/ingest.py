@@ -83,9 +83,13 @@ def load_staging(result: IngestResult, path: str, file_hash: str, url: str, inge
     sinks.replace_periods(audited, path)
 
 
-def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revised release of the analogue with every activity column and the provider names."""
-    fact = analogue.build_fact(spark, sf_dir)
+LATE_LINE = 7                      # the line of an order that the first release lacks
+
+
+def published_rows(spark: SparkSession, sf_dir: str, release: str = "revised") -> DataFrame:
+    """A release of the analogue with every activity column and the provider names."""
+    lines = analogue.activity_lines(spark, sf_dir, LATE_LINE - 1 if release == "first" else None)
+    fact = analogue.fact_from_lines(lines)
     prov = analogue.build_dim_provider(spark, sf_dir)
     return fact.join(prov, "provider_key").select(
         "period_date", F.col("trust_code").alias("org_code"), F.col("trust_name").alias("org_name"),
@@ -93,7 +97,11 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def analogue_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = published_rows(spark, sf_dir)
+    return release_cells(spark, sf_dir, "revised")
+
+
+def release_cells(spark: SparkSession, sf_dir: str, release: str) -> DataFrame:
+    rows = published_rows(spark, sf_dir, release)
     regions = analogue.build_dim_provider(spark, sf_dir).select(F.col("trust_code").alias("org_code"), "icb_name")
     return grid_src.render_activity_grid(rows, regions)
 

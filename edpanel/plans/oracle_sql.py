@@ -382,6 +382,7 @@ def revisions_sql() -> dict[str, str]:
     q["row_diff"] = w("SELECT period_date, org_code, attendances_total, row_hash, change_status FROM diff")
     q["scd2_merge"] = w("SELECT * FROM v2")
     q["changed_periods"] = w("SELECT DISTINCT period_date FROM diff WHERE change_status <> 'UNCHANGED'")
+    q["scheduled_run"] = w("""SELECT period_date, org_code, org_name, attendances_total, breaches_total, row_hash, valid_from, valid_to, is_current FROM v2""")
     q["scd2_current"] = w("SELECT * FROM v2 WHERE is_current")
     q["scd2_asof"] = w("""SELECT * FROM v2 WHERE valid_from <= TIMESTAMP '2001-12-31 00:00:00'
         AND (valid_to IS NULL OR valid_to > TIMESTAMP '2001-12-31 00:00:00')""")

@@ -56,17 +56,21 @@ def _joined(items: F.Column, at: str, text: str, mark: str) -> F.Column:
     return F.array_join(F.transform(items, item), "")
 
 
-def write_sheets(cells: DataFrame, folder: str) -> None:
-    """Cells -> CSV text under ``file=/sheet=/first_row=`` folders. A file holds PART_ROWS rows of a
-    sheet at most, so no task gathers a whole long sheet."""
+def sheet_texts(cells: DataFrame) -> DataFrame:
+    """Cells -> CSV text (file, sheet, first_row, text). A text holds PART_ROWS rows of a sheet at
+    most, so no task gathers a whole long sheet."""
     quoted = F.when(F.col("value").rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace("value", '"', '""'), F.lit('"'))).otherwise(F.col("value"))
     first = (F.col("row") - F.col("row") % PART_ROWS).alias("first_row")
     lines = cells.groupBy("file", "sheet", first, (F.col("row") % PART_ROWS).alias("at")).agg(
         F.array_sort(F.collect_list(F.struct("col", quoted.alias("field")))).alias("cells"))
     lines = lines.select("file", "sheet", "first_row", F.struct("at", _joined(F.col("cells"), "col", "field", ",").alias("line")).alias("row"))
     texts = lines.groupBy("file", "sheet", "first_row").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    (texts.select("file", "sheet", "first_row", _joined(F.col("rows"), "at", "line", "\n").alias("text"))
-     .write.partitionBy("file", "sheet", "first_row").text(folder))
+    return texts.select("file", "sheet", "first_row", _joined(F.col("rows"), "at", "line", "\n").alias("text"))
+
+
+def write_sheets(cells: DataFrame, folder: str) -> None:
+    """The sheets' CSV text under ``file=/sheet=/first_row=`` folders."""
+    sheet_texts(cells).write.partitionBy("file", "sheet", "first_row").text(folder)
 
 
 def read_sheets(spark: SparkSession, folder: str) -> DataFrame:
