@@ -3,7 +3,7 @@ the policy decision. All inputs are per-sheet header data (bounded by sheet widt
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edpanel.operators import grid
@@ -18,20 +18,27 @@ def _action(registry: Registry, policy_key: str, default: str) -> str:
 
 
 def fuzzy_renames(labels: DataFrame, mapping: DataFrame, missing: DataFrame, threshold: float = FUZZY_THRESHOLD) -> DataFrame:
-    """Renamed columns (D12): for each missing registry column, the most similar unmapped
-    label of the same sheet (1 - levenshtein / longer length), kept when >= threshold.
-    Equi-join on the sheet key; each side holds at most a sheet's columns."""
+    """Renamed columns (D12): the missing registry columns and the unmapped labels of a sheet are
+    matched one to one, best pair first (1 - levenshtein / longer length, ties to the earlier
+    registry column, then the left label), kept when >= threshold. A column that loses its best label to a better
+    pair takes its next one. The pairs of a sheet, bounded by its width, are one fold that carries the labels and
+    columns already taken."""
     unmapped = (labels.where(F.col("compound") != "").join(mapping.select(*KEY, "col"), [*KEY, "col"], "left_anti")
                 .select(*KEY, "col", "compound", F.lower(F.col("compound")).alias("norm")))
     cand = unmapped.join(missing, KEY)
     n, e = F.col("norm"), F.lower(F.col("expected_label"))
     sim = 1 - F.levenshtein(n, e) / F.greatest(F.length(n), F.length(e))
     cand = cand.withColumn("similarity", sim).where(F.col("similarity") >= threshold)
-    w = Window.partitionBy(*KEY, "canonical").orderBy(F.col("similarity").desc(), F.col("col").asc())
-    best = cand.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-    w2 = Window.partitionBy(*KEY, "col").orderBy(F.col("similarity").desc(), F.col("spec_order").asc())
-    best = best.withColumn("_rn2", F.row_number().over(w2)).where("_rn2 = 1")
-    return best.select(*KEY, "canonical", "spec_order", "col", "compound", F.round("similarity", 3).alias("similarity"))
+    pair = F.struct((-F.col("similarity")).alias("unlike"), "spec_order", "col", "canonical", "compound")
+    sheets = cand.groupBy(*KEY).agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    taken = F.filter("pairs", lambda p: F.lit(False))
+
+    def take(kept: F.Column, p: F.Column) -> F.Column:
+        clash = F.exists(kept, lambda k: (k["col"] == p["col"]) | (k["canonical"] == p["canonical"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(p)))
+
+    best = sheets.select(*KEY, F.explode(F.aggregate("pairs", taken, take)).alias("p"))
+    return best.select(*KEY, "p.canonical", "p.spec_order", "p.col", "p.compound", F.round(-F.col("p.unlike"), 3).alias("similarity"))
 
 
 def apply_renames(mapping: DataFrame, renames: DataFrame, registry: Registry) -> DataFrame:

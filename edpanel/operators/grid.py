@@ -8,8 +8,6 @@ enters as literal expressions, never as a driver loop over data.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,12 +63,15 @@ def missing_headers(sheets: DataFrame, headers: DataFrame) -> DataFrame:
 def header_labels(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Compound column labels (C3, C4): the banner row above the label row is forward
     filled left to right (merged cells), whitespace collapsed, and ``banner :: label``
-    built unless the label is an identity column. A header on row 0 has no banner."""
+    built unless the label is an identity column. A header on row 0 has no banner. Blank cells
+    are not stored, so the columns are those of the header, the banner and the body: a column whose
+    label is blank under a merged banner takes the banner."""
     h = cells.join(headers, SHEET_KEY)
     label = h.where(F.col("row") == F.col("header_row")).select(*SHEET_KEY, "col", C.collapse_ws("value").alias("label"))
     banner = h.where(F.col("row") == F.col("header_row") - 1).select(
         *SHEET_KEY, "col", C.collapse_ws("value").alias("banner_raw"))
-    both = label.join(banner, [*SHEET_KEY, "col"], "full")
+    body = h.where(F.col("row") > F.col("header_row")).select(*SHEET_KEY, "col").distinct()
+    both = label.join(banner, [*SHEET_KEY, "col"], "full").join(body, [*SHEET_KEY, "col"], "full")
     w = Window.partitionBy(*SHEET_KEY).orderBy("col").rowsBetween(Window.unboundedPreceding, 0)
     filled = F.coalesce(F.last(F.when(F.col("banner_raw") != "", F.col("banner_raw")), ignorenulls=True).over(w),
                         F.lit(""))
@@ -282,14 +283,3 @@ def extract_period(cells: DataFrame, sheets: DataFrame) -> DataFrame:
             .withColumn("period_date", parse_month_text(F.col("value"))).where(F.col("period_date").isNotNull()))
     first = cand.groupBy(*SHEET_KEY).agg(F.min(F.struct("row", "anchor_col", "col", "period_date")).alias("m"))
     return first.select(*SHEET_KEY, F.col("m.period_date").alias("period_date"))
-
-
-@dataclass
-class ParsedGrid:
-    sheets: DataFrame
-    headers: DataFrame
-    labels: DataFrame
-    mapping: DataFrame
-    wide: DataFrame
-    rows: DataFrame
-    periods: DataFrame

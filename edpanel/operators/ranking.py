@@ -15,15 +15,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edpanel.session import materialize
 
-def value_histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, *aggs: Column) -> DataFrame:
+
+#: Ranges of a month whose values are not bounded; windows then hold one range each.
+VALUE_RANGES = 64
+
+
+def value_histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, *aggs: Column, ranges: int = 1) -> DataFrame:
     """(group..., value, cnt, cum_le, n): rows per value, running count, group size, and any
-    further ``aggs`` per value."""
+    further ``aggs`` per value.
+
+    With one range the running count is a window over a group's distinct values, which suits
+    values that are bounded (percentages). With more, each group's values are cut at approximate
+    quantiles: counts per range, a prefix sum over the ranges, and a window inside each range. Any
+    cut gives the same counts; equal values fall in one range. The cuts are checkpointed, so that all parts of the
+    plan see the same ones."""
     h = (df.where(F.col(value_col).isNotNull())
          .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("cnt"), *aggs))
-    w = Window.partitionBy(*group_cols).orderBy(F.col(value_col).asc())
-    return (h.withColumn("cum_le", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("n", F.sum("cnt").over(Window.partitionBy(*group_cols))))
+    if ranges == 1:
+        w = Window.partitionBy(*group_cols).orderBy(F.col(value_col).asc())
+        return (h.withColumn("cum_le", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("n", F.sum("cnt").over(Window.partitionBy(*group_cols))))
+    h = materialize(h)
+    at = [k / ranges for k in range(1, ranges)]
+    cuts = materialize(h.groupBy(*group_cols).agg(F.percentile_approx(value_col, at).alias("_cuts"), F.sum("cnt").alias("n")))
+    h = h.join(cuts, list(group_cols)).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(value_col)))).drop("_cuts")
+    per_range = h.groupBy(*group_cols, "_range").agg(F.sum("cnt").alias("_held"))
+    before = F.sum("_held").over(Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    per_range = per_range.select(*group_cols, "_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*group_cols, "_range").orderBy(F.col(value_col).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    return (h.join(per_range, [*group_cols, "_range"]).withColumn("cum_le", F.col("_before") + F.sum("cnt").over(inside))
+            .drop("_range", "_before"))
 
 
 def rank_within(df: DataFrame, group_cols: Sequence[str], value_col: str, *, descending: bool = True,
@@ -39,20 +62,21 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], value_col: str, *, des
 
 
 def band_within(df: DataFrame, group_cols: Sequence[str], value_col: str, bands: int,
-                band_col: str = "band", band_sums: dict[str, Column] | None = None) -> DataFrame:
+                band_col: str = "band", band_sums: dict[str, Column] | None = None, ranges: int = VALUE_RANGES) -> DataFrame:
     """Deterministic quantile band 1..bands: ``floor(bands * rows_below / n) + 1``.
 
     Ties always share a band (unlike NTILE, which splits ties arbitrarily). ``band_sums``
     maps a column name to a per-row number to be totalled over the row's band: the totals
     come from the same histogram, so ``df`` is read twice, not once more per total."""
     sums = band_sums or {}
-    h = value_histogram(df, group_cols, value_col, *[F.sum(c).alias(n) for n, c in sums.items()])
+    h = value_histogram(df, group_cols, value_col, *[F.sum(c).alias(n) for n, c in sums.items()], ranges=ranges)
     below = F.col("cum_le") - F.col("cnt")
     band = (F.floor(F.lit(bands) * below / F.col("n")) + 1).cast("int")
     h = h.withColumn(band_col, band)
-    w = Window.partitionBy(*group_cols, band_col)
-    h = h.select(*group_cols, value_col, band_col, *[F.sum(n).over(w).alias(n) for n in sums])
-    return df.join(h, [*group_cols, value_col], "left")
+    totals = h.groupBy(*group_cols, band_col).agg(*[F.sum(n).alias(n) for n in sums]) if sums else None  # ``bands`` rows a group
+    h = h.select(*group_cols, value_col, band_col)
+    joined = df.join(h, [*group_cols, value_col], "left")
+    return joined if totals is None else joined.join(totals, [*group_cols, band_col], "left")
 
 
 def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
