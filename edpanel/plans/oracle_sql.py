@@ -793,20 +793,23 @@ def quality_sql() -> dict[str, str]:
           WINDOW t AS (PARTITION BY f.provider_key ORDER BY f.period_date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
         SELECT trust_code, period_date, attendances_total, CAST(s AS DOUBLE) / n AS trailing_mean FROM w
         WHERE n > 0 AND 10 * attendances_total * n < s""")
+    q["dq_accepted_values"] = """SELECT 'lineitem' AS table_name, 'l_returnflag' AS column_name, l_returnflag AS value, COUNT(*) AS n_rows
+        FROM lineitem WHERE l_returnflag NOT IN ('A', 'N', 'R') GROUP BY l_returnflag
+        UNION ALL SELECT 'lineitem', 'l_linestatus', l_linestatus, COUNT(*) FROM lineitem WHERE l_linestatus NOT IN ('F', 'O') GROUP BY l_linestatus
+        UNION ALL SELECT 'orders', 'o_orderstatus', o_orderstatus, COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus"""
     checks = (("not_null", "fail", "sum(null_count)", "dq_not_null"), ("unique", "warn", "count(*)", "dq_unique"),
               ("relationship", "fail", "sum(orphan_rows)", "dq_relationship"),
               ("reconcile_national", "warn", "count_if(status = 'FAIL')", "reconcile_national"),
               ("range", "fail", "sum(violations)", "dq_range"), ("duplicates", "fail", "count(*)", "dq_duplicates"),
               ("gaps", "warn", "count(*)", "dq_gaps"), ("low_values", "warn", "count(*)", "dq_low"),
-              ("freshness", "warn", "sum(greatest(months_behind, 0))", "dq_freshness"))
+              ("freshness", "warn", "sum(greatest(months_behind, 0))", "dq_freshness"),
+              ("accepted_values", "fail", "sum(n_rows)", "dq_accepted_values"),
+              ("reconcile_internal", "fail", "count_if(NOT (attendances_consistent AND admissions_consistent))", "reconcile_internal"),
+              ("reconcile_quarterly", "warn", "count_if(status = 'FAIL')", "reconcile_quarterly"), ("volume", "warn", "count_if(volume_drop)", "dq_volume"))
     parts = [f"SELECT '{n}' AS check_name, '{t}' AS tier, CAST(COALESCE((SELECT {agg} FROM ({q[src]})), 0) AS BIGINT) AS failures"
              for n, t, agg, src in checks]
     q["dq_report"] = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE tier END AS status FROM ("
                       + " UNION ALL ".join(parts) + ")")
-    q["dq_accepted_values"] = """SELECT 'lineitem' AS table_name, 'l_returnflag' AS column_name, l_returnflag AS value, COUNT(*) AS n_rows
-        FROM lineitem WHERE l_returnflag NOT IN ('A', 'N', 'R') GROUP BY l_returnflag
-        UNION ALL SELECT 'lineitem', 'l_linestatus', l_linestatus, COUNT(*) FROM lineitem WHERE l_linestatus NOT IN ('F', 'O') GROUP BY l_linestatus
-        UNION ALL SELECT 'orders', 'o_orderstatus', o_orderstatus, COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus"""
     return q
 
 
