@@ -12,6 +12,7 @@ new table.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from edpanel.plans import analogue
 from edpanel.session import scratch_path
-from edpanel.sources.tables import read_table
+from edpanel.sources.tables import read_table, table_path
 
 LAYERS = ("staging", "marts", "meta", "reference")
 FACT = "fact_ae_activity"
@@ -31,20 +32,23 @@ SOURCES = ("lineitem", "supplier", "nation", "region")
 
 
 def source_state(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = SOURCES) -> str:
-    """Digest of the source files' names, lengths and modification times."""
+    """Digest of the source files' names, lengths and modification times, from their listing alone."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     seen = [sf_dir.rstrip("/")]
-    for name in sorted(f for t in tables for f in read_table(spark, sf_dir, t).inputFiles()):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        status = path.getFileSystem(conf).getFileStatus(path)
-        seen.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    for table in tables:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, table))
+        listed = jvm.org.apache.commons.lang3.ArrayUtils.toString(path.getFileSystem(conf).listStatus(path))  # one call, whatever the number of files
+        seen.append(re.sub(r"access_time=\d+; ", "", listed))
     return hashlib.sha256("\n".join(seen).encode()).hexdigest()[:16]
 
 
 def table_name(spark: SparkSession, sf_dir: str, layer: str, name: str) -> str:
+    return f"{layer}.{name}_{source_state(spark, sf_dir)}"
+
+
+def ensure_databases(spark: SparkSession) -> None:
     for database in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    return f"{layer}.{name}_{source_state(spark, sf_dir)}"
 
 
 def bucket_count(providers: int, months: int = MONTHS) -> int:
@@ -55,6 +59,7 @@ def fact_table(spark: SparkSession, sf_dir: str) -> str:
     """The fact's table name; the table is written where this state of the sources has none."""
     name = table_name(spark, sf_dir, "marts", FACT)
     if not spark.catalog.tableExists(name):
+        ensure_databases(spark)
         buckets = bucket_count(read_table(spark, sf_dir, "supplier", "s_suppkey").count())
         rows = analogue.build_fact(spark, sf_dir).withColumn(YEAR, F.year("period_date"))
         (rows.repartition(buckets, BUCKET_KEY).write.format("parquet").option("path", scratch_path(spark, f"layers/{FACT}-{uuid.uuid4().hex}"))
@@ -91,5 +96,6 @@ def mart(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFr
     """A mart as a table of the ``marts`` database, written once from the fact."""
     table = table_name(spark, sf_dir, "marts", name)
     if not spark.catalog.tableExists(table):
+        ensure_databases(spark)
         build().write.format("parquet").option("path", scratch_path(spark, f"layers/{name}-{uuid.uuid4().hex}")).saveAsTable(table)
     return spark.table(table)
