@@ -148,6 +148,73 @@ def scd2_rebuild(snapshots: DataFrame, key_cols: Sequence[str], carry_cols: Sequ
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
+SEEN = "array<struct<ts:timestamp_ntz,source_version:string>>"
+
+
+def empty_sighted_versions(incoming: DataFrame, key_cols: Sequence[str], carry_cols: Sequence[str] = ()) -> DataFrame:
+    """An empty versions table for :func:`scd2_late_merge`: with the sightings of each version."""
+    return empty_versions(incoming, key_cols, carry_cols).withColumn("seen", F.lit(None).cast(SEEN))
+
+
+def scd2_late_merge(versions: DataFrame, snapshot: DataFrame, key_cols: Sequence[str], snapshot_ts: str,
+                    source_version: str, carry_cols: Sequence[str] = (), source_order: str = "row_hash") -> DataFrame:
+    """A publication of any date merged into the history (D9, E2): what :func:`scd2_rebuild` gives
+    for all snapshots, whatever the order of their arrival.
+
+    A version keeps its sightings (``seen``: the snapshots that carried it, one each), since a
+    snapshot that changes nothing still matters once a differing one is dated before it. At the
+    instant of the snapshot a key's version is confirmed (same hash), split around the new one (sighted again
+    later), cut short (not sighted later; a next version of the new hash starts earlier instead), or preceded.
+    Versions closed by then pass by; of the others only a key's first two can change, and a key has at most one
+    version a publication. Rows with NULL keys are skipped, of rows that share a key the last by
+    ``source_order`` counts, and an instant that a key has seen keeps what was seen first."""
+    ts, fields = ts_literal(snapshot_ts), [*carry_cols, "row_hash"]
+    cols = [*carry_cols, *VERSION_COLS, "seen"]
+    closed = F.col("valid_to").isNotNull() & (F.col("valid_to") <= ts)
+    sight = F.struct(ts.alias("ts"), F.lit(source_version).alias("source_version"))
+    rest = versions.where(~closed).groupBy(*key_cols).agg(
+        F.array_sort(F.collect_list(F.struct("valid_from", F.struct(*cols).alias("v")))).alias("_vs"))
+    inc = _non_null_keys(snapshot, key_cols).groupBy(*key_cols).agg(F.max_by(F.struct(*fields), source_order).alias("_inc"))
+    row = F.col("_inc")
+    late = F.struct(*[row[c].alias(c) for c in fields], F.lit(source_version).alias("source_version"),
+                    ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+                    F.lit(True).alias("is_current"), F.array(sight).cast(SEEN).alias("seen"))
+    j = rest.join(inc, list(key_cols), "full").select(
+        *key_cols, "_inc", F.when(row.isNotNull(), late).alias("_late"),
+        F.transform(F.coalesce("_vs", F.array()), lambda x: x["v"]).alias("_vs"))
+    j = j.withColumns({"_a": F.get("_vs", F.lit(0)), "_b": F.get("_vs", F.lit(1))})
+    a, b, new, vs, h = F.col("_a"), F.col("_b"), F.col("_late"), F.col("_vs"), row["row_hash"]
+
+    def until(v: Column, end: Column) -> Column:
+        return v.withField("valid_to", end).withField("is_current", end.isNull())
+
+    def earlier(v: Column) -> Column:
+        """A version of the late row's hash, now starting at the late snapshot."""
+        return (v.withField("valid_from", ts).withField("source_version", F.lit(source_version))
+                .withField("seen", F.concat(F.array(sight), v["seen"])))
+
+    def after(n: int) -> Column:
+        return F.slice(vs, n + 1, F.greatest(F.size(vs) - n, F.lit(0)))
+
+    before, later = F.filter(a["seen"], lambda s: s["ts"] < ts), F.filter(a["seen"], lambda s: s["ts"] > ts)
+    again = F.get(later, F.lit(0))
+    head = until(a, ts).withField("seen", before)
+    tail = (a.withField("valid_from", again["ts"]).withField("source_version", again["source_version"])
+            .withField("seen", later))
+    confirmed = a.withField("seen", F.concat(before, F.array(sight), later))
+    surgery = (F.when(row.isNull() | F.exists(a["seen"], lambda s: s["ts"] == ts), vs)
+               .when(a.isNull(), F.array(new))
+               .when((a["valid_from"] > ts) & (a["row_hash"] == h), F.concat(F.array(earlier(a)), after(1)))
+               .when(a["valid_from"] > ts, F.concat(F.array(until(new, a["valid_from"])), vs))
+               .when(a["row_hash"] == h, F.concat(F.array(confirmed), after(1)))
+               .when(F.size(later) > 0, F.concat(F.array(head, until(new, again["ts"]), tail), after(1)))
+               .when(b["row_hash"] == h, F.concat(F.array(head, earlier(b)), after(2)))
+               .otherwise(F.concat(F.array(head, until(new, a["valid_to"])), after(1))))
+    merged = j.select(*key_cols, F.explode(surgery).alias("_v")).select(*key_cols, "_v.*")
+    return versions.where(closed).select(*key_cols, *cols).unionByName(merged.select(*key_cols, *cols))
+
+
+
 # ----------------------------------------------------------------- D15
 def source_precedence(rows: DataFrame, key_cols: Sequence[str], publication_col: str,
                       priority_col: str) -> DataFrame:

@@ -61,7 +61,7 @@ def _analytics_queries() -> dict[str, QueryFn]:
 
 def _revision_queries() -> dict[str, QueryFn]:
     names = ["row_diff", "scd2_merge", "changed_periods", "scd2_current", "scd2_asof", "revision_audit",
-             "scd2_rebuild", "source_precedence"]
+             "scd2_rebuild", "scd2_late", "source_precedence"]
     return {n: getattr(revisions, n) for n in names}
 
 

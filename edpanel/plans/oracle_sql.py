@@ -407,6 +407,7 @@ def revisions_sql() -> dict[str, str]:
           LEAD(snapshot_ts) OVER (PARTITION BY period_date, org_code ORDER BY snapshot_ts) AS valid_to,
           LEAD(snapshot_ts) OVER (PARTITION BY period_date, org_code ORDER BY snapshot_ts) IS NULL AS is_current
         FROM kept""")
+    q["scd2_late"] = q["scd2_rebuild"]
     q["source_precedence"] = w(f"""u AS (
           SELECT period_date, org_code, attendances_total, 'history' AS source_kind, {T1_} AS published_at,
                  2 AS source_priority FROM first

@@ -100,6 +100,19 @@ def scd2_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.scd2_rebuild(snapshots(spark, sf_dir), KEY, CARRY)
 
 
+def scd2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The releases loaded out of order, the revised one last: the history of a rebuild in order.
+    Each load writes the next version of the table, as a scheduled load does."""
+    first = staged(spark, sf_dir, "first")
+    versions = changes.empty_sighted_versions(first, KEY, CARRY)
+    table = sinks.VersionedTable(spark, scratch_path(spark, f"versions/{uuid.uuid4().hex}"))
+    for rows, ts, release in ((first, T_FIRST, "first"), (staged(spark, sf_dir, "revert"), T_REVERT, "revert"),
+                              (staged(spark, sf_dir, "revised"), T_REVISED, "revised")):
+        merged = changes.scd2_late_merge(versions, rows, KEY, ts, release, CARRY)
+        versions = table.read(table.write_next(merged), merged.schema)
+    return versions.drop("seen")
+
+
 def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History file (first release, all months) and monthly file (revised release, newest
     month only): the later publication wins per (period, org)."""
