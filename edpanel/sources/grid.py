@@ -4,7 +4,7 @@ Two producers:
 
 - :func:`read_grid_csv` reads sheets exported as CSV text (one file per sheet, named
   ``<workbook>__<sheet>.csv``), :func:`read_sheets` those that :func:`write_sheets` wrote in
-  parts. Each file is read whole by one task; the work scales with the number of files.
+  parts. Files are read by lines in Spark's own splits, so a sheet may be far larger than a task's memory.
 - :func:`render_activity_grid` lays the analogue's staged rows out as published monthly
   workbooks (branding rows, merged banner, two-row header, England total, footnotes,
   a notes sheet, column renames and additions over time), so the grid parser runs on
@@ -15,7 +15,7 @@ Blank cells are not stored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
@@ -27,25 +27,72 @@ PART_ROWS = 10_000                # rows of a sheet per written file
 
 
 def cells_of_text(sheets: DataFrame) -> DataFrame:
-    """CSV text of sheets (file, sheet, text, first_row) -> cells. Quotes may enclose commas,
-    doubled quotes and line breaks: the text is cut at its quotes, and only the pieces outside
-    them (the even ones) have their separators marked."""
+    """CSV texts held in rows (file, sheet, text, first_row) -> cells: the text is cut into its rows at the
+    line breaks outside quotes (in the even ones of the pieces between quotes)."""
     pieces = F.transform(F.split(F.regexp_replace("text", "\r\n", "\n"), '"'), lambda x, i: F.when(
-        i % 2 == 0, F.translate(x, "\n,", ROW_MARK + FIELD_MARK)).otherwise(x))
-    rows = sheets.select("file", "sheet", "first_row", F.posexplode(F.split(F.array_join(pieces, '"'), ROW_MARK)).alias("row", "line"))
-    cells = rows.select("file", "sheet", (F.col("first_row") + F.col("row")).cast("int").alias("row"),
-                        F.posexplode(F.split("line", FIELD_MARK)).alias("col", "raw"))
+        i % 2 == 0, F.translate(x, "\n", ROW_MARK)).otherwise(x))
+    rows = sheets.select("file", "sheet", "first_row", F.posexplode(F.split(F.array_join(pieces, '"'), ROW_MARK)).alias("at", "line"))
+    return _cells_of_rows(rows.select("file", "sheet", (F.col("first_row") + F.col("at")).alias("row"), "line"))
+
+
+def _cells_of_rows(rows: DataFrame) -> DataFrame:
+    """Rows of CSV text (file, sheet, row, line) -> cells. A line is cut at its quotes, and only the
+    pieces outside them (the even ones) have their commas marked."""
+    pieces = F.transform(F.split("line", '"'), lambda x, i: F.when(i % 2 == 0, F.translate(x, ",", FIELD_MARK)).otherwise(x))
+    cells = rows.select("file", "sheet", "row", F.posexplode(F.split(F.array_join(pieces, '"'), FIELD_MARK)).alias("col", "raw"))
     value = F.regexp_replace(F.regexp_replace("raw", r'(?s)^"(.*)"$', "$1"), '""', '"')
-    return cells.select("file", "sheet", "row", F.col("col").cast("int").alias("col"), value.alias("value")).where(F.trim("value") != "")
+    return cells.select("file", "sheet", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"),
+                        value.alias("value")).where(F.trim("value") != "")
+
+
+def cells_of_lines(lines: DataFrame) -> DataFrame:
+    """Lines of CSV sheets (file, sheet, first_row, path, block, at, line) -> cells.
+
+    Quotes may enclose commas, doubled quotes and line breaks, so a line begins a row only where an even number
+    of quotes of its file lie before it. ``at`` orders the lines of a block (a split of a file), ``block`` those of
+    a file: each block gives its quote count and its row starts for both parities on entry; a prefix sum over
+    the blocks of a file tells every block how it begins and the row it begins with. Windows over lines hold one
+    block. Lines that are a whole row go straight to cells; only the lines of rows that span several meet again.
+    A quote that is never closed makes the rest of its file one cell. ``\r\n`` counts as ``\n``."""
+    split = ["file", "sheet", "first_row", "path", "block"]
+    text = F.regexp_replace("line", "\r$", "")
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    within = Window.partitionBy("path", "block").orderBy("at")
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = lines.select(*split, "at", text.alias("line"), quotes.alias("quotes")).withColumn(
+        "odd", (F.sum("quotes").over(upto) - F.col("quotes")) % 2)          # parity inside the block, before the line
+    n = n.withColumn("starts", F.struct(F.sum(1 - F.col("odd")).over(upto).alias("even"), F.sum("odd").over(upto).alias("odd")))
+    blocks = n.groupBy("path", "block").agg((F.sum("quotes") % 2).alias("parity"), F.count_if(F.col("odd") == 0).alias("even"),
+                                            F.count_if(F.col("odd") == 1).alias("odds"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    entry = blocks.withColumn("entry", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2)
+    entry = entry.withColumn("rows_before", F.coalesce(F.sum(F.when(F.col("entry") == 0, F.col("even")).otherwise(F.col("odds")))
+                                                       .over(earlier), F.lit(0)))
+    n = n.join(entry.select("path", "block", "entry", "rows_before"), ["path", "block"])
+    begun = F.when(F.col("entry") == 0, F.col("starts.even")).otherwise(F.col("starts.odd"))
+    inside = (F.col("odd") + F.col("entry")) % 2 == 1                        # the line begins inside quotes
+    n = n.select("file", "sheet", "path", "block", "at", "line", (inside | (F.col("quotes") % 2 == 1)).alias("spans"),
+                 (F.col("first_row") + F.col("rows_before") + begun - 1).alias("row"))
+    whole = n.where(~F.col("spans")).select("file", "sheet", "row", "line")
+    parts = n.where("spans").groupBy("file", "sheet", "path", "row").agg(
+        F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
+    joined = parts.select("file", "sheet", "row", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("line"))
+    return _cells_of_rows(whole.unionByName(joined))
+
+
+def _lines(scan: DataFrame, file: F.Column, sheet: F.Column, first_row: F.Column) -> DataFrame:
+    """Lines of a text scan with their place: the file, the offset of its split, and the order inside the task."""
+    return scan.select(file.alias("file"), sheet.alias("sheet"), first_row.alias("first_row"), F.col("_metadata.file_path").alias("path"),
+                       F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+                       F.col("value").alias("line"))
 
 
 def read_grid_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV-exported sheets ``<workbook>__<sheet>.csv`` -> cells. ``path`` may be a folder or a glob."""
     base = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
     parts = F.split(base, "__", 2)
-    return cells_of_text(spark.read.text(path, wholetext=True).select(
-        parts[0].alias("file"), F.coalesce(F.get(parts, F.lit(1)), F.lit("Sheet1")).alias("sheet"),
-        F.col("value").alias("text"), F.lit(0).alias("first_row")))
+    scan = spark.read.option("lineSep", "\n").text(path)
+    return cells_of_lines(_lines(scan, parts[0], F.coalesce(F.get(parts, F.lit(1)), F.lit("Sheet1")), F.lit(0)))
 
 
 def _joined(items: F.Column, at: str, text: str, mark: str) -> F.Column:
@@ -76,7 +123,8 @@ def write_sheets(cells: DataFrame, folder: str) -> None:
 def read_sheets(spark: SparkSession, folder: str) -> DataFrame:
     """Cells of the sheets written by :func:`write_sheets`."""
     schema = "value string, file string, sheet string, first_row int"
-    return cells_of_text(spark.read.schema(schema).text(folder, wholetext=True).withColumnRenamed("value", "text"))
+    scan = spark.read.schema(schema).option("lineSep", "\n").text(folder)
+    return cells_of_lines(_lines(scan, F.col("file"), F.col("sheet"), F.col("first_row")))
 
 
 # ----------------------------------------------------------------- analogue render
