@@ -3,11 +3,14 @@ the policy decision. All inputs are per-sheet header data (bounded by sheet widt
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edpanel.functions import columns as C
 from edpanel.operators import grid
-from edpanel.sources.registry import FUZZY_THRESHOLD, Registry
+from edpanel.sources.registry import FUZZY_THRESHOLD, ColumnSpec, Registry
 
 KEY = grid.SHEET_KEY
 ACTIONS = {"halt": "halted", "warn_and_continue": "warned", "fuzzy_match_then_alert": "fuzzy_mapped"}
@@ -33,7 +36,7 @@ def fuzzy_renames(labels: DataFrame, mapping: DataFrame, missing: DataFrame, thr
     sheets = cand.groupBy(*KEY).agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
     taken = F.filter("pairs", lambda p: F.lit(False))
 
-    def take(kept: F.Column, p: F.Column) -> F.Column:
+    def take(kept: Column, p: Column) -> Column:
         clash = F.exists(kept, lambda k: (k["col"] == p["col"]) | (k["canonical"] == p["canonical"]))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(p)))
 
@@ -90,12 +93,35 @@ def drift_log(*parts: DataFrame) -> DataFrame:
 
 
 def unmapped_capture(cells: DataFrame, headers: DataFrame, labels: DataFrame, mapping: DataFrame) -> DataFrame:
-    """``_unmapped``: per body row, a map label -> raw value of the unmapped columns."""
+    """``_unmapped``: per body row, a VARIANT object label -> raw value of the unmapped columns (D11). Of
+    columns that share a label the left one keeps it, the others get ``#2``, ``#3`` and so on behind it."""
     um = labels.where(F.col("compound") != "").join(mapping.select(*KEY, "col"), [*KEY, "col"], "left_anti")
-    body = (cells.join(headers, KEY).where(F.col("row") > F.col("header_row"))
-            .join(um.select(*KEY, "col", "compound"), [*KEY, "col"]))
-    return body.groupBy(*KEY, "row").agg(
-        F.map_from_entries(F.collect_list(F.struct("compound", "value"))).alias("_unmapped"))
+    nth = F.row_number().over(Window.partitionBy(*KEY, "compound").orderBy("col"))          # bounded by the sheet's width
+    um = um.select(*KEY, "col", "compound", nth.alias("nth")).select(
+        *KEY, "col", F.when(F.col("nth") == 1, F.col("compound")).otherwise(F.concat_ws(" #", "compound", "nth")).alias("name"))
+    body = cells.join(headers, KEY).where(F.col("row") > F.col("header_row")).join(um, [*KEY, "col"])
+    pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))
+    return body.groupBy(*KEY, "row").agg(F.parse_json(F.to_json(pairs)).alias("_unmapped"))
+
+
+def captured(unmapped: Column, spec: ColumnSpec) -> Column:
+    """The raw value that a row's ``_unmapped`` holds for a column of a later schema version: of the labels
+    that match its patterns the first in text order; NULL where there is none."""
+    held = F.map_filter(unmapped.cast("map<string,string>"), lambda k, v: grid.label_matches(F.lower(C.collapse_ws(k)), spec.patterns))
+    entries = F.array_sort(F.map_entries(held))
+    return F.get(entries, F.lit(0))["value"]
+
+
+def read_across_versions(staged: DataFrame, specs: Sequence[ColumnSpec], unmapped: str = "_unmapped") -> DataFrame:
+    """Rows staged under an earlier schema version with the columns of a later one: a column that the
+    staging table has is kept where it is not NULL, else it is read from the captured values and coerced.
+    Percentages come back as published, without the scale of their workbook."""
+    coerce = {"integer": C.coerce_int, "percent": C.coerce_pct_raw, "text": C.coerce_text}
+    out = staged
+    for s in specs:
+        value = coerce[s.dtype](captured(F.col(unmapped), s))
+        out = out.withColumn(s.canonical, F.coalesce(F.col(s.canonical), value) if s.canonical in staged.columns else value)
+    return out
 
 
 def should_halt(log: DataFrame) -> bool:

@@ -109,7 +109,8 @@ def forward_fill(df: DataFrame, key_cols: list[str], order_cols: list[str], valu
 
 
 # ----------------------------------------------------------------- C5 mapping
-def _spec_match(norm: Column, patterns: tuple[str, ...]) -> Column:
+def label_matches(norm: Column, patterns: tuple[str, ...]) -> Column:
+    """Whether a lower-cased, space-collapsed label matches any of a registry column's patterns."""
     m = F.lit(False)
     for p in patterns:
         m = m | norm.rlike("(?i)" + p)
@@ -129,7 +130,7 @@ def map_columns(labels: DataFrame, registry: Registry) -> DataFrame:
     norm = F.lower(C.collapse_ws("compound"))
     specs = registry.columns
     lab = labels.where(F.col("compound") != "").select(*SHEET_KEY, "col", norm.alias("norm"))
-    aggs = [F.array_sort(F.collect_list(F.when(_spec_match(F.col("norm"), s.patterns), F.col("col")))).alias(f"_m{i}")
+    aggs = [F.array_sort(F.collect_list(F.when(label_matches(F.col("norm"), s.patterns), F.col("col")))).alias(f"_m{i}")
             for i, s in enumerate(specs)]
     per_sheet = lab.groupBy(*SHEET_KEY).agg(*aggs)
     matches = F.array(*[F.col(f"_m{i}") for i in range(len(specs))])
@@ -173,19 +174,16 @@ def cells_to_wide(cells: DataFrame, headers: DataFrame, mapping: DataFrame, regi
 
 
 def stop_at_blank_row(cells: DataFrame, headers: DataFrame) -> DataFrame:
-    """Keep body rows before the first entirely blank row after the header."""
-    body_rows = (cells.join(headers, SHEET_KEY).where(F.col("row") > F.col("header_row"))
-                 .select(*SHEET_KEY, "row", "header_row").distinct())
-    nxt = body_rows.select(*SHEET_KEY, (F.col("row") - 1).alias("row")).withColumn("_has_next", F.lit(True))
-    last = body_rows.groupBy(*SHEET_KEY).agg(F.max("row").alias("_last"))
-    gaps = (body_rows.join(nxt, [*SHEET_KEY, "row"], "left").join(last, SHEET_KEY)
-            .where(F.col("_has_next").isNull() & (F.col("row") < F.col("_last")))
-            .groupBy(*SHEET_KEY).agg((F.min("row") + 1).alias("_blank")))
-    first_body = (body_rows.groupBy(*SHEET_KEY, "header_row").agg(F.min("row").alias("_first")))
-    # A blank row directly under the header also counts.
-    cut = first_body.join(gaps, SHEET_KEY, "left").select(
-        *SHEET_KEY, F.when(F.col("_first") > F.col("header_row") + 1, F.col("header_row") + 1)
-        .otherwise(F.col("_blank")).alias("_blank"))
+    """Keep the rows before the first entirely blank row after the header (C8); sheets without a
+    header keep all. Blank cells are not stored, so a blank row is one without cells: the row after the
+    first row, header included, that has no successor. Rows meet their predecessor in an aggregate by row number,
+    so no window holds a whole sheet."""
+    rows = cells.join(headers, SHEET_KEY).where(F.col("row") >= F.col("header_row")).select(*SHEET_KEY, "row").distinct()
+    # Each row stands for itself and, one below, for the row before it.
+    at = rows.select(*SHEET_KEY, F.explode(F.array(F.struct("row", F.lit(True).alias("held")),
+                                                   F.struct((F.col("row") + 1).alias("row"), F.lit(False).alias("held")))).alias("x"))
+    blank = at.groupBy(*SHEET_KEY, "x.row").agg(F.bool_or("x.held").alias("held")).where(~F.col("held"))
+    cut = blank.groupBy(*SHEET_KEY).agg(F.min("row").alias("_blank"))
     return (cells.join(cut, SHEET_KEY, "left")
             .where(F.col("_blank").isNull() | (F.col("row") < F.col("_blank"))).drop("_blank"))
 

@@ -67,7 +67,7 @@ def _revision_queries() -> dict[str, QueryFn]:
 
 def _ingest_queries() -> dict[str, QueryFn]:
     names = ["grid_cells", "grid_profile", "pick_sheet", "header_row", "map_columns", "extract_period",
-             "cells_to_wide", "drift_missing", "drift_unexpected", "drift_rename", "drift_log", "dq_coerce_rejects",
+             "cells_to_wide", "drift_missing", "drift_unexpected", "drift_rename", "drift_log", "dq_coerce_rejects", "unmapped_capture", "stop_at_blank_row",
              "recompute_vs_source"]
     return {n: getattr(ingest, f"q_{n}") for n in names}
 

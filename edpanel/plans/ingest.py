@@ -18,7 +18,7 @@ from edpanel import session
 from edpanel.operators import drift, grid, sinks
 from edpanel.plans import analogue, quality
 from edpanel.sources import grid as grid_src
-from edpanel.sources.registry import Registry, default_registry
+from edpanel.sources.registry import ColumnSpec, Registry, default_registry
 
 
 @dataclass
@@ -34,6 +34,7 @@ class IngestResult:
     periods: DataFrame
     staged: DataFrame
     drift_log: DataFrame
+    unmapped: DataFrame
 
 
 def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize: bool = True) -> IngestResult:
@@ -62,7 +63,14 @@ def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize:
         drift.drift_renamed(renames, reg),
         drift.drift_no_header(grid.missing_headers(sheets, headers)),
         drift.drift_no_period(sheets, periods))
-    return IngestResult(sheets, headers, labels, mapping, renames, missing, wide, typed, periods, staged, log)
+    unmapped = drift.unmapped_capture(cells, headers, labels, mapping)
+    return IngestResult(sheets, headers, labels, mapping, renames, missing, wide, typed, periods, staged, log, unmapped)
+
+
+def staged_with_unmapped(result: IngestResult) -> DataFrame:
+    """The staged rows, each with what its unmapped columns held."""
+    rows = result.typed.join(result.periods, grid.SHEET_KEY, "left").join(result.unmapped, [*grid.SHEET_KEY, "row"], "left")
+    return sinks.conform_staging(rows, keep=("file", "_unmapped"))
 
 
 class LoadHaltedError(RuntimeError):
@@ -169,6 +177,31 @@ def q_drift_unexpected(spark, sf_dir):
     return drift.drift_unexpected(r.labels, r.mapping, default_registry())
 
 
+# Columns that a later schema version adds to the registry (fixed values of the render).
+LATER_COLUMNS = (ColumnSpec("region_name", ("^region$",), "text"),
+                 ColumnSpec("booked_type1", ("appointments :: booked type 1",), "integer"),
+                 ColumnSpec("breaches_type2", ("greater than 4 hours.*:: type 2",), "integer"))
+
+
+def q_unmapped_capture(spark, sf_dir):
+    """The rows staged with their unmapped columns as a written table, read under a later schema
+    version that knows three of them, one of which is published from 2001 on only."""
+    path = session.scratch_path(spark, f"staging/{uuid.uuid4().hex}")
+    rows = staged_with_unmapped(analogue_ingest(spark, sf_dir))
+    sinks.replace_periods(rows, path)
+    later = drift.read_across_versions(spark.read.schema(rows.schema).parquet(path), LATER_COLUMNS)
+    return later.select("period_date", "org_code", "attendances_type1", *[c.canonical for c in LATER_COLUMNS])
+
+
+def q_stop_at_blank_row(spark, sf_dir):
+    """The cells of the data sheets before the first blank row under their header."""
+    cells = session.materialize(analogue_cells(spark, sf_dir))
+    reg = default_registry()
+    sheets = grid.pick_sheet(cells, reg)
+    kept = grid.stop_at_blank_row(cells.join(sheets, grid.SHEET_KEY, "left_semi"), grid.header_rows(cells, sheets, reg))
+    return kept.select("file", "sheet", "row", "col", "value")
+
+
 def q_drift_rename(spark, sf_dir):
     return analogue_ingest(spark, sf_dir).renames.select("file", "sheet", "canonical", "col", "compound", "similarity")
 

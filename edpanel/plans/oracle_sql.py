@@ -497,6 +497,16 @@ def ingest_sql() -> dict[str, str]:
           COALESCE(abs(source_pct - recomputed_pct) <= 0.05, false) AS consistent FROM x""")
     cells = _workbook_cells(within, milli)
     q["grid_cells"] = with_star(f"{cells} SELECT file, sheet, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col, value FROM cells WHERE value IS NOT NULL")
+    q["unmapped_capture"] = with_star("""SELECT f.period_date, p.trust_code AS org_code, attendances_type1, p.icb_name AS region_name,
+          CASE WHEN f.period_date >= DATE '2001-01-01' THEN attendances_type1 END AS booked_type1, breaches_type2
+        FROM fact f JOIN prov p USING (provider_key)""")
+    q["stop_at_blank_row"] = with_star(f"""{cells},
+        held AS (SELECT file, r, LEAD(r) OVER (PARTITION BY file ORDER BY r) AS next_r FROM (SELECT DISTINCT c.file, r FROM cells c
+          JOIN wb ON wb.file = c.file AND r > b WHERE c.sheet = 'Provider Level Data' AND value IS NOT NULL)),
+        cut AS (SELECT file, min(r) AS last_r FROM held WHERE next_r > r + 1 GROUP BY file)
+        SELECT c.file, c.sheet, CAST(r AS INTEGER) AS row, CAST(c.c AS INTEGER) AS col, value FROM cells c
+        LEFT JOIN cut ON cut.file = c.file
+        WHERE c.sheet = 'Provider Level Data' AND value IS NOT NULL AND (last_r IS NULL OR r <= last_r)""")
     mapped = [("org_code", 0, "Code"), ("org_name", 2, "Name")]
     mapped += [(f"attendances_type{k + 1}", 3 + k, f"A&E attendances :: {t}") for k, t in enumerate(DEPARTMENTS)]
     mapped += [("attendances_total", 6, "A&E attendances :: Total attendances")]
