@@ -1,7 +1,6 @@
 """Raw files and web-page links (A1, A3, A5).
 
-- :func:`file_hashes` reads files as bytes with the ``binaryFile`` source: one row per
-  file, hashed in the executor that read it.
+- :func:`file_hashes` hashes files by stream in the tasks that their listing is spread over.
 - :func:`resolve_links` finds, per page, the first anchor (document order) whose text
   matches a pattern, and absolutises its href against the page URL; :func:`resolve_files`
   is the second step on a category page. Pages are independent: one projection, no shuffle.
@@ -10,9 +9,11 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import operator
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,38 @@ FILE_SUFFIX_PATTERN = r"(?i)\.xlsx?$"
 FILE_TEXTS = ("monthly a&e", "monthly ae")
 
 
+CHUNK_BYTES = 8 << 20             # of a file held in memory while it is hashed
+
+
+def _open_stream(path: str):
+    """A byte stream of a listed file, in the task that hashes it."""
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    from pyarrow import fs
+    filesystem, inner = fs.FileSystem.from_uri(path)
+    return filesystem.open_input_stream(inner)
+
+
+def _hash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for files in batches:
+        hashes = []
+        for path in files["path"]:
+            digest = hashlib.sha256()
+            with _open_stream(path) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            hashes.append(digest.hexdigest())
+        yield files.assign(sha256=hashes)
+
+
 def file_hashes(spark: SparkSession, path_glob: str) -> DataFrame:
-    """name, size and SHA-256 of every file matching ``path_glob`` (A1). The source holds a
-    file in one row and raises on files beyond 2 GiB."""
-    raw = spark.read.format("binaryFile").load(path_glob)
-    return raw.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                      F.col("length").alias("size_bytes"),
-                      F.sha2(F.col("content"), 256).alias("sha256"))
+    """path, name, size and SHA-256 of every file under ``path_glob`` (A1). The listing reads no content;
+    the task that holds a file's row reads the file in chunks, so its size has no bound but the task's time.
+    Files without a byte have no row, as Spark's scan passes them over; a path that does not exist is an error."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path_glob)
+              .select("path", F.col("length").alias("size_bytes")))
+    hashed = listed.mapInPandas(_hash_batches, "path string, size_bytes long, sha256 string")
+    return hashed.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "sha256")
 
 
 def content_hashes(rows: DataFrame, content_col: str) -> DataFrame:

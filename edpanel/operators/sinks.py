@@ -7,6 +7,8 @@ append-only partitions for the raw archive, and a new version directory per SCD2
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -63,8 +65,10 @@ def add_audit_columns(df: DataFrame, file_name: str | F.Column, file_hash: str |
 
 def replace_periods(df: DataFrame, path: str, partition_col: str = "period_date") -> None:
     """Replace every period present in ``df`` and leave the others untouched.
-    Dynamic partition overwrite makes a rerun idempotent; an empty frame is a no-op."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    Dynamic partition overwrite makes a rerun idempotent; an empty frame is a no-op. Rows are rebalanced
+    by period first: a period is one file up to the advisory size of AQE, which cuts larger ones, so
+    there are no tasks x periods small files and a hot period is no single task."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -105,6 +109,24 @@ def retention_prune(df: DataFrame, ts_col: str, as_of: str, keep_days: int) -> D
     return df.where(F.col(ts_col) >= F.date_sub(F.lit(as_of).cast("date"), keep_days))
 
 
+def drop_expired_partitions(spark: SparkSession, path: str, partition_col: str, as_of: str, keep_days: int) -> list[str]:
+    """Drop the date partitions of a table that lie before the retention window (B10), by the names of their
+    folders: no data file is read. Folders that name no date (rows without one among them) stay. Returns the dropped
+    dates; a rerun drops nothing."""
+    first_kept = dt.date.fromisoformat(as_of) - dt.timedelta(days=keep_days)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dropped = []
+    for status in fs.listStatus(root):
+        column, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and column == partition_col and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+            if dt.date.fromisoformat(value) < first_kept and fs.delete(status.getPath(), True):
+                dropped.append(value)
+    spark.catalog.refreshByPath(path)
+    return sorted(dropped)
+
+
 class VersionedTable:
     """A table written as numbered version directories ``<path>/version=<n>``.
 

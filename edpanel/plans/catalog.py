@@ -95,7 +95,7 @@ def _quality_queries() -> dict[str, QueryFn]:
 
 def _operation_queries() -> dict[str, QueryFn]:
     names = ["file_skip", "catalog_insert_ignore", "url_change", "manifest", "archive_roundtrip", "staging_replace",
-             "run_audit_latest", "retention_prune", "stream_ingest_once", "scheduled_run"]
+             "run_audit_latest", "retention_prune", "retention_drop", "table_file_hash", "seed_provider", "stream_ingest_once", "scheduled_run"]
     return {n: getattr(operations, n) for n in names}
 
 

@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
 from edpanel.operators import changes, links, sinks
-from edpanel.plans import ingest, revisions
+from edpanel.plans import analogue, ingest, revisions
 from edpanel.session import scratch_path
 from edpanel.sources import grid as grid_src
+from edpanel.sources import seeds
 from edpanel.sources.registry import DEFAULT_SCHEMA_VERSION
 from edpanel.sources.tables import read_table
 from edpanel.streaming.ingest import ingest_rows_available
@@ -32,6 +33,7 @@ from edpanel.streaming.run import run_available
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]*)"
 CATALOGUED_EVERY = 3
 ARCHIVE_DATES = ("2001-12-13", "2001-12-14", "2001-12-15")      # analogue ingest dates, by page id (fixed values)
+ARCHIVE_KEEP_DAYS = 1
 INGEST_TIMESTAMP = "2001-12-15T08:00:00+00:00"
 ARCHIVE_PREFIX = "raw"
 MANIFEST_FIELDS = ("source_name", "source_url", "original_filename", "data_month", "ingest_timestamp", "size_bytes",
@@ -133,6 +135,32 @@ def retention_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.retention_prune(e, "ts", RETENTION_AS_OF, RETENTION_DAYS)
 
 
+def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of all pages, one folder per ingest date, after the folders before the retention
+    window were dropped (twice, the rerun dropping nothing)."""
+    root = scratch_path(spark, f"raw_archive/{uuid.uuid4().hex}")
+    sinks.append_partitioned(_downloads(spark, sf_dir).select("page_id", "ingest_date", "size_bytes", "sha256"), root, "ingest_date")
+    for _ in range(2):
+        sinks.drop_expired_partitions(spark, root, "ingest_date", ARCHIVE_DATES[-1], ARCHIVE_KEEP_DAYS)
+    kept = spark.read.schema("page_id long, size_bytes long, sha256 string, ingest_date string").parquet(root)
+    return kept.select("page_id", "ingest_date", "size_bytes", "sha256")
+
+
+def table_file_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: size and SHA-256 of every file of the given tables (files without a byte aside)."""
+    return links.file_hashes(spark, f"{sf_dir.rstrip('/')}/*.parquet").select("file_name", "size_bytes", "sha256")
+
+
+SEED_SCHEMA = "provider_key long, trust_code string, trust_name string, icb_name string"
+
+
+def seed_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The provider reference as a CSV seed, written and read back under its schema."""
+    path = scratch_path(spark, f"seeds/{uuid.uuid4().hex}")
+    seeds.write_seed(analogue.build_dim_provider(spark, sf_dir).select("provider_key", "trust_code", "trust_name", "icb_name"), path)
+    return seeds.read_seed(spark, path, SEED_SCHEMA)
+
+
 def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages land as files in two drops, the second of which repeats the first under new
     file names; each availableNow run catalogues only content not seen before."""

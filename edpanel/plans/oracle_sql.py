@@ -861,6 +861,9 @@ def operations_sql() -> dict[str, str]:
         SELECT DISTINCT ingest_date, source_name, original_filename, size_bytes, sha256 FROM files"""
     q["stream_ingest_once"] = f"""WITH {downloads}
         SELECT DISTINCT source_name, size_bytes, sha256 FROM files WHERE sha256 IS NOT NULL"""
+    q["retention_drop"] = f"""WITH {downloads}
+        SELECT page_id, ingest_date, size_bytes, sha256 FROM files WHERE ingest_date >= '2001-12-14'"""
+    q["seed_provider"] = with_star("SELECT provider_key, trust_code, trust_name, icb_name FROM prov")
     q["retention_prune"] = """SELECT event_id, ts FROM events
         WHERE ts >= CAST(DATE '2024-01-31' - INTERVAL 14 DAY AS DATE)"""
     return q
