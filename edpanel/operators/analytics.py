@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from edpanel.functions import columns as C
 from edpanel.operators import kpi, ranking
 from edpanel.plans.analogue import Star
+from edpanel.session import materialize
 
 WINTERS_KEPT = 5
 TOP_K_WINTER_GAP = 10
@@ -189,8 +190,9 @@ def winter_gap_topk(star: Star, k: int = TOP_K_WINTER_GAP, target_pct: float = 9
 
 
 def winter_peer(star: Star) -> DataFrame:
-    """Winter volume peers: quintile of winter attendances within each winter."""
-    h = winter_history(star).withColumn("perf_tenths", C.pct_tenths("winter_within_4hrs", "winter_attendances"))
+    """Winter volume peers: quintile of winter attendances within each winter (G9). The history, one
+    row per provider and winter, is written once and read by the histogram and the rows."""
+    h = materialize(winter_history(star)).withColumn("perf_tenths", C.pct_tenths("winter_within_4hrs", "winter_attendances"))
     j = _volume_peers(h, "winter_year", "winter_attendances")
     return j.select("trust_code", "winter_year", "winter_attendances", "volume_band", "winter_performance_pct",
                     (F.col("peer_mean_tenths") / 10.0).alias("peer_mean_performance_pct"),
@@ -208,16 +210,17 @@ def early_warning(star: Star) -> DataFrame:
 # ----------------------------------------------------------------- G11–G13
 def seasonal_forecast(star: Star) -> DataFrame:
     """Seasonal index per provider and month of year, and a projection = index x mean of
-    the provider's last 12 reported months (G11)."""
+    the provider's last 12 reported months (G11). One read of the fact: the last 12 months are
+    numbered in the provider window and summed per month of year, and the provider's totals are
+    windows over its twelve rows at most."""
     f = star.joined("month_of_year")
-    overall = f.groupBy("provider_key").agg(F.sum("attendances_total").alias("s_all"), F.count(F.lit(1)).alias("c_all"))
-    by_moy = f.groupBy("provider_key", "month_of_year").agg(F.sum("attendances_total").alias("s_m"),
-                                                           F.count(F.lit(1)).alias("c_m"))
-    recent_w = Window.partitionBy("provider_key").orderBy(F.col("period_date").desc())
-    last12 = (f.withColumn("rn", F.row_number().over(recent_w)).where(F.col("rn") <= 12)
-              .groupBy("provider_key").agg(F.sum("attendances_total").alias("s12"), F.count(F.lit(1)).alias("c12")))
-    codes = star.dim_provider.select("provider_key", "trust_code")
-    j = by_moy.join(overall, "provider_key").join(last12, "provider_key").join(codes, "provider_key")
+    recent = F.row_number().over(Window.partitionBy("provider_key").orderBy(F.col("period_date").desc())) <= 12
+    by_moy = (f.withColumn("_recent", recent).groupBy("provider_key", "trust_code", "month_of_year")
+              .agg(F.sum("attendances_total").alias("s_m"), F.count(F.lit(1)).alias("c_m"),
+                   F.sum(F.when(F.col("_recent"), F.col("attendances_total"))).alias("_s12"), F.count_if("_recent").alias("_c12")))
+    own = Window.partitionBy("provider_key")
+    j = by_moy.withColumns({"s_all": F.sum("s_m").over(own), "c_all": F.sum("c_m").over(own),
+                            "s12": F.sum("_s12").over(own), "c12": F.sum("_c12").over(own)})
     index = (F.col("s_m") * F.col("c_all")).cast("double") / (F.col("c_m") * F.col("s_all")).cast("double")
     proj = ((F.col("s_m") * F.col("c_all") * F.col("s12")).cast("double")
             / (F.col("c_m") * F.col("s_all") * F.col("c12")).cast("double"))
@@ -228,18 +231,16 @@ def seasonal_forecast(star: Star) -> DataFrame:
 
 def winter_delta(star: Star) -> DataFrame:
     """Winter (Nov Y–Feb Y+1) against summer (Jun–Aug Y) per provider: attendance change
-    in %, conversion and performance change in percentage points (G12)."""
-    f = star.joined()
-    adm = kpi.admissions_via_ae()
-    winter = (f.withColumn("year", C.winter_year("period_date")).where(F.col("year").isNotNull())
-              .groupBy("trust_code", "year").agg(
-                  F.sum("attendances_total").alias("s_w"), F.count(F.lit(1)).alias("c_w"),
-                  F.sum(adm).alias("adm_w"), F.sum(F.col("attendances_total") - F.col("breaches_total")).alias("in_w")))
-    summer = (f.where(F.month("period_date").isin(6, 7, 8)).withColumn("year", F.year("period_date"))
-              .groupBy("trust_code", "year").agg(
-                  F.sum("attendances_total").alias("s_s"), F.count(F.lit(1)).alias("c_s"),
-                  F.sum(adm).alias("adm_s"), F.sum(F.col("attendances_total") - F.col("breaches_total")).alias("in_s")))
-    j = winter.join(summer, ["trust_code", "year"])
+    in %, conversion and performance change in percentage points (G12). A month is in one season at
+    most, so both come from one conditional aggregate."""
+    winter = C.winter_year("period_date")
+    summer = F.when(F.month("period_date").isin(6, 7, 8), F.year("period_date"))
+    f = star.joined().withColumns({"year": F.coalesce(winter, summer), "_winter": winter.isNotNull()}).where(F.col("year").isNotNull())
+    measures = {"s": F.col("attendances_total"), "adm": kpi.admissions_via_ae(), "in": F.col("attendances_total") - F.col("breaches_total")}
+    seasons = {"w": F.col("_winter"), "s": ~F.col("_winter")}
+    aggs = [F.sum(F.when(cond, m)).alias(f"{n}_{k}") for k, cond in seasons.items() for n, m in measures.items()]
+    aggs += [F.count_if(cond).alias(f"c_{k}") for k, cond in seasons.items()]
+    j = f.groupBy("trust_code", "year").agg(*aggs).where((F.col("c_w") > 0) & (F.col("c_s") > 0))
     return j.select(
         "trust_code", "year",
         C.pct(F.col("s_w") * F.col("c_s") - F.col("s_s") * F.col("c_w"), F.col("s_s") * F.col("c_w"))
@@ -268,7 +269,7 @@ def with_pressure(star: Star) -> DataFrame:
     above = F.coalesce(F.col("attendances_total") * F.col("c12") > F.col("s12"), F.lit(False))
     falling = F.coalesce(F.col("perf_tenths") < F.col("prev_perf"), F.lit(False))
     dta12 = F.coalesce(F.col("dta_breaches_12hr") > 0, F.lit(False))
-    return s.select("trust_code", "period_date", "perf_tenths", "performance_pct",
+    return s.select("trust_code", "period_date", "attendances_total", "perf_tenths", "performance_pct",
                     above.alias("above_own_12m_mean"),
                     falling.alias("performance_falling"), dta12.alias("dta_12hr_breach"),
                     (above.cast("int") + falling.cast("int") + dta12.cast("int")).alias("pressure_score"))

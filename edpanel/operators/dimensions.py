@@ -107,25 +107,18 @@ def unpivot_types(df: DataFrame, id_cols: Sequence[str], measures: dict[str, Seq
     return df.select(*id_cols, F.explode(F.array(*structs)).alias("_u")).select(*id_cols, "_u.*")
 
 
-def missing_periods(present: DataFrame, entities: DataFrame, key: str, period_col: str,
-                    first_period, last_period) -> DataFrame:
-    """(key, month) pairs with no row (E11, H9), without forming the key x month grid:
-    each key's gaps are generated from consecutive present months (``lead``), plus the
-    leading and trailing edges to the span; keys with no row at all get the whole span.
-    Output size equals the number of missing pairs."""
-    lo, hi = (C.col(p).cast("date") if isinstance(p, F.Column) else F.lit(p).cast("date")
-              for p in (first_period, last_period))
-    w = Window.partitionBy(key).orderBy(period_col)
-    p = present.select(key, period_col).distinct()
-    nxt = F.coalesce(F.lead(period_col).over(w), F.add_months(hi, 1))
-    prev = F.lag(period_col).over(w)
-    edges = p.select(key, period_col,
-                     F.when(prev.isNull() & (F.col(period_col) > lo), F.add_months(F.col(period_col), -1)).alias("_lead_end"),
-                     F.add_months(F.col(period_col), 1).alias("_gap_from"), F.add_months(nxt, -1).alias("_gap_to"))
-    gaps = edges.where(F.col("_gap_from") <= F.col("_gap_to")).select(
-        key, F.explode(F.sequence("_gap_from", "_gap_to", F.expr("INTERVAL 1 MONTH"))).alias(period_col))
-    leading = edges.where(F.col("_lead_end").isNotNull()).select(
-        key, F.explode(F.sequence(lo, F.col("_lead_end"), F.expr("INTERVAL 1 MONTH"))).alias(period_col))
-    never = entities.select(key).join(p.select(key).distinct(), key, "left_anti").select(
-        key, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias(period_col))
-    return gaps.unionByName(leading).unionByName(never)
+def missing_periods(present: DataFrame, entities: DataFrame, key: str, period_col: str, span: F.Column) -> DataFrame:
+    """(key, month) pairs with no row (E11, H9), without forming the key x month grid: one
+    aggregate per key gathers its months (bounded by the calendar), and what they leave of ``span``, the
+    array of all months, is exploded. Keys with no row at all get the whole span, and the
+    output has one row per missing pair."""
+    rows = present.select(key, F.col(period_col).cast("date").alias("_month"))
+    rows = rows.unionByName(entities.select(key, F.lit(None).cast("date").alias("_month")))
+    months = rows.groupBy(key).agg(F.collect_set("_month").alias("_held"))
+    return months.select(key, F.explode(F.array_except(span, F.col("_held"))).alias(period_col))
+
+
+def month_span(rows: DataFrame, period_col: str) -> F.Column:
+    """All months from the first to the last of ``rows``, as a scalar subquery."""
+    months = F.sequence(F.min(period_col).cast("date"), F.max(period_col).cast("date"), F.expr("INTERVAL 1 MONTH"))
+    return rows.agg(months.alias("months")).scalar()

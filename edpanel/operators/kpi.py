@@ -157,7 +157,12 @@ def national_distribution(star: Star, threshold: int | None = None) -> DataFrame
     """Per period: exact P25 / median / P75 of provider performance (tenths), with the sum
     and count behind the mean, all from one value histogram."""
     thr = star.params.small_provider_threshold if threshold is None else threshold
-    s = with_performance(star.fact).where((TOTAL() > thr) & F.col("period_date").isNotNull())
+    return distribution(with_performance(star.fact), thr)
+
+
+def distribution(rows: DataFrame, threshold: int) -> DataFrame:
+    """The same of any rows that carry ``perf_tenths``."""
+    s = rows.where((TOTAL() > threshold) & F.col("period_date").isNotNull())
     q = ranking.percentile_cont(s, ["period_date"], "perf_tenths", QUARTILES)
     return q.withColumnsRenamed({"total": "sum_tenths", "n": "n_perf"})
 

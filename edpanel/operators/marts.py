@@ -8,14 +8,13 @@ series, not an unpartitioned window.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
 from edpanel.operators import analytics, kpi, ranking
 from edpanel.plans.analogue import Star
+from edpanel.session import materialize
 
 
 def national_trends(star: Star) -> DataFrame:
@@ -78,12 +77,11 @@ def four_hour(star: Star, targets: DataFrame) -> DataFrame:
 
 def command_center(star: Star) -> DataFrame:
     """Latest month per provider: performance, RAG, pressure flags and the gap to the
-    national median of that month."""
+    national median of that month. The month's rows, one a provider, are written once; the
+    median comes from them."""
     latest = F.broadcast(star.lines.agg(F.max("period_date").alias("period_date")))
-    flags = analytics.with_pressure(star).join(latest, "period_date", "left_semi")
-    # the median needs the newest month only: its lines are cut before they are aggregated
-    newest = replace(star, fact=star.fact.join(latest, "period_date", "left_semi"))
-    med = kpi.national_distribution(newest).select(
+    flags = materialize(analytics.with_pressure(star).join(latest, "period_date", "left_semi"))
+    med = kpi.distribution(flags, star.params.small_provider_threshold).select(
         "period_date", C.round_half_up_tenths(F.col("median")).alias("national_median_pct"))
     j = flags.join(F.broadcast(med), "period_date", "left")
     return j.select("trust_code", "period_date", "performance_pct",

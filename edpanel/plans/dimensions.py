@@ -140,9 +140,8 @@ def type_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = layers.star(spark, sf_dir)
     present = star.fact.join(star.dim_provider, "provider_key").select("trust_code", "period_date")
-    span = star.lines.agg(F.struct(F.min("period_date").alias("lo"), F.max("period_date").alias("hi"))).scalar()
     return D.missing_periods(present, star.dim_provider.select("trust_code"), "trust_code", "period_date",
-                             span["lo"], span["hi"])
+                             D.month_span(star.lines, "period_date"))
 
 
 def actual_only(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ from edpanel.plans import catalog, layers
 
 ONE_SCAN = ["kpi01", "kpi02", "kpi03", "kpi04", "kpi05", "kpi06", "kpi07", "kpi08_lag",
             "kpi08_calendar", "kpi10", "kpi11", "kpi12", "geo_rollup", "fq_rollup", "fy_ytd", "type_mix", "target_gap",
-            "rag", "dta_waits", "mom", "trajectory", "early_warning", "pressure_flags"]
-TWO_SCANS = ["kpi09", "peer_geo", "peer_mix", "peer_national", "outliers", "winter_history", "winter_gap_topk", "winter_delta"]
+            "rag", "dta_waits", "mom", "trajectory", "early_warning", "pressure_flags",
+            "seasonal_forecast", "winter_delta"]
+TWO_SCANS = ["kpi09", "peer_geo", "peer_mix", "peer_national", "outliers", "winter_history", "winter_gap_topk", "missing_submissions"]
 PROVIDER_WINDOWS = ["kpi08_lag", "kpi08_calendar", "trajectory", "early_warning", "pressure_flags", "mom", "fy_ytd"]
 
 
