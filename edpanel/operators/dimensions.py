@@ -118,7 +118,7 @@ def missing_periods(present: DataFrame, entities: DataFrame, key: str, period_co
     return months.select(key, F.explode(F.array_except(span, F.col("_held"))).alias(period_col))
 
 
-def month_span(rows: DataFrame, period_col: str) -> F.Column:
+def all_months(rows: DataFrame, period_col: str) -> F.Column:
     """All months from the first to the last of ``rows``, as a scalar subquery."""
     months = F.sequence(F.min(period_col).cast("date"), F.max(period_col).cast("date"), F.expr("INTERVAL 1 MONTH"))
     return rows.agg(months.alias("months")).scalar()

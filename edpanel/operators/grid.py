@@ -19,6 +19,7 @@ SHEET_KEY = ["file", "sheet"]
 FOOTNOTE_CODE_PATTERN = r"(?i)note|source|total|england"
 FOOTNOTE_NAME_PATTERN = r"(?i)^england$|^total|^note"
 PERIOD_ANCHOR = "period"
+UNLISTED = 2**31 - 1               # place of a sheet that the workbook order lacks
 
 
 # ----------------------------------------------------------------- C15 / C1
@@ -34,16 +35,34 @@ def inspect_rows(cells: DataFrame, max_rows: int = 25) -> DataFrame:
     return cells.where(F.col("row") < max_rows)
 
 
-def pick_sheet(cells: DataFrame, registry: Registry) -> DataFrame:
-    """One data sheet per workbook (C1): the first preferred fragment contained in the
-    lower-cased sheet name wins (fragments in priority order); otherwise the sheet with
-    the most non-blank cells."""
-    stats = cells.groupBy(*SHEET_KEY).agg(F.count("value").alias("non_blank"))
+def sheet_directory(cells: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """One row per sheet: its place in the workbook, used range, non-blank cells.
+
+    ``order`` (file, sheet, sheet_index) gives the workbook order, as :func:`edpanel.sources.grid.sheet_order` reads
+    it; a sheet that it lacks comes after those it has, by name. The listed sheets without a cell are kept, with no
+    range. A directory is as long as the sheets are many, not the cells."""
+    used = cells.groupBy(*SHEET_KEY).agg(
+        F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min("col").alias("first_col"),
+        F.max("col").alias("last_col"), F.count("value").alias("non_blank"))
+    if order is None:
+        return used.select(*SHEET_KEY, F.lit(None).cast("int").alias("sheet_index"), "first_row", "last_row", "first_col", "last_col", "non_blank")
+    listed = order.groupBy(*SHEET_KEY).agg(F.min("sheet_index").cast("int").alias("sheet_index"))
+    return listed.join(used, SHEET_KEY, "full").select(
+        *SHEET_KEY, "sheet_index", "first_row", "last_row", "first_col", "last_col", F.coalesce("non_blank", F.lit(0)).alias("non_blank"))
+
+
+def pick_sheet(cells: DataFrame, registry: Registry, order: DataFrame | None = None) -> DataFrame:
+    """One data sheet per workbook (C1): the first preferred fragment contained in the lower-cased
+    sheet name wins (fragments in priority order), and of the sheets that contain it the first
+    of the workbook; where no sheet contains one, the sheet with the most non-blank cells, again the first of
+    equal ones. Without ``order`` sheets of one fragment rank by non-blank cells, then by name."""
     prio: Column = F.lit(None).cast("int")
     for i, frag in reversed(list(enumerate(registry.preferred_sheets))):
         prio = F.when(F.lower("sheet").contains(frag.lower()), F.lit(i)).otherwise(prio)
-    w = Window.partitionBy("file").orderBy(prio.asc_nulls_last(), F.col("non_blank").desc(), F.col("sheet").asc())
-    return stats.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(*SHEET_KEY)
+    by_size = F.lit(True) if order is None else prio.isNull()
+    rank = F.struct(F.coalesce(prio, F.lit(len(registry.preferred_sheets))), F.when(by_size, -F.col("non_blank")),
+                    F.coalesce("sheet_index", F.lit(UNLISTED)), F.col("sheet"))
+    return sheet_directory(cells, order).groupBy("file").agg(F.min_by("sheet", rank).alias("sheet"))
 
 
 # ----------------------------------------------------------------- C2–C4

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edpanel.functions import columns as C
 from edpanel.session import path_exists
 
 STAGING_SCHEMA = T.StructType([
@@ -63,6 +64,22 @@ def add_audit_columns(df: DataFrame, file_name: str | F.Column, file_hash: str |
                      F.lit(ingested_at).cast("timestamp").alias("ingested_at"))
 
 
+LOAD_COLUMNS = (*AUDIT_COLUMNS, "publication_date", "row_hash", "is_current")
+
+
+def add_load_columns(rows: DataFrame, origins: DataFrame, ingested_at: str, hash_cols: Sequence[str]) -> DataFrame:
+    """All audit columns of a load (B4): those of :func:`add_audit_columns`, the date on which the row's file
+    was published, the hash of the row's business columns, and ``is_current``, as a load replaces its periods whole.
+
+    ``origins`` (file, sha256, source_url, published_at) has a row a file. A file without origin keeps its
+    rows, with NULL in what the origin would give."""
+    o = origins.select("file", F.col("sha256").alias("_sha"), F.col("source_url").alias("_url"),
+                       F.col("published_at").cast("date").alias("publication_date"))
+    named = rows.join(o, "file", "left").withColumn("row_hash", C.row_hash(*hash_cols)).withColumn("is_current", F.lit(True))
+    audited = add_audit_columns(named, F.col("file"), F.col("_sha"), F.col("_url"), ingested_at)
+    return audited.select(*[c for c in rows.columns if c != "file"], *LOAD_COLUMNS)
+
+
 def replace_periods(df: DataFrame, path: str, partition_col: str = "period_date") -> None:
     """Replace every period present in ``df`` and leave the others untouched.
     Dynamic partition overwrite makes a rerun idempotent; an empty frame is a no-op. Rows are rebalanced

@@ -68,7 +68,7 @@ def _revision_queries() -> dict[str, QueryFn]:
 def _ingest_queries() -> dict[str, QueryFn]:
     names = ["grid_cells", "grid_profile", "pick_sheet", "header_row", "map_columns", "extract_period",
              "cells_to_wide", "drift_missing", "drift_unexpected", "drift_rename", "drift_log", "dq_coerce_rejects", "unmapped_capture", "stop_at_blank_row",
-             "recompute_vs_source"]
+             "recompute_vs_source", "sheet_order", "parse_until_blank", "staging_audit"]
     return {n: getattr(ingest, f"q_{n}") for n in names}
 
 
@@ -80,7 +80,7 @@ def _scalar_queries() -> dict[str, QueryFn]:
 
 
 def _dimension_queries() -> dict[str, QueryFn]:
-    names = ["dim_provider_scd2", "org_bridge", "org_bridge_comparable", "fact_provider_version", "geo_rollup_asof",
+    names = ["dim_provider_scd2", "dim_provider_late", "org_bridge", "org_bridge_comparable", "fact_provider_version", "geo_rollup_asof",
              "crs_exclusion", "partial_flag", "type_unpivot",
              "missing_submissions", "actual_only"]
     return {n: getattr(dimensions, n) for n in names}

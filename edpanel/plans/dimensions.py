@@ -12,13 +12,17 @@ Derived inputs, all computed from the driver tables:
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
 from edpanel.operators import dimensions as D
-from edpanel.operators import kpi
+from edpanel.operators import changes, kpi, sinks
 from edpanel.plans import analogue, layers
+from edpanel.session import materialize, scratch_path
 from edpanel.sources.tables import read_table
 
 # Analogue change dates (fixed values).
@@ -48,6 +52,27 @@ def dim_provider_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.drop("provider_version_key")
 
 
+# The months whose publications of the provider list are loaded, in order of arrival (fixed values).
+LIST_MONTHS = ("1997-06-01", "2000-06-01", "1998-06-01", "1999-06-01")
+
+
+def dim_provider_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 from publications that arrive out of order: each provider list goes into the versions of earlier
+    loads by its own month, and the table is what a rebuild in order of month gives. Every load writes
+    the next version of the table."""
+    key, attrs = ["org_code"], ["org_name", "icb_name"]
+    lists = changes.with_row_hash(provider_history(spark, sf_dir).where(F.col("period_date").isin(*(dt.date.fromisoformat(m) for m in LIST_MONTHS))), attrs)
+    lists = materialize(lists)
+    versions = changes.empty_sighted_versions(lists, key, attrs)
+    table = sinks.VersionedTable(spark, scratch_path(spark, f"versions/{uuid.uuid4().hex}"))
+    for month in LIST_MONTHS:
+        published = lists.where(F.col("period_date") == F.lit(month).cast("date"))
+        merged = changes.scd2_late_merge(versions, published, key, f"{month} 00:00:00", month[:7], attrs)
+        versions = table.read(table.write_next(merged), merged.schema)
+    return versions.select(*key, *attrs, "source_version", F.col("valid_from").cast("date").alias("valid_from"),
+                           F.col("valid_to").cast("date").alias("valid_to"), "is_current")
+
+
 def org_bridge_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", "s_suppkey")
     k = F.col("s_suppkey")
@@ -141,7 +166,7 @@ def missing_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = layers.star(spark, sf_dir)
     present = star.fact.join(star.dim_provider, "provider_key").select("trust_code", "period_date")
     return D.missing_periods(present, star.dim_provider.select("trust_code"), "trust_code", "period_date",
-                             D.month_span(star.lines, "period_date"))
+                             D.all_months(star.lines, "period_date"))
 
 
 def actual_only(spark: SparkSession, sf_dir: str) -> DataFrame:

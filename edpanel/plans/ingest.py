@@ -18,6 +18,7 @@ from edpanel import session
 from edpanel.operators import drift, grid, sinks
 from edpanel.plans import analogue, quality
 from edpanel.sources import grid as grid_src
+from edpanel.sources import seeds
 from edpanel.sources.registry import ColumnSpec, Registry, default_registry
 
 
@@ -37,15 +38,21 @@ class IngestResult:
     unmapped: DataFrame
 
 
-def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize: bool = True) -> IngestResult:
-    """Run the grid parse. With ``materialize`` the cells and the per-sheet header frames
+def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize: bool = True,
+                order: DataFrame | None = None, until_blank_row: bool = False) -> IngestResult:
+    """Run the grid parse. ``order`` gives the workbooks' sheets in their order (C1); with ``until_blank_row``
+    the body of a sheet ends before its first blank row (C8). With ``materialize`` the cells and the per-sheet header frames
     (a sheet's width of rows each) are checkpointed once, so every output below plans
     from written data instead of re-deriving the whole lineage per branch."""
     reg = registry or default_registry()
     keep = session.materialize if materialize else (lambda df: df)
     cells = keep(cells)
-    sheets = grid.pick_sheet(cells, reg)
+    sheets = grid.pick_sheet(cells, reg, order)
+    if order is not None:  # the directory is read once: a few rows a workbook
+        sheets = keep(sheets)
     headers = keep(grid.header_rows(cells, sheets, reg))
+    if until_blank_row:
+        cells = keep(grid.stop_at_blank_row(cells.join(sheets, grid.SHEET_KEY, "left_semi"), headers))
     labels = keep(grid.header_labels(cells, headers))
     mapping0 = grid.map_columns(labels, reg)
     missing = grid.missing_specs(headers, mapping0, reg)
@@ -77,8 +84,15 @@ class LoadHaltedError(RuntimeError):
     pass
 
 
-def load_staging(result: IngestResult, path: str, file_hash: str, url: str, ingested_at: str) -> None:
-    """Write the parsed rows with audit columns, replacing their periods. Nothing is written when
+HASHED = ("period_date", "org_code", "org_name", "attendances_type1", "attendances_type2", "attendances_type3",
+          "attendances_total", "breaches_type1", "breaches_total", "emergency_admissions_type1",
+          "emergency_admissions_via_ae", "emergency_admissions_other", "emergency_admissions_total",
+          "dta_breaches_4hr", "dta_breaches_12hr")
+
+
+def load_staging(result: IngestResult, path: str, origins: DataFrame, ingested_at: str) -> None:
+    """Write the parsed rows with all audit columns, replacing their periods; ``origins`` has a row a file
+    (file, sha256, source_url, published_at). Nothing is written when
     the drift policy halts the load (required column, header or period missing) or the layout
     is not the staging layout."""
     rows = result.staged.drop("file")
@@ -87,8 +101,7 @@ def load_staging(result: IngestResult, path: str, file_hash: str, url: str, inge
         raise LoadHaltedError(f"staging layout: {wrong}")
     if drift.should_halt(result.drift_log):
         raise LoadHaltedError("drift policy halted the load")
-    audited = sinks.add_audit_columns(result.staged, F.col("file"), file_hash, url, ingested_at).drop("file")
-    sinks.replace_periods(audited, path)
+    sinks.replace_periods(sinks.add_load_columns(result.staged, origins, ingested_at, HASHED), path)
 
 
 LATE_LINE = 7                      # the line of an order that the first release lacks
@@ -122,10 +135,7 @@ def analogue_ingest(spark: SparkSession, sf_dir: str) -> IngestResult:
 LOST_COLUMN = 3                    # the type 1 attendances: banner and label (fixed values of the render)
 DIRTY_COLUMN, DIRTY_EVERY = 4, 7
 LOST_LABELS = (grid_src.BANNER_ATT, "Type 1 Departments - Major A&E")
-STAGED_OUT = ("period_date", "org_code", "org_name", "attendances_type1", "attendances_type2", "attendances_type3",
-              "attendances_total", "breaches_type1", "breaches_total", "emergency_admissions_type1",
-              "emergency_admissions_via_ae", "emergency_admissions_other", "emergency_admissions_total",
-              "dta_breaches_4hr", "dta_breaches_12hr")
+STAGED_OUT = HASHED
 
 
 def q_grid_cells(spark, sf_dir):
@@ -202,6 +212,49 @@ def q_stop_at_blank_row(spark, sf_dir):
     return kept.select("file", "sheet", "row", "col", "value")
 
 
+UNADJUSTED_SHEET = "Unadjusted Provider Data"
+FIRST_EVERY, LAST_EVERY = 4, 2     # the unadjusted sheet lies first in months divisible by 4, last in other even ones
+
+
+def q_sheet_order(spark, sf_dir):
+    """C1 with the workbook's order: in even months a workbook also holds the first release as a sheet of its
+    own, before or after the revised one. Both names hold the preferred fragment, so the first of them is parsed."""
+    revised = analogue_cells(spark, sf_dir)
+    month = F.regexp_extract("file", r"-(\d\d)\.xls$", 1).cast("int")
+    unadjusted = release_cells(spark, sf_dir, "first").where((F.col("sheet") == grid_src.DATA_SHEET) & (month % LAST_EVERY == 0))
+    cells = session.materialize(revised.unionByName(unadjusted.withColumn("sheet", F.lit(UNADJUSTED_SHEET))))
+    place = F.when(F.col("sheet") == grid_src.DATA_SHEET, 1).when(F.col("sheet") == grid_src.NOTES_SHEET, 2)
+    place = F.coalesce(place, F.when(month % FIRST_EVERY == 0, 0).otherwise(3))
+    path = session.scratch_path(spark, f"seeds/{uuid.uuid4().hex}")
+    seeds.write_seed(cells.select("file", "sheet").distinct().withColumn("sheet_index", place), path)
+    return parse_cells(cells, order=grid_src.sheet_order(spark, path)).staged.select(*STAGED_OUT)
+
+
+def q_parse_until_blank(spark, sf_dir):
+    """C8 as part of the parse: the rows of each workbook before its first blank row."""
+    return parse_cells(analogue_cells(spark, sf_dir), until_blank_row=True).staged.select(*STAGED_OUT)
+
+
+REPUBLISHED = "-06.xls"            # the workbooks that the revised release brings in q_staging_audit
+LOADED_FIRST, LOADED_AGAIN = "2001-12-13 08:00:00", "2002-01-10 08:00:00"
+
+
+def q_staging_audit(spark, sf_dir):
+    """The first release loaded, then the revised June workbooks; the staging rows with their
+    audit columns, of which the second load replaced those of June."""
+    path = session.scratch_path(spark, f"staging/{uuid.uuid4().hex}")
+    for release, published, loaded in (("first", "2001-12-10", LOADED_FIRST), ("revised", "2002-01-08", LOADED_AGAIN)):
+        cells = release_cells(spark, sf_dir, release)
+        result = parse_cells(cells if release == "first" else cells.where(F.col("file").endswith(REPUBLISHED)))
+        origins = result.sheets.select("file", F.sha2(F.concat(F.lit(release + "/"), "file"), 256).alias("sha256"),
+                                       F.concat(F.lit(f"https://files.example/{release}/"), "file").alias("source_url"),
+                                       F.lit(published).cast("date").alias("published_at"))
+        load_staging(result, path, origins, loaded)
+    staged = spark.read.parquet(path)
+    return staged.select("period_date", "org_code", "attendances_total", *sinks.AUDIT_COLUMNS[:-1],
+                         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), *sinks.LOAD_COLUMNS[4:])
+
+
 def q_drift_rename(spark, sf_dir):
     return analogue_ingest(spark, sf_dir).renames.select("file", "sheet", "canonical", "col", "compound", "similarity")
 

@@ -491,6 +491,24 @@ def ingest_sql() -> dict[str, str]:
     milli = f"((2000 * {within} + attendances_total) // (2 * attendances_total))"
     src = (f"CASE WHEN attendances_total = 0 THEN NULL WHEN year(period_date) % 2 = 0 "
            f"THEN CAST({milli} AS DOUBLE) / 10 ELSE {P(within, 'attendances_total')} END")
+    measures = ", ".join(_STAGED_MEASURES)
+    q["sheet_order"] = f"""WITH {REV_CTES}
+        SELECT period_date, org_code, org_name, {measures} FROM revised WHERE month(period_date) % 4 <> 0
+        UNION ALL SELECT period_date, org_code, org_name, {measures} FROM first WHERE month(period_date) % 4 = 0"""
+    held = "SELECT period_date, provider_key AS k, LEAD(provider_key) OVER (PARTITION BY period_date ORDER BY provider_key) AS next_k FROM fact"
+    q["parse_until_blank"] = with_star(f"""cut AS (SELECT period_date, min(k) AS last_k FROM (
+          SELECT * FROM ({held}) UNION ALL SELECT period_date, -1, min(provider_key) FROM fact GROUP BY period_date)
+          WHERE next_k > k + 1 GROUP BY period_date)
+        SELECT f.period_date, p.trust_code AS org_code, p.trust_name AS org_name, {measures}
+        FROM fact f JOIN prov p USING (provider_key) LEFT JOIN cut c ON c.period_date = f.period_date
+        WHERE c.last_k IS NULL OR f.provider_key <= c.last_k""")
+    loads = [f"""SELECT period_date, org_code, attendances_total, row_hash, '{r}/' AS folder, DATE '{p}' AS publication_date,
+          TIMESTAMP '{t}' AS ingested_at FROM {r} WHERE month(period_date) {is_june} 6""" for r, p, t, is_june in (
+        ("first", "2001-12-10", "2001-12-13 08:00:00", "<>"), ("revised", "2002-01-08", "2002-01-10 08:00:00", "="))]
+    q["staging_audit"] = f"""WITH {REV_CTES}, loaded AS (SELECT *, 'ae-activity-' || strftime(period_date, '%Y-%m') || '.xls' AS file
+          FROM ({" UNION ALL ".join(loads)}))
+        SELECT period_date, org_code, attendances_total, file AS source_file_name, sha256(folder || file) AS source_file_hash,
+          'https://files.example/' || folder || file AS source_url, ingested_at, publication_date, row_hash, true AS is_current FROM loaded"""
     q["recompute_vs_source"] = with_star(f"""x AS (SELECT f.period_date, p.trust_code AS org_code, {src} AS source_pct,
           {P(within, 'attendances_total')} AS recomputed_pct FROM fact f JOIN prov p USING (provider_key))
         SELECT period_date, org_code, source_pct, recomputed_pct,
@@ -715,6 +733,15 @@ def dimensions_sql() -> dict[str, str]:
           breaches_type{t} AS breaches, emergency_admissions_type{t} AS emergency_admissions
           FROM fact f JOIN prov p USING (provider_key)""")
     q["type_unpivot"] = with_star(" UNION ALL ".join(parts))
+    history = q["dim_provider_scd2"]
+    attributes = history[history.index("SELECT 'S' ||"):history.index("),\n        c AS")]
+    q["dim_provider_late"] = with_star(f"""h AS ({attributes}),
+        l AS (SELECT * FROM h WHERE period_date IN ('1997-06-01', '1998-06-01', '1999-06-01', '2000-06-01')),
+        k AS (SELECT * FROM l WINDOW w AS (PARTITION BY org_code ORDER BY period_date)
+              QUALIFY ROW_NUMBER() OVER w = 1 OR LAG(org_name) OVER w IS DISTINCT FROM org_name OR LAG(icb_name) OVER w IS DISTINCT FROM icb_name)
+        SELECT org_code, org_name, icb_name, strftime(period_date, '%Y-%m') AS source_version, period_date AS valid_from,
+          LEAD(period_date) OVER n AS valid_to, LEAD(period_date) OVER n IS NULL AS is_current
+        FROM k WINDOW n AS (PARTITION BY org_code ORDER BY period_date)""")
     q["missing_submissions"] = with_star("""SELECT p.trust_code, m.period_date FROM prov p CROSS JOIN months m
         EXCEPT SELECT p.trust_code, f.period_date FROM fact f JOIN prov p USING (provider_key)""")
     q["actual_only"] = with_star(f"""SELECT trust_code, period_date, attendances_total,

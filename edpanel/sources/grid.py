@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edpanel.functions import columns as C
+from edpanel.sources import seeds
 
 CELL_COLUMNS = ("file", "sheet", "row", "col", "value")
 # Separators put in place of line breaks and commas outside quotes; spreadsheet text cannot hold them.
@@ -95,6 +96,15 @@ def read_grid_csv(spark: SparkSession, path: str) -> DataFrame:
     return cells_of_lines(_lines(scan, parts[0], F.coalesce(F.get(parts, F.lit(1)), F.lit("Sheet1")), F.lit(0)))
 
 
+SHEET_ORDER_SCHEMA = "file string, sheet string, sheet_index int"
+
+
+def sheet_order(spark: SparkSession, path: str) -> DataFrame:
+    """The sheets of each workbook in their order, of a CSV beside the exported sheets
+    (file, sheet, sheet_index): a folder of CSV files does not keep it."""
+    return seeds.read_seed(spark, path, SHEET_ORDER_SCHEMA)
+
+
 def _joined(items: F.Column, at: str, text: str, mark: str) -> F.Column:
     """Texts of sorted structs joined by as many marks as their positions lie apart."""
     def item(x, i):

@@ -63,6 +63,36 @@ def test_data_sheet_picked_and_values_coerced(spark):
     assert rows["RQM"].attendances_type1 == 5
 
 
+def test_first_matching_sheet_of_the_workbook(spark):
+    """The place decides between sheets of one fragment and between equal sizes, not the fragments' order."""
+    names = {"a": ["Notes", "Zebra provider", "Alpha provider"], "b": ["My data", "Activity", "Provider"],
+             "c": ["Z", "Y", "X"], "d": ["Cover", "Blank provider", "Provider"], "e": ["provider B", "provider A"]}
+    sizes = {"Alpha provider": 5, "Provider": 1, "X": 2, "Y": 2, "provider A": 4}
+    rows, order = [], []
+    for file, sheets in names.items():
+        for k, name in enumerate(sheets):
+            order += [(file, name, k)] if file != "e" else []
+            rows += [] if name == "Blank provider" else sheet(file, name, [["x"]] * sizes.get(name, 1))
+    listed = spark.createDataFrame(order, "file string, sheet string, sheet_index int")
+    cells = cells_df(spark, rows)
+    picked = {r.file: r.sheet for r in grid.pick_sheet(cells, default_registry(), listed).collect()}
+    assert picked == {"a": "Zebra provider", "b": "Provider", "c": "Y", "d": "Blank provider", "e": "provider A"}
+    assert {r.file: r.sheet for r in grid.pick_sheet(cells, default_registry()).collect()}["a"] == "Alpha provider"
+    directory = {(r.file, r.sheet): r for r in grid.sheet_directory(cells, listed).collect()}
+    assert directory["d", "Blank provider"].non_blank == 0 and directory["d", "Blank provider"].last_row is None
+    assert (directory["a", "Alpha provider"].sheet_index, directory["a", "Alpha provider"].last_row) == (2, 4)
+    assert directory["e", "provider A"].sheet_index is None
+
+
+def test_parse_stops_at_a_blank_row(spark):
+    rows = activity_rows()
+    rows.insert(-2, [])
+    rows.append(["RZZ", "London", "After the gap", "9"])
+    cells = cells_df(spark, sheet("f.xls", "data", rows))
+    every, cut = (sorted(r.org_code for r in parse_cells(cells, materialize=False, until_blank_row=u).staged.collect()) for u in (False, True))
+    assert every == ["R1H", "RQM", "RZZ"] and cut == ["R1H", "RQM"]
+
+
 def test_branding_rows_do_not_change_output(spark):
     outs = []
     for b in (0, 3, 12):
@@ -154,11 +184,14 @@ def test_grid_scan_equals_render(spark, sf_dir):
 
 def test_load_writes_only_when_no_gate_halts(spark, tmp_path):
     def load(cells, name):
-        ingest.load_staging(parse_cells(cells_df(spark, cells), materialize=False), str(tmp_path / name), "hash", "http://h/f.xls", "2015-07-09 08:00:00")
+        origins = spark.createDataFrame([("f.xls", "hash", "http://h/f.xls", dt.date(2015, 7, 9))], "file string, sha256 string, source_url string, published_at date")
+        ingest.load_staging(parse_cells(cells_df(spark, cells), materialize=False), str(tmp_path / name), origins, "2015-07-10 08:00:00")
     load(sheet("f.xls", "data", activity_rows()), "good")
     rows = {r.org_code: r for r in spark.read.parquet(str(tmp_path / "good")).collect()}
     assert sorted(rows) == ["R1H", "RQM"]
     assert (rows["R1H"].source_file_name, rows["R1H"].source_file_hash, rows["R1H"].attendances_total) == ("f.xls", "hash", 1241)
+    assert rows["R1H"].is_current and rows["R1H"].publication_date == dt.date(2015, 7, 9)
+    assert rows["R1H"].row_hash != rows["RQM"].row_hash and len(rows["R1H"].row_hash) == 64
     for name, cells in (("period", activity_rows(period="soon")), ("column", [["Code", "Name"], ["R1", "A"]]), ("header", [["Provider"], ["R1"]])):
         with pytest.raises(ingest.LoadHaltedError):
             load(sheet("f.xls", "data", cells), name)
