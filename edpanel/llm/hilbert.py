@@ -7,7 +7,8 @@ shard covers a compact box of all dimensions and files can be pruned on any of t
 
 The global rank needs no task that sees all rows: rows are counted per (index, salt), those
 counts get running sums in two levels (at most 2 ** (dimensions * bits) indexes), and rows are
-numbered within their own (index, salt). The salt splits a cell that many rows share.
+numbered within their own (index, salt). The salt, of doc_id and text digest, splits a cell that many
+rows share; the number of salts grows with the rows. Only rows equal in both keep one salt.
 
 Defined results: shard sizes differ by one row at most; a null number goes to cell 0, a null
 string to the cell of the empty string; a null text has size 16; repeated rows take a slot
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 SHARDS = 40
 BITS = 4
-SALTS = 256
+SALTS = 256                        # at least; more where a salt would hold over ROWS_PER_SALT rows of one cell
+ROWS_PER_SALT = 100_000
 
 
 def _tables(dims: int) -> tuple[list[int], list[int]]:
@@ -77,11 +79,14 @@ def hash_cell(value: Column, bits: int = BITS) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(value.cast("string"), F.lit(""))), F.lit(1 << bits)).cast("int")
 
 
-def assign(df: DataFrame, cells: list[Column], shards: int = SHARDS, bits: int = BITS, salts: int = SALTS) -> DataFrame:
+def assign(df: DataFrame, cells: list[Column], shards: int = SHARDS, bits: int = BITS, salts: int | None = None) -> DataFrame:
     """``df`` with curve (long), shard (int) and slot (long, gapless from 0 in its shard)."""
     df = df.drop("curve", "shard", "slot")
+    if salts is None:
+        salts = max(SALTS, -(-df.count() // ROWS_PER_SALT))
+    order = [F.col(c) for c in ("doc_id", "text_crc32") if c in df.columns]
     rows = (df.withColumn("curve", curve_index(cells, bits))
-            .withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")))
+            .withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")))
     counts = rows.groupBy("curve", "_salt").agg(F.count("*").alias("n"))
     within = Window.partitionBy("curve").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
@@ -90,7 +95,6 @@ def assign(df: DataFrame, cells: list[Column], shards: int = SHARDS, bits: int =
                        F.sum("n").over(Window.partitionBy()).alias("_all"))
     offsets = (counts.withColumn("_run", F.coalesce(F.sum("n").over(within), F.lit(0))).join(cell, "curve")
                .select("curve", "_salt", (F.col("_cell") + F.col("_run")).alias("_before"), "_all"))
-    order = [F.col("doc_id"), *(F.col(c) for c in ("text_crc32",) if c in df.columns)]
     numbered = rows.withColumn("_own", F.row_number().over(Window.partitionBy("curve", "_salt").orderBy(*order)) - 1)
     rank = F.col("_before") + F.col("_own")
     shard = F.expr(f"((_before + _own) * {shards}) div _all")
@@ -100,5 +104,6 @@ def assign(df: DataFrame, cells: list[Column], shards: int = SHARDS, bits: int =
 
 
 def write_shards(df: DataFrame, path: str) -> None:
-    """Write assigned rows as one folder per shard, in slot order."""
-    df.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write assigned rows as one folder per shard, in slot order over the files of a folder. Tasks hold
+    ranges of (shard, slot), which is unique, so a shard may be larger than a task."""
+    df.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -377,6 +377,26 @@ def test_hilbert_shards(spark, docs, sf_dir):
     assert hilbert.assign(docs.limit(0), cells).count() == 0
 
 
+def test_hilbert_salts_grow_and_shards_are_written_in_order(spark, tmp_path, monkeypatch):
+    """Rows of one cell and one null id: told apart by their text, over as many salts as they need."""
+    monkeypatch.setattr(hilbert, "ROWS_PER_SALT", 2)
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.crc32(F.col("id").cast("string").cast("binary")).alias("text_crc32"))
+    seen = []
+    monkeypatch.setattr(hilbert.F, "pmod", lambda value, n, pmod=F.pmod: seen.append(str(n)) or pmod(value, n))
+    rows = hilbert.assign(df, [F.lit(1), F.lit(2)], shards=7)
+    assert any("1500" in n for n in seen)
+    hilbert.write_shards(rows, str(tmp_path / "s"))
+    got = spark.read.parquet(str(tmp_path / "s")).collect()
+    sizes = np.bincount([r.shard for r in got], minlength=7)
+    assert sizes.sum() == 3000 and sizes.max() - sizes.min() <= 1
+    assert {(r.shard, r.slot) for r in got} == {(s, k) for s, n in enumerate(sizes) for k in range(n)}
+    folders = sorted((tmp_path / "s").glob("shard=*"))
+    assert len(folders) == 7
+    for folder in folders:
+        slots = [r.slot for f in sorted(folder.glob("*.parquet")) for r in spark.read.parquet(str(f)).collect()]
+        assert slots == list(range(len(slots)))
+
+
 def test_langid_gradient_and_accuracy(spark, docs, sf_dir):
     got = {r.doc_id: r for r in queries.op10_langid(spark, sf_dir).collect()}
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
