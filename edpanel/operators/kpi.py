@@ -126,6 +126,14 @@ def kpi08_yoy_calendar(star: Star) -> DataFrame:
         C.pct(TOTAL() - p, p).alias("yoy_change_pct"))
 
 
+def yoy_report(star: Star) -> DataFrame:
+    """The year-on-year report in its printed order (I1): month, then the change from the highest
+    down, providers without a prior year last, equal changes by code."""
+    order = [F.col("period_date").asc_nulls_first(), F.col("yoy_change_pct").desc_nulls_last(), F.col("trust_code").asc_nulls_first()]
+    rows = kpi08_yoy_calendar(star).select("trust_code", "period_date", "current_period_attendances", "yoy_change_pct")
+    return ranking.numbered(rows, order)
+
+
 # ------------------------------------------------------------------ K9 rank
 def kpi09_provider_rank(star: Star) -> DataFrame:
     s = with_performance(star.joined("period_label")).where(TOTAL() > 0)

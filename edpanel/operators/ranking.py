@@ -79,6 +79,21 @@ def band_within(df: DataFrame, group_cols: Sequence[str], value_col: str, bands:
     return joined if totals is None else joined.join(totals, [*group_cols, band_col], "left")
 
 
+def numbered(df: DataFrame, order: Sequence[Column], position_col: str = "position") -> DataFrame:
+    """``df`` in a global order with each row's place from 1 (I1), no task seeing all rows.
+
+    ``order`` holds sort expressions that state their null order and end in a unique one, so that the places are the
+    same in every run. Rows are cut into ranges of that order and written once with their range; rows are numbered
+    inside a range, after the rows of the ranges before it (one row a range)."""
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    held = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_held"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("_range", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = ranged.withColumn("_own", own).join(F.broadcast(starts), "_range")  # as many rows as partitions
+    return placed.withColumn(position_col, (F.col("_before") + F.col("_own")).cast("bigint")).drop("_range", "_own", "_before").orderBy(position_col)
+
+
 def percentile_cont(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     quantiles: dict[str, tuple[int, int]]) -> DataFrame:
     """Exact PERCENTILE_CONT for rational quantiles ``num/den`` (linear interpolation).

@@ -37,6 +37,7 @@ def _kpi_queries() -> dict[str, QueryFn]:
         "kpi07": _star_query(kpi.kpi07_breach_count),
         "kpi08_lag": _star_query(kpi.kpi08_yoy_lag),
         "kpi08_calendar": _star_query(kpi.kpi08_yoy_calendar),
+        "yoy_report": _star_query(kpi.yoy_report),
         "kpi09": _star_query(kpi.kpi09_provider_rank),
         "kpi10": _star_query(kpi.kpi10_icb_performance),
         "kpi11": _star_query(kpi.kpi11_type3_share),

@@ -129,6 +129,9 @@ def kpi_sql() -> dict[str, str]:
         FROM star s LEFT JOIN fact p ON p.provider_key = s.provider_key AND p.period_date = s.prior_year_period_date)
         SELECT *, {P("current_period_attendances - prior_year_attendances", "prior_year_attendances")} AS yoy_change_pct
         FROM l""")
+    q["yoy_report"] = f"""SELECT trust_code, period_date, current_period_attendances, yoy_change_pct,
+          ROW_NUMBER() OVER (ORDER BY period_date ASC NULLS FIRST, yoy_change_pct DESC NULLS LAST, trust_code ASC NULLS FIRST) AS position
+        FROM ({q["kpi08_calendar"]})"""
     q["kpi09"] = with_star(f"""SELECT trust_code, trust_name, period_label, period_date,
         {perf} AS performance_pct,
         CAST(RANK() OVER (PARTITION BY period_date ORDER BY {perf_t} DESC) AS INTEGER) AS national_rank,

@@ -187,7 +187,7 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
         periods = opened.select("period_date").distinct()
         current = house.versions(batch_id + 1).where("is_current").join(periods, "period_date", "left_semi")
         current = current.select(*HASHED, "row_hash", F.col("source_version"), F.col("valid_from").alias("publication_date"), "is_current")
-        sinks.replace_periods(current.repartition("period_date"), house.path("staging"))
+        sinks.replace_periods(current, house.path("staging"))
 
     house.commit(batch_id, "staging", replace, after)
     loaded = pending.groupBy(F.col("source_file_name").alias("file_name")).agg(F.max("period_date").alias("data_month"), F.count(F.lit(1)).alias("row_count"))

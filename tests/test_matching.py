@@ -60,3 +60,27 @@ def test_a_month_of_a_million_distinct_totals(spark):
     assert rows and all("_range" in line for line in rows)
     banded = ranking.band_within(df, ["g"], "v", 5)
     assert [r["count"] for r in banded.groupBy("band").count().orderBy("band").collect()] == [n // 5] * 5
+
+
+def test_places_follow_the_stated_null_order(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, 1.5, 2.5, -1.0]), k) for k in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double, id long").repartition(7)
+    placed = ranking.numbered(df, [F.col("g").asc_nulls_first(), F.col("v").desc_nulls_last(), F.col("id").asc()]).collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is None, -(r[1] or 0), r[2]))
+    assert [(r.g, r.v, r.id) for r in placed] == want and [r.position for r in placed] == list(range(1, 4001))
+    assert ranking.numbered(df.where("false"), [F.col("id").asc()]).count() == 0
+
+
+def test_missing_months_of_each_key(spark):
+    import datetime as dt
+
+    from edpanel.operators import dimensions
+    day = lambda m: dt.date(2020, m, 1)
+    held = [("a", day(2)), ("a", day(2)), ("a", day(5)), ("b", day(1)), ("b", day(6)), ("d", day(3)), (None, day(4))]
+    present = spark.createDataFrame(held, "k string, p date")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "k string")
+    got = sorted(((r.k or "", r.p.month) for r in dimensions.missing_periods(present, keys, "k", "p", dimensions.all_months(present, "p")).collect()))
+    want = [("", m) for m in (1, 2, 3, 5, 6)] + [("a", m) for m in (1, 3, 4, 6)] + [("b", m) for m in (2, 3, 4, 5)]
+    want += [("c", m) for m in range(1, 7)] + [("d", m) for m in (1, 2, 4, 5, 6)]
+    assert got == want
