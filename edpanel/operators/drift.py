@@ -92,16 +92,23 @@ def drift_log(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def unmapped_capture(cells: DataFrame, headers: DataFrame, labels: DataFrame, mapping: DataFrame) -> DataFrame:
-    """``_unmapped``: per body row, a VARIANT object label -> raw value of the unmapped columns (D11). Of
-    columns that share a label the left one keeps it, the others get ``#2``, ``#3`` and so on behind it."""
+def unmapped_columns(labels: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The columns that map to nothing (file, sheet, col, name). Of those that share a label the left one keeps
+    it, the others get ``#2``, ``#3`` and so on behind it."""
     um = labels.where(F.col("compound") != "").join(mapping.select(*KEY, "col"), [*KEY, "col"], "left_anti")
     nth = F.row_number().over(Window.partitionBy(*KEY, "compound").orderBy("col"))          # bounded by the sheet's width
-    um = um.select(*KEY, "col", "compound", nth.alias("nth")).select(
+    return um.select(*KEY, "col", "compound", nth.alias("nth")).select(
         *KEY, "col", F.when(F.col("nth") == 1, F.col("compound")).otherwise(F.concat_ws(" #", "compound", "nth")).alias("name"))
+
+
+def unmapped_capture(cells: DataFrame, headers: DataFrame, labels: DataFrame, mapping: DataFrame,
+                     keep: grid.Keep = grid.as_planned) -> DataFrame:
+    """``_unmapped``: per body row, a VARIANT object name -> raw value of the :func:`unmapped_columns` (D11). ``keep``
+    may write those before the cells meet them."""
+    um = keep(unmapped_columns(labels, mapping))
     body = cells.join(headers, KEY).where(F.col("row") > F.col("header_row")).join(um, [*KEY, "col"])
     pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value"))))
-    return body.groupBy(*KEY, "row").agg(F.parse_json(F.to_json(pairs)).alias("_unmapped"))
+    return body.groupBy("row", *KEY).agg(F.parse_json(F.to_json(pairs)).alias("_unmapped"))
 
 
 def captured(unmapped: Column, spec: ColumnSpec) -> Column:

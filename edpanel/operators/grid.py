@@ -8,6 +8,8 @@ enters as literal expressions, never as a driver loop over data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ FOOTNOTE_CODE_PATTERN = r"(?i)note|source|total|england"
 FOOTNOTE_NAME_PATTERN = r"(?i)^england$|^total|^note"
 PERIOD_ANCHOR = "period"
 UNLISTED = 2**31 - 1               # place of a sheet that the workbook order lacks
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_planned(df: DataFrame) -> DataFrame:
+    return df
 
 
 # ----------------------------------------------------------------- C15 / C1
@@ -35,15 +42,23 @@ def inspect_rows(cells: DataFrame, max_rows: int = 25) -> DataFrame:
     return cells.where(F.col("row") < max_rows)
 
 
-def sheet_directory(cells: DataFrame, order: DataFrame | None = None) -> DataFrame:
+def column_profile(cells: DataFrame) -> DataFrame:
+    """Per column of a sheet its first and last row and its non-blank cells: one pass over the cells, whose result
+    is as long as the sheets are wide."""
+    return cells.groupBy("col", *SHEET_KEY).agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"),
+                                                F.count("value").alias("non_blank"))
+
+
+def sheet_directory(cells: DataFrame, order: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """One row per sheet: its place in the workbook, used range, non-blank cells.
 
     ``order`` (file, sheet, sheet_index) gives the workbook order, as :func:`edpanel.sources.grid.sheet_order` reads
     it; a sheet that it lacks comes after those it has, by name. The listed sheets without a cell are kept, with no
-    range. A directory is as long as the sheets are many, not the cells."""
-    used = cells.groupBy(*SHEET_KEY).agg(
-        F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min("col").alias("first_col"),
-        F.max("col").alias("last_col"), F.count("value").alias("non_blank"))
+    range. A directory is as long as the sheets are many, not the cells. ``profile`` is the cells' column profile, where
+    the caller has it."""
+    used = (profile or column_profile(cells)).groupBy(*SHEET_KEY).agg(
+        F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row"), F.min("col").alias("first_col"),
+        F.max("col").alias("last_col"), F.sum("non_blank").alias("non_blank"))
     if order is None:
         return used.select(*SHEET_KEY, F.lit(None).cast("int").alias("sheet_index"), "first_row", "last_row", "first_col", "last_col", "non_blank")
     listed = order.groupBy(*SHEET_KEY).agg(F.min("sheet_index").cast("int").alias("sheet_index"))
@@ -51,7 +66,7 @@ def sheet_directory(cells: DataFrame, order: DataFrame | None = None) -> DataFra
         *SHEET_KEY, "sheet_index", "first_row", "last_row", "first_col", "last_col", F.coalesce("non_blank", F.lit(0)).alias("non_blank"))
 
 
-def pick_sheet(cells: DataFrame, registry: Registry, order: DataFrame | None = None) -> DataFrame:
+def pick_sheet(cells: DataFrame, registry: Registry, order: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """One data sheet per workbook (C1): the first preferred fragment contained in the lower-cased
     sheet name wins (fragments in priority order), and of the sheets that contain it the first
     of the workbook; where no sheet contains one, the sheet with the most non-blank cells, again the first of
@@ -62,7 +77,7 @@ def pick_sheet(cells: DataFrame, registry: Registry, order: DataFrame | None = N
     by_size = F.lit(True) if order is None else prio.isNull()
     rank = F.struct(F.coalesce(prio, F.lit(len(registry.preferred_sheets))), F.when(by_size, -F.col("non_blank")),
                     F.coalesce("sheet_index", F.lit(UNLISTED)), F.col("sheet"))
-    return sheet_directory(cells, order).groupBy("file").agg(F.min_by("sheet", rank).alias("sheet"))
+    return sheet_directory(cells, order, profile).groupBy("file").agg(F.min_by("sheet", rank).alias("sheet"))
 
 
 # ----------------------------------------------------------------- C2–C4
@@ -79,17 +94,18 @@ def missing_headers(sheets: DataFrame, headers: DataFrame) -> DataFrame:
     return sheets.join(headers, SHEET_KEY, "left_anti")
 
 
-def header_labels(cells: DataFrame, headers: DataFrame) -> DataFrame:
+def header_labels(cells: DataFrame, headers: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """Compound column labels (C3, C4): the banner row above the label row is forward
     filled left to right (merged cells), whitespace collapsed, and ``banner :: label``
     built unless the label is an identity column. A header on row 0 has no banner. Blank cells
     are not stored, so the columns are those of the header, the banner and the body: a column whose
-    label is blank under a merged banner takes the banner."""
+    label is blank under a merged banner takes the banner. With ``profile``, the column profile of all cells, ``cells`` may
+    be those of the header search rows alone."""
     h = cells.join(headers, SHEET_KEY)
     label = h.where(F.col("row") == F.col("header_row")).select(*SHEET_KEY, "col", C.collapse_ws("value").alias("label"))
     banner = h.where(F.col("row") == F.col("header_row") - 1).select(
         *SHEET_KEY, "col", C.collapse_ws("value").alias("banner_raw"))
-    body = h.where(F.col("row") > F.col("header_row")).select(*SHEET_KEY, "col").distinct()
+    body = (profile or column_profile(cells)).join(headers, SHEET_KEY).where(F.col("last_row") > F.col("header_row")).select(*SHEET_KEY, "col")
     both = label.join(banner, [*SHEET_KEY, "col"], "full").join(body, [*SHEET_KEY, "col"], "full")
     w = Window.partitionBy(*SHEET_KEY).orderBy("col").rowsBetween(Window.unboundedPreceding, 0)
     filled = F.coalesce(F.last(F.when(F.col("banner_raw") != "", F.col("banner_raw")), ignorenulls=True).over(w),
@@ -186,10 +202,15 @@ def _pattern_text(p: str) -> str:
 # ----------------------------------------------------------------- C6–C8
 def cells_to_wide(cells: DataFrame, headers: DataFrame, mapping: DataFrame, registry: Registry) -> DataFrame:
     """Body cells below the header, pivoted to one column per canonical name.
-    Unmapped columns are dropped; the pivot list is fixed, so no extra pass is planned."""
-    body = (cells.join(headers, SHEET_KEY).where(F.col("row") > F.col("header_row"))
-            .join(mapping.select(*SHEET_KEY, "col", "canonical"), [*SHEET_KEY, "col"]))
-    return body.groupBy(*SHEET_KEY, "row").pivot("canonical", registry.canonical).agg(F.first("value"))
+    Unmapped columns are dropped; the pivot list is fixed, so no extra pass is planned. A cell's column is known
+    by its place in the registry, one number to compare, not a name for each column."""
+    names = F.array(*[F.lit(c) for c in registry.canonical])
+    places = mapping.select(*SHEET_KEY, "col", F.array_position(names, F.col("canonical")).alias("place"))
+    body = cells.join(headers, SHEET_KEY).where(F.col("row") > F.col("header_row")).join(places, [*SHEET_KEY, "col"])
+    # The row leads the key: texts have no hash aggregate, and a sort by workbook names compares their common beginning.
+    wide = body.groupBy("row", *SHEET_KEY).agg(*[
+        F.first(F.when(F.col("place") == i, F.col("value")), ignorenulls=True).alias(c) for i, c in enumerate(registry.canonical, 1)])
+    return wide.select(*SHEET_KEY, "row", *registry.canonical)
 
 
 def stop_at_blank_row(cells: DataFrame, headers: DataFrame) -> DataFrame:
@@ -220,15 +241,16 @@ def drop_footnotes(wide: DataFrame, code_pattern: str = FOOTNOTE_CODE_PATTERN,
 PERCENT_SALTS = 64
 
 
-def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str]) -> DataFrame:
+def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str], keep: Keep = as_planned) -> DataFrame:
     """Put percent columns on a 0–100 scale (C10): a column is multiplied by 100 within a
     group (a workbook) when every value of it in that group lies within [-1, 1]. The
     per-group maxima are one partial/final aggregate joined back on the group key and a
-    salt of the row, so a workbook with a third of all rows is spread over tasks."""
+    salt of the row, so a workbook with a third of all rows is spread over tasks. ``keep`` may write them, so that few
+    groups are known to be few."""
     if not pct_cols:
         return df
     scale = df.groupBy(*group_cols).agg(*[F.max(F.abs(c)).alias(f"_max_{c}") for c in pct_cols])
-    scale = scale.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PERCENT_SALTS - 1))))
+    scale = keep(scale).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PERCENT_SALTS - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(PERCENT_SALTS)).cast("int"))
     out = salted.join(scale, [*group_cols, "_salt"], "left").drop("_salt")
     for c in pct_cols:
@@ -238,7 +260,7 @@ def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str])
 
 
 # ----------------------------------------------------------------- C9–C11
-def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True) -> DataFrame:
+def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True, keep: Keep = as_planned) -> DataFrame:
     """Registry dtypes (C9–C11). Percent columns are put on a 0–100 scale per workbook and
     column when every value of that column in the workbook lies within [-1, 1] (C10)."""
     out = wide
@@ -252,7 +274,7 @@ def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True) ->
         else:
             out = out.withColumn(c, C.coerce_text(c))
     if normalise:
-        out = normalise_percent(out, ["file"], pct_cols)
+        out = normalise_percent(out, ["file"], pct_cols, keep)
     return out.where(F.col("org_code").isNotNull())
 
 

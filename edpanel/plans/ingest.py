@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edpanel import session
@@ -19,64 +20,83 @@ from edpanel.operators import drift, grid, sinks
 from edpanel.plans import analogue, quality
 from edpanel.sources import grid as grid_src
 from edpanel.sources import seeds
-from edpanel.sources.registry import ColumnSpec, Registry, default_registry
+from edpanel.sources.registry import HEADER_SEARCH_ROWS, METADATA_ROWS, ColumnSpec, Registry, default_registry
 
 
 @dataclass
 class IngestResult:
+    """What a parse gives. The frames of the sheets' heads are made by the parse; those of the body's rows
+    when they are first asked for, so a caller of the drift log alone pivots nothing."""
+    registry: Registry
+    keep: grid.Keep
+    cells: DataFrame
     sheets: DataFrame
     headers: DataFrame
     labels: DataFrame
     mapping: DataFrame
     renames: DataFrame
     missing: DataFrame
-    wide: DataFrame
-    typed: DataFrame
     periods: DataFrame
-    staged: DataFrame
     drift_log: DataFrame
-    unmapped: DataFrame
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        """Read twice, for the percentages' scale and for the rows, so the pivot is kept."""
+        return self.keep(grid.cells_to_wide(self.cells, self.headers, self.mapping, self.registry))
+
+    @cached_property
+    def typed(self) -> DataFrame:
+        return grid.coerce_types(grid.drop_footnotes(self.wide), self.registry, keep=self.keep)
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        return sinks.conform_staging(self.typed.join(self.periods, grid.SHEET_KEY, "left"))
+
+    @cached_property
+    def unmapped(self) -> DataFrame:
+        return drift.unmapped_capture(self.cells, self.headers, self.labels, self.mapping, self.keep)
 
 
 def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize: bool = True,
-                order: DataFrame | None = None, until_blank_row: bool = False) -> IngestResult:
+                order: DataFrame | None = None, until_blank_row: bool = False, stored: bool = False) -> IngestResult:
     """Run the grid parse. ``order`` gives the workbooks' sheets in their order (C1); with ``until_blank_row``
     the body of a sheet ends before its first blank row (C8). With ``materialize`` the cells and the per-sheet header frames
-    (a sheet's width of rows each) are checkpointed once, so every output below plans
-    from written data instead of re-deriving the whole lineage per branch."""
+    (a sheet's width of rows each) are written once, so every output below plans
+    from written data instead of re-deriving the whole lineage per branch; ``stored`` tells that the cells are a written table
+    already. All cells are read once for the profile of their columns, once for the rows that can hold
+    a header or the period, and once for each frame of body rows."""
     reg = registry or default_registry()
-    keep = session.materialize if materialize else (lambda df: df)
-    cells = keep(cells)
-    sheets = grid.pick_sheet(cells, reg, order)
-    if order is not None:  # the directory is read once: a few rows a workbook
-        sheets = keep(sheets)
-    headers = keep(grid.header_rows(cells, sheets, reg))
+    keep = session.store if materialize else grid.as_planned
+    cells = cells if stored else keep(cells)
+    profile, head = _profiled(cells, keep)
+    sheets = keep(grid.pick_sheet(cells, reg, order, profile))
+    headers = keep(grid.header_rows(head, sheets, reg))
     if until_blank_row:
         cells = keep(grid.stop_at_blank_row(cells.join(sheets, grid.SHEET_KEY, "left_semi"), headers))
-    labels = keep(grid.header_labels(cells, headers))
+        profile, head = _profiled(cells, keep)
+    labels = keep(grid.header_labels(head, headers, profile))
     mapping0 = grid.map_columns(labels, reg)
     missing = grid.missing_specs(headers, mapping0, reg)
     renames = drift.fuzzy_renames(labels, mapping0, missing)
     mapping = keep(drift.apply_renames(mapping0, renames, reg))
-    wide = grid.cells_to_wide(cells, headers, mapping, reg)
-    kept = grid.drop_footnotes(wide)
-    typed = grid.coerce_types(kept, reg)
-    periods = grid.extract_period(cells, sheets)
-    with_period = typed.join(periods, grid.SHEET_KEY, "left")
-    staged = sinks.conform_staging(with_period)
+    periods = keep(grid.extract_period(head, sheets))
     log = drift.drift_log(
         drift.drift_missing(missing, renames, reg),
         drift.drift_unexpected(labels, mapping, reg),
         drift.drift_renamed(renames, reg),
         drift.drift_no_header(grid.missing_headers(sheets, headers)),
         drift.drift_no_period(sheets, periods))
-    unmapped = drift.unmapped_capture(cells, headers, labels, mapping)
-    return IngestResult(sheets, headers, labels, mapping, renames, missing, wide, typed, periods, staged, log, unmapped)
+    return IngestResult(reg, keep, cells, sheets, headers, labels, mapping, renames, missing, periods, log)
+
+
+def _profiled(cells: DataFrame, keep: grid.Keep) -> tuple[DataFrame, DataFrame]:
+    """The column profile of the cells, and the cells of the rows that are searched for headers and periods."""
+    return keep(grid.column_profile(cells)), keep(cells.where(F.col("row") < max(HEADER_SEARCH_ROWS, METADATA_ROWS)))
 
 
 def staged_with_unmapped(result: IngestResult) -> DataFrame:
     """The staged rows, each with what its unmapped columns held."""
-    rows = result.typed.join(result.periods, grid.SHEET_KEY, "left").join(result.unmapped, [*grid.SHEET_KEY, "row"], "left")
+    rows = result.typed.join(result.periods, grid.SHEET_KEY, "left").join(result.unmapped, ["row", *grid.SHEET_KEY], "left")
     return sinks.conform_staging(rows, keep=("file", "_unmapped"))
 
 
@@ -107,24 +127,28 @@ def load_staging(result: IngestResult, path: str, origins: DataFrame, ingested_a
 LATE_LINE = 7                      # the line of an order that the first release lacks
 
 
-def published_rows(spark: SparkSession, sf_dir: str, release: str = "revised") -> DataFrame:
-    """A release of the analogue with every activity column and the provider names."""
+def published_rows(spark: SparkSession, sf_dir: str, release: str = "revised", months: Column | None = None) -> DataFrame:
+    """A release of the analogue with every activity column, the provider names and the ICB, or
+    those of its months that the condition ``months`` on period_date holds for. The providers' names and ICBs are written
+    first: by the size of that table the planner broadcasts it or not."""
     lines = analogue.activity_lines(spark, sf_dir, LATE_LINE - 1 if release == "first" else None)
-    fact = analogue.fact_from_lines(lines)
+    if months is not None:
+        lines = lines.where(months)
     prov = analogue.build_dim_provider(spark, sf_dir)
-    return fact.join(prov, "provider_key").select(
-        "period_date", F.col("trust_code").alias("org_code"), F.col("trust_name").alias("org_name"),
-        *analogue.MEASURES)
+    regions = prov.select(F.col("trust_code").alias("org_code"), "icb_name")
+    named = prov.select("provider_key", F.col("trust_code").alias("org_code"), F.col("trust_name").alias("org_name"))
+    named = session.store(named.join(regions, "org_code", "left"))
+    return analogue.fact_from_lines(lines).join(named, "provider_key").select(
+        "period_date", "org_code", "org_name", "icb_name", *analogue.MEASURES)
 
 
 def analogue_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release_cells(spark, sf_dir, "revised")
 
 
-def release_cells(spark: SparkSession, sf_dir: str, release: str) -> DataFrame:
-    rows = published_rows(spark, sf_dir, release)
-    regions = analogue.build_dim_provider(spark, sf_dir).select(F.col("trust_code").alias("org_code"), "icb_name")
-    return grid_src.render_activity_grid(rows, regions)
+def release_cells(spark: SparkSession, sf_dir: str, release: str, months: Column | None = None) -> DataFrame:
+    """The workbooks of a release (of the ``months`` of :func:`published_rows`) as cells, laid out from its rows as written once."""
+    return grid_src.render_activity_grid(session.store(published_rows(spark, sf_dir, release, months)))
 
 
 def analogue_ingest(spark: SparkSession, sf_dir: str) -> IngestResult:
@@ -205,10 +229,11 @@ def q_unmapped_capture(spark, sf_dir):
 
 def q_stop_at_blank_row(spark, sf_dir):
     """The cells of the data sheets before the first blank row under their header."""
-    cells = session.materialize(analogue_cells(spark, sf_dir))
+    cells = session.store(analogue_cells(spark, sf_dir))
     reg = default_registry()
-    sheets = grid.pick_sheet(cells, reg)
-    kept = grid.stop_at_blank_row(cells.join(sheets, grid.SHEET_KEY, "left_semi"), grid.header_rows(cells, sheets, reg))
+    sheets = session.store(grid.pick_sheet(cells, reg))
+    headers = session.store(grid.header_rows(cells, sheets, reg))
+    kept = grid.stop_at_blank_row(cells.join(sheets, grid.SHEET_KEY, "left_semi"), headers)
     return kept.select("file", "sheet", "row", "col", "value")
 
 
@@ -221,13 +246,13 @@ def q_sheet_order(spark, sf_dir):
     own, before or after the revised one. Both names hold the preferred fragment, so the first of them is parsed."""
     revised = analogue_cells(spark, sf_dir)
     month = F.regexp_extract("file", r"-(\d\d)\.xls$", 1).cast("int")
-    unadjusted = release_cells(spark, sf_dir, "first").where((F.col("sheet") == grid_src.DATA_SHEET) & (month % LAST_EVERY == 0))
-    cells = session.materialize(revised.unionByName(unadjusted.withColumn("sheet", F.lit(UNADJUSTED_SHEET))))
+    unadjusted = release_cells(spark, sf_dir, "first", F.month("period_date") % LAST_EVERY == 0).where(F.col("sheet") == grid_src.DATA_SHEET)
+    cells = session.store(revised.unionByName(unadjusted.withColumn("sheet", F.lit(UNADJUSTED_SHEET))))
     place = F.when(F.col("sheet") == grid_src.DATA_SHEET, 1).when(F.col("sheet") == grid_src.NOTES_SHEET, 2)
     place = F.coalesce(place, F.when(month % FIRST_EVERY == 0, 0).otherwise(3))
     path = session.scratch_path(spark, f"seeds/{uuid.uuid4().hex}")
     seeds.write_seed(cells.select("file", "sheet").distinct().withColumn("sheet_index", place), path)
-    return parse_cells(cells, order=grid_src.sheet_order(spark, path)).staged.select(*STAGED_OUT)
+    return parse_cells(cells, order=grid_src.sheet_order(spark, path), stored=True).staged.select(*STAGED_OUT)
 
 
 def q_parse_until_blank(spark, sf_dir):
@@ -244,8 +269,8 @@ def q_staging_audit(spark, sf_dir):
     audit columns, of which the second load replaced those of June."""
     path = session.scratch_path(spark, f"staging/{uuid.uuid4().hex}")
     for release, published, loaded in (("first", "2001-12-10", LOADED_FIRST), ("revised", "2002-01-08", LOADED_AGAIN)):
-        cells = release_cells(spark, sf_dir, release)
-        result = parse_cells(cells if release == "first" else cells.where(F.col("file").endswith(REPUBLISHED)))
+        months = None if release == "first" else grid_src.workbook_name(F.col("period_date")).endswith(REPUBLISHED)
+        result = parse_cells(release_cells(spark, sf_dir, release, months))
         origins = result.sheets.select("file", F.sha2(F.concat(F.lit(release + "/"), "file"), 256).alias("sha256"),
                                        F.concat(F.lit(f"https://files.example/{release}/"), "file").alias("source_url"),
                                        F.lit(published).cast("date").alias("published_at"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +78,14 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def store(df):
+    """Write ``df`` as Parquet to the shared folder and read it back. Later plans prune the columns, push their filters
+    down to the written files and know their size, so a small frame is broadcast without a shuffle of what it meets."""
+    path = scratch_path(df.sparkSession, f"stored/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from edpanel import session
 from edpanel.functions import columns as C
 from edpanel.sources import seeds
 
@@ -205,18 +206,17 @@ def _performance_text(within: F.Column, total: F.Column, as_fraction: F.Column)
     return F.when(total > 0, F.when(as_fraction, frac).otherwise(pct))
 
 
-def render_activity_grid(staged_rows: DataFrame, regions: DataFrame) -> DataFrame:
+def render_activity_grid(rows: DataFrame) -> DataFrame:
     """Lay staged rows out as one workbook per month.
 
-    ``staged_rows``: period_date, org_code, org_name + activity counts (including type 2/3
-    breaches and admissions); ``regions``: org_code -> icb_name.
+    ``rows``: period_date, org_code, org_name, icb_name + activity counts (including type 2/3
+    breaches and admissions). They are read twice, for the months and for the body: give a written table.
     """
-    rows = staged_rows.join(regions, "org_code", "left")
     p = F.col("period_date")
     b = branding_rows(p)
+    row = b + 3 + F.regexp_extract("org_code", r"(\d+)", 1).cast("int")
     body = rows.select(
-        workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"),
-        (b + 3 + F.regexp_extract("org_code", r"(\d+)", 1).cast("int")).alias("row"), "*",
+        workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"), row.alias("row"), "*",
         _performance_text(F.col("attendances_total") - F.col("breaches_total"), F.col("attendances_total"),
                           F.pmod(F.year(p), F.lit(2)) == 0).alias("performance_text"))
     cell_structs = [F.struct(F.lit(c).alias("col"), _int_text(F.col(src)).alias("value"))
@@ -227,7 +227,9 @@ def render_activity_grid(staged_rows: DataFrame, regions: DataFrame) -> DataFram
     body_cells = body.select("file", "sheet", "row", F.explode(F.array(*cell_structs)).alias("c")).select(
         "file", "sheet", "row", "c.col", "c.value")
 
-    periods = rows.select("period_date").distinct()
+    # One row a month, from which all but the body is laid out.
+    periods = session.store(rows.groupBy("period_date").agg(
+        F.max(row).alias("last_row"), F.sum("attendances_total").cast("bigint").alias("t"), F.sum("breaches_total").cast("bigint").alias("br")))
     header_structs = []
     for c, banner, label, _ in LAYOUT:
         if banner:
@@ -256,17 +258,14 @@ def render_activity_grid(staged_rows: DataFrame, regions: DataFrame) -> DataFram
         F.concat(F.lit("Source: monthly situation report, release line "), F.col("row").cast("string")).alias("value"))
 
     # England total row right under the header, footnotes after the last provider.
-    last_row = body.groupBy("file").agg(F.max("row").alias("last_row"))
-    totals = rows.groupBy("period_date").agg(F.sum("attendances_total").cast("bigint").alias("t"),
-                                             F.sum("breaches_total").cast("bigint").alias("br"))
-    total_cells = totals.select(workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"),
+    total_cells = periods.select(workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"),
                                 (b + 2).alias("row"),
                                 F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit("-").alias("value")),
                                                   F.struct(F.lit(2).alias("col"), F.lit("England").alias("value")),
                                                   F.struct(F.lit(6).alias("col"), F.col("t").cast("string").alias("value")),
                                                   F.struct(F.lit(10).alias("col"), F.col("br").cast("string").alias("value"))))
                                 .alias("c")).select("file", "sheet", "row", "c.col", "c.value")
-    notes_rows = last_row.select("file", F.lit(DATA_SHEET).alias("sheet"), F.explode(F.array(
+    notes_rows = periods.select(workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"), F.explode(F.array(
         F.struct((F.col("last_row") + 2).alias("row"), F.lit(0).alias("col"),
                  F.lit("Note: figures for the latest month are provisional").alias("value")),
         F.struct((F.col("last_row") + 3).alias("row"), F.lit(0).alias("col"),
