@@ -114,9 +114,18 @@ def unmapped_capture(cells: DataFrame, headers: DataFrame, labels: DataFrame, ma
 def captured(unmapped: Column, spec: ColumnSpec) -> Column:
     """The raw value that a row's ``_unmapped`` holds for a column of a later schema version: of the labels
     that match its patterns the first in text order; NULL where there is none."""
-    held = F.map_filter(unmapped.cast("map<string,string>"), lambda k, v: grid.label_matches(F.lower(C.collapse_ws(k)), spec.patterns))
-    entries = F.array_sort(F.map_entries(held))
-    return F.get(entries, F.lit(0))["value"]
+    return _first_match(_labelled(unmapped), spec)
+
+
+def _labelled(unmapped: Column) -> Column:
+    """What a row's ``_unmapped`` holds as (key, value, norm), norm being the label as patterns see it."""
+    return F.transform(F.map_entries(unmapped.cast("map<string,string>")), lambda e: F.struct(
+        e["key"].alias("key"), e["value"].alias("value"), F.lower(C.collapse_ws(e["key"])).alias("norm")))
+
+
+def _first_match(labelled: Column, spec: ColumnSpec) -> Column:
+    held = F.array_sort(F.filter(labelled, lambda e: grid.label_matches(e["norm"], spec.patterns)))
+    return F.get(held, F.lit(0))["value"]
 
 
 def read_across_versions(staged: DataFrame, specs: Sequence[ColumnSpec], unmapped: str = "_unmapped") -> DataFrame:
@@ -124,11 +133,11 @@ def read_across_versions(staged: DataFrame, specs: Sequence[ColumnSpec], unmappe
     staging table has is kept where it is not NULL, else it is read from the captured values and coerced.
     Percentages come back as published, without the scale of their workbook."""
     coerce = {"integer": C.coerce_int, "percent": C.coerce_pct_raw, "text": C.coerce_text}
-    out = staged
+    out = staged.withColumn("_labelled", _labelled(F.col(unmapped)))  # read once, however many the columns
     for s in specs:
-        value = coerce[s.dtype](captured(F.col(unmapped), s))
+        value = coerce[s.dtype](_first_match(F.col("_labelled"), s))
         out = out.withColumn(s.canonical, F.coalesce(F.col(s.canonical), value) if s.canonical in staged.columns else value)
-    return out
+    return out.drop("_labelled")
 
 
 def should_halt(log: DataFrame) -> bool:

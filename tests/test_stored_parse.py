@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_grid import activity_rows, cells_df, sheet
 
-from edpanel.operators import grid
+from edpanel.operators import drift, grid
 from edpanel.plans import ingest
 from edpanel.sources import grid as grid_src
 from edpanel.sources.registry import default_registry
@@ -68,3 +68,10 @@ def test_cells_meet_the_heads_without_a_shuffle_and_stored_cells_are_not_written
     r = ingest.parse_cells(cells)
     wide = grid.cells_to_wide(r.cells, r.headers, r.mapping, default_registry())
     assert plan(wide).count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan(wide)
+
+
+def test_labels_of_a_row_are_read_once_for_all_later_columns(spark):
+    df = spark.sql("SELECT 1 AS id, parse_json('{\"Region\": \"x\", \" Appointments  :: Booked Type 1\": \"7\"}') AS _unmapped")
+    out = drift.read_across_versions(df, ingest.LATER_COLUMNS)
+    assert plan(out).split("== ")[0].count("map_entries(") <= 2 and out.columns == ["id", "_unmapped", "region_name", "booked_type1", "breaches_type2"]
+    assert tuple(out.drop("_unmapped").first()) == (1, "x", 7, None)
