@@ -73,8 +73,9 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
     n = n.join(entry.select("path", "block", "entry", "rows_before"), ["path", "block"])
     begun = F.when(F.col("entry") == 0, F.col("starts.even")).otherwise(F.col("starts.odd"))
     inside = (F.col("odd") + F.col("entry")) % 2 == 1                        # the line begins inside quotes
-    n = n.select("file", "sheet", "path", "block", "at", "line", (inside | (F.col("quotes") % 2 == 1)).alias("spans"),
-                 (F.col("first_row") + F.col("rows_before") + begun - 1).alias("row"))
+    # Written once: the whole rows and the parts of rows are read from it, not each by windows of their own.
+    n = session.store(n.select("file", "sheet", "path", "block", "at", "line", (inside | (F.col("quotes") % 2 == 1)).alias("spans"),
+                               (F.col("first_row") + F.col("rows_before") + begun - 1).alias("row")))
     whole = n.where(~F.col("spans")).select("file", "sheet", "row", "line")
     parts = n.where("spans").groupBy("file", "sheet", "path", "row").agg(
         F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
@@ -119,9 +120,9 @@ def sheet_texts(cells: DataFrame) -> DataFrame:
     most, so no task gathers a whole long sheet."""
     quoted = F.when(F.col("value").rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace("value", '"', '""'), F.lit('"'))).otherwise(F.col("value"))
     first = (F.col("row") - F.col("row") % PART_ROWS).alias("first_row")
-    lines = cells.groupBy("file", "sheet", first, (F.col("row") % PART_ROWS).alias("at")).agg(
-        F.array_sort(F.collect_list(F.struct("col", quoted.alias("field")))).alias("cells"))
-    lines = lines.select("file", "sheet", "first_row", F.struct("at", _joined(F.col("cells"), "col", "field", ",").alias("line")).alias("row"))
+    # The row leads the key: a sort by workbook names compares their common beginning.
+    lines = cells.groupBy("row", "file", "sheet").agg(F.array_sort(F.collect_list(F.struct("col", quoted.alias("field")))).alias("cells"))
+    lines = lines.select("file", "sheet", first, F.struct((F.col("row") % PART_ROWS).alias("at"), _joined(F.col("cells"), "col", "field", ",").alias("line")).alias("row"))
     texts = lines.groupBy("file", "sheet", "first_row").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     return texts.select("file", "sheet", "first_row", _joined(F.col("rows"), "at", "line", "\n").alias("text"))
 

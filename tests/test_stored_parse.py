@@ -75,3 +75,11 @@ def test_labels_of_a_row_are_read_once_for_all_later_columns(spark):
     out = drift.read_across_versions(df, ingest.LATER_COLUMNS)
     assert plan(out).split("== ")[0].count("map_entries(") <= 2 and out.columns == ["id", "_unmapped", "region_name", "booked_type1", "breaches_type2"]
     assert tuple(out.drop("_unmapped").first()) == (1, "x", 7, None)
+
+
+def test_lines_of_sheets_pass_their_windows_once(spark, tmp_path):
+    rows = [("f.xls", "data", 0, 0, "a\nb"), ("f.xls", "data", 3, 1, 'x"y'), ("f.xls", "data", 10_000, 2, "z")]
+    grid_src.write_sheets(cells_df(spark, rows), str(tmp_path / "s"))
+    back = grid_src.read_sheets(spark, str(tmp_path / "s"))
+    assert "Window" not in plan(back)
+    assert sorted(tuple(r) for r in back.collect()) == rows
