@@ -44,13 +44,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     twins = written(least.groupBy("doc_id", "group_id").agg(F.count("*").alias("rows"), F.min("digest").alias("kept")).where("rows > 1"), "twins")
     lost = written(links.where("doc_id > component_id").select(*key).union(
         least.join(twins, ["doc_id", "group_id"]).where("digest > kept").select(*key)).distinct(), "lost")
-    digest = F.md5(F.coalesce("text", F.lit("")))
-    kept = docs.withColumn("digest", digest).join(lost, key, "left_anti")
-    if twins.isEmpty():
-        return kept.select(*docs.columns)
     again = twins.select("doc_id", F.col("kept").alias("digest"))
+    # Only rows that may be lost or repeated are joined, so most texts are not shuffled.
+    marks = ngram_join.slot_words(lost.select("doc_id").union(again.select("doc_id")), "doc_id")
+    sure, rest = ngram_join.slot_split(docs, marks, "doc_id")
+    kept = rest.withColumn("digest", F.md5(F.coalesce("text", F.lit("")))).join(lost, key, "left_anti")
+    if twins.isEmpty():
+        return sure.unionByName(kept.select(*docs.columns))
     once = kept.join(again, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(once)
+    return sure.unionByName(kept.join(again, key, "left_anti").select(*docs.columns)).unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

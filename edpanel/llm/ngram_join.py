@@ -17,8 +17,8 @@ equal sets needs both, so unlike texts are told apart by 128 bits.
    of frequent shingles are salted, with as many salts as their bucket count asks for), and only representatives.
 3. Pairs of such a posting list pass the length filter, the positional filter (the rest after
    both positions must still reach the overlap that the sizes ask for) and the suffix filter
-   (the sets' Hamming distance is at least the sum of differences over hash ranges, a fixed
-   partition in place of recursive pivots); each pair is verified once, on whole sets, which
+   (the sets' Hamming distance is at least the sum of differences over RANGES hash ranges, a fixed
+   partition in place of recursive pivots, fine enough that few unlike sets are gathered whole); each pair is verified once, on whole sets, which
    a pass over the texts gathers for the documents of such pairs only.
 4. A posting list of n members is not expanded into n * n pairs. It is joined with one leader
    per round (first the member with the fewest rarer shingles before it, later any by hash);
@@ -56,7 +56,8 @@ SHINGLE = 5
 SIMILARITY = 80  # percent
 SKETCH_BITS = 20
 SLICES = 64
-RANGES = 64
+RANGES = 256
+MOST_IN_RANGE = 127  # counts are cut to a byte, which can only lower the differences
 ROUNDS = 1
 SLOT_BITS = 22
 FREQUENT = 256  # postings above twice the mean bucket count from which a shingle is salted
@@ -94,7 +95,7 @@ def _texts(df: DataFrame) -> DataFrame:
 
 def _profile(df: DataFrame, sketch_bits: int) -> DataFrame:
     """Per document (doc_id, digest, n, s1, s2, ranges), s1 and s2 being sums over its set of the two hashes, ranges being the histogram of its set over RANGES
-    hash ranges; per task its shingle counts as SLICES compressed rows."""
+    hash ranges, cut at MOST_IN_RANGE; per task its shingle counts as SLICES compressed rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_hash, second, counts = SpanHash(), SpanHash(SECOND_BASE), np.zeros(1 << sketch_bits, np.uint32)
@@ -110,17 +111,17 @@ def _profile(df: DataFrame, sketch_bits: int) -> DataFrame:
             s = np.array(signed, np.uint64).view(np.int64)
             n, sizes = batch.num_rows, np.array([len(x) for x in sets], np.int64)
             cell = np.repeat(np.arange(n), sizes) * RANGES + (flat % np.uint64(RANGES)).astype(np.int64)
-            ranges = np.bincount(cell, minlength=n * RANGES).astype(np.int32)
+            ranges = np.minimum(np.bincount(cell, minlength=n * RANGES), MOST_IN_RANGE).astype(np.int8)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(sizes), pa.array(s[:, 0]), pa.array(s[:, 1]),
                                               pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * RANGES, pa.int32()), pa.array(ranges)),
                                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if counts.any():
             parts, empty = np.split(counts, SLICES), pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([empty, pa.nulls(SLICES, pa.string()), empty, empty, empty, pa.nulls(SLICES, pa.list_(pa.int32())), pa.array(range(SLICES), pa.int32()),
+            yield pa.RecordBatch.from_arrays([empty, pa.nulls(SLICES, pa.string()), empty, empty, empty, pa.nulls(SLICES, pa.list_(pa.int8())), pa.array(range(SLICES), pa.int32()),
                                               pa.array([TaskContext.get().partitionId() % 16] * SLICES, pa.int32()),
                                               pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names)
 
-    return df.mapInArrow(task, "doc_id long, digest string, n long, s1 long, s2 long, ranges array<int>, slice int, salt int, counts binary")
+    return df.mapInArrow(task, "doc_id long, digest string, n long, s1 long, s2 long, ranges array<tinyint>, slice int, salt int, counts binary")
 
 
 def _rarity(profile: DataFrame, sketch_bits: int) -> np.ndarray:
@@ -172,13 +173,26 @@ def _slot(column: str) -> F.Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << SLOT_BITS))
 
 
+def slot_words(df: DataFrame, column: str) -> DataFrame:
+    """(word, bits) of the hashed slots of ``column``: a bitmap of 2 ** (SLOT_BITS - 5) rows at most."""
+    marks = df.select(_slot(column).alias("s")).selectExpr("cast(s div 32 as int) as word", "shiftleft(1L, cast(s % 32 as int)) as bit")
+    return marks.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def slot_split(df: DataFrame, words: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``column`` is surely in none of the slots of ``words``, and the others: those in them and
+    some more. The bitmap is of fixed size and broadcast, so ``df`` is not shuffled."""
+    words = written(words, "slots").select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))
+    marked = df.withColumn("_slot", _slot(column)).join(F.broadcast(words), F.expr("cast(_slot div 32 as int) = _word"), "left")
+    maybe = F.expr("coalesce(shiftright(_bits, cast(_slot % 32 as int)) & 1L, 0L) = 1L")
+    return marked.where(~maybe).select(*df.columns), marked.where(maybe).select(*df.columns)
+
+
 def _sets_of(df: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, shingles by the second hash) of the documents in ``docs`` (doc), and of some others. Hashed slots of the
     ids go to the tasks as a bitmap of fixed size, so most other texts are dropped at once."""
-    word = docs.select(_slot("doc").alias("s")).selectExpr("cast(s div 32 as int) as word", "shiftleft(1L, cast(s % 32 as int)) as bit")
-    word = word.groupBy("word").agg(F.bit_or("bit").alias("bits"))
     bitmap = np.zeros(1 << (SLOT_BITS - 5), np.uint64)
-    for r in word.toLocalIterator():  # 2 ** 17 rows at most
+    for r in slot_words(docs, "doc").toLocalIterator():  # 2 ** 17 rows at most
         bitmap[r.word] = r.bits
     shared = df.sparkSession.sparkContext.broadcast(bitmap)
 

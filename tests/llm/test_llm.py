@@ -159,6 +159,44 @@ def test_long_words_do_not_collide(spark):
     assert got == {**{k: k for k in range(len(texts))}, len(texts): 0}
 
 
+def test_suffix_filter_drops_unlike_sets_and_no_link(spark):
+    """Sets that share three quarters of their shingles are not gathered whole; linked ones are, also where the counts are cut."""
+    near_miss = [f"w{k}" for k in range(900)]
+    small = [near_miss, near_miss[:700] + [f"x{k}" for k in range(200)], near_miss[:850] + [f"y{k}" for k in range(50)]]
+    large = [f"v{k}" for k in range(ngram_join.RANGES * 200)]
+    large = [large, large[:48000] + [f"z{k}" for k in range(len(large) - 48000)]]
+    df = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(small + large)], "doc_id long, text string")
+    facts = ngram_join._profile(ngram_join._texts(df), 10).where("n > 0").selectExpr("doc_id as doc", "n", "ranges")
+    assert facts.selectExpr("max(array_max(ranges)) as most").first().most == ngram_join.MOST_IN_RANGE
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (3, 4)], "a long, b long")
+    assert sorted(tuple(r) for r in ngram_join._near(pairs, facts).collect()) == [(0, 2), (3, 4)]
+    assert [r.component_id for r in ngram_join.linked_components(df).orderBy("doc_id").collect()] == [0, 1, 0, 3, 3]
+
+
+def test_near_duplicates_shuffle_no_text_of_unlinked_documents(spark):
+    """The stage joins only rows that may be lost or repeated, whatever Spark would broadcast."""
+    def text(k):
+        return " ".join(f"{k}w{x}" for x in range(30))
+    rows = [(k, text(k), "en", "s", 0) for k in range(300)] + [(300 + k, text(k) + " tail", "en", "s", 0) for k in range(5)]
+    rows += [(None, text(1), "en", "s", 0), (400, None, "en", "s", 0), (400, None, "en", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for more in ([], [(9, text(9) + " other", "en", "s", 0)] * 2):  # without and with rows that share an id
+            extra = df.unionByName(spark.createDataFrame(more, df.schema)) if more else df
+            kept = corpus_pipeline.near_duplicates(spark, extra, "")
+            want = [r for r in rows if r[0] is None or r[0] < 300 or r[0] == 400]
+            found = sorted((r.doc_id or -1, r.text or "") for r in kept.collect() if r.doc_id != 9)
+            assert found == sorted((r[0] or -1, r[1] or "") for r in want if r[0] != 9)
+            assert kept.where("doc_id = 9").count() == 1
+            plan = kept._jdf.queryExecution().optimizedPlan()
+            sure = plan.children().apply(0).toString()
+            assert plan.nodeName() == "Union" and "LeftAnti" not in sure and "LeftOuter" in sure
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("rounds", [0, 1])
 def test_repeated_ids_with_other_texts(spark, rounds):
     """Rows of one doc_id with unlike texts are documents of their own."""
