@@ -175,7 +175,8 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_release(spark: SparkSession, sf_dir: str, release: str, published_at: str, landing: str, months: F.Column | None = None) -> None:
-    """One release of the workbooks as landed rows; a workbook lies in one Parquet file."""
+    """One release of the workbooks (those that the condition ``months`` on file holds for, all where not given) as landed rows;
+    a workbook lies in one Parquet file."""
     cells = ingest.release_cells(spark, sf_dir, release)
     texts = grid_src.sheet_texts(cells if months is None else cells.where(months))
     rows = texts.select(F.lit("monthly").alias("source_name"), F.col("file").alias("file_name"), F.concat(F.lit(f"https://files.example/{release}/"), "file").alias("source_url"),
@@ -184,12 +185,12 @@ def land_release(spark: SparkSession, sf_dir: str, release: str, published_at: s
 
 
 def scheduled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first release lands and is loaded, then it lands again under the same names together with
+    """The first release lands and is loaded, then all of it lands again under the same names together with
     the revised one; the second run skips what it knows and merges the rest. Returns the version table."""
     root = scratch_path(spark, f"run/{uuid.uuid4().hex}")
     land_release(spark, sf_dir, "first", revisions.T_FIRST, f"{root}/landing")
     run_available(spark, f"{root}/landing", f"{root}/warehouse")
     for release in ("first", "revised"):
-        land_release(spark, sf_dir, release, revisions.T_REVISED, f"{root}/landing", None if release == "revised" else F.col("file").contains("-06"))
+        land_release(spark, sf_dir, release, revisions.T_REVISED, f"{root}/landing")
     house = run_available(spark, f"{root}/landing", f"{root}/warehouse")
     return house.versions().select("period_date", "org_code", "org_name", "attendances_total", "breaches_total", "row_hash", "valid_from", "valid_to", "is_current")

@@ -14,7 +14,8 @@ Write, audit, publish: parsed rows are written once to the batch's pending folde
 recorded as failed and all tables stay as they were.
 
 Landing layout: Parquet rows (source_name, file_name, source_url, published_at, sheet, first_row,
-text), a sheet's CSV text in parts; a workbook's rows lie in one Parquet file, so in one batch.
+text), a sheet's CSV text in parts; a workbook's rows lie in one Parquet file, so in one batch. A batch may hold
+several workbooks of one name (a file that lands again beside its revision): the Parquet file tells them apart.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from edpanel.sources.registry import Registry
 
 LANDING = ("source_name string, file_name string, source_url string, published_at timestamp_ntz, "
            "sheet string, first_row int, text string")
+LANDED = "landed"                  # the Parquet file that a row landed in
+FRESH = "source_name string, sha256 string, file_name string, source_url string, published_at timestamp_ntz, landed string, workbook long"
 CATALOG = ("source_name string, sha256 string, file_name string, source_url string, published_at timestamp_ntz, "
            "data_month date, row_count long, batch_id long")
 AUDIT = "run_id string, event_ts timestamp_ntz, status string, rows_loaded long, notes string, batch_id long"
@@ -97,12 +100,20 @@ class Warehouse:
 
 
 def landed_files(parts: DataFrame) -> DataFrame:
-    """One row per workbook with the hash of its content: the digest of its parts' digests in
+    """One row per landed workbook with the hash of its content: the digest of its parts' digests in
     order, so no task gathers a workbook's text."""
     part = F.struct("sheet", "first_row", F.sha2("text", 256).alias("sha"))
-    return (parts.groupBy("source_name", "file_name")
+    return (parts.groupBy("source_name", "file_name", LANDED)
             .agg(F.array_sort(F.collect_list(part)).alias("p"), F.max("source_url").alias("source_url"), F.max("published_at").alias("published_at"))
-            .select("source_name", "file_name", "source_url", "published_at", F.sha2(F.to_json("p"), 256).alias("sha256")))
+            .select("source_name", "file_name", LANDED, "source_url", "published_at", F.sha2(F.to_json("p"), 256).alias("sha256")))
+
+
+def fresh_files(files: DataFrame, seen: DataFrame) -> DataFrame:
+    """The landed workbooks whose content the catalog (source_name, sha256) lacks, each content once, with a number
+    that tells them apart: their names may be equal."""
+    first = F.struct("file_name", "published_at", "source_url", LANDED)
+    return (files.join(seen, ["source_name", "sha256"], "left_anti").groupBy("source_name", "sha256").agg(F.min(first).alias("f"))
+            .select("source_name", "sha256", "f.*", F.monotonically_increasing_id().alias("workbook")))
 
 
 def gate_measures() -> dict[str, F.Column]:
@@ -121,11 +132,10 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
     spark = house.spark
     files = landed_files(parts)
     seen = house.earlier("catalog", CATALOG, batch_id).select("source_name", "sha256")
-    fresh = (files.join(seen, ["source_name", "sha256"], "left_anti").groupBy("source_name", "sha256")
-             .agg(F.min_by(F.struct("file_name", "source_url", "published_at"), "file_name").alias("f")).select("source_name", "sha256", "f.*"))
+    fresh = fresh_files(files, seen)
     fresh_path = f"{house.path('fresh')}/batch_id={batch_id}"
     house.commit(batch_id, "fresh", lambda: fresh.write.mode("overwrite").parquet(fresh_path), after)
-    fresh = spark.read.schema("source_name string, sha256 string, file_name string, source_url string, published_at timestamp_ntz").parquet(fresh_path)
+    fresh = spark.read.schema(FRESH).parquet(fresh_path)
     facts = files.agg(F.max("published_at").alias("at"), F.count(F.lit(1)).alias("n")).first()
     if facts["at"] is None:
         return SKIPPED
@@ -141,22 +151,29 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
     if fresh.isEmpty():
         record(SKIPPED, 0, "all content is catalogued")
         return SKIPPED
-    mine = parts.join(fresh.select("source_name", "file_name"), ["source_name", "file_name"], "left_semi")
+    # The parse knows a workbook by its number.
+    mine = (parts.join(fresh.select("source_name", "file_name", LANDED, "workbook"), ["source_name", "file_name", LANDED])
+            .select(F.col("workbook").cast("string").alias("file"), "sheet", "first_row", "text"))
     pending_path, gate_path = f"{house.path('pending')}/batch_id={batch_id}", f"{house.path('gate')}/batch_id={batch_id}"
 
+    def halted() -> DataFrame:
+        """The batch's drift rows of workbooks that the policy stops."""
+        return spark.read.schema(f"workbook string, {DRIFT}").parquet(f"{house.path('drift')}/batch_id={batch_id}").where("action_taken = 'halted'")
+
     def parse() -> None:
         """Parsed rows of the files that the drift policy lets pass, the drift log, and the measures."""
-        parsed = ingest.parse_cells(grid_src.cells_of_text(mine.withColumnRenamed("file_name", "file")), registry)
-        house.append("drift", parsed.drift_log, batch_id)
-        stopped = house.earlier("drift", DRIFT).where((F.col("batch_id") == batch_id) & (F.col("action_taken") == "halted")).select("file").distinct()
+        parsed = ingest.parse_cells(grid_src.cells_of_text(mine), registry)
+        log = parsed.drift_log.withColumnRenamed("file", "workbook")
+        house.append("drift", log.join(fresh.select(F.col("workbook").cast("string"), F.col("file_name").alias("file")), "workbook"), batch_id)
+        stopped = halted().select(F.col("workbook").alias("file")).distinct()
         wrong = quality.shape_mismatches(parsed.staged.drop("file"), sinks.STAGING_SCHEMA)
         if wrong:
             raise ingest.LoadHaltedError(f"staging layout: {wrong}")
-        origin = fresh.select(F.col("file_name").alias("file"), F.col("source_url").alias("_url"), F.col("sha256").alias("_sha"), "published_at")
+        origin = fresh.select(F.col("workbook").cast("string").alias("file"), F.col("file_name").alias("_name"), F.col("source_url").alias("_url"), F.col("sha256").alias("_sha"), "published_at")
         rows = changes.with_row_hash(parsed.staged.join(stopped, "file", "left_anti"), HASHED).join(origin, "file")
-        rows = sinks.add_audit_columns(rows, F.col("file"), F.col("_sha"), F.col("_url"), at)
+        rows = sinks.add_audit_columns(rows, F.col("_name"), F.col("_sha"), F.col("_url"), at)
         measures = Observation()
-        (rows.drop("_url", "_sha").observe(measures, *(c.alias(n) for n, c in gate_measures().items()))
+        (rows.drop("_name", "_url", "_sha").observe(measures, *(c.alias(n) for n, c in gate_measures().items()))
          .write.mode("overwrite").parquet(pending_path))
         found = measures.get
         spark.createDataFrame([(n, int(found[n])) for n in gate_measures()], "measure string, found long").write.mode("overwrite").parquet(gate_path)
@@ -165,9 +182,7 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
     pending = spark.read.parquet(pending_path)
     found = {r.measure: r.found for r in spark.read.schema("measure string, found long").parquet(gate_path).collect()}  # one row a measure
     broken = [f"{n}: {v}" for n, v in sorted(found.items()) if n != "rows" and v]
-    halted = (house.earlier("drift", DRIFT).where((F.col("batch_id") == batch_id) & (F.col("action_taken") == "halted"))
-              .select("file", "drift_type").distinct())
-    stopped = halted.agg(F.countDistinct("file")).first()[0]
+    stopped = halted().agg(F.countDistinct("workbook")).first()[0]
     if broken or not found["rows"]:
         record(FAILED, 0, "; ".join(broken) or f"{stopped} files halted")
         return FAILED
@@ -190,8 +205,8 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
         sinks.replace_periods(current, house.path("staging"))
 
     house.commit(batch_id, "staging", replace, after)
-    loaded = pending.groupBy(F.col("source_file_name").alias("file_name")).agg(F.max("period_date").alias("data_month"), F.count(F.lit(1)).alias("row_count"))
-    catalogued = fresh.join(loaded, "file_name").select("source_name", "sha256", "file_name", "source_url", "published_at", "data_month", "row_count")
+    loaded = pending.groupBy(F.col("file").cast("long").alias("workbook")).agg(F.max("period_date").alias("data_month"), F.count(F.lit(1)).alias("row_count"))
+    catalogued = fresh.join(loaded, "workbook").select("source_name", "sha256", "file_name", "source_url", "published_at", "data_month", "row_count")
     house.commit(batch_id, "catalog", lambda: house.append("catalog", catalogued, batch_id), after)
     record(LOADED, found["rows"], f"{changed} rows changed; {stopped} files halted")
     return LOADED
@@ -202,6 +217,7 @@ def run_available(spark: SparkSession, landing: str, root: str, registry: Regist
     """Load everything that landed since the last run; the stream's offsets live under ``root``."""
     house = Warehouse(spark, root)
     stream = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing)
+    stream = stream.select("*", F.col("_metadata.file_path").alias(LANDED))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         process_batch(Warehouse(batch.sparkSession, root), batch, batch_id, registry, after)
