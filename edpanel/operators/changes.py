@@ -78,21 +78,23 @@ def scd2_merge(versions: DataFrame, incoming: DataFrame, key_cols: Sequence[str]
     apart). Of incoming rows that share a key the last by ``source_order`` wins, so a key
     has one current version. Returns the complete next versions table, which the caller
     writes as a new table version (no in-place MERGE on Parquet)."""
-    ts, fields = ts_literal(batch_ts), [*carry_cols, "row_hash"]
-    cur = versions.where(F.col("is_current")).select(*key_cols, F.struct(*carry_cols, *VERSION_COLS).alias("_cur"))
-    inc = _non_null_keys(incoming, key_cols).groupBy(*key_cols).agg(F.max_by(F.struct(*fields), source_order).alias("_inc"))
-    cur_row, inc_row = F.col("_cur"), F.col("_inc")
-    changed = inc_row.isNotNull() & (cur_row.isNull() | (cur_row["row_hash"] != inc_row["row_hash"]))
-    expired = cur_row.withField("valid_to", ts).withField("is_current", F.lit(False))
-    inserted = F.struct(*[inc_row[c].alias(c) for c in fields], F.lit(source_version).alias("source_version"),
-                        ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-                        F.lit(True).alias("is_current"))
-    next_versions = F.array(F.when(changed & cur_row.isNotNull(), expired).otherwise(cur_row), F.when(changed, inserted))
-    merged = (cur.join(inc, list(key_cols), "full")
-              .select(*key_cols, F.explode(F.filter(next_versions, lambda v: v.isNotNull())).alias("_v"))
-              .select(*key_cols, "_v.*"))
-    cols = [*key_cols, *carry_cols, *VERSION_COLS]
-    return versions.where(~F.col("is_current")).select(*cols).unionByName(merged.select(*cols))
+    ts, fields, cols = ts_literal(batch_ts), [*carry_cols, "row_hash"], [*carry_cols, *VERSION_COLS]
+    cur = versions.where(F.col("is_current")).select(*key_cols, *[F.col(c).alias(f"_cur_{c}") for c in cols], F.lit(True).alias("_held"))
+    later = F.lead(F.lit(1)).over(Window.partitionBy(*key_cols).orderBy(source_order))
+    inc = _non_null_keys(incoming, key_cols).where(F.col(source_order).isNotNull()).withColumn("_later", later).where(F.col("_later").isNull())
+    inc = inc.select(*key_cols, *[F.col(c).alias(f"_inc_{c}") for c in fields], F.lit(True).alias("_came"))
+    held, came = F.col("_held").isNotNull(), F.col("_came").isNotNull()
+    changed = came & (~held | (F.col("_cur_row_hash") != F.col("_inc_row_hash")))
+    # A pair gives its current row (False), expired where it changed, and the new row (True): flat columns, no structs of rows.
+    gives = (F.when(changed & held, F.array(F.lit(False), F.lit(True))).when(changed, F.array(F.lit(True))).when(held, F.array(F.lit(False))))
+    pairs = cur.join(inc, list(key_cols), "full").withColumn("_changed", changed).select("*", F.explode(gives).alias("_new"))
+    new, expired = F.col("_new"), F.coalesce("_changed", F.lit(False))
+    fresh = {**{c: F.col(f"_inc_{c}") for c in fields}, "source_version": F.lit(source_version), "valid_from": ts,
+             "valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}
+    old = {**{c: F.col(f"_cur_{c}") for c in cols}, "valid_to": F.when(expired, ts).otherwise(F.col("_cur_valid_to")),
+           "is_current": F.when(expired, F.lit(False)).otherwise(F.col("_cur_is_current"))}
+    merged = pairs.select(*key_cols, *[F.when(new, fresh[c]).otherwise(old[c]).alias(c) for c in cols])
+    return versions.where(~F.col("is_current")).select(*key_cols, *cols).unionByName(merged)
 
 
 def empty_versions(incoming: DataFrame, key_cols: Sequence[str], carry_cols: Sequence[str] = ()) -> DataFrame:

@@ -49,6 +49,16 @@ def column_profile(cells: DataFrame) -> DataFrame:
                                                 F.count("value").alias("non_blank"))
 
 
+def profile_of_rows(rows: DataFrame) -> DataFrame:
+    """:func:`column_profile` of rows of values (file, sheet, row, values): rows with cells in the same columns are counted as one
+    before their columns are told apart, so no cell is a row of its own."""
+    held = F.transform("values", lambda v: F.coalesce(F.trim(v) != "", F.lit(False)))
+    shapes = rows.select(*SHEET_KEY, "row", held.alias("held")).groupBy("held", *SHEET_KEY).agg(
+        F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.count(F.lit(1)).alias("n"))
+    columns = shapes.select(*SHEET_KEY, "first_row", "last_row", "n", F.posexplode("held").alias("col", "is_held")).where("is_held")
+    return columns.groupBy("col", *SHEET_KEY).agg(F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row"), F.sum("n").alias("non_blank"))
+
+
 def sheet_directory(cells: DataFrame, order: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """One row per sheet: its place in the workbook, used range, non-blank cells.
 
@@ -213,6 +223,15 @@ def cells_to_wide(cells: DataFrame, headers: DataFrame, mapping: DataFrame, regi
     return wide.select(*SHEET_KEY, "row", *registry.canonical)
 
 
+def rows_to_wide(rows: DataFrame, headers: DataFrame, mapping: DataFrame, registry: Registry) -> DataFrame:
+    """:func:`cells_to_wide` for rows that hold all their values (file, sheet, row, values), each row once: a mapped column is taken
+    from its place, so no cell is shuffled. Blank values come as they are, and so do rows without any other: the coercions
+    (C9-C11) make both NULL, and a row without a code goes with them."""
+    at = [F.min(F.when(F.col("canonical") == c, F.col("col"))).alias(f"_at_{c}") for c in registry.canonical]
+    body = rows.join(headers.join(mapping.groupBy(*SHEET_KEY).agg(*at), SHEET_KEY), SHEET_KEY).where(F.col("row") > F.col("header_row"))
+    return body.select(*SHEET_KEY, "row", *[F.get("values", F.col(f"_at_{c}")).alias(c) for c in registry.canonical])
+
+
 def stop_at_blank_row(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Keep the rows before the first entirely blank row after the header (C8); sheets without a
     header keep all. Blank cells are not stored, so a blank row is one without cells: the row after the
@@ -260,19 +279,18 @@ def normalise_percent(df: DataFrame, group_cols: list[str], pct_cols: list[str],
 
 
 # ----------------------------------------------------------------- C9–C11
-def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True, keep: Keep = as_planned) -> DataFrame:
+def coerce_types(wide: DataFrame, registry: Registry, normalise: bool = True, keep: Keep = as_planned, keep_rows: Keep = as_planned) -> DataFrame:
     """Registry dtypes (C9–C11). Percent columns are put on a 0–100 scale per workbook and
-    column when every value of that column in the workbook lies within [-1, 1] (C10)."""
-    out = wide
+    column when every value of that column in the workbook lies within [-1, 1] (C10). ``keep_rows`` may write the coerced rows,
+    which that scale and the result are read from."""
     pct_cols = [s.canonical for s in registry.columns if s.dtype == "percent"]
-    for s in registry.columns:
-        c = s.canonical
-        if s.dtype == "integer":
-            out = out.withColumn(c, C.coerce_int(c))
-        elif s.dtype == "percent":
-            out = out.withColumn(c, C.coerce_pct_raw(c))
-        else:
-            out = out.withColumn(c, C.coerce_text(c))
+    int_cols = [s.canonical for s in registry.columns if s.dtype == "integer"]
+    # The integers as one array: one expression for all of them, where one each makes a method too long to be compiled.
+    ints = F.transform(F.array(*int_cols), C.coerce_int) if int_cols else F.lit(None)
+    coerced = {c: F.col("_ints")[i] for i, c in enumerate(int_cols)} | {c: C.coerce_pct_raw(c) for c in pct_cols}
+    out = wide.withColumn("_ints", ints).withColumns(
+        {s.canonical: coerced.get(s.canonical, C.coerce_text(s.canonical)) for s in registry.columns}).drop("_ints")
+    out = keep_rows(out)
     if normalise:
         out = normalise_percent(out, ["file"], pct_cols, keep)
     return out.where(F.col("org_code").isNotNull())

@@ -38,15 +38,20 @@ class IngestResult:
     missing: DataFrame
     periods: DataFrame
     drift_log: DataFrame
+    rows: DataFrame | None = None      # the rows of values that the cells come from, where each holds all its cells
 
     @cached_property
     def wide(self) -> DataFrame:
-        """Read twice, for the percentages' scale and for the rows, so the pivot is kept."""
+        """Read twice, for the percentages' scale and for the rows, so the pivot is kept; what is cut from rows of values is
+        kept as typed."""
+        if self.rows is not None:
+            return grid.rows_to_wide(self.rows, self.headers, self.mapping, self.registry)
         return self.keep(grid.cells_to_wide(self.cells, self.headers, self.mapping, self.registry))
 
     @cached_property
     def typed(self) -> DataFrame:
-        return grid.coerce_types(grid.drop_footnotes(self.wide), self.registry, keep=self.keep)
+        return grid.coerce_types(grid.drop_footnotes(self.wide), self.registry, keep=self.keep,
+                                 keep_rows=grid.as_planned if self.rows is None else self.keep)
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -68,7 +73,24 @@ def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize:
     reg = registry or default_registry()
     keep = session.store if materialize else grid.as_planned
     cells = cells if stored else keep(cells)
-    profile, head = _profiled(cells, keep)
+    return _parsed(cells, *_profiled(cells, keep), reg, keep, order, until_blank_row)
+
+
+def parse_texts(texts: DataFrame, registry: Registry | None = None) -> IngestResult:
+    """:func:`parse_cells` of the cells of CSV texts held in rows (file, sheet, first_row, text). The texts are read for the profile of
+    their columns, their first parts for the headers and periods, and all once more for the rows, which are cut from their lines:
+    the cells are neither written nor shuffled. Where the parts of a sheet overlap its rows do not hold all their cells, and the cells are parsed."""
+    if grid_src.parts_overlap(texts):
+        return parse_cells(grid_src.cells_of_text(texts), registry)
+    rows = grid_src.rows_of_text(texts)
+    cells = grid_src.cells_of_rows(rows)
+    head = grid_src.cells_of_text(texts.where(F.col("first_row") < SEARCHED_ROWS)).where(F.col("row") < SEARCHED_ROWS)
+    return _parsed(cells, session.store(grid.profile_of_rows(rows)), session.store(head), registry or default_registry(), session.store, rows=rows)
+
+
+def _parsed(cells: DataFrame, profile: DataFrame, head: DataFrame, reg: Registry, keep: grid.Keep, order: DataFrame | None = None,
+            until_blank_row: bool = False, rows: DataFrame | None = None) -> IngestResult:
+    """The parse from the column profile and the searched rows on."""
     sheets = keep(grid.pick_sheet(cells, reg, order, profile))
     headers = keep(grid.header_rows(head, sheets, reg))
     if until_blank_row:
@@ -86,12 +108,15 @@ def parse_cells(cells: DataFrame, registry: Registry | None = None, materialize:
         drift.drift_renamed(renames, reg),
         drift.drift_no_header(grid.missing_headers(sheets, headers)),
         drift.drift_no_period(sheets, periods))
-    return IngestResult(reg, keep, cells, sheets, headers, labels, mapping, renames, missing, periods, log)
+    return IngestResult(reg, keep, cells, sheets, headers, labels, mapping, renames, missing, periods, log, rows)
+
+
+SEARCHED_ROWS = max(HEADER_SEARCH_ROWS, METADATA_ROWS)
 
 
 def _profiled(cells: DataFrame, keep: grid.Keep) -> tuple[DataFrame, DataFrame]:
     """The column profile of the cells, and the cells of the rows that are searched for headers and periods."""
-    return keep(grid.column_profile(cells)), keep(cells.where(F.col("row") < max(HEADER_SEARCH_ROWS, METADATA_ROWS)))
+    return keep(grid.column_profile(cells)), keep(cells.where(F.col("row") < SEARCHED_ROWS))
 
 
 def staged_with_unmapped(result: IngestResult) -> DataFrame:
@@ -151,6 +176,13 @@ def release_cells(spark: SparkSession, sf_dir: str, release: str, months: Column
     return grid_src.render_activity_grid(session.store(published_rows(spark, sf_dir, release, months)))
 
 
+def release_texts(spark: SparkSession, sf_dir: str, release: str) -> DataFrame:
+    """The workbooks of a release as CSV texts (file, sheet, first_row, text)."""
+    number = grid_src.provider_number(F.col("trust_code"))
+    shared = analogue.build_dim_provider(spark, sf_dir).groupBy(number.alias("number")).count().where("count > 1").select("number")
+    return grid_src.render_activity_texts(session.store(published_rows(spark, sf_dir, release)), session.store(shared))
+
+
 def analogue_ingest(spark: SparkSession, sf_dir: str) -> IngestResult:
     return parse_cells(analogue_cells(spark, sf_dir))
 

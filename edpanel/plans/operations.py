@@ -23,12 +23,11 @@ from edpanel.functions import columns as C
 from edpanel.operators import changes, links, sinks
 from edpanel.plans import analogue, ingest, revisions
 from edpanel.session import scratch_path
-from edpanel.sources import grid as grid_src
 from edpanel.sources import seeds
 from edpanel.sources.registry import DEFAULT_SCHEMA_VERSION
 from edpanel.sources.tables import read_table
 from edpanel.streaming.ingest import ingest_rows_available
-from edpanel.streaming.run import run_available
+from edpanel.streaming.run import LANDING, run_available
 
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]*)"
 CATALOGUED_EVERY = 3
@@ -177,20 +176,25 @@ def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_release(spark: SparkSession, sf_dir: str, release: str, published_at: str, landing: str, months: F.Column | None = None) -> None:
     """One release of the workbooks (those that the condition ``months`` on file holds for, all where not given) as landed rows;
     a workbook lies in one Parquet file."""
-    cells = ingest.release_cells(spark, sf_dir, release)
-    texts = grid_src.sheet_texts(cells if months is None else cells.where(months))
-    rows = texts.select(F.lit("monthly").alias("source_name"), F.col("file").alias("file_name"), F.concat(F.lit(f"https://files.example/{release}/"), "file").alias("source_url"),
+    texts = ingest.release_texts(spark, sf_dir, release)
+    rows = (texts if months is None else texts.where(months)).select(F.lit("monthly").alias("source_name"), F.col("file").alias("file_name"), F.concat(F.lit(f"https://files.example/{release}/"), "file").alias("source_url"),
                         changes.ts_literal(published_at).alias("published_at"), "sheet", F.col("first_row").cast("int").alias("first_row"), "text")
     rows.repartition("file_name").write.mode("append").parquet(landing)
 
 
+def land_again(spark: SparkSession, published_at: str, landing: str) -> None:
+    """All workbooks landed so far land once more under the same names, as published at ``published_at``."""
+    rows = spark.read.schema(LANDING).parquet(landing).withColumn("published_at", changes.ts_literal(published_at))
+    rows.repartition("file_name").write.mode("append").parquet(landing)
+
+
 def scheduled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first release lands and is loaded, then all of it lands again under the same names together with
     the revised one; the second run skips what it knows and merges the rest. Returns the version table."""
     root = scratch_path(spark, f"run/{uuid.uuid4().hex}")
     land_release(spark, sf_dir, "first", revisions.T_FIRST, f"{root}/landing")
     run_available(spark, f"{root}/landing", f"{root}/warehouse")
-    for release in ("first", "revised"):
-        land_release(spark, sf_dir, release, revisions.T_REVISED, f"{root}/landing")
+    land_again(spark, revisions.T_REVISED, f"{root}/landing")
+    land_release(spark, sf_dir, "revised", revisions.T_REVISED, f"{root}/landing")
     house = run_available(spark, f"{root}/landing", f"{root}/warehouse")
     return house.versions().select("period_date", "org_code", "org_name", "attendances_total", "breaches_total", "row_hash", "valid_from", "valid_to", "is_current")

@@ -28,23 +28,49 @@ ROW_MARK, FIELD_MARK = "\x1e", "\x1f"
 PART_ROWS = 10_000                # rows of a sheet per written file
 
 
+def rows_of_text(sheets: DataFrame) -> DataFrame:
+    """CSV texts held in rows (file, sheet, text, first_row) -> the rows of the sheets (file, sheet, row, values)."""
+    rows = sheets.select("file", "sheet", "first_row", F.posexplode(text_rows(F.col("text"))).alias("at", "line"))
+    # Generated, not projected: else every later filter on a value would cut the line anew.
+    return rows.select("file", "sheet", (F.col("first_row") + F.col("at")).cast("int").alias("row"), F.explode(F.array(line_values(F.col("line")))).alias("values"))
+
+
 def cells_of_text(sheets: DataFrame) -> DataFrame:
-    """CSV texts held in rows (file, sheet, text, first_row) -> cells: the text is cut into its rows at the
-    line breaks outside quotes (in the even ones of the pieces between quotes)."""
-    pieces = F.transform(F.split(F.regexp_replace("text", "\r\n", "\n"), '"'), lambda x, i: F.when(
-        i % 2 == 0, F.translate(x, "\n", ROW_MARK)).otherwise(x))
-    rows = sheets.select("file", "sheet", "first_row", F.posexplode(F.split(F.array_join(pieces, '"'), ROW_MARK)).alias("at", "line"))
-    return _cells_of_rows(rows.select("file", "sheet", (F.col("first_row") + F.col("at")).alias("row"), "line"))
+    """CSV texts held in rows (file, sheet, text, first_row) -> cells."""
+    return cells_of_rows(rows_of_text(sheets))
+
+
+def parts_overlap(sheets: DataFrame) -> bool:
+    """Whether the texts of some sheet hold a row twice, as the parts of a sheet should not."""
+    text = F.col("text")
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    end = F.col("first_row") + F.when(F.contains(text, F.lit('"')), F.size(text_rows(text))).otherwise(breaks + 1)
+    after = F.lead("first_row").over(Window.partitionBy("file", "sheet").orderBy("first_row"))         # a sheet's parts
+    parts = sheets.select("file", "sheet", "first_row", end.alias("end"))
+    return not parts.where(F.col("end").isNotNull()).withColumn("after", after).where(F.col("after") < F.col("end")).isEmpty()
+
+
+def text_rows(text: F.Column) -> F.Column:
+    """A CSV text cut into its rows at the line breaks outside quotes (in the even ones of the pieces between quotes);
+    a text without quotes at all its line breaks."""
+    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
+    pieces = F.transform(F.split(text, '"'), lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit("\n"), F.lit(ROW_MARK))).otherwise(x))
+    return F.when(F.contains(text, F.lit('"')), F.split(F.array_join(pieces, '"'), ROW_MARK)).otherwise(F.split(text, "\n"))
+
 
+def line_values(line: F.Column) -> F.Column:
+    """The values of a row of CSV text. A line is cut at its quotes, and only the pieces outside them (the even ones)
+    have their commas marked; one without quotes is cut at its commas."""
+    pieces = F.transform(F.split(line, '"'), lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit(FIELD_MARK))).otherwise(x))
+    values = F.transform(F.split(F.array_join(pieces, '"'), FIELD_MARK),
+                         lambda x: F.replace(F.regexp_replace(x, r'(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+    return F.when(F.contains(line, F.lit('"')), values).otherwise(F.split(line, ","))
 
-def _cells_of_rows(rows: DataFrame) -> DataFrame:
-    """Rows of CSV text (file, sheet, row, line) -> cells. A line is cut at its quotes, and only the
-    pieces outside them (the even ones) have their commas marked."""
-    pieces = F.transform(F.split("line", '"'), lambda x, i: F.when(i % 2 == 0, F.translate(x, ",", FIELD_MARK)).otherwise(x))
-    cells = rows.select("file", "sheet", "row", F.posexplode(F.split(F.array_join(pieces, '"'), FIELD_MARK)).alias("col", "raw"))
-    value = F.regexp_replace(F.regexp_replace("raw", r'(?s)^"(.*)"$', "$1"), '""', '"')
-    return cells.select("file", "sheet", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"),
-                        value.alias("value")).where(F.trim("value") != "")
+
+def cells_of_rows(rows: DataFrame) -> DataFrame:
+    """Rows of values (file, sheet, row, values) -> cells."""
+    cells = rows.select("file", "sheet", F.col("row").cast("int").alias("row"), F.posexplode("values").alias("col", "value"))
+    return cells.select("file", "sheet", "row", "col", "value").where(F.trim("value") != "")
 
 
 def cells_of_lines(lines: DataFrame) -> DataFrame:
@@ -80,7 +106,7 @@ def cells_of_lines(lines: DataFrame) -> DataFrame:
     parts = n.where("spans").groupBy("file", "sheet", "path", "row").agg(
         F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
     joined = parts.select("file", "sheet", "row", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("line"))
-    return _cells_of_rows(whole.unionByName(joined))
+    return cells_of_rows(whole.unionByName(joined).select("file", "sheet", "row", line_values(F.col("line")).alias("values")))
 
 
 def _lines(scan: DataFrame, file: F.Column, sheet: F.Column, first_row: F.Column) -> DataFrame:
@@ -115,18 +141,31 @@ def _joined(items: F.Column, at: str, text: str, mark: str) -> F.Column:
     return F.array_join(F.transform(items, item), "")
 
 
-def sheet_texts(cells: DataFrame) -> DataFrame:
-    """Cells -> CSV text (file, sheet, first_row, text). A text holds PART_ROWS rows of a sheet at
-    most, so no task gathers a whole long sheet."""
-    quoted = F.when(F.col("value").rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace("value", '"', '""'), F.lit('"'))).otherwise(F.col("value"))
-    first = (F.col("row") - F.col("row") % PART_ROWS).alias("first_row")
+def _quoted(value: F.Column) -> F.Column:
+    return F.when(value.rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace(value, '"', '""'), F.lit('"'))).otherwise(value)
+
+
+def sheet_lines(cells: DataFrame) -> DataFrame:
+    """Cells -> the sheets' rows as lines of CSV text (file, sheet, row, line)."""
     # The row leads the key: a sort by workbook names compares their common beginning.
-    lines = cells.groupBy("row", "file", "sheet").agg(F.array_sort(F.collect_list(F.struct("col", quoted.alias("field")))).alias("cells"))
-    lines = lines.select("file", "sheet", first, F.struct((F.col("row") % PART_ROWS).alias("at"), _joined(F.col("cells"), "col", "field", ",").alias("line")).alias("row"))
-    texts = lines.groupBy("file", "sheet", "first_row").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    lines = cells.groupBy("row", "file", "sheet").agg(F.sort_array(F.collect_list(F.struct("col", _quoted(F.col("value")).alias("field")))).alias("cells"))
+    return lines.select("file", "sheet", "row", _joined(F.col("cells"), "col", "field", ",").alias("line"))
+
+
+def texts_of_lines(lines: DataFrame) -> DataFrame:
+    """Lines (file, sheet, row, line) -> CSV text (file, sheet, first_row, text). A text holds PART_ROWS rows of a sheet at
+    most, so no task gathers a whole long sheet. The lines meet before they are gathered, so none is gathered twice."""
+    first = (F.col("row") - F.col("row") % PART_ROWS).alias("first_row")
+    rows = lines.select("file", "sheet", first, F.struct((F.col("row") % PART_ROWS).alias("at"), "line").alias("row"))
+    texts = rows.repartition("first_row", "file", "sheet").groupBy("first_row", "file", "sheet").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     return texts.select("file", "sheet", "first_row", _joined(F.col("rows"), "at", "line", "\n").alias("text"))
 
 
+def sheet_texts(cells: DataFrame) -> DataFrame:
+    """Cells -> CSV text (file, sheet, first_row, text), in parts as :func:`texts_of_lines` makes them."""
+    return texts_of_lines(sheet_lines(cells))
+
+
 def write_sheets(cells: DataFrame, folder: str) -> None:
     """The sheets' CSV text under ``file=/sheet=/first_row=`` folders."""
     sheet_texts(cells).write.partitionBy("file", "sheet", "first_row").text(folder)
@@ -166,6 +205,7 @@ LAYOUT = [
     (18, None, "Number of patients spending >4 hours from decision to admit to admission", "dta_breaches_4hr"),
     (19, None, "Number of patients spending >12 hours from decision to admit to admission", "dta_breaches_12hr"),
 ]
+TEXT_COLUMNS = 3                               # the first columns hold texts, the others numbers, which need no quotes
 RENAMED_TOTAL_LABEL = "Total Attendance"      # label used before RENAME_UNTIL
 RENAME_UNTIL = "1996-01-01"
 EXTRA_FROM = "2001-01-01"                      # an extra column appears from this month
@@ -207,27 +247,63 @@ def _performance_text(within: F.Column, total: F.Column, as_fraction: F.Column)
     return F.when(total > 0, F.when(as_fraction, frac).otherwise(pct))
 
 
+def provider_number(org_code: F.Column) -> F.Column:
+    """The place of a provider's row in the body of a workbook."""
+    return F.regexp_extract(org_code, r"(\d+)", 1).cast("int")
+
+
+def _body(rows: DataFrame) -> DataFrame:
+    """The body of the workbooks: the staged rows with the place and the texts of their cells."""
+    p = F.col("period_date")
+    performance = _performance_text(F.col("attendances_total") - F.col("breaches_total"), F.col("attendances_total"), F.pmod(F.year(p), F.lit(2)) == 0)
+    return rows.select(workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"),
+                       (branding_rows(p) + 3 + provider_number(F.col("org_code"))).alias("row"), "*", performance.alias("performance_text"))
+
+
+def _body_values() -> list[F.Column]:
+    """The texts of a body row in the order of their columns, NULL where it has no cell."""
+    extra = F.when(F.col("period_date") >= F.lit(EXTRA_FROM).cast("date"), _int_text(F.col(EXTRA_COLUMN[3])))
+    return [*(_int_text(F.col(src)) for _, _, _, src in LAYOUT), extra]
+
+
 def render_activity_grid(rows: DataFrame) -> DataFrame:
     """Lay staged rows out as one workbook per month.
 
     ``rows``: period_date, org_code, org_name, icb_name + activity counts (including type 2/3
     breaches and admissions). They are read twice, for the months and for the body: give a written table.
     """
+    return _body_cells(_body(rows)).unionByName(_frame_cells(rows))
+
+
+def _body_cells(body: DataFrame) -> DataFrame:
+    structs = [F.struct(F.lit(c).alias("col"), v.alias("value")) for c, v in enumerate(_body_values())]
+    cells = body.select("file", "sheet", "row", F.explode(F.array(*structs)).alias("c"))
+    return cells.select("file", "sheet", "row", "c.col", "c.value").where(F.col("value").isNotNull())
+
+
+def render_activity_texts(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """What :func:`sheet_texts` gives for :func:`render_activity_grid`, with a body row's line made where the row
+    is laid out: its cells are not shuffled. ``shared`` has the provider numbers (number) that several providers hold, whose rows
+    meet in one line of a workbook; they and the rows without a month go through their cells."""
+    number = provider_number(F.col("org_code"))
+    # Rows with a total end with a number, so the commas behind it stand for no cell.
+    plain = F.col("period_date").isNotNull() & F.col("org_code").isNotNull() & F.col("attendances_total").isNotNull()
+    alone = rows.where(plain).join(shared, number == F.col("number"), "left_anti")
+    values = _body_values()
+    # The texts as one array: a function over it also keeps the many columns out of one method too long to be compiled.
+    texts = F.transform(F.array(*values[:TEXT_COLUMNS]), _quoted)
+    line = F.rtrim(F.array_join(F.concat(texts, F.array(*values[TEXT_COLUMNS:])), ",", ""), F.lit(","))
+    lines = _body(alone).select("file", "sheet", "row", line.alias("line"))
+    others = rows.where(~plain).unionByName(rows.where(plain).join(shared, number == F.col("number"), "left_semi"))
+    return texts_of_lines(lines.unionByName(sheet_lines(_body_cells(_body(others)).unionByName(_frame_cells(rows)))))
+
+
+def _frame_cells(rows: DataFrame) -> DataFrame:
+    """The cells of the workbooks around their bodies: branding, header, totals, notes."""
     p = F.col("period_date")
     b = branding_rows(p)
-    row = b + 3 + F.regexp_extract("org_code", r"(\d+)", 1).cast("int")
-    body = rows.select(
-        workbook_name(p).alias("file"), F.lit(DATA_SHEET).alias("sheet"), row.alias("row"), "*",
-        _performance_text(F.col("attendances_total") - F.col("breaches_total"), F.col("attendances_total"),
-                          F.pmod(F.year(p), F.lit(2)) == 0).alias("performance_text"))
-    cell_structs = [F.struct(F.lit(c).alias("col"), _int_text(F.col(src)).alias("value"))
-                    for c, _, _, src in LAYOUT]
-    extra_c, _, _, extra_src = EXTRA_COLUMN
-    cell_structs.append(F.struct(F.lit(extra_c).alias("col"),
-                                 F.when(p >= F.lit(EXTRA_FROM).cast("date"), _int_text(F.col(extra_src))).alias("value")))
-    body_cells = body.select("file", "sheet", "row", F.explode(F.array(*cell_structs)).alias("c")).select(
-        "file", "sheet", "row", "c.col", "c.value")
-
+    row = b + 3 + provider_number(F.col("org_code"))
+    extra_c = EXTRA_COLUMN[0]
     # One row a month, from which all but the body is laid out.
     periods = session.store(rows.groupBy("period_date").agg(
         F.max(row).alias("last_row"), F.sum("attendances_total").cast("bigint").alias("t"), F.sum("breaches_total").cast("bigint").alias("br")))
@@ -278,7 +354,7 @@ def render_activity_grid(rows: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("row"), F.lit("Type 1: consultant-led 24-hour service").alias("value")))).alias("n")).select(
         "file", "sheet", "n.row", F.lit(0).alias("col"), "n.value")
 
-    allc = (body_cells.unionByName(header_cells).unionByName(meta_cells).unionByName(source_rows)
+    allc = (header_cells.unionByName(meta_cells).unionByName(source_rows)
             .unionByName(total_cells).unionByName(notes_rows).unionByName(notes_sheet))
     return allc.where(F.col("value").isNotNull()).select(
         "file", "sheet", F.col("row").cast("int"), F.col("col").cast("int"), F.col("value").cast("string"))

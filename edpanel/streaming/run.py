@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from edpanel.operators import changes, sinks
 from edpanel.plans import ingest, quality
 from edpanel.session import path_exists
-from edpanel.sources import grid as grid_src
 from edpanel.sources.registry import Registry
 
 LANDING = ("source_name string, file_name string, source_url string, published_at timestamp_ntz, "
@@ -162,7 +161,7 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
 
     def parse() -> None:
         """Parsed rows of the files that the drift policy lets pass, the drift log, and the measures."""
-        parsed = ingest.parse_cells(grid_src.cells_of_text(mine), registry)
+        parsed = ingest.parse_texts(mine, registry)
         log = parsed.drift_log.withColumnRenamed("file", "workbook")
         house.append("drift", log.join(fresh.select(F.col("workbook").cast("string"), F.col("file_name").alias("file")), "workbook"), batch_id)
         stopped = halted().select(F.col("workbook").alias("file")).distinct()
@@ -170,11 +169,11 @@ def process_batch(house: Warehouse, parts: DataFrame, batch_id: int, registry: R
         if wrong:
             raise ingest.LoadHaltedError(f"staging layout: {wrong}")
         origin = fresh.select(F.col("workbook").cast("string").alias("file"), F.col("file_name").alias("_name"), F.col("source_url").alias("_url"), F.col("sha256").alias("_sha"), "published_at")
-        rows = changes.with_row_hash(parsed.staged.join(stopped, "file", "left_anti"), HASHED).join(origin, "file")
-        rows = sinks.add_audit_columns(rows, F.col("_name"), F.col("_sha"), F.col("_url"), at)
         measures = Observation()
-        (rows.drop("_name", "_url", "_sha").observe(measures, *(c.alias(n) for n, c in gate_measures().items()))
-         .write.mode("overwrite").parquet(pending_path))
+        rows = parsed.staged.join(stopped, "file", "left_anti").observe(measures, *(c.alias(n) for n, c in gate_measures().items()))
+        rows = changes.with_row_hash(rows, HASHED).join(origin, "file")
+        rows = sinks.add_audit_columns(rows, F.col("_name"), F.col("_sha"), F.col("_url"), at)
+        rows.drop("_name", "_url", "_sha").write.mode("overwrite").parquet(pending_path)
         found = measures.get
         spark.createDataFrame([(n, int(found[n])) for n in gate_measures()], "measure string, found long").write.mode("overwrite").parquet(gate_path)
 
